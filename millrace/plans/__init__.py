@@ -1,6 +1,6 @@
 """Query plans by area; importing this package fills the registry."""
 
-from millrace.plans import relational  # noqa: F401
+from millrace.plans import nested, relational, scans  # noqa: F401
 from millrace.plans.registry import CHECKS, QUERIES
 
 __all__ = ["CHECKS", "QUERIES"]
