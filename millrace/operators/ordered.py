@@ -60,48 +60,49 @@ def with_ranges(df: DataFrame, order: str, tie: str) -> DataFrame:
     return place.withColumn(_LOW, low).drop("_cuts", "_ties", "_seen", "_heavy")
 
 
-def running_total(
+def running_totals(
     df: DataFrame,
     keys: Sequence[str],
     order: str,
     tie: str,
-    value: Column | str,
-    out: str,
-    total: str | None = None,
+    values: dict[str, Column | str],
+    whole: bool = False,
     descending: bool = False,
 ) -> DataFrame:
-    """Add ``out`` = sum of ``value`` from the first row of the key up to this row.
+    """Add, per entry of ``values``, its sum from the first row of the key up to this row.
 
     Rows are ordered by ``order`` and then ``tie`` (ascending); the pair must be
-    unique within a key. ``total`` also adds the sum over the whole key. Both
-    columns must be numeric, dates or timestamps.
+    unique within a key. Both must be numeric, dates or timestamps. ``whole``
+    also adds ``<name>_whole``, the sum over the key.
     """
-    value = F.col(value) if isinstance(value, str) else value
-    ranged = with_ranges(df, order, tie).withColumn("_value", value)
+    columns = {name: F.col(v) if isinstance(v, str) else v for name, v in values.items()}
+    ranged = with_ranges(df, order, tie).withColumns({f"_v_{n}": c for n, c in columns.items()})
     part = [*keys, _LOW, _TIE]
     way = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
 
-    sums = ranged.groupBy(*part).agg(F.sum("_value").alias("_sum"))
+    sums = ranged.groupBy(*part).agg(*[F.sum(f"_v_{n}").alias(f"_s_{n}") for n in columns])
     earlier = Window.partitionBy(*keys).orderBy(way(_LOW), F.col(_TIE)).rowsBetween(Window.unboundedPreceding, -1)
+    key = Window.partitionBy(*keys)
     offsets = sums.select(
         *[F.col(c).alias(f"_o_{c}") for c in part],
-        F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"),
-        F.sum("_sum").over(Window.partitionBy(*keys)).alias("_whole"),
+        *[F.coalesce(F.sum(f"_s_{n}").over(earlier), F.lit(0)).alias(f"_b_{n}") for n in columns],
+        *[F.sum(f"_s_{n}").over(key).alias(f"_w_{n}") for n in columns],
     )
     inside = Window.partitionBy(*part).orderBy(way(order), F.col(tie)).rowsBetween(Window.unboundedPreceding, 0)
-    counted = ranged.withColumn("_inside", F.sum("_value").over(inside))
+    counted = ranged.withColumns({f"_i_{n}": F.sum(f"_v_{n}").over(inside) for n in columns})
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_o_{c}")) for c in part])
-    result = counted.join(offsets, same, "inner").withColumn(out, F.col("_inside") + F.col("_before"))
-    if total:
-        result = result.withColumn(total, F.col("_whole"))
-    return result.drop(*[f"_o_{c}" for c in part], _LOW, _TIE, "_value", "_inside", "_before", "_whole")
+    joined = counted.join(offsets, same, "inner")
+    added = [(F.col(f"_i_{n}") + F.col(f"_b_{n}")).alias(n) for n in columns]
+    if whole:
+        added += [F.col(f"_w_{n}").alias(f"{n}_whole") for n in columns]
+    return joined.select(*[c for c in df.columns if c not in columns], *added)
 
 
 def numbered(
     df: DataFrame, keys: Sequence[str], order: str, tie: str, out: str, descending: bool = False
 ) -> DataFrame:
     """``row_number`` per key, with no key confined to one task."""
-    ranked = running_total(df, keys, order, tie, F.lit(1), out, descending=descending)
+    ranked = running_totals(df, keys, order, tie, {out: F.lit(1)}, descending=descending)
     return ranked.withColumn(out, F.col(out).cast("int"))
 
 
@@ -115,7 +116,7 @@ def exact_percentiles(
     counts are accumulated by range, and each wanted rank picks its value.
     """
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
-    ranked = running_total(counts, keys, value, value, "_n", "_upto", total="_all")
+    ranked = running_totals(counts, keys, value, value, {"_upto": "_n"}, whole=True)
 
     def at_rank(rank: Column) -> Column:
         hit = (F.col("_upto") - F.col("_n") <= rank) & (rank < F.col("_upto"))
@@ -123,7 +124,7 @@ def exact_percentiles(
 
     picks, finals = [], []
     for name, p in probs.items():
-        place = F.lit(float(p)) * (F.col("_all") - 1)
+        place = F.lit(float(p)) * (F.col("_upto_whole") - 1)
         picks += [
             at_rank(F.floor(place)).alias(f"_lo_{name}"),
             at_rank(F.ceil(place)).alias(f"_hi_{name}"),

@@ -276,7 +276,7 @@ def medallion_sales(t):
     sinks.write_files(raw, space.path("bronze"), "json")
     bronze = ingest.read_new_files(t.spark, space.path("bronze"), "json", raw.schema)
     silver = medallion.cleaned_orders(bronze, _customers(t))
-    ingest.append(silver, space.path("silver"), space.path("checkpoint"), ["order_date"])
+    ingest.append(silver, space.path("silver"), space.path("checkpoint"), ["order_month"])
     gold = medallion.sales_by_city(t.spark.read.parquet(space.path("silver")))
     return gold.withColumns({"sales": F.round("sales", 2), "quantity": F.round("quantity", 2)})
 

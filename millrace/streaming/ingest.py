@@ -62,8 +62,12 @@ def append(stream: DataFrame, path: str, checkpoint: str, partition_by: Sequence
     """Write what is there now to a table folder and stop.
 
     The checkpoint belongs to this sink. A later call with it continues where
-    this one ended, also after a crash, and adds no row twice.
+    this one ended, also after a crash, and adds no row twice. With partition
+    columns the rows of a folder are gathered first, so a folder gets one file
+    per batch, or several where it is too large for one task.
     """
+    if partition_by:
+        stream = stream.hint("rebalance", *partition_by)
     writer = (
         stream.writeStream.format("parquet")
         .outputMode("append")

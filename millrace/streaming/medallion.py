@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.dates import epoch_to_timestamp
+from millrace.functions.dates import epoch_to_timestamp, year_month
 from millrace.operators.quality import DROP, Rule, enforce
 
 VALID_ORDER = Rule("valid_order_number", "order_number IS NOT NULL", DROP)
@@ -19,6 +19,7 @@ def cleaned_orders(raw: DataFrame, customers: DataFrame) -> DataFrame:
         *[c for c in raw.columns if c != "order_datetime"],
         ordered_at.alias("order_datetime"),
         F.to_date(ordered_at).alias("order_date"),
+        year_month(ordered_at).alias("order_month"),
         *[c for c in customers.columns if c not in ("customer_id", "customer_name")],
     )
 
