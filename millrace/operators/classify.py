@@ -103,8 +103,8 @@ def roc_points(df: DataFrame, score: str, positive: Column, keys: Sequence[str]
         (F.col("_n") - F.col("_pos")).alias("neg"),
         "tp",
         "fp",
-        (F.col("fp") / F.col("fp_whole")).alias("fpr"),
-        (F.col("tp") / F.col("tp_whole")).alias("tpr"),
+        F.try_divide("fp", "fp_whole").alias("fpr"),
+        F.try_divide("tp", "tp_whole").alias("tpr"),
         (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),
         F.col("tp_whole").alias("positives"),
         F.col("fp_whole").alias("negatives"),
@@ -118,9 +118,9 @@ def areas(points: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     its own, so no ordering is needed here.
     """
     tp, fp, pos, neg = (F.col(c) for c in ("tp", "fp", "pos", "neg"))
-    roc = neg * (2 * tp - pos) / (2 * F.col("positives") * F.col("negatives"))
+    roc = F.try_divide(neg * (2 * tp - pos), 2.0 * F.col("positives") * F.col("negatives"))
     before = tp + fp - pos - neg
-    earlier = F.when(before == 0, F.col("precision")).otherwise((tp - pos) / F.nullif(before, F.lit(0)))
-    pr = pos / F.col("positives") * (F.col("precision") + earlier) / 2
+    earlier = F.coalesce(F.try_divide(tp - pos, before), F.col("precision"))
+    pr = F.try_divide(pos, F.col("positives")) * (F.col("precision") + earlier) / 2
     sums = [F.sum(roc).alias("area_roc"), F.sum(pr).alias("area_pr")]
     return points.groupBy(*keys).agg(*sums) if keys else points.agg(*sums)

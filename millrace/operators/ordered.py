@@ -2,9 +2,11 @@
 
 A plain ``Window.partitionBy(key).orderBy(...)`` sorts a whole key in one task,
 so one key with a third of the rows decides the run time. The functions here
-cut each key into ranges of the order column, work inside (key, range), and
-add what the earlier ranges of the same key contribute. The range totals are
-small, so only they are windowed by key alone.
+count the largest key first. If one task can sort it, a plain window does the
+work with a single shuffle. Otherwise each key is cut into ranges of the order
+column, summed inside (key, range), and what the earlier ranges of the same key
+contribute is added. The range totals are small, so only they are windowed by
+key alone. Both ways give the same rows.
 """
 
 from __future__ import annotations
@@ -17,6 +19,17 @@ from pyspark.sql import functions as F
 
 _LOW, _TIE = "_range", "_tie_range"
 
+# Rows of one key that a single task may sort; the sort spills to disk.
+ONE_TASK_ROWS = 2_000_000
+
+
+def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
+    """Rows of the most frequent key. Runs a job over the key columns only."""
+    if not keys:
+        return df.count()
+    sizes = df.groupBy(*keys).agg(F.count("*").alias("n"))
+    return sizes.agg(F.max("n")).first()[0] or 0
+
 
 def _range_count(df: DataFrame) -> int:
     """A power of two, at least the number of shuffle partitions."""
@@ -68,6 +81,7 @@ def running_totals(
     values: dict[str, Column | str],
     whole: bool = False,
     descending: bool = False,
+    one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
     """Add, per entry of ``values``, its sum from the first row of the key up to this row.
 
@@ -76,10 +90,17 @@ def running_totals(
     also adds ``<name>_whole``, the sum over the key.
     """
     columns = {name: F.col(v) if isinstance(v, str) else v for name, v in values.items()}
-    ranged = with_ranges(df, order, tie).withColumns({f"_v_{n}": c for n, c in columns.items()})
-    part = [*keys, _LOW, _TIE]
     way = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
+    if largest_group(df, keys) <= one_task_rows:
+        upto = Window.partitionBy(*keys).orderBy(way(order), F.col(tie)).rowsBetween(Window.unboundedPreceding, 0)
+        every = Window.partitionBy(*keys)
+        added = [F.sum(c).over(upto).alias(n) for n, c in columns.items()]
+        if whole:
+            added += [F.sum(c).over(every).alias(f"{n}_whole") for n, c in columns.items()]
+        return df.select(*[c for c in df.columns if c not in columns], *added)
 
+    ranged = with_ranges(df, order, tie).withColumns({f"_v_{n}": c for n, c in columns.items()})
+    part = [*keys, _LOW, _TIE]
     sums = ranged.groupBy(*part).agg(*[F.sum(f"_v_{n}").alias(f"_s_{n}") for n in columns])
     earlier = Window.partitionBy(*keys).orderBy(way(_LOW), F.col(_TIE)).rowsBetween(Window.unboundedPreceding, -1)
     key = Window.partitionBy(*keys)
@@ -99,24 +120,32 @@ def running_totals(
 
 
 def numbered(
-    df: DataFrame, keys: Sequence[str], order: str, tie: str, out: str, descending: bool = False
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    tie: str,
+    out: str,
+    descending: bool = False,
+    one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
-    """``row_number`` per key, with no key confined to one task."""
-    ranked = running_totals(df, keys, order, tie, {out: F.lit(1)}, descending=descending)
+    """``row_number`` per key, with no oversized key confined to one task."""
+    ranked = running_totals(
+        df, keys, order, tie, {out: F.lit(1)}, descending=descending, one_task_rows=one_task_rows
+    )
     return ranked.withColumn(out, F.col(out).cast("int"))
 
 
 def exact_percentiles(
-    df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float]
+    df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float], one_task_rows: int = ONE_TASK_ROWS
 ) -> DataFrame:
     """Interpolated percentiles per key, one column per name in ``probs``.
 
     Same result as the ``percentile`` aggregate, whose state holds every
     distinct value of a group in one task. Here values are counted first, the
-    counts are accumulated by range, and each wanted rank picks its value.
+    counts are accumulated, and each wanted rank picks its value.
     """
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
-    ranked = running_totals(counts, keys, value, value, {"_upto": "_n"}, whole=True)
+    ranked = running_totals(counts, keys, value, value, {"_upto": "_n"}, whole=True, one_task_rows=one_task_rows)
 
     def at_rank(rank: Column) -> Column:
         hit = (F.col("_upto") - F.col("_n") <= rank) & (rank < F.col("_upto"))

@@ -56,12 +56,13 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     """Rows per equal-width bin between the column's own minimum and maximum."""
     span = df.agg(F.struct(F.min(column).alias("lo"), F.max(column).alias("hi"))).scalar()
     width = (F.col("_span.hi") - F.col("_span.lo")) / bins
-    place = F.least(F.floor((F.col(column) - F.col("_span.lo")) / width), F.lit(bins - 1))
+    place = F.least(F.floor(F.try_divide(F.col(column) - F.col("_span.lo"), width)), F.lit(bins - 1))
+    place = F.when(width == 0, 0).otherwise(place)
     return (
         df.where(F.col(column).isNotNull())
         .select(column)
         .withColumn("_span", span)
-        .select(F.coalesce(place, F.lit(0)).cast("int").alias("bin"))
+        .select(place.cast("int").alias("bin"))
         .groupBy("bin")
         .agg(F.count("*").alias("ct"))
     )

@@ -60,7 +60,7 @@ def pivot_shares(
     wide = df.groupBy(by).pivot(column, list(values)).agg(F.count(F.lit(1)))
     wide = wide.select(by, *[F.col(v).alias(name) for v, name in values.items()])
     whole = sum((F.coalesce(F.col(n), F.lit(0)) for n in values.values()), F.lit(0))
-    return wide.withColumn(out, F.coalesce(F.col(numerator), F.lit(0)) / whole * 100)
+    return wide.withColumn(out, F.try_divide(F.coalesce(F.col(numerator), F.lit(0)), whole) * 100)
 
 
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

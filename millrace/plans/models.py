@@ -41,8 +41,10 @@ def _labelled(t):
 
 
 def _prepared(t):
-    rows = _labelled(t)
-    return cl.preparation(CATEGORICAL, NUMERIC, "quality").fit(rows).transform(rows)
+    """Model input, measured and encoded once; the fits then read it many times."""
+    space = t.workspace()
+    rows = space.keep(_labelled(t), "measured")
+    return space.keep(cl.preparation(CATEGORICAL, NUMERIC, "quality").fit(rows).transform(rows), "prepared")
 
 
 def _sets(t):
@@ -198,10 +200,10 @@ def gbt_sweep(t):
 
 @query("batch_score", "SELECT count(*) AS ct, 0::BIGINT AS unscored FROM documents")
 def batch_score(t):
-    rows = _labelled(t)
-    train, _ = cl.hash_split(rows, "doc_id", [70, 30])
+    space = t.workspace()
+    train, _ = cl.hash_split(space.keep(_labelled(t), "measured"), "doc_id", [70, 30])
     stages = [cl.preparation(CATEGORICAL, NUMERIC, None), RandomForestClassifier(labelCol="quality", numTrees=20, seed=42)]
-    path = t.workspace().path("model")
+    path = space.path("model")
     Pipeline(stages=stages).fit(train).write().save(path)
     scored = PipelineModel.load(path).transform(_with_measures(t.documents))
     return scored.agg(F.count("*").alias("ct"), F.count_if(F.col("prediction").isNull()).alias("unscored"))

@@ -42,7 +42,7 @@ def expect_drop(t):
 
 @query("expect_fail", "SELECT event_id, value FROM events")
 def expect_fail(t):
-    rules = [Rule("has_id", "event_id IS NOT NULL", FAIL), Rule("positive", "value > 0", FAIL)]
+    rules = [Rule("has_id", "event_id IS NOT NULL", FAIL), Rule("not_negative", "value >= 0", FAIL)]
     return enforce(t.events, rules).select("event_id", "value")
 
 

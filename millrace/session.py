@@ -63,6 +63,11 @@ class Workspace:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` as a written table: computed once, and safe when executors are lost."""
+        df.write.parquet(self.path(name))
+        return self.spark.read.parquet(self.path(name))
+
     @property
     def database(self) -> str:
         """A database located in the workspace, so managed tables land on shared storage."""

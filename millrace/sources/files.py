@@ -20,14 +20,15 @@ def read_csv(
 ) -> DataFrame:
     """CSV with inferred or given types.
 
-    Under a schema every field of a line is parsed even when only some columns
-    are selected later; otherwise a line whose bad field was pruned away would
-    count as good.
+    Spark parses only the fields a query needs, so a line whose bad field is
+    not selected would count as good. Where bad lines must be dropped or must
+    fail, a condition that always holds therefore reads every field.
     """
     reader = spark.read.option("header", header).option("sep", sep).option("mode", mode)
-    if schema is None:
-        return reader.option("inferSchema", True).csv(path)
-    return reader.option("columnPruning", False).schema(schema).csv(path)
+    df = reader.option("inferSchema", True).csv(path) if schema is None else reader.schema(schema).csv(path)
+    if mode.upper() in ("DROPMALFORMED", "FAILFAST"):
+        df = df.where(F.hash(*df.columns) >= F.lit(-(2**31)))
+    return df
 
 
 def read_json(
@@ -61,7 +62,6 @@ def split_bad_records(
         spark.read.schema(wide)
         .option("header", header)
         .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("columnPruning", False)
         .csv(path)
     )
     bad = parsed.where(F.col(CORRUPT).isNotNull())
