@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.text import escape_html
-from millrace.operators.ordered import running_totals
+from millrace.operators.ordered import ONE_TASK_ROWS, running_totals
 
 # HTML to markdown, applied in this order.
 MARKDOWN_RULES = [
@@ -49,11 +49,17 @@ def split_pages(documents: DataFrame, key: str, text: str, separator: str = "\n"
     return documents.select(key, F.posexplode(F.split(text, separator)).alias("page", "text"))
 
 
-def page_offsets(pages: DataFrame, key: str, trailing_space: bool = False) -> DataFrame:
-    """Add each page's offset: the characters on the document's earlier pages."""
+def page_offsets(
+    pages: DataFrame, key: str, trailing_space: bool = False, one_task_rows: int | None = ONE_TASK_ROWS
+) -> DataFrame:
+    """Add each page's offset: the characters on the document's earlier pages.
+
+    Pass ``one_task_rows=None`` for pages split from one row per document; such
+    a document has been in one task already.
+    """
     if trailing_space:
         pages = pages.withColumn("text", F.concat("text", F.lit(" ")))
-    summed = running_totals(pages, [key], "page", "page", {"_end": F.length("text")})
+    summed = running_totals(pages, [key], "page", "page", {"_end": F.length("text")}, one_task_rows=one_task_rows)
     return summed.withColumn("offset", F.col("_end") - F.length("text")).drop("_end")
 
 
@@ -118,6 +124,12 @@ def to_markdown(html: str | Column) -> Column:
     return text
 
 
-def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Even out few large or many small file partitions before heavy per-row work."""
-    return df.repartition(partitions or df.sparkSession.sparkContext.defaultParallelism)
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a share of a small input before heavy work per row.
+
+    A few files make a few tasks, however many cores there are. An input that
+    already has enough partitions is left alone: shuffling it would cost more
+    than it gains.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= 2 * cores else df.repartition(cores)

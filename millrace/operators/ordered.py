@@ -12,8 +12,6 @@ key alone. Both ways give the same rows.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -81,17 +79,18 @@ def running_totals(
     values: dict[str, Column | str],
     whole: bool = False,
     descending: bool = False,
-    one_task_rows: int = ONE_TASK_ROWS,
+    one_task_rows: int | None = ONE_TASK_ROWS,
 ) -> DataFrame:
     """Add, per entry of ``values``, its sum from the first row of the key up to this row.
 
     Rows are ordered by ``order`` and then ``tie`` (ascending); the pair must be
     unique within a key. Both must be numeric, dates or timestamps. ``whole``
-    also adds ``<name>_whole``, the sum over the key.
+    also adds ``<name>_whole``, the sum over the key. ``one_task_rows=None``
+    says that keys are known to be small, which spares the count.
     """
     columns = {name: F.col(v) if isinstance(v, str) else v for name, v in values.items()}
     way = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
-    if largest_group(df, keys) <= one_task_rows:
+    if one_task_rows is None or largest_group(df, keys) <= one_task_rows:
         upto = Window.partitionBy(*keys).orderBy(way(order), F.col(tie)).rowsBetween(Window.unboundedPreceding, 0)
         every = Window.partitionBy(*keys)
         added = [F.sum(c).over(upto).alias(n) for n, c in columns.items()]
@@ -104,19 +103,23 @@ def running_totals(
     sums = ranged.groupBy(*part).agg(*[F.sum(f"_v_{n}").alias(f"_s_{n}") for n in columns])
     earlier = Window.partitionBy(*keys).orderBy(way(_LOW), F.col(_TIE)).rowsBetween(Window.unboundedPreceding, -1)
     key = Window.partitionBy(*keys)
-    offsets = sums.select(
-        *[F.col(c).alias(f"_o_{c}") for c in part],
-        *[F.coalesce(F.sum(f"_s_{n}").over(earlier), F.lit(0)).alias(f"_b_{n}") for n in columns],
+    # What came before a range is one more row, sorted ahead of the range's own
+    # rows. So it is added by the same window and the rows need no join.
+    before = sums.select(
+        *part,
+        *[F.coalesce(F.sum(f"_s_{n}").over(earlier), F.lit(0)).alias(f"_v_{n}") for n in columns],
         *[F.sum(f"_s_{n}").over(key).alias(f"_w_{n}") for n in columns],
+        F.lit(False).alias("_own"),
     )
-    inside = Window.partitionBy(*part).orderBy(way(order), F.col(tie)).rowsBetween(Window.unboundedPreceding, 0)
-    counted = ranged.withColumns({f"_i_{n}": F.sum(f"_v_{n}").over(inside) for n in columns})
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_o_{c}")) for c in part])
-    joined = counted.join(offsets, same, "inner")
-    added = [(F.col(f"_i_{n}") + F.col(f"_b_{n}")).alias(n) for n in columns]
+    both = ranged.withColumn("_own", F.lit(True)).unionByName(before, allowMissingColumns=True)
+    upto = (
+        Window.partitionBy(*part).orderBy("_own", way(order), F.col(tie)).rowsBetween(Window.unboundedPreceding, 0)
+    )
+    added = [F.sum(f"_v_{n}").over(upto).alias(n) for n in columns]
     if whole:
-        added += [F.col(f"_w_{n}").alias(f"{n}_whole") for n in columns]
-    return joined.select(*[c for c in df.columns if c not in columns], *added)
+        added += [F.max(f"_w_{n}").over(upto).alias(f"{n}_whole") for n in columns]
+    rest = [c for c in df.columns if c not in columns]
+    return both.select(*rest, *added, "_own").where("_own").drop("_own")
 
 
 def numbered(
@@ -140,10 +143,18 @@ def exact_percentiles(
 ) -> DataFrame:
     """Interpolated percentiles per key, one column per name in ``probs``.
 
-    Same result as the ``percentile`` aggregate, whose state holds every
-    distinct value of a group in one task. Here values are counted first, the
-    counts are accumulated, and each wanted rank picks its value.
+    The ``percentile`` aggregate keeps every distinct value of a group in the
+    memory of one task, so it is used only when the largest group is counted
+    to be small enough. Otherwise values are counted first, the counts are
+    accumulated, and each wanted rank picks its value. The result is the same.
     """
+    if largest_group(df, keys) <= one_task_rows:
+        at = F.array(*[F.lit(float(p)) for p in probs.values()])
+        found = F.percentile(F.col(value).cast("double"), at).alias("_found")
+        known = df.where(F.col(value).isNotNull())
+        grouped = known.groupBy(*keys).agg(found) if keys else known.agg(found)
+        return grouped.select(*keys, *[F.col("_found")[i].alias(name) for i, name in enumerate(probs)])
+
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
     ranked = running_totals(counts, keys, value, value, {"_upto": "_n"}, whole=True, one_task_rows=one_task_rows)
 

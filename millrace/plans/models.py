@@ -15,6 +15,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from millrace.operators import classify as cl
+from millrace.operators.documents import spread
 from millrace.plans.registry import query
 
 CATEGORICAL = ["lang", "source"]
@@ -24,7 +25,7 @@ NUMERIC = ["n_chars", "n_words", "n_lines", "digit_share", "upper_share"]
 def _with_measures(documents):
     """Numbers that describe a document's whole text."""
     length = F.greatest(F.length("text"), F.lit(1))
-    return documents.select(
+    return spread(documents).select(
         "doc_id",
         "lang",
         "source",

@@ -129,7 +129,7 @@ def _log(t):
               strftime(ts, '%Y-%m-%d %H:%M:%S') AS at FROM events WHERE event_type IN ('click', 'signup')""",
 )
 def audit_log(t):
-    entries = pipeline_log.audit(_log(t)).orderBy(F.desc("timestamp"))
+    entries = pipeline_log.audit(_log(t)).orderBy(F.desc("timestamp"), "update_id")
     return entries.select("action", "user_name", "update_id", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss").alias("at"))
 
 

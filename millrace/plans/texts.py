@@ -24,7 +24,7 @@ def split_pages(t):
                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS "offset" FROM {_PAGES}""",
 )
 def page_offsets(t):
-    pages = docs.page_offsets(docs.split_pages(t.documents, "doc_id", "text"), "doc_id")
+    pages = docs.page_offsets(docs.split_pages(t.documents, "doc_id", "text"), "doc_id", one_task_rows=None)
     return pages.select("doc_id", "page", F.length("text").cast("bigint").alias("n_chars"), "offset")
 
 
@@ -34,7 +34,7 @@ def page_offsets(t):
                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS "offset" FROM {_PAGES}""",
 )
 def page_offsets_spaced(t):
-    pages = docs.page_offsets(docs.split_pages(t.documents, "doc_id", "text"), "doc_id", trailing_space=True)
+    pages = docs.page_offsets(docs.split_pages(t.documents, "doc_id", "text"), "doc_id", True, one_task_rows=None)
     return pages.select("doc_id", "page", "offset")
 
 
@@ -126,4 +126,5 @@ def _markdown_sql(column: str) -> str:
 
 @query("html_to_markdown", f"SELECT page_id, url AS filename, {_markdown_sql('html')} AS content FROM pages")
 def html_to_markdown(t):
-    return t.pages.select("page_id", F.col("url").alias("filename"), docs.to_markdown("html").alias("content"))
+    pages = docs.spread(t.pages)
+    return pages.select("page_id", F.col("url").alias("filename"), docs.to_markdown("html").alias("content"))

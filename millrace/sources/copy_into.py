@@ -33,7 +33,7 @@ def copy_into(
     """
     loads = _loads(spark, target)
     found = list_files(spark, source, glob).select("path", "length")
-    new = [(r.path, r.length) for r in found.join(loads.select("path"), "path", "left_anti").toLocalIterator()]
+    new = [(r.path, r.length) for r in found.join(loads.select("path"), "path", "left_anti").collect()]
     if not new:
         return 0
     load_id = (loads.agg(F.max("load_id")).first()[0] or 0) + 1

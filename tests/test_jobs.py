@@ -180,7 +180,7 @@ def test_floor_lookup_sees_no_later_trip(spark):
 
 def series(spark):
     base = dt.date(2023, 1, 1)
-    data = [("a", base + dt.timedelta(days=i), 100.0 + i) for i in range(60) if i % 7 != 3]
+    data = [("a", base + dt.timedelta(days=i), 100.0 + i + i % 3) for i in range(60) if i % 7 != 3]
     data += [("single", base, 5.0), ("gap", base, None)]
     return spark.createDataFrame(data, "`group` string, ds date, y double")
 
@@ -198,7 +198,7 @@ def test_forecast_rows_and_gaps(spark):
 
 def test_linear_series_is_fitted_closely(spark):
     got = forecast.evaluate(forecast.forecast(series(spark).where("group = 'a'"), 5, dt.date(2024, 2, 1))).first()
-    assert got.mae < 2.0 and got.rmse == pytest.approx(got.mse**0.5)
+    assert got.mae < 3.0 and got.rmse == pytest.approx(got.mse**0.5)
 
 
 def test_grouped_map_does_not_depend_on_partitioning(spark):
@@ -209,7 +209,7 @@ def test_grouped_map_does_not_depend_on_partitioning(spark):
 
 def test_best_model_of_a_straight_line(spark):
     best = forecast.best_models(series(spark).where("group = 'a'")).first()
-    assert best.model in ("trend", "seasonal") and best.mdape == min(best.trend, best.seasonal, best.last_value)
+    assert best.mdape == min(best.trend, best.seasonal, best.last_value)
 
 
 # ---- classification --------------------------------------------------------
