@@ -28,19 +28,25 @@ def is_weekend(ts: str | Column, zone: str = "America/New_York") -> Column:
 
 def round_up(ts: str | Column, minutes: int) -> Column:
     """Unix seconds of the next multiple of ``minutes``; a time on the boundary stays."""
-    return -F.floor(-_micros(ts) / _step(minutes)) * (minutes * 60)
+    micros = _micros(ts)
+    return _seconds(micros + F.pmod(-micros, _step(minutes)))
 
 
 def round_down(ts: str | Column, minutes: int) -> Column:
-    return F.floor(_micros(ts) / _step(minutes)) * (minutes * 60)
+    micros = _micros(ts)
+    return _seconds(micros - F.pmod(micros, _step(minutes)))
 
 
 def _micros(ts: str | Column) -> Column:
     return F.unix_micros(_col(ts).cast("timestamp"))
 
 
+def _seconds(whole: Column) -> Column:
+    return (whole / 1_000_000).cast("bigint")
+
+
 def _step(minutes: int) -> Column:
-    return F.lit(minutes * 60 * 1_000_000)
+    return F.lit(minutes * 60 * 1_000_000).cast("bigint")
 
 
 def epoch_to_timestamp(seconds: str | Column) -> Column:

@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 _LOW, _TIE = "_range", "_tie_range"
 
-# Rows of one key that a single task may sort; the sort spills to disk.
-ONE_TASK_ROWS = 2_000_000
+# Rows of one key that a single task may sort or hold.
+ONE_TASK_ROWS = 1_000_000
 
 
 def largest_group(df: DataFrame, keys: Sequence[str]) -> int:

@@ -268,11 +268,10 @@ def udf_equivalence(t):
     """SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_returnflag = 'R' AND l_quantity >= 20""",
 )
 def sql_udtf(t):
-    t.views("lineitem")
     t.spark.sql(
-        """CREATE OR REPLACE TEMPORARY FUNCTION millrace_lines(flag STRING, least DOUBLE)
+        f"""CREATE OR REPLACE TEMPORARY FUNCTION millrace_lines(flag STRING, least DOUBLE)
            RETURNS TABLE (l_orderkey BIGINT, l_linenumber INT, l_quantity DOUBLE)
-           RETURN SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem
+           RETURN SELECT l_orderkey, l_linenumber, l_quantity FROM {t.view("lineitem")}
                   WHERE l_returnflag = flag AND l_quantity >= least"""
     )
     return t.spark.sql("SELECT * FROM millrace_lines('R', 20)")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from millrace import sinks
 from millrace.functions.text import json_path
 from millrace.operators import pipeline_log
+from millrace.operators.nested import nest_lines
 from millrace.operators.quality import DROP, FAIL, WARN, Rule, enforce, measure
 from millrace.plans.registry import query
 from millrace.streaming import ingest, medallion
@@ -199,10 +200,9 @@ def stream_ingest(t):
 @query("stream_restart", _EVENTS)
 def stream_restart(t):
     space = t.workspace()
-    messages = ingest.to_messages(t.events, "event_id", "ts")
-    for part in ("event_type IN ('click', 'view')", "event_type NOT IN ('click', 'view')"):
-        rows = messages.where(part.replace("event_type", "get_json_object(decode(body, 'UTF-8'), '$.event_type')"))
-        ingest.send(rows, space.path("landing"))
+    first = F.col("event_type").isin("click", "view")
+    for part in (t.events.where(first), t.events.where(~first)):
+        ingest.send(ingest.to_messages(part, "event_id", "ts"), space.path("landing"))
         stream = ingest.read_messages(t.spark, space.path("landing"))
         ingest.append(stream, space.path("sink"), space.path("checkpoint"))
     return _ingested(t, space.path("sink"))
@@ -256,8 +256,6 @@ def stream_static_join(t):
        JOIN nation ON n_nationkey = c_nationkey WHERE o_orderstatus <> 'P' GROUP BY ALL""",
 )
 def medallion_sales(t):
-    from millrace.operators.nested import nest_lines
-
     space = t.workspace()
     product = F.transform(
         "lines",

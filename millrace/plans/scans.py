@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from millrace import sinks
 from millrace.functions.dates import coerce_timestamp
 from millrace.operators.nested import nest_lines
+from millrace.operators.relational import null_counts
 from millrace.plans.registry import query
 from millrace.sources import files, generate, tables
 from millrace.sources.copy_into import copy_into, read_copied
@@ -236,7 +237,7 @@ def range_source(t):
        FROM events, (VALUES ('F'), ('C')) AS u(unit) GROUP BY unit""",
 )
 def synthetic_temps(t):
-    readings = generate.temperature_readings(t.spark, t.events.count())
+    readings = generate.temperature_readings(t.events.select("event_id"))
     mean = F.when(F.col("unit") == "F", 55.0).otherwise(10.0)
     spread = F.when(F.col("unit") == "F", 25.0).otherwise(10.0)
     stats = readings.groupBy("unit").agg(
@@ -354,8 +355,6 @@ def ctas(t):
     ),
 )
 def describe_columns(t):
-    from millrace.operators.relational import null_counts
-
     space = t.workspace()
     tables.located_table(t.spark, space.table("orders"), t.path("orders"))
     described = tables.describe(t.spark, space.table("orders"))

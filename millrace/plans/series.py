@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime, timezone
 
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import Imputer, VectorAssembler
@@ -10,9 +10,11 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import functions as F
 
+from millrace import sinks
 from millrace.operators import features as feat
 from millrace.operators import forecast as fc
 from millrace.operators.classify import hash_split
+from millrace.operators.snapshots import VersionedTable
 from millrace.plans.registry import query
 
 # ---- features --------------------------------------------------------------
@@ -106,7 +108,8 @@ def regress_features(t):
         "count_trips_window_30m_dropoff_zip",
         "dropoff_is_weekend",
     ]
-    rows = _training(t, "floor").select("event_id", F.col("value").alias("label"), *[F.col(n).cast("double") for n in names])
+    found = _training(t, "floor").select("event_id", F.col("value").alias("label"), *[F.col(n).cast("double") for n in names])
+    rows = t.workspace().keep(found, "training_set")
     filled = Imputer(inputCols=names, outputCols=names, strategy="mean").fit(rows).transform(rows)
     ready = VectorAssembler(inputCols=names, outputCol="features").transform(filled)
     train, test = hash_split(ready, "event_id", [80, 20])
@@ -159,10 +162,9 @@ _FORECAST = f"""WITH {_FITTED}
 
 
 def _series(t):
-    """Quantity per brand and day, summed per part and day before the join."""
-    per_part = t.lineitem.groupBy("l_partkey", F.to_date("l_shipdate").alias("day")).agg(F.sum("l_quantity").alias("q"))
-    brands = per_part.join(t.part.select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey"))
-    return fc.daily_series(brands, "p_brand", "day", "q")
+    """Quantity per brand and day."""
+    brands = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
+    return fc.daily_series(brands, "p_brand", "l_shipdate", "l_quantity")
 
 
 def _forecast(t):
@@ -230,6 +232,31 @@ def forecast_report(t):
     )
 
 
+@query("forecast_store", _FORECAST)
+def forecast_store(t):
+    """An earlier run, then this one merged over it by day and group; read back."""
+    table = VersionedTable(t.spark, t.workspace().path("forecasts"))
+    history = _series(t).where("ds < DATE '2001-01-01'")
+    table.commit(fc.forecast(history, _DAYS, date(2024, 1, 1)), at=datetime(2024, 1, 1, tzinfo=timezone.utc))
+    table.merge_into(_forecast(t), ["ds", "group"], at=datetime(2024, 2, 1, tzinfo=timezone.utc))
+    return _rounded(table.as_of())
+
+
+@query(
+    "forecast_eval_store",
+    f"""WITH {_FITTED}, e AS (SELECT "group", round(avg(abs(y - yhat)), 4) AS mae FROM f WHERE y IS NOT NULL GROUP BY 1)
+        SELECT "group", mae, d::DATE AS training_date FROM e, (VALUES ('2024-02-01'), ('2024-03-01')) AS v(d)""",
+)
+def forecast_eval_store(t):
+    """Metrics of two runs, appended to a table by training date."""
+    name = t.workspace().table("evals")
+    series = t.workspace().keep(_series(t), "series")
+    for day in (_RUN, date(2024, 3, 1)):
+        evals = fc.evaluate(fc.forecast(series, _DAYS, day)).select("group", "mae", "mse", "rmse", "training_date")
+        sinks.save_table(evals, name, mode="append", partition_by=["training_date"])
+    return t.spark.table(name).select("group", F.round("mae", 4).alias("mae"), "training_date")
+
+
 @query(
     "forecast_grouped_map",
     f"""WITH s AS ({_SERIES}) SELECT "group", count(*) AS past, {_DAYS}::BIGINT AS ahead, round(sum(y), 2) AS sum_y,

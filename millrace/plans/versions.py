@@ -123,11 +123,10 @@ def snapshot_expired(t):
     "SELECT c_nationkey, count(*) AS ct FROM customer WHERE c_mktsegment = 'BUILDING' GROUP BY 1",
 )
 def cached_subset(t):
-    t.views("customer")
     t.spark.sql("UNCACHE TABLE IF EXISTS millrace_building")
     t.spark.sql("DROP VIEW IF EXISTS millrace_building")
     t.spark.sql(
-        """CACHE LAZY TABLE millrace_building OPTIONS ('storageLevel' 'MEMORY_AND_DISK')
-           AS SELECT * FROM customer WHERE c_mktsegment = 'BUILDING'"""
+        f"""CACHE LAZY TABLE millrace_building OPTIONS ('storageLevel' 'MEMORY_AND_DISK')
+           AS SELECT * FROM {t.view("customer")} WHERE c_mktsegment = 'BUILDING'"""
     )
     return t.spark.table("millrace_building").groupBy("c_nationkey").agg(F.count("*").alias("ct"))

@@ -96,9 +96,10 @@ class Tables:
             raise AttributeError(name)
         return self.spark.read.parquet(self.path(name))
 
-    def views(self, *names: str) -> None:
-        for name in names:
-            getattr(self, name).createOrReplaceTempView(name)
+    def view(self, name: str) -> str:
+        """Register a table as a temporary view and return the view's name."""
+        getattr(self, name).createOrReplaceTempView(f"millrace_{name}")
+        return f"millrace_{name}"
 
     def workspace(self) -> Workspace:
         return Workspace(self.spark)

@@ -10,23 +10,18 @@ from pyspark.sql import functions as F
 TEMPERATURES = {"F": (55.0, 25.0), "C": (10.0, 10.0)}
 
 
-def temperature_readings(spark: SparkSession, rows_per_unit: int, seed: int = 7) -> DataFrame:
-    """Normal readings in two units, mixed, made on the executors.
+def temperature_readings(ids: DataFrame, seed: int = 7) -> DataFrame:
+    """One normal reading per row of ``ids`` and unit, made on the executors.
 
-    Each id yields one reading of either unit, so the two are interleaved
-    without a shuffle.
+    The readings of all units come interleaved, without a shuffle.
     """
-    units = list(TEMPERATURES)
-    normal = F.randn(seed)
-    mean = F.when(F.col("unit") == units[0], TEMPERATURES[units[0]][0]).otherwise(TEMPERATURES[units[1]][0])
-    spread = F.when(F.col("unit") == units[0], TEMPERATURES[units[0]][1]).otherwise(TEMPERATURES[units[1]][1])
-    unit = F.when(F.col("id") % 2 == 0, units[0]).otherwise(units[1])
-    return (
-        spark.range(rows_per_unit * 2)
-        .withColumn("unit", unit)
-        .withColumn("_z", normal)
-        .select((mean + spread * F.col("_z")).alias("temp"), "unit")
+    unit = F.explode(F.array(*[F.lit(u) for u in TEMPERATURES])).alias("unit")
+    drawn = ids.select("*", unit).withColumn("_z", F.randn(seed))
+    mean, spread = (
+        F.create_map(*[F.lit(x) for u, pair in TEMPERATURES.items() for x in (u, pair[i])])[F.col("unit")]
+        for i in (0, 1)
     )
+    return drawn.withColumn("temp", mean + spread * F.col("_z")).drop("_z")
 
 
 def from_pandas(spark: SparkSession, frame: pd.DataFrame, schema=None) -> DataFrame:
