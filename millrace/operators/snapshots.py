@@ -81,7 +81,15 @@ class VersionedTable:
         insert: Sequence[str] | None = None,
         at: dt.datetime | None = None,
     ) -> int:
-        return self.commit(merge(self.as_of(), source, keys, update, insert), "MERGE", at)
+        """Store the newest version merged with ``source``.
+
+        The merge reads its source twice, so the source is first written next
+        to the table and computed once.
+        """
+        staged = f"{self.path}/staged/_v={self._next_version()}"
+        source.write.mode("overwrite").parquet(staged)
+        merged = merge(self.as_of(), self.spark.read.parquet(staged), keys, update, insert)
+        return self.commit(merged, "MERGE", at)
 
     def restore(
         self, version: int | None = None, timestamp: dt.datetime | None = None, at: dt.datetime | None = None

@@ -97,17 +97,78 @@ def one_hot(t):
     return encoded.select("doc_id", "lang", *[F.col("v")[i].alias(f"lang_{i}") for i in range(3)])
 
 
-@query("feature_vectors")
+@query(
+    "feature_vectors",
+    r"""WITH d AS (SELECT doc_id, lang, source, text, n_chars, quality FROM documents JOIN labels USING (doc_id)),
+        y AS (SELECT quality, row_number() OVER (ORDER BY count(*) DESC, quality) - 1 AS label FROM d GROUP BY 1),
+        l AS (SELECT lang, row_number() OVER (ORDER BY count(*) DESC, lang) AS lang_at FROM d GROUP BY 1),
+        s AS (SELECT source, row_number() OVER (ORDER BY count(*) DESC, source) AS source_at FROM d GROUP BY 1)
+       SELECT doc_id, label::DOUBLE AS label, lang_at, source_at, n_chars::DOUBLE AS n_chars,
+              len(regexp_extract_all(text, '\S+'))::DOUBLE AS n_words, len(string_split(text, chr(10)))::DOUBLE AS n_lines,
+              round(len(regexp_extract_all(text, '[0-9]')) / greatest(length(text), 1), 6) AS digit_share,
+              round(len(regexp_extract_all(text, '[A-Z]')) / greatest(length(text), 1), 6) AS upper_share
+       FROM d JOIN y USING (quality) JOIN l USING (lang) JOIN s USING (source)""",
+)
 def feature_vectors(t):
-    return _prepared(t).select("doc_id", "label", vector_to_array("features").alias("features"))
+    """The assembled vector taken apart again: encoded categories by position, then the numbers."""
+    prepared = _prepared(t)
+    names = cl.feature_names(prepared)
+    langs = sum(n.startswith("lang") for n in names)
+    sources = len(names) - langs - len(NUMERIC)
+    v = prepared.withColumn("v", vector_to_array("features"))
+    numbers = [F.round(F.element_at("v", i - len(NUMERIC)), 6).alias(n) for i, n in enumerate(NUMERIC)]
+    return v.select(
+        "doc_id",
+        "label",
+        F.array_position(F.slice("v", 1, langs), 1.0).alias("lang_at"),
+        F.array_position(F.slice("v", langs + 1, sources), 1.0).alias("source_at"),
+        *numbers,
+    )
 
 
-@query("split_sets")
+@query(
+    "split_sets",
+    """SELECT part, (SELECT count(*) FROM documents) AS whole, true AS disjoint, true AS near_weight
+       FROM (VALUES ('train'), ('validate'), ('test')) AS v(part)""",
+)
 def split_sets(t):
-    parts = cl.hash_split(t.documents.select("doc_id", "lang"), "doc_id", [60, 20, 20])
-    named = [p.withColumn("part", F.lit(n)) for p, n in zip(parts, ("train", "validate", "test"))]
-    whole = named[0].unionByName(named[1]).unionByName(named[2])
-    return whole.groupBy("part").agg(F.count("*").alias("ct"))
+    """Every document is in exactly one part, and the parts have about their weights."""
+    weights = {"train": 60, "validate": 20, "test": 20}
+    parts = cl.hash_split(t.documents.select("doc_id"), "doc_id", list(weights.values()))
+    tagged = [p.withColumn("part", F.lit(n)).withColumn("weight", F.lit(w)) for p, (n, w) in zip(parts, weights.items())]
+    rows = tagged[0].unionByName(tagged[1]).unionByName(tagged[2])
+    whole = rows.agg(F.count("*")).scalar()
+    distinct = rows.agg(F.count_distinct("doc_id")).scalar()
+    counts = rows.groupBy("part", "weight").agg(F.count("*").alias("ct")).withColumns({"whole": whole, "distinct": distinct})
+    near = F.abs(F.col("ct") / F.col("whole") - F.col("weight") / 100) < 0.15
+    return counts.select("part", "whole", (F.col("whole") == F.col("distinct")).alias("disjoint"), near.alias("near_weight"))
+
+
+@query(
+    "model_quality",
+    """SELECT model, (SELECT count(*) FROM labels JOIN documents USING (doc_id)) AS scored, true AS sums_to_one,
+              true AS better_than_chance FROM (VALUES ('logistic'), ('tree'), ('forest'), ('boosted')) AS v(model)""",
+)
+def model_quality(t):
+    """Four models over all labelled documents: rows scored, probabilities and area under the ROC curve."""
+    prepared = t.workspace().keep(_prepared(t).select("doc_id", "label", "features"), "rows")
+    estimators = {
+        "logistic": LogisticRegression(maxIter=10),
+        "tree": DecisionTreeClassifier(maxDepth=3, seed=42),
+        "forest": RandomForestClassifier(numTrees=20, seed=42),
+        "boosted": GBTClassifier(maxIter=5, seed=42),
+    }
+    scored = None
+    for name, estimator in estimators.items():
+        one = _scored(estimator.fit(prepared), prepared).withColumn("model", F.lit(name))
+        scored = one if scored is None else scored.unionByName(one)
+    kept = t.workspace().keep(scored, "scored")
+    areas = cl.areas(cl.roc_points(kept, "prob_1", F.col("label") == 1.0, ["model"]), ["model"])
+    sums = kept.groupBy("model").agg(
+        F.count("*").alias("scored"), F.bool_and(F.abs(F.col("prob_0") + F.col("prob_1") - 1) < 1e-9).alias("sums_to_one")
+    )
+    better = (F.col("area_roc") > 0.55).alias("better_than_chance")
+    return sums.join(areas, "model").select("model", "scored", "sums_to_one", better)
 
 
 @query("binarize", "SELECT p_partkey, p_size, (p_size >= 25)::INTEGER AS is_large FROM part")

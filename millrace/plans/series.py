@@ -234,11 +234,12 @@ def forecast_report(t):
 
 @query("forecast_store", _FORECAST)
 def forecast_store(t):
-    """An earlier run, then this one merged over it by day and group; read back."""
-    table = VersionedTable(t.spark, t.workspace().path("forecasts"))
-    history = _series(t).where("ds < DATE '2001-01-01'")
-    table.commit(fc.forecast(history, _DAYS, date(2024, 1, 1)), at=datetime(2024, 1, 1, tzinfo=timezone.utc))
-    table.merge_into(_forecast(t), ["ds", "group"], at=datetime(2024, 2, 1, tzinfo=timezone.utc))
+    """A run 30 days ahead, then a later one 90 days ahead merged over it by day and group."""
+    space = t.workspace()
+    table, series = VersionedTable(t.spark, space.path("forecasts")), space.keep(_series(t), "series")
+    table.commit(fc.forecast(series, 30, date(2024, 1, 1)), at=datetime(2024, 1, 1, tzinfo=timezone.utc))
+    later = fc.forecast(series, _DAYS, _RUN)
+    table.merge_into(later, ["ds", "group"], at=datetime(2024, 2, 1, tzinfo=timezone.utc))
     return _rounded(table.as_of())
 
 
