@@ -129,7 +129,7 @@ def numbered(
     tie: str,
     out: str,
     descending: bool = False,
-    one_task_rows: int = ONE_TASK_ROWS,
+    one_task_rows: int | None = ONE_TASK_ROWS,
 ) -> DataFrame:
     """``row_number`` per key, with no oversized key confined to one task."""
     ranked = running_totals(
@@ -139,7 +139,7 @@ def numbered(
 
 
 def exact_percentiles(
-    df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float], one_task_rows: int = ONE_TASK_ROWS
+    df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float], one_task_rows: int | None = ONE_TASK_ROWS
 ) -> DataFrame:
     """Interpolated percentiles per key, one column per name in ``probs``.
 
@@ -147,8 +147,9 @@ def exact_percentiles(
     memory of one task, so it is used only when the largest group is counted
     to be small enough. Otherwise values are counted first, the counts are
     accumulated, and each wanted rank picks its value. The result is the same.
+    ``one_task_rows=None`` says that groups are known to be small.
     """
-    if largest_group(df, keys) <= one_task_rows:
+    if one_task_rows is None or largest_group(df, keys) <= one_task_rows:
         at = F.array(*[F.lit(float(p)) for p in probs.values()])
         found = F.percentile(F.col(value).cast("double"), at).alias("_found")
         known = df.where(F.col(value).isNotNull())

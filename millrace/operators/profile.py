@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.ordered import exact_percentiles
+from millrace.operators.ordered import ONE_TASK_ROWS, exact_percentiles, largest_group
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
@@ -17,6 +17,13 @@ def _long(df: DataFrame, keep: Sequence[str], columns: Sequence[str]) -> DataFra
     return numbers.unpivot(list(keep), list(columns), "column_name", "value")
 
 
+def _quartiles(df: DataFrame, long: DataFrame, by: Sequence[str]) -> DataFrame:
+    # Groups are counted in the narrow table; each column repeats them.
+    small = largest_group(df, by) <= ONE_TASK_ROWS
+    keys = [*by, "column_name"]
+    return exact_percentiles(long, keys, "value", QUARTILES, None if small else ONE_TASK_ROWS)
+
+
 def summarize(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Count, mean, stddev, min, quartiles and max per column (and group)."""
     keys = [*by, "column_name"]
@@ -28,7 +35,7 @@ def summarize(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) ->
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
-    return moments.join(exact_percentiles(long, keys, "value", QUARTILES), keys, "left")
+    return moments.join(_quartiles(df, long, by), keys, "left")
 
 
 def boxplot(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
@@ -36,7 +43,7 @@ def boxplot(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFra
     keys = [*by, "column_name"]
     long = _long(df, by, columns)
     fences = (
-        exact_percentiles(long, keys, "value", QUARTILES)
+        _quartiles(df, long, by)
         .withColumn("_low", F.col("p25") - 1.5 * (F.col("p75") - F.col("p25")))
         .withColumn("_high", F.col("p75") + 1.5 * (F.col("p75") - F.col("p25")))
     )

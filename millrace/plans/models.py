@@ -45,7 +45,9 @@ def _prepared(t):
     """Model input, measured and encoded once; the fits then read it many times."""
     space = t.workspace()
     rows = space.keep(_labelled(t), "measured")
-    return space.keep(cl.preparation(CATEGORICAL, NUMERIC, "quality").fit(rows).transform(rows), "prepared")
+    prepared = cl.preparation(CATEGORICAL, NUMERIC, "quality").fit(rows).transform(rows)
+    # Files of an even size: every fit starts a task per file, many times over.
+    return space.keep(prepared.hint("rebalance"), "prepared")
 
 
 def _sets(t):
