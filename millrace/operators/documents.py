@@ -67,6 +67,7 @@ def tables_to_html(cells: DataFrame, keys: list[str]) -> DataFrame:
     """One HTML table per key from cells ``(row, col, kind, content, row_span, col_span)``.
 
     Cells are first joined to rows, so a table is put together from row texts.
+    A table's HTML is a single value and so has to fit in a row in any case.
     """
     tag = F.when(F.col("kind").isin("columnHeader", "rowHeader"), "th").otherwise("td")
     spans = F.concat(

@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace import sinks
+
 
 def merge(
     target: DataFrame,
@@ -56,3 +58,37 @@ def merge(
         ]
     )
     return kept.unionByName(fresh)
+
+
+def merge_partitions(
+    spark: SparkSession,
+    path: str,
+    source: DataFrame,
+    keys: Sequence[str],
+    partition: str,
+    staging: str,
+    update: Sequence[str] | None = None,
+    insert: Sequence[str] | None = None,
+) -> int:
+    """Merge into a partitioned folder and rewrite only the partitions the source touches.
+
+    The partition column must be one of the keys, so a row can match within its
+    own partition only. Returns the number of partitions written. The merged
+    rows are complete in ``staging`` before they replace anything; should the
+    last step die, overwriting again from there gives the same table.
+    """
+    if partition not in keys:
+        raise ValueError(f"partition column {partition} is not a merge key")
+    source.write.mode("overwrite").parquet(f"{staging}/source")
+    changes = spark.read.parquet(f"{staging}/source")
+    # As many values as folders to rewrite: a list here prunes the scan below.
+    touched = [row[0] for row in changes.select(partition).distinct().collect()]
+    if None in touched:
+        raise ValueError(f"source has rows without {partition}")
+    if not touched:
+        return 0
+    old = spark.read.parquet(path).where(F.col(partition).isin(touched))
+    sinks.write_partitioned(merge(old, changes, keys, update, insert), f"{staging}/merged", [partition])
+    merged = spark.read.schema(old.schema).parquet(f"{staging}/merged")
+    sinks.write_partitioned(merged, path, [partition], partitionOverwriteMode="dynamic")
+    return len(touched)

@@ -6,7 +6,8 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from millrace.operators.merge import merge
+from millrace import sinks
+from millrace.operators.merge import merge, merge_partitions
 from millrace.operators.snapshots import VersionedTable
 from millrace.plans.registry import query
 
@@ -68,6 +69,21 @@ def merge_upsert_all(t):
     return merge(stored, new, ["ds", "l_returnflag"]).withColumn("y", F.round("y", 2))
 
 
+@query(
+    "merge_partitioned",
+    """WITH s AS (SELECT date_trunc('month', o_orderdate)::DATE AS month, o_orderstatus, count(*) AS ct FROM orders GROUP BY ALL)
+       SELECT month, o_orderstatus, CASE WHEN month >= DATE '2000-01-01' THEN ct + 1 ELSE ct END AS ct FROM s""",
+)
+def merge_partitioned(t):
+    """Monthly counts stored by month; the months from 2000 on are corrected, the others left as they are."""
+    space = t.workspace()
+    monthly = t.orders.groupBy(F.trunc("o_orderdate", "MM").alias("month"), "o_orderstatus").agg(F.count("*").alias("ct"))
+    sinks.write_partitioned(monthly.where("month < DATE '2001-01-01'"), space.path("monthly"), ["month"])
+    corrected = monthly.where("month >= DATE '2000-01-01'").withColumn("ct", F.col("ct") + 1)
+    merge_partitions(t.spark, space.path("monthly"), corrected, ["month", "o_orderstatus"], "month", space.path("staging"))
+    return t.spark.read.parquet(space.path("monthly")).select("month", "o_orderstatus", "ct")
+
+
 @query(
     "snapshot_history",
     f"""SELECT 0 AS version, 'WRITE' AS operation, count(*) AS num_rows FROM customer

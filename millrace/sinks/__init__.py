@@ -16,17 +16,13 @@ def save_table(df: DataFrame, name: str, mode: str = "overwrite", partition_by:
     writer.saveAsTable(name)
 
 
-def write_partitioned(df: DataFrame, path: str, by: Sequence[str], mode: str = "overwrite", rows_per_file: int = 0) -> None:
+def write_partitioned(df: DataFrame, path: str, by: Sequence[str], mode: str = "overwrite", **options) -> None:
     """Partition folders, with the rows of each folder gathered first.
 
     ``rebalance`` gathers rows by the partition columns so a folder gets few
     files, and lets AQE split a folder that is too large for one task.
     """
-    gathered = df.hint("rebalance", *by)
-    writer = gathered.write.mode(mode).partitionBy(*by)
-    if rows_per_file:
-        writer = writer.option("maxRecordsPerFile", rows_per_file)
-    writer.parquet(path)
+    df.hint("rebalance", *by).write.mode(mode).options(**options).partitionBy(*by).parquet(path)
 
 
 def write_files(df: DataFrame, path: str, fmt: str, mode: str = "overwrite", **options) -> None:

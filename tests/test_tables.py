@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace import Workspace, session, sinks
-from millrace.operators.merge import merge
+from millrace.operators.merge import merge, merge_partitions
 from millrace.operators.snapshots import VersionedTable
 from millrace.plans.scans import PART_SCHEMA
 from millrace.sources import files, generate, jdbc, tables
@@ -185,6 +185,25 @@ def test_merge_updates_every_row_of_a_repeated_target_key(spark):
     assert got.count() == 3000 and got.where("v = 5").count() == 3000
 
 
+def test_partition_merge_leaves_other_folders_alone(spark, space):
+    path = space.path("t")
+    rows_ = [(d, k, k * 10) for d in ("2024-01-01", "2024-01-02", "2024-01-03") for k in (1, 2)]
+    df = spark.createDataFrame(rows_, "d string, k int, v int").withColumn("d", F.to_date("d"))
+    sinks.write_partitioned(df, path, ["d"])
+    others = lambda: {f for f in spark.read.parquet(path).inputFiles() if "d=2024-01-02" not in f}
+    before = others()
+    source = spark.createDataFrame([("2024-01-02", 2, 99), ("2024-01-02", 3, 30)], "d string, k int, v int")
+    source = source.withColumn("d", F.to_date("d"))
+    assert merge_partitions(spark, path, source, ["d", "k"], "d", space.path("s")) == 1
+    got = {(str(r.d), r.k, r.v) for r in spark.read.parquet(path).collect()}
+    assert got == ({t for t in rows_ if t[:2] != ("2024-01-02", 2)} | {("2024-01-02", 2, 99), ("2024-01-02", 3, 30)})
+    assert before == others() and len(before) == 2
+    with pytest.raises(ValueError):
+        merge_partitions(spark, path, source, ["k"], "d", space.path("s2"))
+    with pytest.raises(ValueError):
+        merge_partitions(spark, path, source.withColumn("d", F.lit(None).cast("date")), ["d", "k"], "d", space.path("s3"))
+
+
 # ---- versions --------------------------------------------------------------
 
 DAY = [dt.datetime(2024, 1, d, tzinfo=dt.timezone.utc) for d in range(1, 8)]
