@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,15 +39,11 @@ def build_session(master: str | None = None, app: str = "millrace", **conf) -> S
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it.
 
-    ``spark.checkpoint.dir`` wins. Only a local master may fall back to a
-    folder of its own, because there every task shares this machine's disk.
+    Where ``spark.checkpoint.dir`` is unset, a folder in the session's
+    warehouse, which all executors reach as well.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    return "file:" + tempfile.mkdtemp(prefix="millrace-", dir="/tmp")
+    return named.rstrip("/") if named else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/millrace-scratch"
 
 
 class Workspace:
