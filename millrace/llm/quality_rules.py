@@ -100,11 +100,11 @@ def mean_length(t: Text) -> bool:
 
 
 def symbol_share(t: Text) -> bool:
-    return 100 * t.symbols > 10 * t.word_chars
+    return 100 * t.symbols > 7 * t.word_chars
 
 
 def line_repeats(t: Text) -> bool:
-    return 100 * t.dup_lines > 30 * len(t.lines)
+    return t.dup_lines > 2 and 100 * t.dup_lines > 30 * len(t.lines)
 
 
 def few_distinct(t: Text) -> bool:
@@ -121,8 +121,8 @@ def cut_lines(t: Text) -> bool:
 
 RULES = (
     Rule("mean_length", mean_length, "word_chars < 2 * n_words OR word_chars > 20 * n_words"),
-    Rule("symbol_share", symbol_share, "100 * n_symbols > 10 * word_chars"),
-    Rule("line_repeats", line_repeats, "100 * n_dup_lines > 30 * n_lines"),
+    Rule("symbol_share", symbol_share, "100 * n_symbols > 7 * word_chars"),
+    Rule("line_repeats", line_repeats, "n_dup_lines > 2 AND 100 * n_dup_lines > 30 * n_lines"),
     Rule("few_distinct", few_distinct, "100 * n_distinct < 5 * least(n_words, 2000)"),
     Rule("bullet_lines", bullet_lines, "100 * n_bullets > 90 * n_lines"),
     Rule("cut_lines", cut_lines, "100 * n_cut > 30 * n_lines"),

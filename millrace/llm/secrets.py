@@ -9,7 +9,8 @@ near 0. So for each encoding and length class the corpus-wide histogram of
 p-values tells how many ordinary tokens lie above a threshold (all above it,
 less the random ones that the even upper part predicts). The lowest threshold
 whose false share is within ``rate`` is used for that class, so short tokens,
-where the tests are weak, meet a stricter one.
+where the tests are weak, meet a stricter one. A class that is known to hold
+ordinary tokens counts a part of one more as false, which guards small classes.
 
 Defined results: a null text is an empty one, with no spans and the hash of an
 empty string; repeated rows are scanned one by one.
@@ -40,6 +41,8 @@ ASSIGN_WORDS = ("password", "passwd", "secret", "token", "api_key", "apikey")
 TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 #: Encodings from narrow to wide: the first whose alphabet holds a token is its own.
 ALPHABETS = {
+    "lower": "abcdefghijklmnopqrstuvwxyz",
+    "upper": "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
     "hex": "0123456789abcdef",
     "hex_upper": "0123456789ABCDEF",
     "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
@@ -178,10 +181,9 @@ def thresholds(scanned: DataFrame, rate: float = FALSE_RATE) -> dict[str, int]:
     for name, per_bin in counts.items():
         above = per_bin[::-1].cumsum()[::-1]
         even = above[MIDDLE_BIN] / (BINS - MIDDLE_BIN)  # random tokens per bin
-        chosen[name] = next(
-            (b for b in range(LEAST_BIN, MIDDLE_BIN) if above[b] and (above[b] - even * (BINS - b)) / above[b] <= rate),
-            MIDDLE_BIN,
-        )
+        ordinary = max(0.0, above[0] - even * BINS) / above[0]  # also the pseudo-count for small classes
+        false = above - even * np.arange(BINS, 0, -1) + ordinary
+        chosen[name] = next((b for b in range(LEAST_BIN, BINS) if above[b] and false[b] <= rate * above[b]), BINS)
     return chosen
 
 
