@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.llm import packing, quality_rules, secrets, sharding
+from millrace.llm import near_dups, packing, quality_rules, secrets, sharding
 from millrace.llm.common import read
 from millrace.llm.registry import CHECKS, QUERIES, query
 from millrace.session import Workspace
@@ -57,6 +57,13 @@ def op6(spark, folder):
     return quality_rules.judge(docs, quality_rules.cascade(docs))
 
 
+@query("op7_super_minhash")
+def op7(spark, folder):
+    found = near_dups.group(read(spark, folder, "documents"), Workspace(spark), threshold=0.85)
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    return found.select("doc_id", "n_shingles", "component_id", kept.alias("kept"))
+
+
 @query("op8_secret_scan")
 def op8(spark, folder):
     found = secrets.find(read(spark, folder, "documents"), Workspace(spark))
