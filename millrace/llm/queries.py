@@ -4,14 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.llm import near_dups, packing, quality_rules, secrets, sharding
-from millrace.llm.common import read
+from millrace.llm import language_crf, near_dups, packing, quality_knn, quality_rules, secrets, sharding
+from millrace.llm.common import id_remainder, read
 from millrace.llm.registry import CHECKS, QUERIES, query
 from millrace.session import Workspace
 
 __all__ = ["CHECKS", "QUERIES"]
 
 
+@query("op1_quality_knn")
+def op1(spark, folder):
+    docs = read(spark, folder, "documents").withColumn("held_out", id_remainder("doc_id", 3) == 1)
+    labels = read(spark, folder, "labels").where(id_remainder("doc_id", 3) != 1)
+    return quality_knn.score(docs, quality_knn.train(docs, labels), ["doc_id", "held_out"])
+
+
 @query("op2_rendezvous_shards")
 def op2(spark, folder):
     docs = read(spark, folder, "documents")
@@ -19,6 +26,13 @@ def op2(spark, folder):
     return out.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+@query("op4_language_crf")
+def op4(spark, folder):
+    docs = read(spark, folder, "documents").withColumn("held_out", id_remainder("doc_id", 4) == 2)
+    model = language_crf.train(language_crf.training_rows(docs.where("NOT held_out")))
+    return language_crf.predict(docs, model, ["doc_id", "held_out"])
+
+
 RULE_SQL = " OR ".join(f"({rule.sql})" for rule in quality_rules.RULES)
 
 
