@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import json
 import os
+import string
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -48,20 +49,32 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(next(other)) for b in range(256)]
 
 
+class Chunks(dict):
+    """Ids by chunk, made when first asked for."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self[chunk] = self.make(chunk)
+        return ids
+
+
 class Encoder:
     """Ids of whole texts by a ``tokenizers`` definition, chunk by chunk.
 
     Where the definition drops white space and never joins characters across
     it, the ids of a text are those of its chunks between spaces and line
     ends; ids of chunks are remembered up to a bound. A new chunk that is one
-    lower-cased word of Latin letters, with one mark after it or none, goes
+    lower-cased word of Latin letters, with punctuation after it or none, goes
     straight to the definition's merge model; all others go through the whole
     tokenizer. Both short cuts are taken only if they agree with the tokenizer
     on sample words; otherwise it gets whole texts or whole chunks.
     """
 
-    MARKS = ".,"
-    SAMPLE = ("a", "b.", "Cd's", "Élan,", "größer", "the.", "NIÑO", "x9", "rein", "Ündaïs.", "qwrtzp", "ababab,")
+    TAIL = string.punctuation
+    SAMPLE = ("a", "b.", "Cd's", "Élan,", "größer", "the.", "NIÑO", "x9", "rein", "Ündaïs.", "qwrtzp", "ababab,", "dogs'.", "a_###")
 
     def __init__(self, definition: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -70,8 +83,9 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(definition)
         self.model = self.tokenizer.model
         self.letters = byte_letters()
-        self.known: dict[str, bytes] = {"": b""}
-        self.marks = {m: self._whole([m])[0] for m in self.MARKS}
+        self.known = Chunks(self._chunk)
+        self.tails: dict[str, bytes] = {"": b""}
+        self.bytes = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size(with_added_tokens=True))]
         whole = self._whole(list(self.SAMPLE))
         self.by_chunk = all(self._whole([gap.join(self.SAMPLE)])[0] == b"".join(whole) for gap in (" ", "  ", "\n", " \n "))
         self.by_word = True
@@ -81,27 +95,35 @@ class Encoder:
         """Per text its ids as little-endian unsigned 32-bit bytes."""
         if not self.by_chunk:
             return self._whole(texts)
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        known = self.known
-        if len(known) > CACHE_CHUNKS:
-            known.clear()
-            known[""] = b""
-        rest = []
-        for chunk in {c for s in split for c in s if c not in known}:
-            ids = self._word(chunk)
-            if ids is None:
-                rest.append(chunk)
-            else:
-                known[chunk] = ids
-        known.update(zip(rest, self._whole(rest), strict=True))
-        return [b"".join(map(known.__getitem__, s)) for s in split]
+        split = [self._lower(t).replace("\n", " ").split(" ") for t in texts]
+        if len(self.known) > CACHE_CHUNKS:
+            self.known = Chunks(self._chunk)
+        return [b"".join(map(self.known.__getitem__, s)) for s in split]
+
+    def _lower(self, text: str) -> str:
+        """Lower case where that is the tokenizer's own for certain: all of the text in Latin-1."""
+        if not self.by_word:
+            return text
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return text
+        return text.lower()
+
+    def _chunk(self, chunk: str) -> bytes:
+        ids = self._word(chunk) if chunk else b""
+        return self._whole([chunk])[0] if ids is None else ids
 
     def _word(self, chunk: str) -> bytes | None:
         """Ids of a plain word, or None where only the whole tokenizer knows."""
         if not self.by_word:
             return None
-        tail = self.marks.get(chunk[-1])
-        word = chunk if tail is None else chunk[:-1]
+        word = chunk.rstrip(self.TAIL)
+        tail = chunk[len(word) :]
+        if tail not in self.tails:
+            if len(self.tails) > CACHE_CHUNKS:
+                return None
+            self.tails[tail] = self._whole([tail])[0]
         if word.isascii():
             if not word.isalpha():
                 return None
@@ -113,12 +135,11 @@ class Encoder:
             if not word.isalpha():
                 return None
             word = "".join([self.letters[b] for b in word.encode()])
-        ids = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(word)])
-        return ids if tail is None else ids + tail
+        return b"".join([self.bytes[t.id] for t in self.model.tokenize(word)]) + self.tails[tail]
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         made = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [b"".join([i.to_bytes(4, "little") for i in e.ids]) for e in made]
+        return [b"".join([self.bytes[i] for i in e.ids]) for e in made]
 
 
 def cuts(length: int, capacity: int = CAPACITY, slack: float = SLACK) -> list[int]:
