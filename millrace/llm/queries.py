@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.llm import language_crf, near_dups, packing, quality_knn, quality_rules, secrets, sharding
+from millrace.llm import fingerprints, language_crf, near_dups, packing, quality_knn, quality_rules, secrets, sharding
 from millrace.llm.common import id_remainder, read
 from millrace.llm.registry import CHECKS, QUERIES, query
 from millrace.session import Workspace
@@ -33,6 +33,11 @@ def op4(spark, folder):
     return language_crf.predict(docs, model, ["doc_id", "held_out"])
 
 
+@query("op5_weighted_sampling")
+def op5(spark, folder):
+    return fingerprints.edited(read(spark, folder, "documents"), Workspace(spark))
+
+
 RULE_SQL = " OR ".join(f"({rule.sql})" for rule in quality_rules.RULES)
 
 
