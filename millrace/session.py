@@ -54,14 +54,17 @@ class Workspace:
         self.id = uuid.uuid4().hex[:12]
         self.root = f"{shared_folder(spark)}/run-{self.id}"
         self._database: str | None = None
+        self._kept = 0
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         """``df`` as a written table: computed once, and safe when executors are lost."""
-        df.write.parquet(self.path(name))
-        return self.spark.read.parquet(self.path(name))
+        self._kept += 1
+        path = self.path(f"{name}-{self._kept}")
+        df.write.parquet(path)
+        return self.spark.read.parquet(path)
 
     @property
     def database(self) -> str:
