@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.llm import fingerprints, language_crf, near_dups, packing, quality_knn, quality_rules, secrets, sharding
+from millrace.llm import fingerprints, language_crf, near_dups, packing, quality_knn, quality_rules, secrets, sharding, url_filters
 from millrace.llm.common import id_remainder, read
 from millrace.llm.registry import CHECKS, QUERIES, query
 from millrace.session import Workspace
@@ -99,3 +99,68 @@ def tokenizer_path() -> str:
 def op9(spark, folder):
     packed = packing.pack(read(spark, folder, "documents"), packing.definition_of(tokenizer_path()), Workspace(spark))
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+# The rules of the contract.
+URL_RULES = {
+    "com/": "allow",
+    "example.com/en/": "block",
+    "www.example.com/en/": "allow",
+    "net/es/": "block",
+    "net/fr/": "block",
+}
+
+
+def url_sql() -> str:
+    """The filter in SQL: rules by length, then every round of the spread as a table of its own."""
+    fits = "\n".join(
+        f"WHEN (host = '{r.partition('/')[0]}' OR suffix(host, '.{r.partition('/')[0]}')) AND starts_with(path, '/{r.partition('/')[2]}') THEN '{r}'"
+        for r in sorted(URL_RULES, key=len, reverse=True)
+    )
+    quoted = lambda verdict: ", ".join(f"'{r}'" for r, v in URL_RULES.items() if v == verdict)
+    damping = url_filters.DAMPING
+    link = url_filters.LINK.replace("'", "''")
+    rounds = ",\n".join(
+        f"""r{i} AS (
+        SELECT way, host, sum(mass) AS mass FROM (
+            SELECT way, host, mass * {1 - damping} AS mass FROM seeds
+            UNION ALL SELECT e.way, e.dst, r.mass * e.share * {damping} FROM r{i - 1} r JOIN edges e ON r.way = e.way AND r.host = e.src
+        ) GROUP BY way, host)"""
+        for i in range(1, url_filters.ROUNDS + 1)
+    )
+    return rf"""
+    WITH split AS (
+        SELECT page_id, html, translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), '{url_filters.UPPER}', '{url_filters.LOWER}') AS host,
+               regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+        FROM (SELECT page_id, html, coalesce(url, '') AS url FROM pages)
+    ),
+    judged AS (SELECT *, CASE {fits} END AS rule FROM split),
+    counts AS (
+        SELECT host, count(*) AS n, count(*) FILTER (rule IN ({quoted("allow")})) AS a, count(*) FILTER (rule IN ({quoted("block")})) AS b
+        FROM judged WHERE host <> '' GROUP BY host
+    ),
+    seeds AS (
+        SELECT CASE WHEN 2 * a > n THEN 0 ELSE 1 END AS way, host, 1.0::DOUBLE AS mass FROM counts WHERE 2 * a > n OR 2 * b > n
+    ),
+    found AS (
+        SELECT host AS src, translate(unnest(regexp_extract_all(html, '{link}', 1)), '{url_filters.UPPER}', '{url_filters.LOWER}') AS dst FROM split
+    ),
+    links AS (SELECT src, dst, count(*) AS n FROM found WHERE src <> '' AND src <> dst GROUP BY src, dst),
+    each_way AS (SELECT 0 AS way, src, dst, n FROM links UNION ALL SELECT 1, dst, src, n FROM links),
+    edges AS (SELECT way, src, dst, n / sum(n) OVER (PARTITION BY way, src) AS share FROM each_way),
+    r0 AS (SELECT way, host, mass * {1 - damping} AS mass FROM seeds),
+    {rounds},
+    bad AS (
+        SELECT host FROM r{url_filters.ROUNDS} GROUP BY host
+        HAVING coalesce(sum(mass) FILTER (way = 1), 0) > coalesce(sum(mass) FILTER (way = 0), 0)
+    )
+    SELECT page_id, host, path, rule,
+           CASE WHEN rule IN ({quoted("allow")}) THEN 'allow' WHEN rule IN ({quoted("block")}) THEN 'block'
+                WHEN host = '' OR host IN (SELECT host FROM bad) THEN 'block' ELSE 'allow' END AS verdict
+    FROM judged
+    """
+
+
+@query("op10_link_trust", url_sql())
+def op10(spark, folder):
+    return url_filters.judge(read(spark, folder, "pages"), URL_RULES, Workspace(spark))
