@@ -299,12 +299,11 @@ class Tagger:
 
 def predict(df: DataFrame, model: Model | None, keep=("doc_id",), text: str = "text") -> DataFrame:
     """``keep``, ``lang_pred`` and ``score``."""
-    held = df.sparkSession.sparkContext.broadcast(model)
+    held = df.sparkSession.sparkContext.broadcast(model and vars(model))
 
     def make():
-        own = held.value
-        if own is None:
+        if held.value is None:  # nothing to learn from
             return lambda texts: ([UNKNOWN] * len(texts), [0.0] * len(texts))
-        return Tagger(own).languages
+        return Tagger(Model(**held.value)).languages
 
     return map_texts(df, make, "lang_pred string, score double", keep, text)

@@ -203,10 +203,10 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
 
 def score(df: DataFrame, model: Model | None, keep=("doc_id",)) -> DataFrame:
     """``keep``, ``score`` and ``predicted``."""
-    held = df.sparkSession.sparkContext.broadcast(model)
+    held = df.sparkSession.sparkContext.broadcast(model and vars(model))
 
     def make():
-        own = held.value
+        own = held.value and Model(**held.value)
         rows = Rows()
 
         def one(text) -> tuple[np.ndarray, np.ndarray]:
