@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.llm import fingerprints, language_crf, near_dups, packing, quality_knn, quality_rules, secrets, sharding, url_filters
+from millrace.llm import fingerprints, language_crf, near_dups, packing, pieces, quality_knn, quality_rules, secrets, sharding, url_filters
 from millrace.llm.common import id_remainder, read
 from millrace.llm.registry import CHECKS, QUERIES, query
 from millrace.session import Workspace
@@ -164,3 +164,14 @@ def url_sql() -> str:
 @query("op10_link_trust", url_sql())
 def op10(spark, folder):
     return url_filters.judge(read(spark, folder, "pages"), URL_RULES, Workspace(spark))
+
+
+def pieces_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query("op3_piece_lattice")
+def op3(spark, folder):
+    return pieces.digests(read(spark, folder, "documents"), Workspace(spark), pieces_path())
