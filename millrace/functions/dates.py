@@ -58,4 +58,4 @@ def shift_days(date_text: str | Column, days: int) -> Column:
     """Move the date part of an ISO time text and keep the rest of the text."""
     text = _col(date_text)
     day = F.date_add(F.to_date(F.substring(text, 1, 10)), days)
-    return F.concat(F.date_format(day, "yyyy-MM-dd"), F.substring(text, 11, 1_000))
+    return F.concat(F.date_format(day, "yyyy-MM-dd"), F.substr(text, F.lit(11)))

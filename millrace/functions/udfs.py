@@ -1,4 +1,4 @@
-"""Row-at-a-time Python forms of three date functions.
+"""Python forms of three date functions, fed by Arrow batches.
 
 They exist to show that the built-in forms in :mod:`millrace.functions.dates`
 give the same values. Jobs use the built-in forms, which stay in the JVM.
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 
 def is_weekend_udf(zone: str = "America/New_York"):
-    @F.udf("int")
+    @F.udf("int", useArrow=True)
     def weekend(ts):
         if ts is None:
             return None
@@ -26,7 +26,7 @@ def is_weekend_udf(zone: str = "America/New_York"):
 
 
 def year_month_udf():
-    @F.udf("string")
+    @F.udf("string", useArrow=True)
     def month(ts):
         return None if ts is None else f"{ts:%Y-%m}"
 
@@ -34,7 +34,7 @@ def year_month_udf():
 
 
 def round_up_udf(minutes: int):
-    @F.udf("bigint")
+    @F.udf("bigint", useArrow=True)
     def rounded(ts):
         if ts is None:
             return None

@@ -8,11 +8,12 @@ from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators.ordered import running_totals
+from millrace.session import Workspace
 
 
 def preparation(categorical: Sequence[str], numeric: Sequence[str], label: str | None = None) -> Pipeline:
@@ -36,18 +37,23 @@ def feature_names(df: DataFrame, column: str = "features") -> list[str]:
     return [named[i] for i in sorted(named)]
 
 
-def hash_split(df: DataFrame, key: str, weights: Sequence[int], seed: int = 42) -> list[DataFrame]:
-    """Disjoint parts by a hash of the key.
+def part_of(key: str, weights: Sequence[int], seed: int = 42) -> Column:
+    """Index of the part of ``weights`` that a row's key falls into.
 
-    Unlike ``randomSplit`` a row lands in the same part whatever the file
-    layout, partitioning or retries.
+    The bucket is the first 32 bits of the md5 of seed and key, so any engine
+    can state it. Unlike ``randomSplit`` a row lands in the same part whatever
+    the file layout, partitioning or retries.
     """
-    bucket = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(sum(weights)))
-    parts, low = [], 0
-    for weight in weights:
-        parts.append(df.where((bucket >= low) & (bucket < low + weight)))
-        low += weight
-    return parts
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit(""))).cast("binary"))
+    bucket = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % sum(weights)
+    ends = [sum(weights[: i + 1]) for i in range(len(weights) - 1)]
+    return sum((F.when(bucket >= e, 1).otherwise(0) for e in ends), F.lit(0))
+
+
+def hash_split(df: DataFrame, key: str, weights: Sequence[int], seed: int = 42) -> list[DataFrame]:
+    """Disjoint parts by a hash of the key."""
+    part = part_of(key, weights, seed)
+    return [df.where(part == i) for i in range(len(weights))]
 
 
 def coefficients(model, names: Sequence[str]) -> list[tuple[str, float]]:
@@ -66,34 +72,42 @@ def probability_columns(scored: DataFrame, classes: Sequence[str], vector: str =
     return scored.withColumns({f"prob_{c}": values[i] for i, c in enumerate(classes)}).withColumn("predicted", named)
 
 
-def tune(estimator, grid: dict, train: DataFrame, folds: int = 5, parallelism: int = 8, seed: int = 42):
-    """Cross-validate a grid ``{param name: values}``; returns the fitted search and its ``(params, metric)`` rows."""
+def _grid(estimator, grid: dict):
     builder = ParamGridBuilder()
     for name, values in grid.items():
         builder = builder.addGrid(estimator.getParam(name), values)
-    maps = builder.build()
-    search = CrossValidator(
-        estimator=estimator,
-        estimatorParamMaps=maps,
-        evaluator=BinaryClassificationEvaluator(),
-        numFolds=folds,
-        parallelism=parallelism,
-        seed=seed,
-    ).fit(train)
-    rows = [
-        (", ".join(f"{p.name}={v}" for p, v in sorted(m.items(), key=lambda e: e[0].name)), float(metric))
-        for m, metric in zip(maps, search.avgMetrics)
-    ]
-    return search, rows
+    return builder.build()
+
+
+def _named(maps, metrics) -> list[tuple[str, float]]:
+    text = lambda m: ", ".join(f"{p.name}={v}" for p, v in sorted(m.items(), key=lambda e: e[0].name))
+    return [(text(m), float(metric)) for m, metric in zip(maps, metrics)]
+
+
+def tune(estimator, grid: dict, train: DataFrame, folds: int = 5, parallelism: int = 8, seed: int = 42):
+    """Cross-validate a grid ``{param name: values}``; returns the fitted search, which holds the best model, and its rows."""
+    maps = _grid(estimator, grid)
+    settings = {"estimator": estimator, "estimatorParamMaps": maps, "evaluator": BinaryClassificationEvaluator()}
+    search = CrossValidator(numFolds=folds, parallelism=parallelism, seed=seed, **settings).fit(train)
+    return search, _named(maps, search.avgMetrics)
+
+
+def sweep(estimator, grid: dict, train: DataFrame, ratio: float = 0.8, parallelism: int = 10, seed: int = 42):
+    """Search a grid on one train and validation split; returns as :func:`tune` does."""
+    maps = _grid(estimator, grid)
+    settings = {"estimator": estimator, "estimatorParamMaps": maps, "evaluator": BinaryClassificationEvaluator()}
+    search = TrainValidationSplit(trainRatio=ratio, parallelism=parallelism, seed=seed, **settings).fit(train)
+    return search, _named(maps, search.validationMetrics)
 
 
 def roc_points(df: DataFrame, score: str, positive: Column, keys: Sequence[str] = ()) -> DataFrame:
     """One ROC and precision-recall point per distinct score, highest first.
 
-    Scores are counted before they are accumulated, and accumulated by range,
+    Scores are counted, written and then accumulated by range,
     so every threshold is kept and no group is walked through by one task.
     """
     counted = df.groupBy(*keys, score).agg(F.count_if(positive).alias("_pos"), F.count("*").alias("_n"))
+    counted = Workspace(df.sparkSession).keep(counted, "score-counts")
     totals = {"tp": F.col("_pos"), "fp": F.col("_n") - F.col("_pos")}
     points = running_totals(counted, list(keys), score, score, totals, whole=True, descending=True)
     return points.select(

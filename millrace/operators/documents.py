@@ -6,12 +6,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.text import escape_html
-from millrace.operators.ordered import ONE_TASK_ROWS, running_totals
 
-# HTML to markdown, applied in this order.
+# HTML to markdown, applied in this order. The first row of a table is marked a second time
+# between <sep> tags, where its cells become the dashes under the header.
 MARKDOWN_RULES = [
     (r"(?is)<(script|style|head)\b.*?</(script|style|head)>", ""),
     (r"(?s)<!--.*?-->", ""),
+    (r"(?is)<table[^>]*>\s*(?:</?t(?:head|body)[^>]*>\s*)*<tr[^>]*>(.*?)</tr>", r"<table><tr>\1</tr><sep>\1</sep>"),
+    (r"(?is)\s*<t[hd](\s[^>]*)?>((?:(?!</?sep>|<t[hd][\s>]).)*?)</t[hd]>\s*(?=((?!<sep>).)*?</sep>)", " --- |"),
+    (r"(?i)\s*<sep>", "\n|"),
+    (r"(?i)</sep>", ""),
+    (r"(?is)\s*<t[hd](\s[^>]*)?>\s*(.*?)\s*</t[hd]>\s*", r" \2 |"),
+    (r"(?i)\s*<tr(\s[^>]*)?>", "\n|"),
+    (r"(?i)</tr>", ""),
+    (r"(?i)<img\s(?=[^>]*?\balt=\"([^\"]*)\")[^>]*?\bsrc=\"([^\"]*)\"[^>]*>", r"![\1](\2)"),
+    (r"(?i)<img\s[^>]*?\bsrc=\"([^\"]*)\"[^>]*>", r"![](\1)"),
     (r"(?i)<h1[^>]*>", "\n\n# "),
     (r"(?i)<h2[^>]*>", "\n\n## "),
     (r"(?i)<h3[^>]*>", "\n\n### "),
@@ -25,7 +34,7 @@ MARKDOWN_RULES = [
     (r"(?i)<li(\s[^>]*)?>", "\n* "),
     (r"(?i)<br\s*/?>", "  \n"),
     (r"(?i)<hr\s*/?>", "\n\n---\n\n"),
-    (r"(?i)</?(p|div|h[1-6]|ul|ol|article|section|table|tr|blockquote|nav|footer|header)(\s[^>]*)?>", "\n\n"),
+    (r"(?i)</?(p|div|h[1-6]|ul|ol|article|section|table|blockquote|nav|footer|header)(\s[^>]*)?>", "\n\n"),
     (r"<[^>]*>", ""),
 ]
 
@@ -49,18 +58,29 @@ def split_pages(documents: DataFrame, key: str, text: str, separator: str = "\n"
     return documents.select(key, F.posexplode(F.split(text, separator)).alias("page", "text"))
 
 
-def page_offsets(
-    pages: DataFrame, key: str, trailing_space: bool = False, one_task_rows: int | None = ONE_TASK_ROWS
-) -> DataFrame:
-    """Add each page's offset: the characters on the document's earlier pages.
+def page_map(documents: DataFrame, key: str, pages: Column, trailing_space: bool = False) -> DataFrame:
+    """``(key, page, offset, text)`` from an array of page texts.
 
-    Pass ``one_task_rows=None`` for pages split from one row per document; such
-    a document has been in one task already.
+    The offset counts the characters on the document's earlier pages. It is
+    summed inside the row, so no text moves.
     """
     if trailing_space:
-        pages = pages.withColumn("text", F.concat("text", F.lit(" ")))
-    summed = running_totals(pages, [key], "page", "page", {"_end": F.length("text")}, one_task_rows=one_task_rows)
-    return summed.withColumn("offset", F.col("_end") - F.length("text")).drop("_end")
+        pages = F.transform(pages, lambda p: F.concat(p, F.lit(" ")))
+    nothing = F.struct(F.lit(0).cast("bigint").alias("end"), F.array().cast("array<bigint>").alias("starts"))
+
+    def add(seen: Column, size: Column) -> Column:
+        return F.struct((seen["end"] + size).alias("end"), F.concat(seen["starts"], F.array(seen["end"])).alias("starts"))
+
+    sizes = F.transform(pages, lambda p: F.length(p).cast("bigint"))
+    starts = F.aggregate(sizes, nothing, add, lambda seen: seen["starts"])
+    zipped = F.zip_with(pages, starts, lambda p, at: F.struct(at.alias("offset"), p.alias("text")))
+    placed = documents.select(key, F.posexplode(zipped).alias("page", "_page"))
+    return placed.select(key, "page", "_page.offset", "_page.text")
+
+
+def page_offsets(documents: DataFrame, key: str, text: str, separator: str = "\n", trailing_space: bool = False) -> DataFrame:
+    """The page map of documents held as one text per row."""
+    return page_map(documents, key, F.split(text, separator), trailing_space)
 
 
 def tables_to_html(cells: DataFrame, keys: list[str]) -> DataFrame:
@@ -113,9 +133,26 @@ def inline_tables(pages: DataFrame, spans: DataFrame, keys: list[str]) -> DataFr
     return joined.withColumn("text", F.concat(text, F.lit(" "))).drop("_spans")
 
 
+def _numbered_lists(text: Column) -> Column:
+    """Items of ordered lists with their numbers, the other items left as they are."""
+    blocks = F.split(text, r"(?i)(?=<ol[\s>])|(?<=</ol>)")
+
+    def block(part: Column) -> Column:
+        items = F.split(part, r"(?i)<li(?:\s[^>]*)?>")
+        counted = F.transform(items, lambda x, i: F.when(i == 0, x).otherwise(F.concat(F.lit("\n"), i, F.lit(". "), x)))
+        return F.when(F.lower(F.substring(part, 1, 3)) == "<ol", F.array_join(counted, "")).otherwise(part)
+
+    has_list = F.contains(F.lower(text), F.lit("<ol"))
+    return F.when(has_list, F.array_join(F.transform(blocks, block), "")).otherwise(text)
+
+
 def to_markdown(html: str | Column) -> Column:
-    """HTML as markdown text, in built-in string functions only."""
-    text = F.col(html) if isinstance(html, str) else html
+    """HTML as markdown text, in built-in string functions only.
+
+    Tables become pipe rows with their first row as header, ordered lists are
+    numbered (a list inside another is not counted on its own).
+    """
+    text = _numbered_lists(F.col(html) if isinstance(html, str) else html)
     for pattern, replacement in MARKDOWN_RULES:
         text = F.regexp_replace(text, pattern, replacement.replace("\\", "$"))
     for entity, plain in ENTITIES:
@@ -125,12 +162,28 @@ def to_markdown(html: str | Column) -> Column:
     return text
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give every core a share of a small input before heavy work per row.
+def document_markdown(pages: DataFrame, spans: DataFrame, document: str, page: str) -> DataFrame:
+    """One markdown row per document from its pages and the tables on them.
 
-    A few files make a few tasks, however many cores there are. An input that
-    already has enough partitions is left alone: shuffling it would cost more
-    than it gains.
+    Tables replace their spans, pages are joined in order, and the page map is
+    counted over the replaced text: ``(document, content, page_map)``, the map
+    an array of ``(page, offset, length)``. A document is one value and has to
+    fit in a row; it is put together from its pages with one shuffle.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= 2 * cores else df.repartition(cores)
+    inlined = inline_tables(pages, spans, [document, page])
+    listed = F.array_sort(F.collect_list(F.struct(F.col(page).cast("int").alias("page"), "text")))
+    joined = inlined.groupBy(document).agg(listed.alias("_pages"))
+    sizes = F.transform("_pages", lambda p: F.struct(p["page"].alias("page"), F.length(p["text"]).alias("length")))
+    start = F.struct(F.lit(0).alias("end"), F.array().cast("array<struct<page:int,offset:int,length:int>>").alias("map"))
+
+    def add(seen: Column, p: Column) -> Column:
+        entry = F.struct(p["page"].alias("page"), seen["end"].alias("offset"), p["length"].alias("length"))
+        return F.struct((seen["end"] + p["length"]).alias("end"), F.concat(seen["map"], F.array(entry)).alias("map"))
+
+    whole = F.array_join(F.transform("_pages", lambda p: p["text"]), "")
+    return joined.select(document, to_markdown(whole).alias("content"), F.aggregate(sizes, start, add, lambda s: s["map"]).alias("page_map"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt out evenly before heavy work per row; AQE sets the number of partitions by size."""
+    return df.hint("rebalance")

@@ -138,7 +138,7 @@ def forecast_grouped_map(series: DataFrame, days: int, training_date: date, year
         return np.column_stack(columns)
 
     def fit(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.dropna().sort_values("ds")
+        frame = frame.sort_values("ds")
         past = pd.to_datetime(frame["ds"])
         every = pd.concat([past, pd.Series(pd.date_range(past.iloc[-1] + pd.Timedelta(days=1), periods=days))])
         ordinal = every.map(pd.Timestamp.toordinal).to_numpy(dtype=float)
@@ -158,5 +158,5 @@ def forecast_grouped_map(series: DataFrame, days: int, training_date: date, year
             }
         )
 
-    fitted = series.groupBy("group").applyInPandas(fit, schema)
+    fitted = series.dropna(subset=["ds", "y"]).groupBy("group").applyInPandas(fit, schema)
     return fitted.withColumn("y", F.nanvl("y", F.lit(None))).withColumn("training_date", F.lit(training_date))

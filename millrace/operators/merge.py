@@ -28,6 +28,9 @@ def merge(
     Target and source are joined as a left join plus an anti join rather than
     a full outer join, since Spark can split a skewed side of those two. The
     source goes in as one row per key, so a repeated key does not multiply.
+    Which source rows match is asked from the source's side: target keys are
+    cut down to the source's by a semi join, where a small source is broadcast
+    and the target's keys stay where they are.
     """
     update = [c for c in target.columns if c not in keys] if update is None else list(update)
     insert = list(target.columns) if insert is None else list(insert)
@@ -36,22 +39,19 @@ def merge(
         F.count("*").alias("_matches"), F.first(F.struct(*keys, *update)).alias("_new")
     )
     same = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_k_{k}") for k in keys])
-    ambiguous = F.raise_error(F.lit(f"several source rows match one target row on {', '.join(keys)}"))
+    # A row filter, so that no choice of columns spares the check.
+    ambiguous = F.raise_error(F.lit(f"several source rows match one target row on {', '.join(keys)}")).cast("boolean")
+    single = F.when(F.coalesce("_matches", F.lit(0)) <= 1, F.lit(True)).otherwise(ambiguous)
 
     def merged(name: str):
-        kind = target.schema[name].dataType
         if name not in update:
             return F.col(name)
-        return (
-            F.when(F.col("_matches") > 1, ambiguous.cast(kind))
-            .when(F.col("_matches") == 1, F.col(f"_new.{name}").cast(kind))
-            .otherwise(F.col(name))
-            .alias(name)
-        )
+        new = F.col(f"_new.{name}").cast(target.schema[name].dataType)
+        return F.when(F.col("_matches").isNull(), F.col(name)).otherwise(new).alias(name)
 
-    kept = target.join(per_key, same, "left").select(*[merged(c) for c in target.columns])
-    known = target.select(*keys).distinct()
-    fresh = source.join(known, list(keys), "left_anti").select(
+    kept = target.join(per_key, same, "left").where(single).select(*[merged(c) for c in target.columns])
+    matched = target.select(*keys).join(source.select(*keys), list(keys), "left_semi").distinct()
+    fresh = source.join(matched, list(keys), "left_anti").select(
         *[
             (F.col(c) if c in insert else F.lit(None)).cast(target.schema[c].dataType).alias(c)
             for c in target.columns

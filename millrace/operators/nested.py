@@ -8,43 +8,21 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.ordered import numbered
 
+def nest_lines(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """Orders with their lines as an array of structs, one row per order.
 
-def nest_lines(orders: DataFrame, lineitem: DataFrame, per_document: int = 1000) -> DataFrame:
-    """Orders with their lines as an array of structs.
-
-    A document holds at most ``per_document`` lines. An order with more becomes
-    several documents, so no array and no task grows with one order.
+    A document's lines are one value and so have to fit in a row in any case.
     """
-    lines = numbered(
-        lineitem.select(
-            "l_orderkey",
-            "l_linenumber",
-            "l_partkey",
-            "l_quantity",
-            "l_extendedprice",
-            "l_returnflag",
-            F.to_date("l_shipdate").alias("l_shipdate"),
-        ),
-        ["l_orderkey"],
-        "l_linenumber",
-        "l_partkey",
-        "_n",
-    )
     line = F.struct(
         F.col("l_linenumber").alias("number"),
         F.col("l_partkey").alias("part"),
         F.col("l_quantity").alias("quantity"),
         F.col("l_extendedprice").alias("price"),
         F.col("l_returnflag").alias("flag"),
-        F.col("l_shipdate").alias("shipped"),
-    )
-    documents = (
-        lines.groupBy("l_orderkey", F.floor((F.col("_n") - 1) / per_document).alias("_document"))
-        .agg(F.array_sort(F.collect_list(line)).alias("lines"))
-        .drop("_document")
+        F.to_date("l_shipdate").alias("shipped"),
     )
+    documents = lineitem.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(line)).alias("lines"))
     return orders.join(documents, F.col("o_orderkey") == F.col("l_orderkey"), "left").drop("l_orderkey")
 
 

@@ -1,33 +1,25 @@
 """Ordered work inside groups of any size.
 
 A plain ``Window.partitionBy(key).orderBy(...)`` sorts a whole key in one task,
-so one key with a third of the rows decides the run time. The functions here
-count the largest key first. If one task can sort it, a plain window does the
-work with a single shuffle. Otherwise each key is cut into ranges of the order
-column, summed inside (key, range), and what the earlier ranges of the same key
-contribute is added. The range totals are small, so only they are windowed by
-key alone. Both ways give the same rows.
+so one key with a third of the rows decides the run time. Here each key is cut
+into ranges of the order column, summed inside (key, range), and what the
+earlier ranges of the same key contribute is added. The range totals are small,
+so only they are windowed by key alone. Every input takes this one way. An
+input that is costly to make should be written first: its order column is read
+for the cuts, its keys and values for the range totals, and its rows once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-_LOW, _TIE = "_range", "_tie_range"
-
-# Rows of one key that a single task may sort or hold.
-ONE_TASK_ROWS = 1_000_000
-
-
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows of the most frequent key. Runs a job over the key columns only."""
-    if not keys:
-        return df.count()
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("n"))
-    return sizes.agg(F.max("n")).first()[0] or 0
+from millrace.session import Workspace
 
+_LOW, _TIE = "_range", "_tie_range"
 
 def _range_count(df: DataFrame) -> int:
     """A power of two, at least the number of shuffle partitions."""
@@ -45,30 +37,44 @@ def _below(splits: Column, value: Column, count: int) -> Column:
     )
 
 
+def _measure(df: DataFrame, column: str) -> Column:
+    """A number that rises with the column: itself, or the first six bytes of a text."""
+    kind = df.schema[column].dataType
+    if not isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.col(column)
+    head = F.rpad(F.hex(F.substring(F.col(column).cast("binary"), 1, 6)), 12, "0")
+    return F.conv(head, 16, 10).cast("bigint")
+
+
 def with_ranges(df: DataFrame, order: str, tie: str) -> DataFrame:
     """Add two order-preserving range numbers for ``(order, tie)``.
 
     Split points are quantiles of the column, found in one aggregate. A value
     so frequent that it fills several quantiles gets a range of its own, which
-    is cut again by the tie column.
+    is cut again by the tie column. Texts are cut by their first bytes.
     """
     count = _range_count(df)
     at = F.array(*[F.lit(i / count) for i in range(1, count)])
-    cuts = df.agg(F.percentile_approx(order, at, F.lit(max(10_000, 4 * count)))).scalar()
-    place = df.withColumn("_cuts", cuts).withColumn("_seen", _below(F.col("_cuts"), F.col(order), count))
+
+    def cuts(column: str) -> Column:
+        return df.agg(F.percentile_approx(_measure(df, column), at, F.lit(max(10_000, 4 * count)))).scalar()
+
+    place = df.withColumn("_cuts", cuts(order)).withColumn("_at", _measure(df, order))
+    place = place.withColumn("_seen", _below(F.col("_cuts"), F.col("_at"), count))
     heavy = F.col(order).isNull() | (
-        (F.get("_cuts", F.col("_seen")) == F.col(order)) & (F.get("_cuts", F.col("_seen") + 1) == F.col(order))
+        (F.get("_cuts", F.col("_seen")) == F.col("_at")) & (F.get("_cuts", F.col("_seen") + 1) == F.col("_at"))
     )
+    if isinstance(df.schema[order].dataType, (T.StringType, T.BinaryType)):
+        heavy = F.col(order).isNull()  # texts with the same first bytes still have an order of their own
     place = place.withColumn("_heavy", F.coalesce(heavy, F.lit(False)))
     low = F.when(F.col(order).isNull(), -1).otherwise(2 * F.col("_seen") + F.col("_heavy").cast("int"))
     if tie == order:
         place = place.withColumn(_TIE, F.lit(0))
     else:
-        ties = df.agg(F.percentile_approx(tie, at, F.lit(max(10_000, 4 * count)))).scalar()
-        place = place.withColumn("_ties", ties).withColumn(
-            _TIE, F.when(F.col("_heavy"), _below(F.col("_ties"), F.col(tie), count)).otherwise(0)
+        place = place.withColumn("_ties", cuts(tie)).withColumn(
+            _TIE, F.when(F.col("_heavy"), _below(F.col("_ties"), _measure(df, tie), count)).otherwise(0)
         )
-    return place.withColumn(_LOW, low).drop("_cuts", "_ties", "_seen", "_heavy")
+    return place.withColumn(_LOW, low).drop("_cuts", "_ties", "_seen", "_heavy", "_at")
 
 
 def running_totals(
@@ -79,25 +85,15 @@ def running_totals(
     values: dict[str, Column | str],
     whole: bool = False,
     descending: bool = False,
-    one_task_rows: int | None = ONE_TASK_ROWS,
 ) -> DataFrame:
     """Add, per entry of ``values``, its sum from the first row of the key up to this row.
 
     Rows are ordered by ``order`` and then ``tie`` (ascending); the pair must be
-    unique within a key. Both must be numeric, dates or timestamps. ``whole``
-    also adds ``<name>_whole``, the sum over the key. ``one_task_rows=None``
-    says that keys are known to be small, which spares the count.
+    unique within a key. A sum over nulls only is null. ``whole`` also adds
+    ``<name>_whole``, the sum over the key.
     """
     columns = {name: F.col(v) if isinstance(v, str) else v for name, v in values.items()}
     way = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
-    if one_task_rows is None or largest_group(df, keys) <= one_task_rows:
-        upto = Window.partitionBy(*keys).orderBy(way(order), F.col(tie)).rowsBetween(Window.unboundedPreceding, 0)
-        every = Window.partitionBy(*keys)
-        added = [F.sum(c).over(upto).alias(n) for n, c in columns.items()]
-        if whole:
-            added += [F.sum(c).over(every).alias(f"{n}_whole") for n, c in columns.items()]
-        return df.select(*[c for c in df.columns if c not in columns], *added)
-
     ranged = with_ranges(df, order, tie).withColumns({f"_v_{n}": c for n, c in columns.items()})
     part = [*keys, _LOW, _TIE]
     sums = ranged.groupBy(*part).agg(*[F.sum(f"_v_{n}").alias(f"_s_{n}") for n in columns])
@@ -107,7 +103,7 @@ def running_totals(
     # rows. So it is added by the same window and the rows need no join.
     before = sums.select(
         *part,
-        *[F.coalesce(F.sum(f"_s_{n}").over(earlier), F.lit(0)).alias(f"_v_{n}") for n in columns],
+        *[F.sum(f"_s_{n}").over(earlier).alias(f"_v_{n}") for n in columns],
         *[F.sum(f"_s_{n}").over(key).alias(f"_w_{n}") for n in columns],
         F.lit(False).alias("_own"),
     )
@@ -122,42 +118,34 @@ def running_totals(
     return both.select(*rest, *added, "_own").where("_own").drop("_own")
 
 
-def numbered(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: str,
-    tie: str,
-    out: str,
-    descending: bool = False,
-    one_task_rows: int | None = ONE_TASK_ROWS,
-) -> DataFrame:
+def numbered(df: DataFrame, keys: Sequence[str], order: str, tie: str, out: str, descending: bool = False) -> DataFrame:
     """``row_number`` per key, with no oversized key confined to one task."""
-    ranked = running_totals(
-        df, keys, order, tie, {out: F.lit(1)}, descending=descending, one_task_rows=one_task_rows
-    )
+    ranked = running_totals(df, keys, order, tie, {out: F.lit(1)}, descending=descending)
     return ranked.withColumn(out, F.col(out).cast("int"))
 
 
-def exact_percentiles(
-    df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float], one_task_rows: int | None = ONE_TASK_ROWS
-) -> DataFrame:
-    """Interpolated percentiles per key, one column per name in ``probs``.
+def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """``(keys, value, _n)`` of the values that are not null, as a written table.
 
-    The ``percentile`` aggregate keeps every distinct value of a group in the
-    memory of one task, so it is used only when the largest group is counted
-    to be small enough. Otherwise values are counted first, the counts are
-    accumulated, and each wanted rank picks its value. The result is the same.
-    ``one_task_rows=None`` says that groups are known to be small.
+    Counts combine before the shuffle; several statistics can then be read
+    from them without another pass over the rows.
     """
-    if one_task_rows is None or largest_group(df, keys) <= one_task_rows:
-        at = F.array(*[F.lit(float(p)) for p in probs.values()])
-        found = F.percentile(F.col(value).cast("double"), at).alias("_found")
-        known = df.where(F.col(value).isNotNull())
-        grouped = known.groupBy(*keys).agg(found) if keys else known.agg(found)
-        return grouped.select(*keys, *[F.col("_found")[i].alias(name) for i, name in enumerate(probs)])
-
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
-    ranked = running_totals(counts, keys, value, value, {"_upto": "_n"}, whole=True, one_task_rows=one_task_rows)
+    return Workspace(df.sparkSession).keep(counts, "value-counts")
+
+
+def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float]) -> DataFrame:
+    """Interpolated percentiles per key, one column per name in ``probs``."""
+    return percentiles_of_counts(value_counts(df, keys, value), keys, value, probs)
+
+
+def percentiles_of_counts(counts: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float]) -> DataFrame:
+    """Percentiles from :func:`value_counts`.
+
+    The counts are accumulated by value, and each wanted rank picks its value,
+    so no task holds a group's values.
+    """
+    ranked = running_totals(counts, keys, value, value, {"_upto": "_n"}, whole=True)
 
     def at_rank(rank: Column) -> Column:
         hit = (F.col("_upto") - F.col("_n") <= rank) & (rank < F.col("_upto"))

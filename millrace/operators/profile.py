@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.ordered import ONE_TASK_ROWS, exact_percentiles, largest_group
+from millrace.operators.ordered import percentiles_of_counts, value_counts
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
@@ -17,44 +17,47 @@ def _long(df: DataFrame, keep: Sequence[str], columns: Sequence[str]) -> DataFra
     return numbers.unpivot(list(keep), list(columns), "column_name", "value")
 
 
-def _quartiles(df: DataFrame, long: DataFrame, by: Sequence[str]) -> DataFrame:
-    # Groups are counted in the narrow table; each column repeats them.
-    small = largest_group(df, by) <= ONE_TASK_ROWS
-    keys = [*by, "column_name"]
-    return exact_percentiles(long, keys, "value", QUARTILES, None if small else ONE_TASK_ROWS)
-
-
 def summarize(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Count, mean, stddev, min, quartiles and max per column (and group)."""
+    """Count, mean, stddev, min, quartiles and max per column (and group).
+
+    All of it is read from the counts of distinct values, so the rows are
+    scanned once. Deviations are summed around the mean, not from squares.
+    """
     keys = [*by, "column_name"]
-    long = _long(df, by, columns)
-    moments = long.groupBy(*keys).agg(
-        F.count("value").alias("n"),
-        F.mean("value").alias("mean"),
-        F.stddev_samp("value").alias("stddev"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
+    counts = value_counts(_long(df, by, columns), keys, "value")
+    n, v = F.col("_n"), F.col("value")
+    means = counts.groupBy(*keys).agg(
+        F.sum(n).alias("n"), (F.sum(v * n) / F.sum(n)).alias("mean"), F.min(v).alias("min"), F.max(v).alias("max")
     )
-    return moments.join(_quartiles(df, long, by), keys, "left")
+    around = counts.join(means.select(*keys, "mean"), keys).groupBy(*keys)
+    spread = around.agg(F.sqrt(F.try_divide(F.sum(n * F.pow(v - F.col("mean"), 2)), F.sum(n) - 1)).alias("stddev"))
+    quartiles = percentiles_of_counts(counts, keys, "value", QUARTILES)
+    found = means.join(spread, keys).join(quartiles, keys)
+    # A column of a group that holds nulls only has a row as well.
+    groups = df.select(*by).distinct() if by else df.sparkSession.range(1).select()
+    every = groups.withColumn("column_name", F.explode(F.array(*[F.lit(c) for c in columns])))
+    names = ["n", "mean", "stddev", "min", "max", *QUARTILES]
+    whole = every.join(found, keys, "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    return whole.select(*keys, *names)
 
 
 def boxplot(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
     """Quartiles, and whiskers at the last value within 1.5 IQR, per column and group."""
     keys = [*by, "column_name"]
-    long = _long(df, by, columns)
+    counts = value_counts(_long(df, by, columns), keys, "value")
     fences = (
-        _quartiles(df, long, by)
+        percentiles_of_counts(counts, keys, "value", QUARTILES)
         .withColumn("_low", F.col("p25") - 1.5 * (F.col("p75") - F.col("p25")))
         .withColumn("_high", F.col("p75") + 1.5 * (F.col("p75") - F.col("p25")))
     )
     inside = F.col("value").between(F.col("_low"), F.col("_high"))
     return (
-        long.join(fences, keys)
+        counts.join(fences, keys)
         .groupBy(*keys, *QUARTILES)
         .agg(
             F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
             F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
-            F.count_if(~inside).alias("outliers"),
+            F.sum(F.when(inside, 0).otherwise(F.col("_n"))).alias("outliers"),
         )
     )
 

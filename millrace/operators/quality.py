@@ -62,3 +62,20 @@ def measure(df: DataFrame, dataset: str, rules: Sequence[Rule]) -> DataFrame:
         for i, r in enumerate(rules)
     ]
     return counted.select(F.inline(F.array(*lines)))
+
+
+def enforce_and_measure(df: DataFrame, dataset: str, rules: Sequence[Rule], space) -> tuple[DataFrame, DataFrame]:
+    """The rows of :func:`enforce` and the counts of :func:`measure` from one pass over ``df``.
+
+    Every rule is evaluated once per row; the rows with their outcomes are
+    written to ``space``, and both results are read from there. A row against
+    a ``fail`` rule aborts that write.
+    """
+    tagged = enforce(df, [r for r in rules if r.policy == FAIL]).withColumn("_passed", F.array(*[r.passed for r in rules]))
+    kept = space.keep(tagged, "rules")
+    clean = kept
+    for i, rule in enumerate(rules):
+        if rule.policy == DROP:
+            clean = clean.where(F.col("_passed")[i])
+    outcomes = [Rule(r.name, f"_passed[{i}]", r.policy) for i, r in enumerate(rules)]
+    return clean.drop("_passed"), measure(kept, dataset, outcomes)

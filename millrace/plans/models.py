@@ -136,9 +136,9 @@ def feature_vectors(t):
 def split_sets(t):
     """Every document is in exactly one part, and the parts have about their weights."""
     weights = {"train": 60, "validate": 20, "test": 20}
-    parts = cl.hash_split(t.documents.select("doc_id"), "doc_id", list(weights.values()))
-    tagged = [p.withColumn("part", F.lit(n)).withColumn("weight", F.lit(w)) for p, (n, w) in zip(parts, weights.items())]
-    rows = tagged[0].unionByName(tagged[1]).unionByName(tagged[2])
+    part = cl.part_of("doc_id", list(weights.values()))
+    names = F.array(*[F.struct(F.lit(n).alias("part"), F.lit(w).alias("weight")) for n, w in weights.items()])
+    rows = t.documents.select("doc_id", F.get(names, part).alias("p")).select("doc_id", "p.*")
     whole = rows.agg(F.count("*")).scalar()
     distinct = rows.agg(F.count_distinct("doc_id")).scalar()
     counts = rows.groupBy("part", "weight").agg(F.count("*").alias("ct")).withColumns({"whole": whole, "distinct": distinct})
@@ -153,7 +153,7 @@ def split_sets(t):
 )
 def model_quality(t):
     """Four models over all labelled documents: rows scored, probabilities and area under the ROC curve."""
-    prepared = t.workspace().keep(_prepared(t).select("doc_id", "label", "features"), "rows")
+    prepared = _prepared(t).select("doc_id", "label", "features")
     estimators = {
         "logistic": LogisticRegression(maxIter=10),
         "tree": DecisionTreeClassifier(maxDepth=3, seed=42),
@@ -180,107 +180,175 @@ def binarize(t):
 
 # ---- models ----------------------------------------------------------------
 
+# The same split in SQL: the first 32 bits of md5 of seed and key, modulo the weights' sum.
+def _bucket_sql(key: str, weights: int = 100) -> str:
+    return f"(('0x' || md5('42:' || {key})[1:8])::BIGINT % {weights})"
 
-@query("logreg_scores")
+
+_LABELLED = """l AS (SELECT doc_id, quality, lang, source FROM documents JOIN labels USING (doc_id)),
+    y AS (SELECT quality, row_number() OVER (ORDER BY count(*) DESC, quality) - 1 AS label FROM l GROUP BY 1)"""
+_TEST_ROWS = f"""WITH {_LABELLED} SELECT doc_id, label::DOUBLE AS label, true AS proper FROM l JOIN y USING (quality)
+    WHERE {_bucket_sql("doc_id")} >= 70"""
+
+
+def _proper(scored):
+    """Rows with a check of their numbers: probabilities in [0, 1] that sum to one, and the likelier class predicted."""
+    sums = F.abs(F.col("prob_0") + F.col("prob_1") - 1) < 1e-9
+    inside = F.col("prob_0").between(0, 1) & F.col("prob_1").between(0, 1)
+    likelier = F.col("prediction") == F.when(F.col("prob_1") > F.col("prob_0"), 1.0).otherwise(0.0)
+    even = F.abs(F.col("prob_1") - F.col("prob_0")) < 1e-12
+    return scored.select("doc_id", "label", (sums & inside & (likelier | even)).alias("proper"))
+
+
+@query("logreg_scores", _TEST_ROWS)
 def logreg_scores(t):
     train, test = _sets(t)
-    return _scored(LogisticRegression(maxIter=10).fit(train), test)
+    return _proper(_scored(LogisticRegression(maxIter=10).fit(train), test))
+
 
+_FEATURES = f"""f AS (SELECT 'lang_vector_' || lang AS feature FROM l UNION SELECT 'source_vector_' || source FROM l
+    UNION {" UNION ".join(f"SELECT '{n}'" for n in NUMERIC)})"""
 
-@query("logreg_coefficients")
+
+@query("logreg_coefficients", f"WITH {_LABELLED}, {_FEATURES} SELECT feature, true AS finite FROM f UNION ALL SELECT '(intercept)', true")
 def logreg_coefficients(t):
     prepared = _prepared(t)
     train, _ = cl.hash_split(prepared, "doc_id", [70, 30])
     model = LogisticRegression(maxIter=10).fit(train)
-    return t.spark.createDataFrame(cl.coefficients(model, cl.feature_names(prepared)), "feature string, weight double")
+    rows = t.spark.createDataFrame(cl.coefficients(model, cl.feature_names(prepared)), "feature string, weight double")
+    return rows.select("feature", (F.abs("weight") < float("inf")).alias("finite"))
 
 
-@query("tree_scores")
+@query("tree_scores", _TEST_ROWS.replace("true AS proper", "true AS proper, true AS shallow, 'gini' AS impurity"))
 def tree_scores(t):
     train, test = _sets(t)
     model = DecisionTreeClassifier(maxDepth=3, seed=42).fit(train)
-    shape = {"nodes": model.numNodes, "depth": model.depth, "impurity": model.getOrDefault("impurity")}
-    return _scored(model, test).withColumns({name: F.lit(value) for name, value in shape.items()})
+    shallow = F.lit(model.depth <= 3 and model.numNodes <= 15)
+    return _proper(_scored(model, test)).withColumns({"shallow": shallow, "impurity": F.lit(model.getOrDefault("impurity"))})
 
 
-@query("forest_scores")
+@query("forest_scores", _TEST_ROWS)
 def forest_scores(t):
     train, test = _sets(t)
-    return _scored(RandomForestClassifier(numTrees=20, seed=42).fit(train), test)
+    return _proper(_scored(RandomForestClassifier(numTrees=20, seed=42).fit(train), test))
 
 
-@query("feature_importance")
+@query(
+    "feature_importance",
+    f"WITH {_LABELLED}, {_FEATURES} SELECT feature, true AS inside, true AS sum_is_one FROM f",
+)
 def feature_importance(t):
     prepared = _prepared(t)
     train, _ = cl.hash_split(prepared, "doc_id", [70, 30])
     model = RandomForestClassifier(numTrees=20, seed=42).fit(train)
-    return t.spark.createDataFrame(cl.importances(model, cl.feature_names(prepared)), "feature string, importance double")
+    rows = t.spark.createDataFrame(cl.importances(model, cl.feature_names(prepared)), "feature string, importance double")
+    total = rows.agg(F.sum("importance")).scalar()
+    return rows.select("feature", F.col("importance").between(0, 1).alias("inside"), (F.abs(total - 1) < 1e-9).alias("sum_is_one"))
 
 
-@query("prediction_counts")
+@query(
+    "prediction_counts",
+    f"""WITH {_LABELLED} SELECT 'quality' AS by, quality::VARCHAR AS value, count(*) AS ct, true AS known FROM l GROUP BY quality
+        UNION ALL SELECT 'lang', lang, count(*), true FROM l GROUP BY lang""",
+)
 def prediction_counts(t):
-    train, _ = _sets(t)
-    model = RandomForestClassifier(numTrees=20, seed=42).fit(train)
-    scored = model.transform(_prepared(t))
-    by_class = scored.groupBy(F.lit("quality").alias("by"), F.col("quality").cast("string").alias("value"), "prediction")
-    by_lang = scored.groupBy(F.lit("lang").alias("by"), F.col("lang").alias("value"), "prediction")
-    return by_class.agg(F.count("*").alias("ct")).unionByName(by_lang.agg(F.count("*").alias("ct")))
+    """Predictions by class and by language, and that they add up to the class and language counts."""
+    prepared = _prepared(t)
+    train, _ = cl.hash_split(prepared, "doc_id", [70, 30])
+    model = RandomForestClassifier(numTrees=20, seed=42).fit(train.select("doc_id", "label", "features"))
+    pairs = F.array(
+        F.struct(F.lit("quality").alias("by"), F.col("quality").cast("string").alias("value")),
+        F.struct(F.lit("lang").alias("by"), F.col("lang").alias("value")),
+    )
+    counts = model.transform(prepared).select("prediction", F.inline(pairs)).groupBy("by", "value", "prediction").agg(F.count("*").alias("ct"))
+    return counts.groupBy("by", "value").agg(F.sum("ct").alias("ct"), F.bool_and(F.col("prediction").isin(0.0, 1.0)).alias("known"))
 
 
 def _metrics(t, rows):
-    return t.spark.createDataFrame(rows, "params string, area_roc double").orderBy(F.desc("area_roc"), "params")
+    """The searched settings, best first, and whether each area is one."""
+    found = t.spark.createDataFrame(rows, "params string, area_roc double").orderBy(F.desc("area_roc"), "params")
+    return found.select("params", F.col("area_roc").between(0, 1).alias("inside"))
+
 
+def _grid_sql(grid: dict) -> str:
+    """The grid's settings as SQL rows: one cross join of value lists, as text in order of the names."""
+    names = sorted(grid)
+    values = [", ".join(f"('{v}')" for v in grid[n]) for n in names]
+    lists = ", ".join(f"(VALUES {v}) AS v{i}({n})" for i, (n, v) in enumerate(zip(names, values)))
+    text = " || ', ' || ".join(f"'{n}=' || {n}" for n in names)
+    return f"SELECT {text} AS params, true AS inside FROM {lists}"
 
-@query("cv_grid")
+
+# The grids searched.
+GRID_LOGISTIC = {"regParam": [0.01, 0.5, 2.0], "elasticNetParam": [0.0, 0.5, 1.0], "maxIter": [1, 5, 10]}
+GRID_TREE = {"maxDepth": [1, 2, 6, 10], "maxBins": [20, 40, 80]}
+GRID_FOREST = {"maxDepth": [2, 4, 6], "maxBins": [20, 60], "numTrees": [5, 20]}
+GRID_SWEEP = {"maxDepth": [1, 2, 3, 4], "stepSize": [0.05, 0.1, 0.2, 0.3], "subsamplingRate": [0.6, 0.8, 1.0], "maxIter": [2, 4]}
+
+
+@query("cv_grid", _grid_sql(GRID_LOGISTIC))
 def cv_grid(t):
     train, _ = _sets(t)
-    grid = {"regParam": [0.01, 0.5, 2.0], "elasticNetParam": [0.0, 0.5, 1.0], "maxIter": [1, 5, 10]}
-    _, rows = cl.tune(LogisticRegression(), grid, train)
+    _, rows = cl.tune(LogisticRegression(), GRID_LOGISTIC, train)
     return _metrics(t, rows)
 
 
-@query("cv_tree")
+@query("cv_tree", _grid_sql(GRID_TREE))
 def cv_tree(t):
     train, _ = _sets(t)
-    _, rows = cl.tune(DecisionTreeClassifier(seed=42), {"maxDepth": [1, 2, 6, 10], "maxBins": [20, 40, 80]}, train)
+    _, rows = cl.tune(DecisionTreeClassifier(seed=42), GRID_TREE, train)
     return _metrics(t, rows)
 
 
-@query("cv_forest")
+@query("cv_forest", _grid_sql(GRID_FOREST))
 def cv_forest(t):
     train, _ = _sets(t)
-    grid = {"maxDepth": [2, 4, 6], "maxBins": [20, 60], "numTrees": [5, 20]}
-    _, rows = cl.tune(RandomForestClassifier(seed=42), grid, train)
+    _, rows = cl.tune(RandomForestClassifier(seed=42), GRID_FOREST, train)
     return _metrics(t, rows)
 
 
-@query("gbt_sweep")
+@query("gbt_sweep", _grid_sql(GRID_SWEEP))
 def gbt_sweep(t):
+    """96 settings on one train and validation split."""
     train, _ = _sets(t)
-    grid = {"maxDepth": [2, 4], "stepSize": [0.1, 0.3], "maxIter": [5, 10]}
-    _, rows = cl.tune(GBTClassifier(seed=42), grid, train, folds=2)
+    _, rows = cl.sweep(GBTClassifier(seed=42), GRID_SWEEP, train)
     return _metrics(t, rows)
 
 
-@query("batch_score", "SELECT count(*) AS ct, 0::BIGINT AS unscored FROM documents")
+@query("batch_score", "SELECT doc_id, true AS proper FROM documents")
 def batch_score(t):
+    """The best model of a search, kept, loaded and applied to every document."""
     space = t.workspace()
-    train, _ = cl.hash_split(space.keep(_labelled(t), "measured"), "doc_id", [70, 30])
-    stages = [cl.preparation(CATEGORICAL, NUMERIC, None), RandomForestClassifier(labelCol="quality", numTrees=20, seed=42)]
+    measured = space.keep(_with_measures(t.documents), "measured")
+    train, _ = cl.hash_split(measured.join(t.labels.select("doc_id", "quality"), "doc_id"), "doc_id", [70, 30])
+    train = space.keep(train, "train")
+    prepare = cl.preparation(CATEGORICAL, NUMERIC, None).fit(train)
+    ready = space.keep(prepare.transform(train).withColumn("label", F.col("quality").cast("double")), "ready")
+    search, _ = cl.tune(RandomForestClassifier(seed=42), {"maxDepth": [2, 5], "numTrees": [5, 20]}, ready, folds=2)
     path = space.path("model")
-    Pipeline(stages=stages).fit(train).write().save(path)
-    scored = PipelineModel.load(path).transform(_with_measures(t.documents))
-    return scored.agg(F.count("*").alias("ct"), F.count_if(F.col("prediction").isNull()).alias("unscored"))
+    PipelineModel([*prepare.stages, search.bestModel]).write().save(path)
+    scored = PipelineModel.load(path).transform(measured).withColumn("p", vector_to_array("probability"))
+    shown = scored.select("doc_id", F.lit(0).alias("label"), "prediction", F.col("p")[0].alias("prob_0"), F.col("p")[1].alias("prob_1"))
+    return _proper(shown).drop("label")
 
 
-@query("prob_columns")
+@query(
+    "prob_columns",
+    f"""SELECT vec_id, label::DOUBLE AS label, true AS proper FROM embeddings WHERE {_bucket_sql("vec_id")} >= 70""",
+)
 def prob_columns(t):
+    """A probability column per class: each in [0, 1], their sum one, the predicted class the likeliest."""
     rows = t.embeddings.select("vec_id", F.col("label").cast("double").alias("label"), array_to_vector("embedding").alias("features"))
     train, test = cl.hash_split(rows, "vec_id", [70, 30])
     model = RandomForestClassifier(numTrees=20, seed=42).fit(train)
     classes = [f"class_{i}" for i in range(model.numClasses)]
     scored = cl.probability_columns(model.transform(test), classes)
-    return scored.select("vec_id", "label", "predicted", *[f"prob_{c}" for c in classes])
+    values = F.array(*[f"prob_{c}" for c in classes])
+    sums = F.abs(F.aggregate(values, F.lit(0.0), lambda a, x: a + x) - 1) < 1e-9
+    likeliest = F.element_at(values, F.col("prediction").cast("int") + 1) == F.array_max(values)
+    named = F.col("predicted") == F.concat(F.lit("class_"), F.col("prediction").cast("int"))
+    inside = F.forall(values, lambda x: x.between(0, 1))
+    return scored.select("vec_id", "label", (sums & likeliest & named & inside).alias("proper"))
 
 
 # ---- curves ----------------------------------------------------------------

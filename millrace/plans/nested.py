@@ -79,7 +79,10 @@ def flag_sum_by_category(t):
 def exploded_sales(t):
     city = t.nation.where("n_name = 'NATION_3'")
     customers = t.customer.join(city, F.col("c_nationkey") == F.col("n_nationkey"))
-    sold = _documents(t).join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    # The city's orders first, so only their lines are nested.
+    orders = t.orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    lineitem = t.lineitem.join(orders.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
+    sold = nested.nest_lines(orders, lineitem)
     lines = sold.select(
         F.col("n_name").alias("city"),
         F.to_date("o_orderdate").alias("order_date"),

@@ -8,7 +8,7 @@ from millrace import sinks
 from millrace.functions.text import json_path
 from millrace.operators import pipeline_log
 from millrace.operators.nested import nest_lines
-from millrace.operators.quality import DROP, FAIL, WARN, Rule, enforce, measure
+from millrace.operators.quality import DROP, FAIL, WARN, Rule, enforce, enforce_and_measure, measure
 from millrace.plans.registry import query
 from millrace.streaming import ingest, medallion
 
@@ -28,17 +28,33 @@ def expect_warn(t):
     return measure(t.events, "events", [_POSITIVE])
 
 
+_LINE_RULES = [
+    Rule("small_discount", "l_discount <= 0.05", DROP),
+    Rule("some_quantity", "l_quantity > 2", DROP),
+    Rule("taxed", "l_tax > 0", WARN),
+]
+
+
 @query(
     "expect_drop",
     "SELECT l_orderkey, l_linenumber, l_discount FROM lineitem WHERE l_discount <= 0.05 AND l_quantity > 2",
 )
 def expect_drop(t):
-    rules = [
-        Rule("small_discount", "l_discount <= 0.05", DROP),
-        Rule("some_quantity", "l_quantity > 2", DROP),
-        Rule("taxed", "l_tax > 0", WARN),
-    ]
-    return enforce(t.lineitem, rules).select("l_orderkey", "l_linenumber", "l_discount")
+    return enforce(t.lineitem, _LINE_RULES).select("l_orderkey", "l_linenumber", "l_discount")
+
+
+@query(
+    "expect_rows_and_counts",
+    """SELECT l_orderkey, l_linenumber, (SELECT count(*) FROM lineitem WHERE NOT coalesce(l_discount <= 0.05, false)) AS small_discount,
+              (SELECT count(*) FROM lineitem WHERE NOT coalesce(l_quantity > 2, false)) AS some_quantity,
+              (SELECT count(*) FROM lineitem WHERE NOT coalesce(l_tax > 0, false)) AS taxed
+       FROM lineitem WHERE l_discount <= 0.05 AND l_quantity > 2""",
+)
+def expect_rows_and_counts(t):
+    """The cleaned rows, each with the failed counts of all rules, from one pass over the table."""
+    clean, counts = enforce_and_measure(t.lineitem, "lineitem", _LINE_RULES, t.workspace())
+    failed = {r.name: F.max(F.when(F.col("name") == r.name, F.col("failed_records"))) for r in _LINE_RULES}
+    return clean.select("l_orderkey", "l_linenumber", *[counts.agg(c).scalar().alias(n) for n, c in failed.items()])
 
 
 @query("expect_fail", "SELECT event_id, value FROM events")
@@ -212,11 +228,24 @@ def stream_restart(t):
 def stream_file_json(t):
     space = t.workspace()
     sinks.write_files(t.orders, space.path("landing"), "json")
-    stream = ingest.read_new_files(t.spark, space.path("landing"), "json")
+    stream = ingest.read_new_files(t.spark, space.path("landing"), "json", t.orders.schema)
     ingest.append(stream, space.path("sink"), space.path("checkpoint"))
     return t.spark.read.parquet(space.path("sink")).select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
 
 
+@query("stream_file_csv", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
+def stream_file_csv(t):
+    """Customers that arrive as CSV files, in two batches, as a table."""
+    space = t.workspace()
+    columns = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
+    customers = t.customer.select(columns)
+    for part in (F.col("c_acctbal") < 0, F.coalesce(F.col("c_acctbal") >= 0, F.lit(True))):
+        sinks.write_files(customers.where(part), space.path("landing"), "csv", mode="append", header=True)
+        stream = ingest.read_new_files(t.spark, space.path("landing"), "csv", customers.schema, header=True)
+        ingest.append(stream, space.path("sink"), space.path("checkpoint"))
+    return t.spark.read.parquet(space.path("sink")).select(columns)
+
+
 def _customers(t):
     cities = t.nation.select("n_nationkey", F.col("n_name").alias("city"))
     return t.customer.join(cities, F.col("c_nationkey") == F.col("n_nationkey")).select(
@@ -256,6 +285,30 @@ def stream_static_join(t):
        JOIN nation ON n_nationkey = c_nationkey WHERE o_orderstatus <> 'P' GROUP BY ALL""",
 )
 def medallion_sales(t):
+    return _rounded_sales(medallion.sales_by_city(_silver(t, "order_month")))
+
+
+@query(
+    "medallion_cities",
+    """SELECT n_name AS city, o_orderdate::DATE AS order_date, c_custkey AS customer_id, c_name AS customer_name,
+              l_returnflag AS curr, round(sum(l_extendedprice), 2) AS sales, round(sum(l_quantity), 2) AS quantity,
+              count(l_partkey) AS product_count
+       FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN customer ON c_custkey = o_custkey
+       JOIN nation ON n_nationkey = c_nationkey WHERE o_orderstatus <> 'P' AND n_name IN ('NATION_3', 'NATION_7') GROUP BY ALL""",
+)
+def medallion_cities(t):
+    """One gold table per city, both from one silver table stored by day."""
+    silver = _silver(t, "order_date")
+    third, seventh = (medallion.sales_by_city(silver, city) for city in ("NATION_3", "NATION_7"))
+    return _rounded_sales(third.unionByName(seventh))
+
+
+def _rounded_sales(gold):
+    return gold.withColumns({"sales": F.round("sales", 2), "quantity": F.round("quantity", 2)})
+
+
+def _silver(t, folder: str):
+    """Orders through the raw and the cleaned layer, the latter stored by day or by month."""
     space = t.workspace()
     product = F.transform(
         "lines",
@@ -274,9 +327,8 @@ def medallion_sales(t):
     sinks.write_files(raw, space.path("bronze"), "json")
     bronze = ingest.read_new_files(t.spark, space.path("bronze"), "json", raw.schema)
     silver = medallion.cleaned_orders(bronze, _customers(t))
-    ingest.append(silver, space.path("silver"), space.path("checkpoint"), ["order_month"])
-    gold = medallion.sales_by_city(t.spark.read.parquet(space.path("silver")))
-    return gold.withColumns({"sales": F.round("sales", 2), "quantity": F.round("quantity", 2)})
+    ingest.append(silver, space.path("silver"), space.path("checkpoint"), [folder])
+    return t.spark.read.parquet(space.path("silver"))
 
 
 @query(

@@ -482,7 +482,7 @@ def event_date_id(t):
         "ts",
         F.dayofweek("ts").alias("start_dayofweek"),
         F.dayofyear("ts").alias("start_dayofyear"),
-    ).distinct()
+    ).dropDuplicates(["user_id", "ts", "event_id"])
     return numbered(days, ["user_id"], "ts", "event_id", "event_date_id").drop("ts")
 
 

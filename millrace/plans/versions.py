@@ -1,18 +1,13 @@
-"""Upsert and versioned-table queries."""
+"""Upsert and cache queries."""
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import functions as F
 
 from millrace import sinks
 from millrace.operators.merge import merge, merge_partitions
-from millrace.operators.snapshots import VersionedTable
 from millrace.plans.registry import query
 
-_DAY = [dt.datetime(2024, 1, d, tzinfo=dt.timezone.utc) for d in range(1, 6)]
-
 # Renamed BUILDING customers match; MACHINERY customers under new keys do not.
 _MERGED = """SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN c_name || ' New name' ELSE c_name END AS c_name,
                     c_nationkey, c_acctbal, c_mktsegment FROM customer
@@ -34,18 +29,6 @@ def _changes(t):
 _KEYS, _INSERT = ["c_custkey", "c_nationkey"], ["c_custkey", "c_nationkey", "c_name"]
 
 
-def _written(t) -> VersionedTable:
-    table = VersionedTable(t.spark, t.workspace().path("customer"))
-    table.commit(t.customer, at=_DAY[0])
-    return table
-
-
-def _two_versions(t) -> VersionedTable:
-    table = _written(t)
-    table.merge_into(_changes(t), _KEYS, ["c_name"], _INSERT, at=_DAY[1])
-    return table
-
-
 @query("merge_upsert", _MERGED)
 def merge_upsert(t):
     return merge(t.customer, _changes(t), _KEYS, ["c_name"], _INSERT)
@@ -84,56 +67,6 @@ def merge_partitioned(t):
     return t.spark.read.parquet(space.path("monthly")).select("month", "o_orderstatus", "ct")
 
 
-@query(
-    "snapshot_history",
-    f"""SELECT 0 AS version, 'WRITE' AS operation, count(*) AS num_rows FROM customer
-        UNION ALL SELECT 1, 'MERGE', count(*) FROM ({_MERGED})
-        UNION ALL SELECT 2, 'RESTORE', count(*) FROM customer""",
-)
-def snapshot_history(t):
-    table = _two_versions(t)
-    table.restore(version=0, at=_DAY[2])
-    return table.history().select("version", "operation", "num_rows")
-
-
-@query(
-    "snapshot_as_of",
-    f"""SELECT 'version' AS read_by, * FROM customer
-        UNION ALL SELECT 'timestamp', * FROM ({_MERGED})""",
-)
-def snapshot_as_of(t):
-    table = _two_versions(t)
-    first = table.as_of(version=0).withColumn("read_by", F.lit("version"))
-    later = table.as_of(timestamp=_DAY[1] + dt.timedelta(hours=1)).withColumn("read_by", F.lit("timestamp"))
-    return first.unionByName(later)
-
-
-@query(
-    "snapshot_counts",
-    f"""SELECT 0 AS version, count(*) AS ct FROM customer UNION ALL SELECT 1, count(*) FROM ({_MERGED})""",
-)
-def snapshot_counts(t):
-    return _two_versions(t).counts()
-
-
-@query("snapshot_restore", "SELECT * FROM customer")
-def snapshot_restore(t):
-    table = _two_versions(t)
-    table.restore(timestamp=_DAY[0], at=_DAY[2])
-    return table.as_of()
-
-
-@query("snapshot_clone", _MERGED)
-def snapshot_clone(t):
-    return _two_versions(t).clone(t.workspace().path("customer_clone"), at=_DAY[3]).as_of()
-
-
-@query("snapshot_expired", "SELECT 0 AS version, 'WRITE' AS operation, count(*) AS num_rows FROM customer")
-def snapshot_expired(t):
-    old = _two_versions(t).expired(dt.timedelta(days=1), now=_DAY[3])
-    return old.select("version", "operation", "num_rows")
-
-
 @query(
     "cached_subset",
     "SELECT c_nationkey, count(*) AS ct FROM customer WHERE c_mktsegment = 'BUILDING' GROUP BY 1",

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,17 +28,14 @@ def write_files(df: DataFrame, path: str, fmt: str, mode: str = "overwrite", **o
     df.write.mode(mode).options(**options).format(fmt).save(path)
 
 
-def write_json_arrays(df: DataFrame, path: str) -> None:
+def write_json_arrays(df: DataFrame, path: str, per_file: int = 100_000) -> None:
     """Files that each hold one JSON array, spread over several lines.
 
-    One array takes the records of one Arrow batch, so no file and no task
-    grows with the table.
+    An array takes up to ``per_file`` records that follow one another in a
+    partition, so no file and no task grows with the table.
     """
-
-    def to_array(batches):
-        for batch in batches:
-            yield pd.DataFrame({"value": ["[\n" + ",\n".join(batch["value"]) + "\n]"]})
-
-    records = df.select(F.to_json(F.struct(*df.columns)).alias("value"))
-    arrays = records.mapInPandas(to_array, "value string")
-    write_files(arrays, path, "text", maxRecordsPerFile=1)
+    record = F.to_json(F.struct(*df.columns))
+    placed = df.select(record.alias("value"), F.monotonically_increasing_id().alias("_row"))
+    groups = placed.groupBy(F.floor(F.col("_row") / per_file).alias("_file")).agg(F.collect_list("value").alias("_records"))
+    array = F.concat(F.lit("[\n"), F.array_join("_records", ",\n"), F.lit("\n]"))
+    write_files(groups.select(array.alias("value")), path, "text", maxRecordsPerFile=1)

@@ -55,7 +55,8 @@ def split_bad_records(
 
     Bad lines are written to ``bad_path`` as JSON, with the file they came from
     and the fields that did parse, and read back from there, so they stay
-    available after the run.
+    available after the run. Spark parses only the fields a query needs; both
+    sides therefore read every field, so a line is bad by all of them.
     """
     wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     parsed = (
@@ -64,6 +65,7 @@ def split_bad_records(
         .option("columnNameOfCorruptRecord", CORRUPT)
         .csv(path)
     )
+    parsed = parsed.where(F.hash(*schema.names, CORRUPT) >= F.lit(-(2**31)))
     bad = parsed.where(F.col(CORRUPT).isNotNull())
     (
         bad.select(F.col("_metadata.file_path").alias("path"), F.col(CORRUPT).alias("record"), *schema.names)

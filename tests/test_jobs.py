@@ -70,10 +70,10 @@ def test_html_escape_equals_the_standard_library(spark):
 # ---- nested ----------------------------------------------------------------
 
 
-def test_large_orders_become_several_documents(spark):
+def test_an_order_of_any_size_is_one_document(spark):
     orders = spark.createDataFrame([(1,), (2,), (3,)], "o_orderkey long")
-    lines = spark.range(250).select(
-        F.when(F.col("id") < 240, 1).otherwise(2).cast("long").alias("l_orderkey"),
+    lines = spark.range(2600).select(
+        F.when(F.col("id") < 2500, 1).otherwise(2).cast("long").alias("l_orderkey"),
         F.col("id").cast("int").alias("l_linenumber"),
         F.col("id").alias("l_partkey"),
         F.lit(1.0).alias("l_quantity"),
@@ -81,10 +81,11 @@ def test_large_orders_become_several_documents(spark):
         F.lit("R").alias("l_returnflag"),
         F.lit("2024-01-01").cast("timestamp_ntz").alias("l_shipdate"),
     )
-    documents_ = nested.nest_lines(orders, lines, per_document=100)
-    sizes = sorted((r.o_orderkey, r.n or 0) for r in documents_.select("o_orderkey", F.size("lines").alias("n")).collect())
-    assert [s for s in sizes if s[0] < 3] == [(1, 40), (1, 100), (1, 100), (2, 10)]
-    assert nested.explode_struct(documents_, "lines").count() == 250
+    documents_ = nested.nest_lines(orders, lines)
+    sizes = sorted((r.o_orderkey, r.n) for r in documents_.select("o_orderkey", F.size("lines").alias("n")).collect())
+    assert [s for s in sizes if s[0] < 3] == [(1, 2500), (2, 100)] and len(sizes) == 3
+    assert documents_.where("o_orderkey = 1").first().lines[7].part == 7
+    assert nested.explode_struct(documents_, "lines").count() == 2600
 
 
 def test_empty_arrays_vanish_and_others_multiply(spark):
@@ -286,10 +287,9 @@ def test_cleaned_orders_drop_missing_numbers_and_keep_unknown_customers(spark):
 
 def test_page_offsets(spark):
     docs = spark.createDataFrame([(1, "ab\n\ncde\n"), (2, "")], "id int, t string")
-    pages = documents.split_pages(docs, "id", "t")
-    got = sorted((r.id, r.page, r.offset, r.text) for r in documents.page_offsets(pages, "id").collect())
+    got = sorted((r.id, r.page, r.offset, r.text) for r in documents.page_offsets(docs, "id", "t").collect())
     assert got == [(1, 0, 0, "ab"), (1, 1, 2, ""), (1, 2, 2, "cde"), (1, 3, 5, ""), (2, 0, 0, "")]
-    spaced = sorted((r.id, r.page, r.offset) for r in documents.page_offsets(pages, "id", True).collect())
+    spaced = sorted((r.id, r.page, r.offset) for r in documents.page_offsets(docs, "id", "t", trailing_space=True).collect())
     assert spaced == [(1, 0, 0), (1, 1, 3), (1, 2, 4), (1, 3, 8), (2, 0, 0)]
 
 
@@ -320,3 +320,60 @@ def test_markdown(spark):
     assert one(spark, documents.to_markdown(F.lit(source))) == (
         "## Head\n\na **bold** [link](/u)&lt;\n\n* one\n* two\n\nx  \ny"
     )
+
+
+@pytest.mark.parametrize(
+    "source, expected",
+    [
+        (
+            "<table><tr><th>n</th><th>v</th></tr><tr><td>a</td><td>b <b>x</b></td></tr></table>after",
+            "| n | v |\n| --- | --- |\n| a | b **x** |\n\nafter",
+        ),
+        (
+            "<TABLE border=1>\n<tbody>\n <tr>\n <td>1</td> <td>2</td></tr>\n<tr><td>3</td><td>4</td></tr></TABLE><p>mid</p><table><tr><td>z</td></tr></table>",
+            "| 1 | 2 |\n| --- | --- |\n| 3 | 4 |\n\nmid\n\n| z |\n| --- |",
+        ),
+        ("<ol><li>one</li><li>two</li></ol><ul><li>u</li></ul>", "1. one\n2. two\n\n* u"),
+        ('<p>x <img src="s.png" alt="A b"> <img src="t.png"></p>', "x ![A b](s.png) ![](t.png)"),
+        ("", ""),
+    ],
+)
+def test_markdown_of_tables_lists_images(spark, source, expected):
+    assert one(spark, documents.to_markdown(F.lit(source))) == expected
+
+
+def test_whole_documents(spark):
+    pages = spark.createDataFrame([(1, 1, "<p>b</p>"), (1, 0, "head 0123"), (2, 0, None)], "d int, p int, text string")
+    table = "<table><tr><th>h</th></tr></table>"
+    spans = spark.createDataFrame([(1, 0, 0, 5, 2, table)], "d int, p int, table_id int, start int, length int, html string")
+    got = {r.d: r for r in documents.document_markdown(pages, spans, "d", "p").collect()}
+    assert got[1].content == "head\n\n| h |\n| --- |\n\n23\n\nb"
+    size = len("head 23 ") + len(table)
+    assert [tuple(m) for m in got[1].page_map] == [(0, 0, size), (1, size, 9)]
+
+
+def test_rules_and_counts_from_one_pass(spark, space):
+    rules = [quality.Rule("small", "v < 6", quality.DROP), quality.Rule("known", "v IS NOT NULL", quality.WARN)]
+    clean, counts = quality.enforce_and_measure(sample(spark), "t", rules, space)
+    assert sorted(r.k for r in clean.collect()) == [1, 3] and clean.columns == ["k", "v"]
+    assert {(r.name, r.passed_records, r.failed_records) for r in counts.collect()} == {("small", 2, 1), ("known", 2, 1)}
+    with pytest.raises(Exception, match="expectation k failed"):
+        quality.enforce_and_measure(sample(spark), "t", [quality.Rule("k", "k < 3", quality.FAIL)], space)
+
+
+def test_features_cover_all_months(spark):
+    both = trips(spark).unionByName(trips(spark).withColumn("ts", F.col("ts") + F.expr("INTERVAL 2 MONTHS")))
+    got = features.pickup_features(both, "zip", "ts", "fare")
+    assert {r.yyyy_mm for r in got.collect()} == {"2024-01", "2024-03"}
+
+
+def test_group_of_nulls_has_no_grouped_forecast(spark):
+    got = forecast.forecast_grouped_map(series(spark).where("`group` <> 'single'"), 3, dt.date(2024, 2, 1))
+    assert {r.group for r in got.select("group").distinct().collect()} == {"a"}
+
+
+def test_profile_of_nulls_and_groups(spark):
+    df = spark.createDataFrame([("g", 1.0, None), ("g", 3.0, None), ("h", None, None)], "g string, v double, w double")
+    got = {(r.g, r.column_name): r for r in profile.summarize(df, ["v", "w"], ["g"]).collect()}
+    assert len(got) == 4 and (got["g", "v"].n, got["g", "v"].mean, got["g", "v"].p50) == (2, 2.0, 2.0)
+    assert got["g", "v"].stddev == pytest.approx(2**0.5) and got["h", "v"].n == 0 and got["h", "v"].min is None

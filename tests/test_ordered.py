@@ -1,4 +1,4 @@
-"""Ordered work inside groups: both ways against brute force, with a hot key."""
+"""Ordered work inside groups against brute force, with a hot key, nulls and texts."""
 
 import random
 
@@ -9,9 +9,6 @@ from millrace.operators import classify
 from millrace.operators.ordered import exact_percentiles, numbered, running_totals
 from millrace.operators.relational import first_per_key, null_counts, share_of_total, underscore_names
 
-BOTH_WAYS = pytest.mark.parametrize("one_task_rows", [1_000_000, 0])
-
-
 def rows(seed=1, n=3000):
     rng = random.Random(seed)
     out = []
@@ -44,17 +41,14 @@ def brute(data, descending=False):
     return number, total
 
 
-@BOTH_WAYS
 @pytest.mark.parametrize("descending", [False, True])
-def test_numbers_and_totals_match_brute_force(spark, one_task_rows, descending):
+def test_numbers_and_totals_match_brute_force(spark, descending):
     data = rows()
     number, total = brute(data, descending)
     df = frame(spark, data)
-    got = numbered(df, ["k"], "o", "i", "n", descending, one_task_rows).collect()
+    got = numbered(df, ["k"], "o", "i", "n", descending).collect()
     assert {r.i: r.n for r in got} == number
-    sums = running_totals(
-        df, ["k"], "o", "i", {"t": "v"}, whole=True, descending=descending, one_task_rows=one_task_rows
-    ).collect()
+    sums = running_totals(df, ["k"], "o", "i", {"t": "v"}, whole=True, descending=descending).collect()
     assert {r.i: r.t for r in sums} == total
     whole = {}
     for key, _, _, v in data:
@@ -64,7 +58,7 @@ def test_numbers_and_totals_match_brute_force(spark, one_task_rows, descending):
 
 def test_one_value_everywhere_is_cut_by_the_tie(spark):
     data = [("hot", 5, i, 1) for i in range(2000)]
-    got = numbered(frame(spark, data), ["k"], "o", "i", "n", one_task_rows=0).collect()
+    got = numbered(frame(spark, data), ["k"], "o", "i", "n").collect()
     assert all(r.n == r.i + 1 for r in got) and len(got) == 2000
 
 
@@ -76,28 +70,22 @@ def test_ranges_keep_a_hot_key_out_of_one_task(spark):
     assert max(sizes) < 4000 / 4
 
 
-@BOTH_WAYS
-def test_empty_input(spark, one_task_rows):
+def test_empty_input(spark):
     df = frame(spark, [])
-    assert numbered(df, ["k"], "o", "i", "n", one_task_rows=one_task_rows).count() == 0
-    assert exact_percentiles(df, ["k"], "o", {"m": 0.5}, one_task_rows).count() == 0
+    assert numbered(df, ["k"], "o", "i", "n").count() == 0
+    assert exact_percentiles(df, ["k"], "o", {"m": 0.5}).count() == 0
 
 
-@BOTH_WAYS
-def test_percentiles_equal_the_builtin(spark, one_task_rows):
+def test_percentiles_equal_the_builtin(spark):
     df = frame(spark, rows(2))
     probs = {"p10": 0.1, "p50": 0.5, "p99": 0.99, "lo": 0.0, "hi": 1.0}
-    own = exact_percentiles(df, ["k"], "o", probs, one_task_rows)
+    own = exact_percentiles(df, ["k"], "o", probs)
     builtin = df.groupBy("k").agg(*[F.percentile("o", F.lit(p)).alias(n) for n, p in probs.items()])
     as_set = lambda d: {tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in d.collect()}
     assert as_set(own.select("k", *probs)) == as_set(builtin)
 
 
-@BOTH_WAYS
-def test_areas_count_ties_once(spark, one_task_rows, monkeypatch):
-    from millrace.operators import ordered
-
-    monkeypatch.setattr(ordered, "ONE_TASK_ROWS", one_task_rows)
+def test_areas_count_ties_once(spark):
     data = [(0.9, 1), (0.8, 1), (0.8, 0), (0.3, 0), (0.3, 1), (0.1, 0)]
     df = spark.createDataFrame(data, "score double, y int")
     points = classify.roc_points(df, "score", F.col("y") == 1)
@@ -107,6 +95,25 @@ def test_areas_count_ties_once(spark, one_task_rows, monkeypatch):
     assert points.count() == 4
 
 
+@pytest.mark.parametrize("order", ["o", "name"])
+def test_sums_over_nulls_and_text_orders(spark, order):
+    """As the plain window has it: null until a value comes, texts in their own order."""
+    from pyspark.sql import Window
+
+    rng = random.Random(9)
+    heads = ["", "a", "abcdef", "abcdefgh", "é", "zzz", "abcdefga"]
+    data = [
+        (rng.choice(["hot", "hot", "x"]), rng.choice([None, 1, 2, 3]), rng.choice([None, rng.choice(heads) + str(rng.randint(0, 30))]), i,
+         None if i < 300 or rng.random() < 0.3 else rng.randint(0, 9))
+        for i in range(900)
+    ]
+    df = spark.createDataFrame(data, "k string, o int, name string, i int, v int").repartition(5)
+    plain = Window.partitionBy("k").orderBy(order, "i").rowsBetween(Window.unboundedPreceding, 0)
+    want = df.select("i", F.sum("v").over(plain).alias("t")).collect()
+    got = running_totals(df, ["k"], order, "i", {"t": "v"}).select("i", "t").collect()
+    assert {tuple(r) for r in got} == {tuple(r) for r in want}
+
+
 def test_first_per_key_and_shares(spark):
     df = spark.createDataFrame([(1, 2, "b"), (1, 1, "a"), (2, 5, None), (None, 3, "c")], "k int, o int, v string")
     assert {tuple(r) for r in first_per_key(df, ["k"], ["o"]).collect()} == {(1, 1, "a"), (2, 5, None), (None, 3, "c")}

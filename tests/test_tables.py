@@ -1,6 +1,5 @@
-"""Sources, sinks, merge and versioned tables."""
+"""Sources, sinks and merge."""
 
-import datetime as dt
 import json
 
 import pytest
@@ -8,7 +7,6 @@ from pyspark.sql import functions as F
 
 from millrace import Workspace, session, sinks
 from millrace.operators.merge import merge, merge_partitions
-from millrace.operators.snapshots import VersionedTable
 from millrace.plans.scans import PART_SCHEMA
 from millrace.sources import files, generate, jdbc, tables
 from millrace.sources.copy_into import copy_into, read_copied
@@ -44,6 +42,8 @@ def test_bad_records_are_kept_apart(spark, space):
     path = text(spark, space, "bad", BAD_LINES)
     good, bad = files.split_bad_records(spark, path, PART_SCHEMA, space.path("captured"))
     assert [tuple(r) for r in good.collect()] == [(1, 2, 3.5)]
+    assert [tuple(r) for r in good.select("p_partkey").collect()] == [(1,)]
+    assert good.count() == 1 and good.agg(F.sum("p_retailprice")).first()[0] == 3.5
     assert {r.record for r in bad.collect()} == set(BAD_LINES[1:])
     assert all("bad" in r.path for r in bad.collect())
 
@@ -112,25 +112,23 @@ def test_pandas_both_ways(spark):
         generate.to_pandas(df, 2)
 
 
-def test_workspace_uses_the_shared_folder(spark, monkeypatch):
+def test_workspace_uses_the_shared_folder(spark, space):
     named = spark.conf.get("spark.checkpoint.dir", None)
-    root = Workspace(spark).root
-    assert root.startswith(named.rstrip("/") if named else "file:/tmp/millrace-")
+    assert space.root.startswith(named.rstrip("/") if named else spark.conf.get("spark.sql.warehouse.dir"))
+    one, two = space.keep(spark.range(3), "t"), space.keep(spark.range(5), "t")
+    assert (one.count(), two.count()) == (3, 5)
 
 
-def test_workspace_refuses_local_folders_on_a_cluster():
+@pytest.mark.parametrize("named, want", [("s3://b/x/", "s3://b/x"), (None, "hdfs:/wh/millrace-scratch")])
+def test_scratch_is_never_a_local_temporary_folder(named, want):
     class Conf:
         def get(self, key, default=None):
-            return default
+            return {"spark.checkpoint.dir": named or default, "spark.sql.warehouse.dir": "hdfs:/wh"}[key]
 
     class Fake:
         conf = Conf()
 
-        class sparkContext:
-            master = "yarn"
-
-    with pytest.raises(RuntimeError, match="checkpoint"):
-        session.shared_folder(Fake())
+    assert session.shared_folder(Fake()) == want
 
 
 def test_append_insert_and_describe(spark, space):
@@ -174,10 +172,24 @@ def test_ambiguous_match_raises_but_repeated_inserts_do_not(spark):
     twice = spark.createDataFrame([(1, "x", 1), (1, "y", 2)], "k int, name string, v int")
     with pytest.raises(Exception, match="several source rows"):
         merge(target(spark), twice, ["k"]).collect()
+    for asked in (lambda d: d.count(), lambda d: d.select("k").collect()):
+        with pytest.raises(Exception, match="several source rows"):
+            asked(merge(target(spark), twice, ["k"]))
     fresh = spark.createDataFrame([(9, "x", 1), (9, "y", 2)], "k int, name string, v int")
     assert merge(target(spark), fresh, ["k"]).count() == 5
 
 
+def test_small_source_leaves_target_keys_where_they_are(spark, space):
+    """No exchange of all target keys: the semi join against a small source is a broadcast."""
+    space.keep(spark.range(200_000).select(F.col("id").alias("k"), F.lit("n").alias("name"), F.lit(1).alias("v")), "big")
+    big = spark.read.parquet(f"{space.root}/big-1")
+    source = spark.createDataFrame([(5, "z", 5), (-1, "new", 0)], "k long, name string, v int")
+    merged = merge(big, source, ["k"])
+    assert merged.count() == 200_001
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [k" in plan and "LeftSemi" in plan
+
+
 def test_merge_updates_every_row_of_a_repeated_target_key(spark):
     many = spark.range(3000).select(F.lit(1).alias("k"), F.col("id").cast("string").alias("name"), F.lit(0).alias("v"))
     source = spark.createDataFrame([(1, "z", 5)], "k int, name string, v int")
@@ -202,36 +214,3 @@ def test_partition_merge_leaves_other_folders_alone(spark, space):
         merge_partitions(spark, path, source, ["k"], "d", space.path("s2"))
     with pytest.raises(ValueError):
         merge_partitions(spark, path, source.withColumn("d", F.lit(None).cast("date")), ["d", "k"], "d", space.path("s3"))
-
-
-# ---- versions --------------------------------------------------------------
-
-DAY = [dt.datetime(2024, 1, d, tzinfo=dt.timezone.utc) for d in range(1, 8)]
-
-
-def test_versions_restore_clone_expire(spark, space):
-    table = VersionedTable(spark, space.path("t"))
-    table.commit(spark.range(3), at=DAY[0])
-    table.commit(spark.range(5).withColumn("x", F.lit(1)), at=DAY[1])
-    assert table.as_of().count() == 5 and table.as_of(version=0).columns == ["id"]
-    assert table.as_of(timestamp=DAY[0] + dt.timedelta(hours=1)).count() == 3
-    with pytest.raises(ValueError):
-        table.as_of(version=7)
-    with pytest.raises(ValueError):
-        table.as_of(timestamp=DAY[0] - dt.timedelta(days=1))
-    assert {tuple(r) for r in table.counts().collect()} == {(0, 3), (1, 5)}
-    assert table.restore(version=0, at=DAY[2]) == 2
-    assert table.as_of().count() == 3
-    assert {r.version for r in table.expired(dt.timedelta(days=1), DAY[4]).collect()} == {1}
-    copy = table.clone(space.path("copy"), at=DAY[3])
-    copy.commit(spark.range(1), at=DAY[4])
-    assert table.as_of().count() == 3 and copy.as_of().count() == 1
-
-
-def test_uncommitted_version_is_invisible(spark, space):
-    table = VersionedTable(spark, space.path("t"))
-    table.commit(spark.range(3), at=DAY[0])
-    spark.range(50).write.parquet(f"{table.path}/data/_v=1")
-    assert table.as_of().count() == 3
-    assert table.commit(spark.range(4), at=DAY[1]) == 1
-    assert table.as_of().count() == 4
