@@ -55,6 +55,7 @@ class Workspace:
         self.root = f"{shared_folder(spark)}/run-{self.id}"
         self._database: str | None = None
         self._kept = 0
+        self._paths: dict[str, list[str]] = {}
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -64,8 +65,17 @@ class Workspace:
         self._kept += 1
         path = self.path(f"{name}-{self._kept}")
         df.write.parquet(path)
+        self._paths.setdefault(name, []).append(path)
         return self.spark.read.parquet(path)
 
+    def drop(self, *names: str) -> None:
+        """Remove kept tables by the names they were kept under; only for tables that nothing reads any more."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        for name in names:
+            for path in self._paths.pop(name, []):
+                folder = jvm.org.apache.hadoop.fs.Path(path)
+                folder.getFileSystem(conf).delete(folder, True)
+
     @property
     def database(self) -> str:
         """A database located in the workspace, so managed tables land on shared storage."""
