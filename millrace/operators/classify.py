@@ -17,7 +17,11 @@ from millrace.session import Workspace
 
 
 def preparation(categorical: Sequence[str], numeric: Sequence[str], label: str | None = None) -> Pipeline:
-    """Index and encode the categories, index the label, gather one feature vector."""
+    """Index and encode the categories, index the label, gather one feature vector.
+
+    The indexer holds every category on the driver, so ``categorical`` takes
+    columns of few values only (thousands, not ids).
+    """
     indexed = [f"{c}_index" for c in categorical]
     encoded = [f"{c}_vector" for c in categorical]
     stages = [

@@ -117,6 +117,11 @@ def test_workspace_uses_the_shared_folder(spark, space):
     assert space.root.startswith(named.rstrip("/") if named else spark.conf.get("spark.sql.warehouse.dir"))
     one, two = space.keep(spark.range(3), "t"), space.keep(spark.range(5), "t")
     assert (one.count(), two.count()) == (3, 5)
+    other = space.keep(spark.range(1), "other")
+    space.drop("t", "unknown")
+    assert other.count() == 1
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(f"{space.root}/t-1")
 
 
 @pytest.mark.parametrize("named, want", [("s3://b/x/", "s3://b/x"), (None, "hdfs:/wh/millrace-scratch")])
