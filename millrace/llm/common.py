@@ -41,25 +41,27 @@ def map_texts(
     fields: str,
     keep: Sequence[str] = ("doc_id",),
     text: str = "text",
+    most: int = CHUNK_CHARS,
 ) -> DataFrame:
     """``keep`` and the columns that a function makes from the texts, row by row.
 
     ``make()`` runs once per task and returns ``f(texts) -> columns`` in the
     order of ``fields`` (a DDL string). Null texts arrive as None. A kept
     column with the name of a new one gives way to it. Batches are cut to
-    ``CHUNK_CHARS`` characters, so memory follows the longest text, not the table.
+    ``most`` characters, so memory follows the longest text, not the table.
     """
     new = T.StructType.fromDDL(fields)
     keep = [c for c in keep if c not in new.names]
     schema = T.StructType([df.schema[c] for c in keep] + new.fields)
-    narrow = df.select(*keep, F.col(text).alias("__text"))
+    narrow = df.select(*keep) if text in keep else df.select(*keep, F.col(text).alias("__text"))
+    place = keep.index(text) if text in keep else len(keep)
     arrow = _arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            texts = batch.column(len(keep)).to_pylist()
-            for part in chunks([t or "" for t in texts]):
+            texts = batch.column(place).to_pylist()
+            for part in chunks([t or "" for t in texts], most):
                 made = work(texts[part])
                 size = part.stop - part.start
                 old = [batch.column(i).slice(part.start, size).cast(arrow.field(i).type) for i in range(len(keep))]
@@ -69,6 +71,17 @@ def map_texts(
     return narrow.mapInArrow(run, schema)
 
 
+def shielded(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` under column names that no result has, and the new name of each column."""
+    names = {c: f"__c{i}" for i, c in enumerate(df.columns)}
+    return df.toDF(*names.values()), names
+
+
+def bared(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    """The columns of :func:`shielded` under their own names."""
+    return df.select(*[F.col(new).alias(old) for old, new in names.items()])
+
+
 def _arrow_schema(schema: T.StructType) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
 

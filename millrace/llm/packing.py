@@ -157,9 +157,9 @@ def cuts(length: int, capacity: int = CAPACITY, slack: float = SLACK) -> list[in
     return pieces
 
 
-PIECES = (
-    "start long, length long, ids_crc32 long, doc_tokens long, worker int, class int, rank long"
-)
+PIECES = "start long, length long, ids_crc32 long, doc_tokens long, worker int, class int, rank long"
+#: Together they name a piece.
+NUMBERS = ("worker", "class", "rank")
 
 
 def pieces(df: DataFrame, definition: str, keep=("doc_id",), text: str = "text", with_ids: bool = False, capacity: int = CAPACITY, slack: float = SLACK) -> DataFrame:
@@ -240,13 +240,16 @@ def bins(made: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     placed = placed.withColumn("sequence_id", sequence.cast("long"))
     before = Window.partitionBy("sequence_id").orderBy("class", "place").rowsBetween(Window.unboundedPreceding, -1)
     out = placed.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long"))
-    return out.drop("class", "worker", "rank", "place", "bin", "before", "first", "short", "joined")
+    return out.drop("place", "bin", "before", "first", "short", "joined")
 
 
 def pack(df: DataFrame, definition: str, space, keep=("doc_id",), text: str = "text", with_ids: bool = False, capacity: int = CAPACITY, slack: float = SLACK) -> DataFrame:
     """Pieces with their sequence and offset. ``space`` holds the pieces between numbering and placing."""
     made = space.keep(pieces(df, definition, keep, text, with_ids, capacity, slack), "pieces")
-    return bins(made, capacity)
+    if not with_ids:
+        return bins(made, capacity).drop(*NUMBERS)
+    # Places are found without the ids, which then move once.
+    return bins(made.drop("ids"), capacity).join(made.select(*NUMBERS, "ids"), list(NUMBERS)).drop(*NUMBERS)
 
 
 def definition_of(path: str) -> str:

@@ -205,5 +205,4 @@ def kept_documents(df: DataFrame, rules=RULES, text: str = "text") -> DataFrame:
 
         return work
 
-    judged = map_texts(df.withColumn("__body", F.col(text)), make, "__kept boolean", [*df.columns, "__body"], "__body")
-    return judged.where("__kept").select(*df.columns)
+    return map_texts(df, make, "__kept boolean", df.columns, text).where("__kept").select(*df.columns)

@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import map_texts
+from millrace.llm.common import bared, map_texts, shielded
 
 KINDS = ("assign", "access", "hex", "random")
 # The base patterns and their least lengths.
@@ -215,23 +215,26 @@ def find(df: DataFrame, space, keep=("doc_id",), text: str = "text") -> DataFram
 def redact(df: DataFrame, space, text: str = "text") -> DataFrame:
     """``df`` with every span replaced by ``[kind]``; overlapping spans become one, named by the first.
 
-    Rows without spans stay as they are; ``n_chars`` follows a changed text if it is there.
+    Rows without spans stay as they are; ``n_chars`` follows a changed text if
+    it is there. Texts are scanned twice, once for the thresholds, so that none
+    is written in between.
     """
-    body = F.col(text)
-    scanned = space.keep(scan(df.withColumn("__body", body), [*df.columns, "__body"], "__body"), "scan")
-    marked = with_spans(scanned, thresholds(scanned))
+    tokens = space.keep(scan(df, [], text).select("tokens").where(F.size("tokens") > 0), "tokens")
+    plain, names = shielded(df)
+    body = names[text]
+    marked = with_spans(scan(plain, plain.columns, body), thresholds(tokens))
     kinds = F.array(*[F.lit(f"[{k}]") for k in KINDS])
     start = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
 
     def step(state, span):
         fresh = span["start"] >= state["at"]
-        gap = F.substring(F.col("__body"), (state["at"] + 1).cast("int"), (span["start"] - state["at"]).cast("int"))
+        gap = F.substring(F.col(body), (state["at"] + 1).cast("int"), (span["start"] - state["at"]).cast("int"))
         out = F.when(fresh, F.concat(state["out"], gap, kinds[span["kind"]])).otherwise(state["out"])
         return F.struct(out.alias("out"), F.greatest(state["at"], span["end"]).alias("at"))
 
-    rest = lambda s: F.concat(s["out"], F.substring(F.col("__body"), (s["at"] + 1).cast("int"), F.length("__body")))
-    clean = F.when(F.size("found") == 0, F.col("__body")).otherwise(F.aggregate("found", start, step, rest))
-    out = marked.withColumn(text, clean)
-    if "n_chars" in df.columns:
-        out = out.withColumn("n_chars", F.when(F.size("found") > 0, F.length(text).cast("long")).otherwise(F.col("n_chars")))
-    return out.select(*df.columns)
+    rest = lambda s: F.concat(s["out"], F.substring(F.col(body), (s["at"] + 1).cast("int"), F.length(body)))
+    out = marked.withColumn(body, F.when(F.size("found") == 0, F.col(body)).otherwise(F.aggregate("found", start, step, rest)))
+    if "n_chars" in names:
+        count = names["n_chars"]
+        out = out.withColumn(count, F.when(F.size("found") > 0, F.length(body).cast("long")).otherwise(F.col(count)))
+    return bared(out, names)
