@@ -10,9 +10,12 @@ Candidates. Equal shingle sets are one node. Bands of ``ROWS`` components put
 nodes into buckets. Each bucket names one hub and pairs it with its members;
 after the verified links are joined, only members that are not in their
 bucket's largest component are paired with the others, so a large group of
-near copies costs one pair per member, not all pairs. Pairs whose sizes or
-sampled signature bits rule the similarity out (4.5 standard deviations) are
-left; all others are confirmed on their full shingle sets.
+near copies costs one pair per member, not all pairs. In a bucket of more than
+``CROWD`` members that still holds several components, a pair must also share
+one of the rarest shingles of both, which every pair at the threshold does.
+Pairs whose sizes or sampled signature bits rule the similarity out (4.5
+standard deviations) are left; all others are confirmed on their full shingle
+sets.
 
 Groups are the connected components of the confirmed links, found by
 alternating star contraction in Spark.
@@ -29,7 +32,7 @@ import math
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.common import map_texts
@@ -39,7 +42,11 @@ ROWS = 4
 #: Chance that a pair just at the threshold shares no band.
 MISS = 1e-5
 BITS = 64
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 100_000
+#: Characters of text whose signatures a task makes at once; their permutations take some twenty bytes a character.
+CHUNK = 1_000_000
+#: Members of a bucket that are paired directly.
+CROWD = 32
 
 _U = np.uint64
 _ODD = [_U(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0xD6E8FEB86659FD93)]
@@ -109,7 +116,7 @@ def signatures(sets: list[np.ndarray], size: int) -> np.ndarray:
         going = (best.max(axis=1) > level + 1)[owner]
         if level == 0:
             element, owner, pick = element[going], owner[going], pick[going]
-            places = np.tile(np.arange(size, dtype=np.uint16), (len(element), 1))
+            places = np.tile(np.arange(size, dtype=np.uint8 if size <= 256 else np.uint16), (len(element), 1))
             places[np.arange(len(element)), pick] = 0
         elif not going.all():
             element, owner, places = element[going], owner[going], places[going]
@@ -160,7 +167,7 @@ def prints(df: DataFrame, threshold: float, keep=("doc_id",), text: str = "text"
 
         return work
 
-    return map_texts(df, make, PRINTS, keep, text)
+    return map_texts(df, make, PRINTS, keep, text, CHUNK)
 
 
 def shingle_sets(df: DataFrame, keep, text: str = "text") -> DataFrame:
@@ -170,7 +177,7 @@ def shingle_sets(df: DataFrame, keep, text: str = "text") -> DataFrame:
         shingler = Shingler()
         return lambda texts: [[shingler.shingles(t).view(np.int64) for t in texts]]
 
-    return map_texts(df, make, "shingles array<long>", keep, text)
+    return map_texts(df, make, "shingles array<long>", keep, text, CHUNK)
 
 
 def components(edges: DataFrame, space, name: str) -> DataFrame:
@@ -190,6 +197,7 @@ def components(edges: DataFrame, space, name: str) -> DataFrame:
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v")))
         step += 1
         star = space.keep(small.where("u <> v").distinct(), f"{name}-{step}")
+        space.drop(f"{name}-{step - 1}")
         # Sums of few hashes each stay far from the range's end, and stars of the same sum are the same.
         now = star.agg(F.count("*"), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(2**31 - 1)))).first()
         if now == before:
@@ -219,13 +227,40 @@ def plausible(threshold: float):
     return sizes & (differ <= math.ceil(BITS * off + 4.5 * spread))
 
 
+def rare_marks(nodes: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """``nodes`` with ``mark``, one row for each of the rarest shingles of a node, rarest among ``nodes``.
+
+    Of n shingles the rarest n - ceil(threshold n) + 1 are taken, in one order
+    for all. Two sets that reach the threshold share one of them, so joining
+    on marks loses no pair; shingles that a whole crowd shares are left out.
+    """
+    each = nodes.select("node", "n").join(sets, "node").select("node", "n", F.explode("shingles").alias("mark"))
+    counts = each.groupBy("mark").agg(F.count("*").alias("c"))
+    order = Window.partitionBy("node").orderBy("c", "mark")
+    percent = round(100 * threshold)
+    taken = F.col("n") - F.ceil(F.lit(percent) * F.col("n") / F.lit(100)) + 1
+    ranked = each.join(counts, "mark").withColumn("place", F.row_number().over(order)).where(F.col("place") <= taken)
+    return ranked.where("c > 1").select("node", "mark", "place").join(nodes, "node")
+
+
+def reachable(threshold: float):
+    """Were this mark (columns place_a and place_b) the first that two sets share, they could still reach the threshold.
+
+    All shared shingles then lie from the mark on, in either set. The first
+    shared mark of a linked pair passes, so no link is lost.
+    """
+    percent = round(100 * threshold)
+    most = 1 + F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
+    return (100 + percent) * most >= percent * (F.col("n_a") + F.col("n_b"))
+
+
 def _side(nodes: DataFrame, name: str) -> DataFrame:
     return nodes.select(
         F.col("node").alias(name),
         F.col("n").alias(f"n_{name}"),
         F.col("bits_a").alias(f"x_{name}"),
         F.col("bits_b").alias(f"y_{name}"),
-        *[F.col(c).alias(f"{c}_{name}") for c in ("component",) if c in nodes.columns],
+        *[F.col(c).alias(f"{c}_{name}") for c in ("component", "place") if c in nodes.columns],
         *[c for c in ("key", "main") if c in nodes.columns],
     )
 
@@ -243,11 +278,13 @@ def group(df: DataFrame, space, threshold: float = 0.85, key: str = "doc_id", te
         "nodes",
     )
     placed = nodes.select("node", "n", "bits_a", "bits_b", F.explode("bands").alias("key"))
-    # The hub is the least row number after a flip of bits by the bucket's key: another one in each bucket.
-    hub = F.min(F.col("node").bitwiseXOR(F.col("key")))
-    buckets = placed.groupBy("key").agg(hub.alias("flipped"), F.count("*").alias("members")).where("members > 1")
-    shared = placed.join(buckets.select("key", F.col("flipped").bitwiseXOR(F.col("key")).alias("hub")), "key")
-    members = space.keep(shared, "members")
+    counts = placed.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
+    shared = placed.join(counts, "key")
+    # The hub of a bucket is its member with the most neighbours over all its buckets: near copies gather around their source.
+    fame = shared.groupBy("node").agg(F.sum("members").alias("fame"))
+    shared = space.keep(shared.join(fame, "node"), "shared")
+    hubs = shared.groupBy("key").agg(F.max(F.struct("fame", "node"))["node"].alias("hub"))
+    members = space.keep(shared.drop("fame").join(hubs, "key"), "members")
 
     # Shingle sets of all nodes that share a bucket, each from one document.
     live = members.select("node").distinct()
@@ -262,19 +299,30 @@ def group(df: DataFrame, space, threshold: float = 0.85, key: str = "doc_id", te
     links = space.keep(confirm(first, sets, threshold), "links-1")
     joined = components(links, space, "round-1")
 
-    # Where a bucket holds several components: those outside the largest against all others.
-    held = members.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    held = space.keep(held.drop("hub"), "held")
+    # Where a bucket holds several components: those outside its largest against all others.
+    held = members.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node")).drop("hub")
+    held = space.keep(held, "held")
     sizes = held.groupBy("key", "component").agg(F.count("*").alias("c"))
     largest = sizes.groupBy("key").agg(F.max(F.struct("c", "component")).alias("most"), F.count("*").alias("parts"))
-    open_ones = held.join(largest.where("parts > 1").select("key", F.col("most.component").alias("main")), "key")
-    rest = _side(open_ones.where("component <> main").drop("main"), "a")
-    others = _side(open_ones, "b")
+    several = largest.where("parts > 1").select("key", F.col("most.component").alias("main"))
+    open_ones = space.keep(held.join(several, "key"), "open")
+    few = open_ones.where(F.col("members") <= CROWD)
+    rest = _side(few.where("component <> main").drop("main"), "a")
+    others = _side(few, "b")
     once = (F.col("component_b") == F.col("main")) | (F.col("a") < F.col("b"))
     apart = F.col("component_a") != F.col("component_b")
-    second = rest.join(others, "key").where(apart & once & likely).select("a", "b").distinct()
+    second = rest.join(others, "key").where(apart & once & likely).select("a", "b")
+    # In a crowded bucket most pairs fail, so there a pair must share a rare shingle too.
+    crowd = open_ones.where(F.col("members") > CROWD).select("node", "n", "bits_a", "bits_b", "component").distinct()
+    marks = space.keep(rare_marks(crowd, sets, threshold), "marks")
+    marks = marks.withColumnRenamed("mark", "key")
+    third = _side(marks, "a").join(_side(marks, "b"), "key")
+    third = third.where(apart & (F.col("a") < F.col("b")) & reachable(threshold) & likely).select("a", "b")
+    second = second.unionByName(third).distinct()
     more = space.keep(confirm(second, sets, threshold), "links-2")
     final = components(links.unionByName(more), space, "round-2")
+    # What is left to read are the prints and the last round.
+    space.drop("nodes", "shared", "members", "sets", "links-1", "held", "open", "marks", "links-2")
 
     nodes_of = named.join(final, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
     grouped = rows.join(nodes_of, "digest", "left")
