@@ -13,9 +13,11 @@ position so far, with where it came from; ties go to the longer last piece. A
 second fold walks back. A letter that is no piece is an edge below all others,
 written as the byte pieces of its UTF-8 form.
 
-Documents meet the encoded words again by word: words up to ``HOT_WORDS`` that
-occur most (a bounded table, broadcast) without moving the text, the rest by a
-shuffle of the rare occurrences alone.
+Tasks list the distinct words of their texts in Python, so that the shuffle
+gets a word once per task. Documents meet the encoded words again by word: up
+to ``HOT_WORDS`` words that occur most (a bounded table, broadcast) inside the
+tasks, without moving the text, the rest by a join of the rare occurrences
+alone.
 
 Defined results: a null or empty text has no words and no pieces; U+2581 in a
 text is taken as a space; repeated rows are encoded one by one; scores are
@@ -24,12 +26,25 @@ those of the model file, used as unigram scores whatever its kind.
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from millrace.llm.common import _arrow_schema, map_texts
 
 MARK = "▁"
+RUN = re.compile("  +")
 UNKNOWN_PENALTY = 10.0
-HOT_WORDS = 100_000
+HOT_WORDS = 300_000
+#: Words that a task lists before it hands them on.
+LISTED_WORDS = 400_000
+#: Tasks of the lattice for each shuffle partition; a word has some twenty edges.
+SPREAD = 8
 #: A hot word is at most this long, so the broadcast table is bounded in bytes too.
 HOT_CHARS = 64
 
@@ -48,12 +63,14 @@ def piece_table(spark: SparkSession, path: str) -> tuple[DataFrame, float, int,
     return spark.createDataFrame(rows, "piece string, id int, score double"), least - UNKNOWN_PENALTY, max(len(r[0]) for r in rows), first_byte
 
 
-def words(text: Column) -> Column:
-    """The words of a text as an array, without the first mark of each; one that begins with a line end has none."""
-    plain = F.concat(F.lit(" "), F.translate(text, MARK, " "))
-    runs = F.when(F.contains(plain, F.lit("  ")), F.regexp_replace(plain, "(?<= ) ", MARK)).otherwise(plain)
-    split = F.split(F.replace(runs, F.lit("\n"), F.lit(" \n")), " ")
-    return F.when(text == "", F.array().cast("array<string>")).otherwise(F.slice(split, 2, F.greatest(F.size(split) - 1, F.lit(0))))
+def words(text: str | None) -> list[str]:
+    """The words of a text, without the first mark of each; one that begins with a line end has none."""
+    if not text:
+        return []
+    text = text.replace(MARK, " ")
+    if "  " in text or text[0] == " ":
+        text = RUN.sub(lambda m: " " + MARK * (len(m.group()) - 1), " " + text)[1:]
+    return text.replace("\n", " \n").split(" ")
 
 
 def marked(word: Column) -> Column:
@@ -61,14 +78,15 @@ def marked(word: Column) -> Column:
 
 
 def edges(distinct: DataFrame, table: DataFrame, unknown: float, longest: int) -> DataFrame:
-    """(word, stop, start, score, id): the lattice of each word; id -1 for an unknown letter."""
-    shown = distinct.select("word", marked(F.col("word")).alias("s"))
-    at = shown.select("word", "s", F.explode(F.sequence(F.lit(0), F.length("s") - 1)).alias("start"))
-    cut = at.select("word", "s", "start", F.explode(F.sequence(F.lit(1), F.least(F.lit(longest), F.length("s") - F.col("start")))).alias("n"))
-    cut = cut.select("word", "start", "n", F.substring(F.col("s"), F.col("start") + 1, F.col("n")).alias("piece"))
-    found = cut.join(F.broadcast(table), "piece", "left").where("id IS NOT NULL OR n = 1")
+    """(word, n, stop, start, score, id): the lattice of each word; id -1 for an unknown letter."""
+    shown = distinct.select("word", "n", marked(F.col("word")).alias("s"))
+    at = shown.select("word", "n", "s", F.explode(F.sequence(F.lit(0), F.length("s") - 1)).alias("start"))
+    reach = F.least(F.lit(longest), F.length("s") - F.col("start"))
+    cut = at.select("word", "n", "s", "start", F.explode(F.sequence(F.lit(1), reach)).alias("size"))
+    cut = cut.select("word", "n", "start", "size", F.substring(F.col("s"), F.col("start") + 1, F.col("size")).alias("piece"))
+    found = cut.join(F.broadcast(table), "piece", "left").where("id IS NOT NULL OR size = 1")
     return found.select(
-        "word", (F.col("start") + F.col("n")).alias("stop"), "start", F.coalesce("score", F.lit(unknown)).alias("score"), F.coalesce("id", F.lit(-1)).alias("id")
+        "word", "n", (F.col("start") + F.col("size")).alias("stop"), "start", F.coalesce("score", F.lit(unknown)).alias("score"), F.coalesce("id", F.lit(-1)).alias("id")
     )
 
 
@@ -110,38 +128,69 @@ def bytes_of(letter: Column, first_byte: int) -> Column:
 
 
 def encode_words(distinct: DataFrame, spark: SparkSession, path: str) -> DataFrame:
-    """(word, ids): the pieces of each distinct word."""
+    """(word, n, ids): the pieces of each distinct word of ``distinct`` (word, n)."""
     table, unknown, longest, first_byte = piece_table(spark, path)
     lattice = edges(distinct, table, unknown, longest)
-    grouped = lattice.groupBy("word").agg(F.array_sort(F.collect_list(F.struct("stop", "start", "score", "id"))).alias("edges"))
-    folded = grouped.select("word", viterbi(F.col("edges")).alias("best"))
-    paths = folded.select("word", walked(F.col("best")).alias("path"))
+    grouped = lattice.groupBy("word", "n").agg(F.array_sort(F.collect_list(F.struct("stop", "start", "score", "id"))).alias("edges"))
+    folded = grouped.select("word", "n", viterbi(F.col("edges")).alias("best"))
+    paths = folded.select("word", "n", walked(F.col("best")).alias("path"))
     letter = lambda p: F.substring(marked(F.col("word")), p["start"] + 1, F.lit(1))
     own = F.transform("path", lambda p: F.when(p["id"] >= 0, F.array(p["id"])).otherwise(bytes_of(letter(p), first_byte)))
-    return paths.select("word", F.flatten(own).alias("ids"))
+    return paths.select("word", "n", F.flatten(own).alias("ids"))
 
 
-def decode_words(encoded: DataFrame, spark: SparkSession, path: str) -> DataFrame:
-    """``encoded`` (word, ids) with ``decoded``: the text of the ids, from the piece table.
-
-    Ids are exploded, joined to the table of all pieces and bytes, and put
-    together as bytes in order; the mark becomes a space.
-    """
+def piece_bytes(path: str) -> list[bytes]:
+    """The bytes that each id stands for."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
-    size = model.get_piece_size()
-    raw = [(i, bytes([int(model.id_to_piece(i)[3:5], 16)]) if model.is_byte(i) else model.id_to_piece(i).encode()) for i in range(size)]
-    table = spark.createDataFrame(raw, "id int, bytes binary")
-    parts = encoded.select("word", F.posexplode("ids").alias("at", "id")).join(F.broadcast(table), "id")
-    joined = parts.groupBy("word").agg(F.array_sort(F.collect_list(F.struct("at", "bytes"))).alias("parts"))
-    whole = F.aggregate("parts", F.lit(b""), lambda a, p: F.concat(a, p["bytes"]))
-    return encoded.join(joined.select("word", F.translate(F.decode(whole, "UTF-8"), MARK, " ").alias("decoded")), "word", "left")
+    each = [(model.id_to_piece(i), model.is_byte(i)) for i in range(model.get_piece_size())]
+    return [bytes([int(piece[3:5], 16)]) if is_byte else piece.encode() for piece, is_byte in each]
+
+
+def decode(encoded: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
+    """``encoded`` with ``out``, the text of each array of ids (null for null), a space for each mark."""
+    schema = T.StructType([f for f in encoded.schema.fields if f.name != out] + [T.StructField(out, T.StringType())])
+    arrow = _arrow_schema(schema)
+    held = encoded.sparkSession.sparkContext.broadcast(piece_bytes(path))
+    names = schema.names[:-1]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = held.value
+        for batch in batches:
+            arrays = batch.column(batch.schema.get_field_index(ids)).to_pylist()
+            text = [None if a is None else b"".join([table[i] for i in a]).decode("utf-8", "replace").replace(MARK, " ") for a in arrays]
+            old = [batch.column(batch.schema.get_field_index(c)).cast(arrow.field(c).type) for c in names]
+            yield pa.RecordBatch.from_arrays([*old, pa.array(text, pa.string())], schema=arrow)
+
+    return encoded.mapInArrow(run, schema)
 
 
 def distinct_words(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(word, n): every distinct word and how often it occurs."""
-    return docs.select(F.explode(words(F.col(text))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    """(word, n): every distinct word and how often it occurs, in many small partitions by word."""
+    schema = T.StructType.fromDDL("word string, n long")
+    arrow = _arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter = Counter()
+
+        def out():
+            found = list(seen.items())
+            seen.clear()
+            for at in range(0, len(found), 50_000):
+                part = found[at : at + 50_000]
+                yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in part], pa.string()), pa.array([n for _, n in part], pa.int64())], schema=arrow)
+
+        for batch in batches:
+            for t in batch.column(0).to_pylist():
+                seen.update(words(t))
+                if len(seen) > LISTED_WORDS:
+                    yield from out()
+        yield from out()
+
+    parts = SPREAD * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    listed = docs.select(text).mapInArrow(run, schema)
+    return listed.repartition(parts, "word").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def hot_bound(counted: DataFrame, most: int = HOT_WORDS) -> int:
@@ -156,61 +205,82 @@ def hot_bound(counted: DataFrame, most: int = HOT_WORDS) -> int:
     return bound
 
 
-def encode_rows(rows: DataFrame, lexicon: DataFrame, values: list[str], bound: int, keys: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Occurrences (keys, at, word's values): those of hot words, joined in place, and those of the others, by a shuffle.
+def lexicon(docs: DataFrame, space, path: str, text: str = "text", with_ids: bool = False) -> DataFrame:
+    """(word, n, pieces, hash, same) of all distinct words of ``docs``, as a written table.
 
-    ``rows`` hold keys and an array ``words``; ``lexicon`` holds word, n and values.
+    ``hash`` is one of the ids, ``same`` says whether they decode to the word;
+    ``with_ids`` adds the ids. Words stay where the lattice made them.
     """
-    met = rows.select(*keys, F.posexplode("words").alias("at", "word"))
-    is_hot = (F.col("n") >= bound) & (F.length("word") <= HOT_CHARS)
-    hot = lexicon.where(is_hot)
-    common = met.join(F.broadcast(hot.select("word", *values)), "word").select(*keys, "at", *values)
-    rest = met.join(F.broadcast(hot.select("word")), "word", "left_anti")
-    rare = rest.join(lexicon.where(~is_hot).select("word", *values), "word").select(*keys, "at", *values)
-    return common, rare
+    spark = docs.sparkSession
+    counted = distinct_words(docs, text)
+    encoded = encode_words(counted, spark, path)
+    own = F.translate(marked(F.col("word")), MARK, " ")
+    facts = [
+        F.size("ids").alias("pieces"), F.pmod(F.xxhash64("ids"), F.lit(2**31 - 1)).alias("hash"),
+        (F.col("decoded") == own).alias("same"),
+    ]
+    return space.keep(decode(encoded, path).select("word", "n", *facts, *(["ids"] if with_ids else [])), "lexicon")
 
 
-def lexicon(docs: DataFrame, space, path: str, text: str = "text") -> DataFrame:
-    """(word, n, ids) of all distinct words of ``docs``, as a written table."""
-    counted = distinct_words(docs, text)
-    return space.keep(counted.join(encode_words(counted.select("word"), docs.sparkSession, path), "word"), "lexicon")
+def hot_words(known: DataFrame) -> DataFrame:
+    """The most frequent words of a lexicon, ``HOT_WORDS`` at most, each of bounded length."""
+    return known.where((F.col("n") >= hot_bound(known, HOT_WORDS)) & (F.length("word") <= HOT_CHARS))
 
 
 def encode(docs: DataFrame, space, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: ``key`` and ``ids``, the pieces of its text in order (empty without words)."""
-    known = lexicon(docs, space, path, text)
-    rows = docs.select(F.col(key).alias("id"), F.monotonically_increasing_id().alias("row"), words(F.coalesce(text, F.lit(""))).alias("words"))
-    common, rare = encode_rows(rows, known, ["ids"], hot_bound(known), ["row"])
-    parts = common.unionByName(rare).groupBy("row").agg(F.array_sort(F.collect_list(F.struct("at", "ids"))).alias("parts"))
+    """Per row: ``key`` and ``ids``, the pieces of its text in order (empty without words).
+
+    Every occurrence of a word is joined to its ids and gathered by row.
+    """
+    known = lexicon(docs, space, path, text, with_ids=True)
+    split = map_texts(docs.select(key, text), lambda: lambda texts: [[words(t) for t in texts]], "__words array<string>", [key], text)
+    rows = space.keep(split.withColumn("__row", F.monotonically_increasing_id()), "words")
+    met = rows.select("__row", F.posexplode("__words").alias("at", "word"))
+    parts = met.join(known.select("word", "ids"), "word").groupBy("__row").agg(F.array_sort(F.collect_list(F.struct("at", "ids"))).alias("parts"))
     ids = F.coalesce(F.flatten(F.transform("parts", lambda p: p["ids"])), F.array().cast("array<int>"))
-    return rows.select("id", "row").join(parts, "row", "left").select(F.col("id").alias(key), ids.alias("ids"))
+    return rows.join(parts, "__row", "left").select(key, ids.alias("ids"))
+
+
+DIGEST = "n_words long, n_pieces long, ids_digest long, same boolean, rare array<struct<at:long,word:string>>"
 
 
 def digests(docs: DataFrame, space, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: ``key``, ``n_words``, ``n_pieces``, ``ids_digest`` and ``round_trip`` (its words' pieces decode to them).
 
     The digest is the sum over words of a hash of their pieces times their
-    place, so it sees the order of words. It combines before the shuffle.
+    place, so it sees the order of words.
     """
     spark = docs.sparkSession
-    counted = space.keep(distinct_words(docs, text), "words")
-    encoded = space.keep(encode_words(counted.select("word"), spark, path), "encoded")
-    decoded = decode_words(encoded, spark, path)
-    own = F.translate(marked(F.col("word")), MARK, " ")
-    facts = decoded.select(
-        "word", F.size("ids").alias("pieces"), F.pmod(F.xxhash64("ids"), F.lit(2**31 - 1)).alias("hash"), (F.coalesce("decoded", F.lit("")) == own).alias("same")
-    )
-    known = space.keep(counted.join(facts, "word"), "facts")
-    rows = docs.select(F.col(key).alias("id"), F.monotonically_increasing_id().alias("row"), words(F.coalesce(text, F.lit(""))).alias("words"))
-    common, rare = encode_rows(rows, known, ["pieces", "hash", "same"], hot_bound(known), ["row"])
-    sums = [
-        F.count("*").alias("n_words"), F.sum("pieces").alias("n_pieces"),
-        F.sum(F.col("hash") * (F.col("at") % 65536 + 1)).alias("ids_digest"), F.min("same").alias("round_trip"),
-    ]
-    one = lambda c: c.groupBy("row").agg(*sums)
-    both = one(common).unionByName(one(rare)).groupBy("row").agg(
-        *[F.sum(c).alias(c) for c in ("n_words", "n_pieces", "ids_digest")], F.min("round_trip").alias("round_trip")
+    known = lexicon(docs, space, path, text)
+    hot = hot_words(known).select("word", "pieces", "hash", "same").toArrow()  # bounded by HOT_WORDS and HOT_CHARS
+    held = spark.sparkContext.broadcast(hot)
+
+    def make():
+        names, pieces, hashes, same = (c.to_pylist() for c in held.value.columns)
+        common = {w: (p, h, s) for w, p, h, s in zip(names, pieces, hashes, same, strict=True)}
+
+        def one(text):
+            n = total = digest = 0
+            ok, rare = True, []
+            for at, word in enumerate(words(text), 1):
+                found = common.get(word)
+                if found is None:
+                    rare.append({"at": at, "word": word})
+                else:
+                    total += found[0]
+                    digest += found[1] * (at % 65536)
+                    ok = ok and found[2]
+                n = at
+            return n, total, digest, ok, rare
+
+        return lambda texts: list(zip(*map(one, texts), strict=True))
+
+    met = map_texts(docs.select(F.col(key).alias("__id"), text), make, DIGEST, ["__id"], text)
+    met = space.keep(met.withColumn("__row", F.monotonically_increasing_id()), "met")
+    rare = met.select("__row", F.inline("rare")).join(known, "word").groupBy("__row").agg(
+        F.sum("pieces").alias("more"), F.sum(F.col("hash") * (F.col("at") % 65536)).alias("digest"), F.min("same").alias("also")
     )
-    zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
-    out = rows.select("id", "row").join(both, "row", "left")
-    return out.select(F.col("id").alias(key), zero("n_words"), zero("n_pieces"), zero("ids_digest"), F.coalesce("round_trip", F.lit(True)).alias("round_trip"))
+    plus = lambda c, d: (F.col(c) + F.coalesce(d, F.lit(0))).alias(c)
+    out = met.drop("rare").join(rare, "__row", "left")
+    trip = (F.col("same") & F.coalesce("also", F.lit(True))).alias("round_trip")
+    return out.select(F.col("__id").alias(key), "n_words", plus("n_pieces", "more"), plus("ids_digest", "digest"), trip)

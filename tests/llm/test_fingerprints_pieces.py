@@ -131,7 +131,7 @@ def test_same_as_the_library(spark, vocabulary):
     model.trainer_spec.model_type = 1
     library = sentencepiece.SentencePieceProcessor(model_proto=model.SerializeToString())
     words = {w for i in range(8) for w in prose(i, 40).split()}
-    got = pieces.encode_words(spark.createDataFrame([(w,) for w in words], "word string"), spark, queries.pieces_path()).collect()
+    got = pieces.encode_words(spark.createDataFrame([(w, 1) for w in words], "word string, n long"), spark, queries.pieces_path()).collect()
     for r in got:
         assert list(r.ids) == library.nbest_encode_as_ids(r.word, 2)[0]
 
