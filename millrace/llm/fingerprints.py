@@ -45,15 +45,15 @@ def draws(spark: SparkSession, terms: int = TERMS, samples: int = SAMPLES) -> Da
     each = F.sequence(F.lit(0), F.lit(samples - 1))
     return spark.range(terms).select(F.col("id").cast("int").alias("term")).select(
         "term",
-        F.transform(each, lambda k: gamma(k, 1)).alias("r"),
-        F.transform(each, lambda k: F.log(gamma(k, 3))).alias("lc"),
-        F.transform(each, lambda k: uniform(k, 5)).alias("b"),
+        F.transform(each, lambda k: gamma(k, 1).cast("float")).alias("r"),
+        F.transform(each, lambda k: F.log(gamma(k, 3)).cast("float")).alias("lc"),
+        F.transform(each, lambda k: uniform(k, 5).cast("float")).alias("b"),
     )
 
 
 def sample(k: int) -> Column:
     """The long whose minimum over a document's terms is its sample ``k``; columns lw, r, lc, b, term."""
-    r, lc, b = (F.col(c).getItem(k) for c in ("r", "lc", "b"))
+    r, lc, b = (F.col(c).getItem(k).cast("double") for c in ("r", "lc", "b"))
     t = F.floor(F.col("lw") / r + b)
     la = lc - r * (t - b) - r
     high = F.floor((F.greatest(F.lit(-LOW), F.least(F.lit(LOW), la)) + LOW) * float(2**STEPS))
