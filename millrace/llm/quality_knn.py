@@ -169,13 +169,17 @@ def vote(model: Model, vectors: np.ndarray) -> np.ndarray:
 
 
 def sample_rows(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> DataFrame:
-    """At most ``most`` labelled documents (text, label), those of least id hash."""
+    """At most ``most`` labelled documents (text, label), those of least id hash.
+
+    Twice as many labels are looked up, so labels without a document do not
+    thin the sample; that table is bounded and goes to the documents, which
+    stay where they are.
+    """
     usable = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("label"))
-    present = docs.select("doc_id").distinct()
-    usable = usable.join(present, "doc_id", "left_semi")
-    picked = usable.orderBy(F.md5(F.col("doc_id").cast("string").cast("binary")), "doc_id").limit(most)
-    # Bounded by ``most`` rows of an id and a label.
-    return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    order = F.md5(F.col("doc_id").cast("string").cast("binary"))
+    picked = usable.withColumn("place", order).orderBy("place", "doc_id").limit(2 * most)
+    met = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
+    return met.groupBy("place", "doc_id", "label").agg(F.min("text").alias("text")).orderBy("place", "doc_id").limit(most).drop("place")
 
 
 FIELDS = "terms array<int>, logs array<float>, form array<int>, weights array<float>"
