@@ -40,9 +40,9 @@ from millrace.llm.common import _arrow_schema, map_texts
 MARK = "▁"
 RUN = re.compile("  +")
 UNKNOWN_PENALTY = 10.0
-HOT_WORDS = 300_000
+HOT_WORDS = 200_000
 #: Words that a task lists before it hands them on.
-LISTED_WORDS = 400_000
+LISTED_WORDS = 250_000
 #: Tasks of the lattice for each shuffle partition; a word has some twenty edges.
 SPREAD = 8
 #: A hot word is at most this long, so the broadcast table is bounded in bytes too.
