@@ -483,6 +483,7 @@ def event_date_id(t):
         F.dayofweek("ts").alias("start_dayofweek"),
         F.dayofyear("ts").alias("start_dayofyear"),
     ).dropDuplicates(["user_id", "ts", "event_id"])
+    days = t.workspace().keep(days, "days")
     return numbered(days, ["user_id"], "ts", "event_id", "event_date_id").drop("ts")
 
 
