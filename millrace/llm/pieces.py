@@ -15,9 +15,10 @@ written as the byte pieces of its UTF-8 form.
 
 Tasks list the distinct words of their texts in Python, so that the shuffle
 gets a word once per task. Documents meet the encoded words again by word: up
-to ``HOT_WORDS`` words that occur most (a bounded table, broadcast) inside the
-tasks, without moving the text, the rest by a join of the rare occurrences
-alone.
+to ``HOT_WORDS`` words that occur most are a bounded table, broadcast; the
+others are joined once per document and travel to it with their ids. There
+each document gets its ids in order, the ids alone are decoded, and the text
+that comes out is compared with the document.
 
 Defined results: a null or empty text has no words and no pieces; U+2581 in a
 text is taken as a space; repeated rows are encoded one by one; scores are
@@ -30,12 +31,13 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import _arrow_schema, map_texts
+from millrace.llm.common import _arrow_schema, chunks, map_texts
 
 MARK = "▁"
 RUN = re.compile("  +")
@@ -148,6 +150,11 @@ def piece_bytes(path: str) -> list[bytes]:
     return [bytes([int(piece[3:5], 16)]) if is_byte else piece.encode() for piece, is_byte in each]
 
 
+def text_of(ids: list[int], table: list[bytes]) -> str:
+    """The text that ids stand for, a space for each mark."""
+    return b"".join(map(table.__getitem__, ids)).decode("utf-8", "replace").replace(MARK, " ")
+
+
 def decode(encoded: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """``encoded`` with ``out``, the text of each array of ids (null for null), a space for each mark."""
     schema = T.StructType([f for f in encoded.schema.fields if f.name != out] + [T.StructField(out, T.StringType())])
@@ -159,7 +166,7 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", out: str = "decoded"
         table = held.value
         for batch in batches:
             arrays = batch.column(batch.schema.get_field_index(ids)).to_pylist()
-            text = [None if a is None else b"".join([table[i] for i in a]).decode("utf-8", "replace").replace(MARK, " ") for a in arrays]
+            text = [None if a is None else text_of(a, table) for a in arrays]
             old = [batch.column(batch.schema.get_field_index(c)).cast(arrow.field(c).type) for c in names]
             yield pa.RecordBatch.from_arrays([*old, pa.array(text, pa.string())], schema=arrow)
 
@@ -205,21 +212,9 @@ def hot_bound(counted: DataFrame, most: int = HOT_WORDS) -> int:
     return bound
 
 
-def lexicon(docs: DataFrame, space, path: str, text: str = "text", with_ids: bool = False) -> DataFrame:
-    """(word, n, pieces, hash, same) of all distinct words of ``docs``, as a written table.
-
-    ``hash`` is one of the ids, ``same`` says whether they decode to the word;
-    ``with_ids`` adds the ids. Words stay where the lattice made them.
-    """
-    spark = docs.sparkSession
-    counted = distinct_words(docs, text)
-    encoded = encode_words(counted, spark, path)
-    own = F.translate(marked(F.col("word")), MARK, " ")
-    facts = [
-        F.size("ids").alias("pieces"), F.pmod(F.xxhash64("ids"), F.lit(2**31 - 1)).alias("hash"),
-        (F.col("decoded") == own).alias("same"),
-    ]
-    return space.keep(decode(encoded, path).select("word", "n", *facts, *(["ids"] if with_ids else [])), "lexicon")
+def lexicon(docs: DataFrame, space, path: str, text: str = "text") -> DataFrame:
+    """(word, n, ids) of all distinct words of ``docs``, as a written table."""
+    return space.keep(encode_words(distinct_words(docs, text), docs.sparkSession, path), "lexicon")
 
 
 def hot_words(known: DataFrame) -> DataFrame:
@@ -227,60 +222,72 @@ def hot_words(known: DataFrame) -> DataFrame:
     return known.where((F.col("n") >= hot_bound(known, HOT_WORDS)) & (F.length("word") <= HOT_CHARS))
 
 
-def encode(docs: DataFrame, space, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: ``key`` and ``ids``, the pieces of its text in order (empty without words).
+def packed(lists: pa.ListArray) -> list[bytes]:
+    """Each list of ids as bytes."""
+    raw = np.asarray(lists.values, dtype=np.int32).tobytes()
+    ends = (4 * lists.offsets.to_numpy().astype(np.int64)).tolist()
+    return [raw[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+
 
-    Every occurrence of a word is joined to its ids and gathered by row.
+def encoded(docs: DataFrame, space, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per row: ``key``, ``n_words``, ``ids`` and ``round_trip`` (the ids decode to the text).
+
+    Rare words come to a row by a hash of its key and text. Rows that share the
+    hash get each other's words too, which changes nothing.
     """
-    known = lexicon(docs, space, path, text, with_ids=True)
-    split = map_texts(docs.select(key, text), lambda: lambda texts: [[words(t) for t in texts]], "__words array<string>", [key], text)
-    rows = space.keep(split.withColumn("__row", F.monotonically_increasing_id()), "words")
-    met = rows.select("__row", F.posexplode("__words").alias("at", "word"))
-    parts = met.join(known.select("word", "ids"), "word").groupBy("__row").agg(F.array_sort(F.collect_list(F.struct("at", "ids"))).alias("parts"))
-    ids = F.coalesce(F.flatten(F.transform("parts", lambda p: p["ids"])), F.array().cast("array<int>"))
-    return rows.join(parts, "__row", "left").select(key, ids.alias("ids"))
+    spark = docs.sparkSession
+    known = lexicon(docs, space, path, text).select("word", "n", "ids")
+    hot = hot_words(known).select("word", "ids").toArrow().combine_chunks()  # bounded by HOT_WORDS and HOT_CHARS
+    held = spark.sparkContext.broadcast((hot, piece_bytes(path)))
+    rows = docs.select(F.xxhash64(key, text).alias("__row"), F.col(key).alias("__id"), F.col(text).alias("__text"))
+
+    def rare():
+        common = set(held.value[0].column("word").to_pylist())
+        return lambda texts: [[list(set(words(t)) - common) for t in texts]]
+
+    asked = map_texts(rows, rare, "__words array<string>", ["__row"], "__text").select("__row", F.explode("__words").alias("word"))
+    found = asked.join(known.drop("n"), "word").groupBy("__row").agg(F.collect_set(F.struct("word", "ids")).alias("found"))
+    met = rows.join(found, "__row", "left").select("__id", "__text", F.col("found.word").alias("words"), F.col("found.ids").alias("ids"))
+    schema = T.StructType([rows.schema["__id"], *T.StructType.fromDDL("n_words long, ids array<int>, round_trip boolean").fields])
+    arrow = _arrow_schema(schema)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hot, table = held.value
+        common = {}
+        for batch in hot.to_batches():
+            common.update(zip(batch.column(0).to_pylist(), packed(batch.column(1)), strict=True))
+        seen = dict(common)
+        for batch in batches:
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            names, own = batch.column(2), batch.column(3)
+            names, at = names.values.to_pylist(), names.offsets.to_pylist()
+            own, own_at = packed(own.values), own.offsets.to_pylist()
+            for part in chunks(texts):
+                counts, joined, same = [], [], []
+                for i in range(part.start, part.stop):
+                    if len(seen) > len(common) + LISTED_WORDS:
+                        seen = dict(common)
+                    seen.update(zip(names[at[i] : at[i + 1]], own[own_at[i] : own_at[i + 1]], strict=True))
+                    split = words(texts[i])
+                    raw = b"".join(map(seen.__getitem__, split))
+                    counts.append(len(split))
+                    joined.append(raw)
+                    text = " " + texts[i].replace(MARK, " ") if texts[i] else ""  # a text begins with a mark
+                    same.append(text_of(np.frombuffer(raw, np.int32).tolist(), table) == text)
+                ends = np.cumsum([0] + [len(raw) // 4 for raw in joined]).astype(np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(joined), np.int32)))
+                old = batch.column(0).slice(part.start, part.stop - part.start).cast(arrow.field(0).type)
+                yield pa.RecordBatch.from_arrays([old, pa.array(counts, pa.int64()), ids.cast(arrow.field(2).type), pa.array(same)], schema=arrow)
+
+    return met.mapInArrow(run, schema).withColumnRenamed("__id", key)
 
-DIGEST = "n_words long, n_pieces long, ids_digest long, same boolean, rare array<struct<at:long,word:string>>"
 
+def encode(docs: DataFrame, space, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per row: ``key`` and ``ids``, the pieces of its text in order (empty without words)."""
+    return encoded(docs, space, path, key, text).select(key, "ids")
 
-def digests(docs: DataFrame, space, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: ``key``, ``n_words``, ``n_pieces``, ``ids_digest`` and ``round_trip`` (its words' pieces decode to them).
 
-    The digest is the sum over words of a hash of their pieces times their
-    place, so it sees the order of words.
-    """
-    spark = docs.sparkSession
-    known = lexicon(docs, space, path, text)
-    hot = hot_words(known).select("word", "pieces", "hash", "same").toArrow()  # bounded by HOT_WORDS and HOT_CHARS
-    held = spark.sparkContext.broadcast(hot)
-
-    def make():
-        names, pieces, hashes, same = (c.to_pylist() for c in held.value.columns)
-        common = {w: (p, h, s) for w, p, h, s in zip(names, pieces, hashes, same, strict=True)}
-
-        def one(text):
-            n = total = digest = 0
-            ok, rare = True, []
-            for at, word in enumerate(words(text), 1):
-                found = common.get(word)
-                if found is None:
-                    rare.append({"at": at, "word": word})
-                else:
-                    total += found[0]
-                    digest += found[1] * (at % 65536)
-                    ok = ok and found[2]
-                n = at
-            return n, total, digest, ok, rare
-
-        return lambda texts: list(zip(*map(one, texts), strict=True))
-
-    met = map_texts(docs.select(F.col(key).alias("__id"), text), make, DIGEST, ["__id"], text)
-    met = space.keep(met.withColumn("__row", F.monotonically_increasing_id()), "met")
-    rare = met.select("__row", F.inline("rare")).join(known, "word").groupBy("__row").agg(
-        F.sum("pieces").alias("more"), F.sum(F.col("hash") * (F.col("at") % 65536)).alias("digest"), F.min("same").alias("also")
-    )
-    plus = lambda c, d: (F.col(c) + F.coalesce(d, F.lit(0))).alias(c)
-    out = met.drop("rare").join(rare, "__row", "left")
-    trip = (F.col("same") & F.coalesce("also", F.lit(True))).alias("round_trip")
-    return out.select(F.col("__id").alias(key), "n_words", plus("n_pieces", "more"), plus("ids_digest", "digest"), trip)
+def digests(docs: DataFrame, space, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per row of :func:`encoded`: ``key``, ``n_words``, ``n_pieces``, ``ids_digest`` (xxhash64 of its ids) and ``round_trip``."""
+    facts = [F.size("ids").cast("long").alias("n_pieces"), F.xxhash64("ids").alias("ids_digest")]
+    return encoded(docs, space, path, key, text).select(key, "n_words", *facts, "round_trip")

@@ -151,3 +151,20 @@ def test_hot_and_rare_words_agree(spark, space, monkeypatch):
     want = sorted(map(tuple, pieces.digests(docs, space, queries.pieces_path()).collect()))
     monkeypatch.setattr(pieces, "HOT_CHARS", 4)
     assert sorted(map(tuple, pieces.digests(docs, space, queries.pieces_path()).collect())) == want
+
+
+def test_digest_is_of_the_ids(spark, rows, vocabulary):
+    """The query's numbers are those of each document's own ids, from first to last."""
+    texts = [(i, t) for i, t in rows if i is not None and len(t or "") < 3000 and i != 107] + list(enumerate(TEXTS, 1000))
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    got = {r.doc_id: (r.n_pieces, r.ids_digest) for r in pieces.digests(docs, Workspace(spark), queries.pieces_path()).collect()}
+    ids = spark.createDataFrame([(i, whole(t or "", *vocabulary)) for i, t in texts], "doc_id long, ids array<int>")
+    assert got == {r[0]: (r[1], r[2]) for r in ids.selectExpr("doc_id", "size(ids)", "xxhash64(ids)").collect()}
+
+
+def test_round_trip_sees_the_document(spark, monkeypatch):
+    """Words that each decode well do not make a round trip where the document has another text."""
+    docs = spark.createDataFrame([(0, "one two three"), (1, "one")], "doc_id long, text string")
+    monkeypatch.setattr(pieces, "words", lambda text: text.split(" ")[:2])
+    got = {r.doc_id: r.round_trip for r in pieces.digests(docs, Workspace(spark), queries.pieces_path()).collect()}
+    assert got == {0: False, 1: True}
