@@ -201,9 +201,14 @@ def distinct_words(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def hot_bound(counted: DataFrame, most: int = HOT_WORDS) -> int:
-    """The least count that at most ``most`` words reach; from one row per count up to 1,000."""
-    per_count = counted.groupBy(F.least("n", F.lit(1000)).alias("c")).agg(F.count("*").alias("words")).orderBy(F.desc("c")).collect()
-    total, bound = 0, 1001
+    """The least count that at most ``most`` words reach; above all counts where the top one has more.
+
+    From one row per count up to 1,023 and per 512th of a power of two beyond,
+    so the driver gets some thousands of rows however large the counts are.
+    """
+    rounded = F.expr("n - n % shiftleft(1L, greatest(0, length(bin(n)) - 10))")
+    per_count = counted.groupBy(rounded.alias("c")).agg(F.count("*").alias("words")).orderBy(F.desc("c")).collect()
+    total, bound = 0, 2**63 - 1
     for row in per_count:
         total += row["words"]
         if total > most:

@@ -168,3 +168,12 @@ def test_round_trip_sees_the_document(spark, monkeypatch):
     monkeypatch.setattr(pieces, "words", lambda text: text.split(" ")[:2])
     got = {r.doc_id: r.round_trip for r in pieces.digests(docs, Workspace(spark), queries.pieces_path()).collect()}
     assert got == {0: False, 1: True}
+
+
+@pytest.mark.parametrize("counts", [range(1, 3000), range(1000, 5000), [10**9 + i * 10**7 for i in range(500)], [7000] * 400, [1] * 50])
+def test_hot_words_are_bounded(spark, monkeypatch, counts):
+    known = spark.createDataFrame([(f"w{i}", n) for i, n in enumerate(counts)], "word string, n long").coalesce(1)
+    monkeypatch.setattr(pieces, "HOT_WORDS", 300)
+    got = sorted((r.n for r in pieces.hot_words(known).collect()), reverse=True)
+    assert len(got) <= 300 and got == sorted(counts, reverse=True)[: len(got)]
+    assert len(got) >= 290 or len(set(counts)) == 1  # close to the bound where counts differ
