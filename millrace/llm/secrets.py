@@ -38,7 +38,8 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 ASSIGN_LEAST = 12
 ASSIGN_WORDS = ("password", "passwd", "secret", "token", "api_key", "apikey")
 
-TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+#: ``=`` belongs to a token as its last padding only, so the value of ``name=value`` is a token of its own.
+TOKEN = re.compile(r"[A-Za-z0-9+/_-]{20,}(?:={1,2}(?![A-Za-z0-9+/_=-]))?")
 #: Encodings from narrow to wide: the first whose alphabet holds a token is its own.
 ALPHABETS = {
     "lower": "abcdefghijklmnopqrstuvwxyz",
@@ -92,9 +93,7 @@ def encoding(token: str) -> str:
 
 def randomness(token: str) -> tuple[str, float]:
     """Encoding and the p-value of "each symbol drawn evenly and on its own"."""
-    token = token.rstrip("=") or token
-    if "=" in token:
-        return "mixed", 0.0
+    token = token.rstrip("=")
     name = encoding(token)
     order, size, n = _ORDERS[name], len(ALPHABETS[name]), len(token)
     x = np.fromiter((order[c] for c in token), dtype=np.float64, count=n)

@@ -133,3 +133,32 @@ def test_redaction(spark, odd, none):
     clashing = odd.withColumnsRenamed({"row": "n_hex", "start": "base", "key": "found"})
     assert bag(secrets.redact(clashing, Workspace(spark)).collect()) == bag(clashing.collect())
     assert secrets.redact(none, Workspace(spark)).collect() == [] == secrets.find(none, Workspace(spark)).collect()
+
+
+def drawn(r, n, name="base62"):
+    return "".join(r.choice(secrets.ALPHABETS[name]) for _ in range(n))
+
+
+def hits(spark, rows, tokens):
+    """Of ``tokens`` (id, token), the ids in whose text the token itself was found as random."""
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.found for r in secrets.find(docs, Workspace(spark)).collect()}
+    texts = dict(rows)
+    return {i for i, token in tokens if any(s.kind == 3 and texts[i][s.start : s.end] == token for s in found[i])}
+
+
+def test_values_after_an_equals_sign(spark):
+    r = random.Random(5)
+    forms = ["AWS_SECRET_ACCESS_KEY={}", "auth={}", "see https://x.org/a?sig={}&x=1", "private_key={};", "{}=="]
+    rows, tokens = [], []
+    for i in range(200):
+        key, form = drawn(r, 40), forms[i % 5]
+        tokens.append((i, key + "==" if form == "{}==" else key))
+        rows.append((i, f"{prose(i, 20)} {form.format(key)} {prose(i + 1, 5)}"))
+    rows += [(1000 + i, f"{prose(i, 9)} some_long_identifier_name_{i:03d}=path/to/some/file/number{i:03d}") for i in range(200)]
+    got = hits(spark, rows, tokens)
+    assert len(got) >= 180 and all(sum(i % 5 == k for i in got) >= 30 for k in range(5))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = {r.doc_id: r.text for r in secrets.redact(docs, Workspace(spark)).collect()}
+    assert all(token not in left[i] for i, token in tokens if i in got)
+    assert sum("[random]" in left[1000 + i] for i in range(200)) <= 10
