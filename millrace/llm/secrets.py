@@ -5,12 +5,17 @@ tokens are tested for randomness over the alphabet of their inferred encoding:
 chi-squared uniformity, runs above and below the middle of the alphabet, and
 lag-one serial correlation, joined by Fisher's method into one p-value of
 "drawn at random". Random tokens have even p-values, ordinary ones p-values
-near 0. So for each encoding and length class the corpus-wide histogram of
-p-values tells how many ordinary tokens lie above a threshold (all above it,
-less the random ones that the even upper part predicts). The lowest threshold
-whose false share is within ``rate`` is used for that class, so short tokens,
-where the tests are weak, meet a stricter one. A class that is known to hold
-ordinary tokens counts a part of one more as false, which guards small classes.
+near 0. So for each encoding and length class the corpus-wide histogram of the
+p-values of distinct tokens tells how many ordinary ones lie above a threshold
+(all above it, less the random ones that the even upper part predicts); copies
+of a token say nothing new and count once. The lowest threshold whose false
+share is within ``rate`` is used for that class, so short tokens, where the
+tests are weak, meet a stricter one. A class that is known to hold ordinary
+tokens counts a part of one more as false, which guards small classes. A class
+of so few distinct tokens that all of them could lie in the lower half by
+chance cannot tell on its own: there a token is random if at most a share of
+``rate`` of the ordinary ones in the other classes of its length or shorter
+reaches its p-value and the tests do not reject it at the level ``rate``.
 
 Defined results: a null text is an empty one, with no spans and the hash of an
 empty string; repeated rows are scanned one by one.
@@ -122,21 +127,25 @@ def length_class(n: int) -> int:
     return 0 if n < 24 else 1 + int(2 * math.log2(n / 24))
 
 
-def candidates(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, str, int]]:
-    """(start, end, class, p bin) of long tokens that touch no base span."""
+def token_hash(token: str) -> int:
+    return int.from_bytes(hashlib.blake2b(token.rstrip("=").encode(), digest_size=8).digest(), "big", signed=True)
+
+
+def candidates(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, str, int, int]]:
+    """(start, end, class, p bin, hash) of long tokens that touch no base span."""
     found = []
     for m in TOKEN.finditer(text):
         start, end = m.span()
         if any(s < end and start < e for s, _, e in taken):
             continue
         name, p = randomness(m.group())
-        found.append((start, end, f"{name}/{length_class(end - start)}", min(BINS - 1, int(p * BINS))))
+        found.append((start, end, f"{name}/{length_class(end - start)}", min(BINS - 1, int(p * BINS)), token_hash(m.group())))
     return found
 
 
 SCAN = (
     "n_assign long, n_access long, n_hex long, base_sha256 string, "
-    "base array<struct<start:long,kind:int,end:long>>, tokens array<struct<start:long,end:long,class:string,bin:int>>"
+    "base array<struct<start:long,kind:int,end:long>>, tokens array<struct<start:long,end:long,class:string,bin:int,hash:long>>"
 )
 
 
@@ -155,7 +164,7 @@ def scan(df: DataFrame, keep=("doc_id",), text: str = "text") -> DataFrame:
                     *(kinds.count(k) for k in range(3)),
                     hashlib.sha256(joined.encode()).hexdigest(),
                     [{"start": s, "kind": k, "end": e} for s, k, e in spans],
-                    [{"start": s, "end": e, "class": c, "bin": b} for s, e, c, b in candidates(text, spans)],
+                    [{"start": s, "end": e, "class": c, "bin": b, "hash": h} for s, e, c, b, h in candidates(text, spans)],
                 )
                 for col, value in zip(cols, row, strict=True):
                     col.append(value)
@@ -166,23 +175,47 @@ def scan(df: DataFrame, keep=("doc_id",), text: str = "text") -> DataFrame:
     return map_texts(df, make, SCAN, keep, text)
 
 
+def ordinary_tail(per_bin: np.ndarray) -> np.ndarray:
+    """How many ordinary tokens lie in each bin or above."""
+    above = per_bin[::-1].cumsum()[::-1]
+    even = above[MIDDLE_BIN] / (BINS - MIDDLE_BIN)  # random tokens per bin
+    return above - even * np.arange(BINS, 0, -1)
+
+
+def own_threshold(per_bin: np.ndarray, rate: float) -> int:
+    """The lowest bin from which on at most a share of ``rate`` of the class's tokens is ordinary."""
+    above, false = per_bin[::-1].cumsum()[::-1], ordinary_tail(per_bin)
+    false = false + max(0.0, false[0]) / above[0]  # the pseudo-count for small classes
+    return next((b for b in range(LEAST_BIN, BINS) if above[b] and false[b] <= rate * above[b]), BINS)
+
+
+def lent_threshold(others: np.ndarray, rate: float) -> int:
+    """The lowest bin, from a p-value of ``rate`` on, that at most a share of ``rate`` of other classes' ordinary tokens reaches."""
+    tail, least = ordinary_tail(others), max(LEAST_BIN, round(rate * BINS))
+    return next((b for b in range(least, BINS) if tail[b] <= rate * max(0.0, tail[0])), BINS) if tail[0] > 0 else least
+
+
 def thresholds(scanned: DataFrame, rate: float = FALSE_RATE) -> dict[str, int]:
-    """Per class the lowest p bin that counts as random, from all tokens of the corpus.
+    """Per class the lowest p bin that counts as random, from all distinct tokens of the corpus.
 
-    The driver gets one row per class and bin: encodings x length classes x
-    ``BINS``, however large the corpus.
+    Copies of a token go before the shuffle, within a task. The driver gets one
+    row per class and bin: encodings x length classes x ``BINS``, however large
+    the corpus.
     """
-    seen = scanned.select(F.explode("tokens").alias("t")).groupBy("t.class", "t.bin").count().collect()
+    tokens = scanned.select(F.explode("tokens").alias("t")).select("t.class", "t.bin", "t.hash").distinct()
+    seen = tokens.groupBy("class", "bin").count().collect()
     counts: dict[str, np.ndarray] = {}
     for name, at, n in seen:
         counts.setdefault(name, np.zeros(BINS))[at] = n
+    length = lambda name: int(name.rpartition("/")[2])
+    large = {name: per_bin for name, per_bin in counts.items() if 0.5 ** per_bin.sum() <= rate}
     chosen = {}
     for name, per_bin in counts.items():
-        above = per_bin[::-1].cumsum()[::-1]
-        even = above[MIDDLE_BIN] / (BINS - MIDDLE_BIN)  # random tokens per bin
-        ordinary = max(0.0, above[0] - even * BINS) / above[0]  # also the pseudo-count for small classes
-        false = above - even * np.arange(BINS, 0, -1) + ordinary
-        chosen[name] = next((b for b in range(LEAST_BIN, BINS) if above[b] and false[b] <= rate * above[b]), BINS)
+        if name in large:
+            chosen[name] = own_threshold(per_bin, rate)
+        else:
+            others = [other for key, other in large.items() if length(key) <= length(name)]
+            chosen[name] = lent_threshold(np.sum(others, axis=0) if others else np.zeros(BINS), rate)
     return chosen
 
 

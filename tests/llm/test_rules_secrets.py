@@ -162,3 +162,34 @@ def test_values_after_an_equals_sign(spark):
     left = {r.doc_id: r.text for r in secrets.redact(docs, Workspace(spark)).collect()}
     assert all(token not in left[i] for i, token in tokens if i in got)
     assert sum("[random]" in left[1000 + i] for i in range(200)) <= 10
+
+
+def with_p(r, low, high, n=32):
+    """A base62 token whose p-value lies between two bounds."""
+    while True:
+        token = drawn(r, n)
+        name, p = secrets.randomness(token)
+        if name == "base62" and low <= p < high:
+            return token
+
+
+@pytest.mark.parametrize("low, high", [(0.25, 0.35), (0.6, 0.9)])
+def test_copies_of_a_token_do_not_move_the_threshold(spark, low, high):
+    r = random.Random(6)
+    tokens = [(i, drawn(r, 32)) for i in range(100)]
+    plain = [(100 + i, f"NanaNanaNanaNanaNanaNanaNan{i:05d}") for i in range(100)]
+    copied = with_p(r, low, high)
+    rows = [(i, f"{prose(i, 9)} {t} {prose(i, 3)}") for i, t in tokens + plain]
+    once, often = ([*rows, *((1000 + i, f"{prose(i, 4)} {copied} end") for i in range(n))] for n in (1, 100))
+    few = hits(spark, once, tokens + plain)
+    assert len(few & set(range(100))) >= 85 and len(few - set(range(100))) <= 5
+    assert hits(spark, often, tokens + plain) == few
+
+
+def test_class_of_one_token(spark):
+    r = random.Random(7)
+    lone = (0, with_p(r, 0.2, 0.4))
+    assert hits(spark, [(0, f"a {lone[1]} b")], [lone]) == {0}
+    plain = [(1 + i, f"some_long_identifier_name_{i:03d}") for i in range(200)]
+    rows = [(i, f"a {t} b") for i, t in [lone, *plain]] + [(999, "LongOrdinaryNameWithNumber0000001")]
+    assert hits(spark, rows, [lone, *plain, (999, "LongOrdinaryNameWithNumber0000001")]) == {0}
