@@ -9,7 +9,10 @@ them (a page that links to a blocked host shares its distrust). A host whose
 distrust exceeds its trust is blocked; a host that neither reaches is allowed.
 
 All of it is DataFrame functions; each round is one join and one sum over
-aggregated host edges, and ranks are written every few rounds.
+aggregated host edges, and ranks are written every few rounds, until no host's
+mass has grown by more than a share of ``TOLERANCE`` since they were written
+last. So every host that links lead to from a seed is reached, however far it
+lies and however little mass it gets.
 
 Defined results: a null url, or one without ``://``, has an empty host and
 path, fits no rule and is blocked, as nothing vouches for it; null html has no
@@ -25,7 +28,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DAMPING = 0.85
+#: Rounds of :func:`ranks` where none are given; verdicts use :func:`settled`.
 ROUNDS = 8
+TOLERANCE = 1e-6
 #: Rounds between written ranks.
 WRITTEN = 4
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -94,12 +99,34 @@ def ranks(start: DataFrame, edges: DataFrame, space, rounds: int = ROUNDS, dampi
     return now
 
 
+def settled(start: DataFrame, edges: DataFrame, space, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
+    """(way, host, mass) of the converged spread; mass only grows from round to round, so the test sees new hosts too."""
+    restart = start.select("way", "host", (F.col("mass") * (1 - damping)).alias("mass"))
+    spread = edges.withColumnRenamed("from", "host")
+    now, last = space.keep(restart, "ranks-0"), "ranks-0"
+    i = 0
+    while True:
+        before = now
+        for _ in range(WRITTEN):
+            moved = now.join(spread, ["way", "host"])
+            moved = moved.select("way", F.col("to").alias("host"), (F.col("mass") * F.col("share") * damping).alias("mass"))
+            now = restart.unionByName(moved).groupBy("way", "host").agg(F.sum("mass").alias("mass"))
+        i += WRITTEN
+        now = space.keep(now.where("mass > 0"), f"ranks-{i}")
+        old = before.withColumnRenamed("mass", "old")
+        grown = now.join(old, ["way", "host"], "left").agg(F.max(1 - F.coalesce("old", F.lit(0.0)) / F.col("mass"))).first()[0]
+        space.drop(last)
+        last = f"ranks-{i}"
+        if grown is None or grown <= tolerance:
+            return now
+
+
 def judge(pages: DataFrame, rules: dict[str, str], space, keep: Sequence[str] = ("page_id",), url: str = "url", html: str = "html") -> DataFrame:
     """``keep``, host, path, rule and verdict of every page; ``rules`` maps a rule to ``allow`` or ``block``."""
     judged = parsed(pages, rules, keep, url)
     start = space.keep(seeds(judged, rules), "seeds")
     edges = space.keep(host_edges(pages, url, html), "edges")
-    mass = ranks(start, edges, space)
+    mass = settled(start, edges, space)
     trust = F.coalesce(F.sum(F.when(F.col("way") == 0, F.col("mass"))), F.lit(0.0))
     distrust = F.coalesce(F.sum(F.when(F.col("way") == 1, F.col("mass"))), F.lit(0.0))
     bad = mass.groupBy(F.col("host").alias("bad")).agg(trust.alias("t"), distrust.alias("d")).where("d > t").select("bad")

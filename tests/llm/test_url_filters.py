@@ -95,3 +95,17 @@ def test_query_and_sql_on_links(spark, pages, tmp_path):
     names, want = duck_rows(con, queries.CHECKS["op10_link_trust"])
     got_names, got = spark_rows(queries.QUERIES["op10_link_trust"](spark, str(tmp_path)))
     assert sorted(names) == sorted(got_names) and got == want
+
+
+def test_chain_beyond_eight_links(spark, space):
+    """Verdicts are those of the converged spread, solved exactly, on a chain of 12 hosts before a blocked seed."""
+    link = lambda *hosts: "".join(f'<a href="https://{h}/x">x</a>' for h in hosts)
+    after = {f"c{i:02d}.org": f"c{i + 1:02d}.org" for i in range(11)} | {"c11.org": "bad.com"}
+    hosts = [*sorted(after), "bad.com"]
+    pages = frame(spark, [(i, f"http://{h}/", link(after[h]) if h in after else "", None, None) for i, h in enumerate(hosts)])
+    back = np.array([[float(after.get(b) == a) for a in hosts] for b in hosts])  # distrust goes against the links
+    want = np.linalg.solve(np.eye(len(hosts)) - 0.85 * back, 0.15 * np.array([h == "bad.com" for h in hosts]))
+    edges, start = url_filters.host_edges(pages), url_filters.seeds(url_filters.parsed(pages, RULES), RULES)
+    got = {r.host: r.mass for r in url_filters.settled(start, edges, space).collect() if r.way == 1}
+    assert got == {h: pytest.approx(m, rel=1e-5) for h, m in zip(hosts, want, strict=True)}
+    assert {r.verdict for r in url_filters.judge(pages, RULES, space).collect()} == {"block"}
