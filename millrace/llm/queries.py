@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.llm import fingerprints, language_crf, near_dups, packing, pieces, quality_knn, quality_rules, secrets, sharding, url_filters
+from millrace.llm import filter_audit, fingerprints, language_crf, near_dups, packing, pieces, quality_knn, quality_rules, secrets, sharding, url_filters
 from millrace.llm.common import id_remainder, read
 from millrace.llm.registry import CHECKS, QUERIES, query
 from millrace.session import Workspace
@@ -175,3 +175,48 @@ def pieces_path() -> str:
 @query("op3_piece_lattice")
 def op3(spark, folder):
     return pieces.digests(read(spark, folder, "documents"), Workspace(spark), pieces_path())
+
+
+@query(
+    "op13_filter_matrix",
+    r"""
+    WITH docs AS (
+        SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+        FROM documents
+    ),
+    flags AS (
+        SELECT doc_id, part, [
+                len(words) < 100, 100 * len(list_distinct(words)) < 80 * len(words),
+                100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 10 * length(text),
+                regexp_matches(text, '[#$%&*|]'), coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false)
+            ] AS f,
+            coalesce(doc_id IN (SELECT doc_id FROM labels WHERE quality = 1), false) AS good,
+            coalesce(doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1), false) AS toxic
+        FROM docs
+    ),
+    letters AS (SELECT unnest(range(1, 6)) AS i),
+    orders AS (
+        SELECT [a.i, b.i, c.i, d.i, e.i] AS o FROM letters a, letters b, letters c, letters d, letters e
+        WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5
+    ),
+    steps AS (SELECT o, array_to_string(list_transform(o, lambda x: chr((64 + x)::INT)), '') AS filter_order, unnest(range(1, 6)) AS step FROM orders),
+    judged AS (
+        SELECT part, filter_order, step, f[o[step]] AS fails, list_bool_or([false] || list_transform(o[1:step - 1], lambda x: f[x])) AS earlier,
+               f[o[step]] AND len(list_filter(f, lambda x: x)) = 1 AS alone, good, toxic, o[step] AS letter
+        FROM flags, steps
+    ),
+    counted AS (
+        SELECT part, filter_order, step, letter, count(*) FILTER (NOT fails AND NOT earlier) AS kept, count(*) FILTER (fails AND NOT earlier) AS removed,
+               count(*) FILTER (fails AND earlier) AS redundant, count(*) FILTER (alone) AS unique_fails,
+               count(*) FILTER (fails AND NOT earlier AND good) AS good_lost, count(*) FILTER (fails AND NOT earlier AND toxic) AS toxic_lost
+        FROM judged GROUP BY ALL
+    )
+    SELECT part, filter_order, step::INT AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+           (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley
+    FROM counted
+    """,
+)
+def op13(spark, folder):
+    docs, space = read(spark, folder, "documents"), Workspace(spark)
+    rows = filter_audit.document_rows(filter_audit.matrix(docs, space))
+    return filter_audit.audit(filter_audit.masks(rows, read(spark, folder, "labels")))
