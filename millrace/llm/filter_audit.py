@@ -2,18 +2,20 @@
 
 Words of all documents get one global dictionary. Each task cuts its documents
 into shards of bounded text and writes a shard as a compressed sparse row (CSR)
-matrix over a dictionary of its own; the words of these small dictionaries are
-numbered globally (bucket of the word's hash, then rank in the bucket), and the
-shards take the global codes over. A row sum is a document's word count and the
-number of its nonzero entries is its distinct words: they decide filters A and
-B. Flags C and D come from the text, E from the least id of each text. A
-document is then one bit mask of failed filters, counted per part, and the
-counts of all masks give every order and step of the cascade.
-
-Only distinct words of a shard are shuffled (once by word, once by shard); the
-rows of the matrix move once, without their text. No key grows with copies of a
-text: they are counted per text and id before the text alone is a key, and a
-frequent word enters a bucket once per shard.
+matrix over a dictionary of its own, in the order of the words' hashes. These
+small dictionaries are sliced by hash, each slice travels as one packed row to
+the bucket of its hashes, where equal words of all shards get one code, and the
+codes go back to their shards in the same order. A row sum is a document's word
+count and the number of its nonzero entries is its distinct words: they decide
+filters A and B. Flags C and D come from the text, E from the least id of each
+text. A document is then one bit mask of failed filters, counted per part, and
+the counts of all masks give every order and step of the cascade.
+
+Only the distinct words of a shard are shuffled, packed; the matrix moves once,
+without its text. Buckets follow the number of shards, so a bucket's size does
+not follow the corpus, and a word, however frequent, enters its bucket once per
+shard. No key grows with copies of a text: they are counted per text and id
+before the text alone is a key.
 
 Defined results: a null text is an empty one (no words: fails A, and B does not
 apply to 0 words); an empty or null ``lang`` is the part named by the empty
@@ -33,11 +35,13 @@ from itertools import permutations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 # The filters of the contract.
 FILTERS = "ABCDE"
@@ -46,27 +50,44 @@ LEAST_DISTINCT_PERCENT = 80
 MOST_UPPER_PERCENT = 10
 UPPER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SYMBOLS = b"#$%&*|"
+MOST_COUNT = 32_767
 #: Characters of text in a shard; a longer text is a shard alone.
-SHARD_CHARS = 2_000_000
-#: Buckets of the dictionary: a word's code is its bucket plus this number times its rank there.
-BUCKETS = 1 << 14
+SHARD_CHARS = 8_000_000
+#: The least number of buckets of the global dictionary, as a power of two; there are at least twice as many as shards.
+BUCKET_BITS = 8
 
 SHARD = (
     "shard long, doc_ids array<long>, langs array<string>, texts array<binary>, upper array<boolean>, symbol array<boolean>, "
-    "starts array<int>, columns array<int>, counts array<int>, words array<binary>"
+    "starts array<int>, columns array<int>, counts array<short>, words array<binary>"
 )
 
 
+def word_hashes(words: pa.Array) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh64_intdigest, words.to_pylist()), dtype=np.uint64, count=len(words))
+
+
 def sparse_rows(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
-    """CSR arrays (starts, columns, counts) over the texts' own dictionary, and that dictionary."""
+    """CSR arrays (starts, columns, counts) over the texts' own dictionary, and that dictionary by hash.
+
+    A count over 32,767 is several entries.
+    """
     lists = [t.split() for t in texts]
     lengths = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
     coded = pa.array([w for words in lists for w in words], type=pa.binary()).dictionary_encode()
     width = max(1, len(coded.dictionary))
-    cells = np.repeat(np.arange(len(lists)), lengths) * width + coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    order = np.argsort(word_hashes(coded.dictionary), kind="stable")
+    place = np.empty(width, dtype=np.int64)
+    place[order] = np.arange(len(order))
+    cells = np.repeat(np.arange(len(lists)) * width, lengths) + place[coded.indices.to_numpy(zero_copy_only=False)]
     cells, counts = np.unique(cells, return_counts=True)
+    parts = -(-counts // MOST_COUNT)
+    if (parts > 1).any():
+        first = np.cumsum(parts) - parts
+        cells, rest = np.repeat(cells, parts), counts - (parts - 1) * MOST_COUNT
+        counts = np.full(len(cells), MOST_COUNT)
+        counts[first] = rest
     starts = np.searchsorted(cells, np.arange(len(lists) + 1) * width)
-    return starts.astype(np.int32), (cells % width).astype(np.int32), counts.astype(np.int32), coded.dictionary
+    return starts.astype(np.int32), (cells % width).astype(np.int32), counts.astype(np.int16), coded.dictionary.take(pa.array(order))
 
 
 def shards(docs: DataFrame, chars: int = SHARD_CHARS) -> DataFrame:
@@ -75,8 +96,6 @@ def shards(docs: DataFrame, chars: int = SHARD_CHARS) -> DataFrame:
     A shard is numbered by task and place, so the result has to be written
     before it is read twice. ``texts`` are digests.
     """
-    from pyspark.sql.pandas.types import to_arrow_schema
-
     narrow = docs.select(F.col("doc_id").cast("long"), F.coalesce("lang", F.lit("")), F.coalesce("text", F.lit("")).cast("binary"))
     arrow = to_arrow_schema(T.StructType.fromDDL(SHARD))
 
@@ -116,17 +135,53 @@ def shards(docs: DataFrame, chars: int = SHARD_CHARS) -> DataFrame:
     return narrow.mapInArrow(run, SHARD)
 
 
-def dictionary_codes(parts: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+SLICE = "shard long, bucket int, words array<binary>"
+
+
+def slices(parts: DataFrame, bits: int) -> DataFrame:
+    """The dictionaries of all shards, cut at the top ``bits`` of the words' hashes."""
+    arrow = to_arrow_schema(T.StructType.fromDDL(SLICE))
+
+    def run(batches):
+        for batch in batches:
+            for r in range(batch.num_rows):
+                words = batch.column(1).slice(r, 1).flatten()
+                bucket = (word_hashes(words) >> np.uint64(64 - bits)).astype(np.int32)
+                buckets, firsts = np.unique(bucket, return_index=True)
+                if len(buckets):
+                    offsets = pa.array(np.append(firsts, len(words)), type=pa.int32())
+                    shard = pa.array(np.full(len(buckets), batch.column(0)[r].as_py()))
+                    lists = pa.ListArray.from_arrays(offsets, words).cast(arrow.field(2).type)
+                    yield pa.RecordBatch.from_arrays([shard, pa.array(buckets), lists], schema=arrow)
+
+    return parts.select("shard", "words").mapInArrow(run, SLICE)
+
+
+def ranked(table: pa.Table) -> pa.Table:
+    """The slices of one bucket with the rank of each word among the bucket's distinct words."""
+    lists = table.column("words").combine_chunks()
+    words = lists.flatten()
+    distinct = pc.unique(words)
+    distinct = distinct.take(pc.sort_indices(distinct))
+    ends = np.append(0, np.cumsum(pc.list_value_length(lists).to_numpy()))
+    ranks = pa.ListArray.from_arrays(pa.array(ends, type=pa.int32()), pc.index_in(words, distinct))
+    return pa.table({"shard": table.column("shard"), "bucket": table.column("bucket"), "ranks": ranks})
+
+
+RANKED = "shard long, bucket int, ranks array<int>"
+
+
+def dictionary_codes(parts: DataFrame) -> DataFrame:
     """(shard, codes): the global code of each entry of a shard's own dictionary, in its order.
 
-    A word's code is unique in the corpus and the same in every shard: the
-    bucket of its hash, and its rank among the bucket's distinct words.
+    A code is the bucket of the word's hash and, in the low 32 bits, the word's
+    rank there: unique in the corpus, the same in every shard and every run.
     """
-    words = parts.select("shard", F.posexplode("words").alias("place", "word")).withColumn("bucket", F.pmod(F.xxhash64("word"), F.lit(buckets)))
-    rank = F.dense_rank().over(Window.partitionBy("bucket").orderBy("word"))
-    coded = words.select("shard", "place", (F.col("bucket") + (rank.cast("long") - 1) * buckets).alias("code"))
-    listed = coded.groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("place", "code"))).alias("pairs"))
-    return listed.select("shard", F.col("pairs.code").alias("codes"))
+    bits = max(BUCKET_BITS, parts.count().bit_length() + 1)
+    listed = slices(parts, bits).groupBy("bucket").applyInArrow(ranked, RANKED)
+    by_shard = listed.groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("bucket", "ranks"))).alias("slices"))
+    base = lambda s: F.shiftleft(s["bucket"].cast("long"), 32)
+    return by_shard.select("shard", F.flatten(F.transform("slices", lambda s: F.transform(s["ranks"], lambda r: base(s) + r))).alias("codes"))
 
 
 def matrix(docs: DataFrame, space, chars: int = SHARD_CHARS) -> DataFrame:
@@ -145,8 +200,6 @@ ROWS = "doc_id long, lang string, text binary, upper boolean, symbol boolean, n_
 
 def document_rows(shard_rows: DataFrame) -> DataFrame:
     """Per document of :func:`matrix`: its flags, the sum of its row and the number of its nonzero columns."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-
     arrow = to_arrow_schema(T.StructType.fromDDL(ROWS))
 
     def run(batches):
@@ -157,12 +210,9 @@ def document_rows(shard_rows: DataFrame) -> DataFrame:
                 rows = len(starts) - 1
                 row = np.repeat(np.arange(rows), np.diff(starts))
                 n_words = np.bincount(row, weights=counts.to_numpy(), minlength=rows).astype(np.int64)
-                cells = np.stack([row, codes.to_numpy()[columns]]) if len(columns) else np.zeros((2, 0), dtype=np.int64)
-                order = np.lexsort(cells[::-1])
-                cells = cells[:, order]
-                fresh = np.ones(cells.shape[1], dtype=bool)
-                fresh[1:] = (cells[:, 1:] != cells[:, :-1]).any(axis=0)
-                n_distinct = np.bincount(cells[0][fresh].astype(np.int64), minlength=rows)
+                found, place = np.unique(codes.to_numpy(), return_inverse=True)
+                cells = np.unique(row * max(1, len(found)) + place[columns])
+                n_distinct = np.bincount(cells // max(1, len(found)), minlength=rows)
                 cols = [ids, langs, texts, upper, symbol, pa.array(n_words), pa.array(n_distinct.astype(np.int64))]
                 yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(cols, arrow, strict=True)], schema=arrow)
 
