@@ -210,9 +210,10 @@ def document_rows(shard_rows: DataFrame) -> DataFrame:
                 rows = len(starts) - 1
                 row = np.repeat(np.arange(rows), np.diff(starts))
                 n_words = np.bincount(row, weights=counts.to_numpy(), minlength=rows).astype(np.int64)
-                found, place = np.unique(codes.to_numpy(), return_inverse=True)
-                cells = np.unique(row * max(1, len(found)) + place[columns])
-                n_distinct = np.bincount(cells // max(1, len(found)), minlength=rows)
+                code = codes.to_numpy()[columns] if len(columns) else columns
+                fresh = np.ones(len(code), dtype=bool)  # entries of one word are neighbours in a row
+                fresh[1:] = (code[1:] != code[:-1]) | (row[1:] != row[:-1])
+                n_distinct = np.bincount(row[fresh], minlength=rows)
                 cols = [ids, langs, texts, upper, symbol, pa.array(n_words), pa.array(n_distinct.astype(np.int64))]
                 yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(cols, arrow, strict=True)], schema=arrow)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.llm import filter_audit, fingerprints, language_crf, near_dups, packing, pieces, quality_knn, quality_rules, secrets, sharding, url_filters
+from millrace.llm import conversation_repair, filter_audit, fingerprints, language_crf, near_dups, packing, pieces, quality_knn, quality_rules, secrets, sharding, url_filters
 from millrace.llm.common import id_remainder, read
 from millrace.llm.registry import CHECKS, QUERIES, query
 from millrace.session import Workspace
@@ -220,3 +220,83 @@ def op13(spark, folder):
     docs, space = read(spark, folder, "documents"), Workspace(spark)
     rows = filter_audit.document_rows(filter_audit.matrix(docs, space))
     return filter_audit.audit(filter_audit.masks(rows, read(spark, folder, "labels")))
+
+
+def repair_sql() -> str:
+    """The cheapest edits as a recursion over rows, with the least (cost, audit, text) per state of the role grammar.
+
+    States: nothing yet (n), after a system row (s), a user row (u), an assistant row (a). CRC-32 is folded bit by bit.
+    """
+
+    def edit(state: str, cost: str, letter: str, line: str | None) -> str:
+        text = f"{state}.t" if line is None else f"{state}.t || chr(10) || {line}"
+        return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', 't': {text}}}"
+
+    never = "{'c': 1000000000::BIGINT, 'a': 'Z', 't': ''}"
+    insert = {"u": [edit(x, "3", "I", "'user:'") for x in "nsa"], "a": [edit("u", "3", "I", "'assistant:'")]}
+    wide = lambda source: f"SELECT conv_id, i, n, s, list_min([u, {', '.join(insert['u'])}]) AS u, list_min([a, {insert['a'][0]}]) AS a FROM ({source})"
+    # One insertion opens a turn and the next closes it: two in one place at most.
+    ready = wide(wide("SELECT * FROM walk"))
+    may = lambda condition, made: f"CASE WHEN NOT gone AND {condition} THEN {made} ELSE {never} END"
+    keep = lambda x, initial: may(f"r = '{initial}'", edit(x, "cut", "K", "role || ':' || text"))
+    change = lambda x, role: may("true", edit(x, "cut + 3", "R", f"'{role}:' || text"))
+    read = {
+        "n": [edit("n", "4", "D", None)],
+        "s": [edit("s", "4", "D", None), keep("n", "s")],
+        "u": [edit("u", "4", "D", None), *(keep(x, "u") for x in "nsa"), *(change(x, "user") for x in "nsa")],
+        "a": [edit("a", "4", "D", None), keep("u", "a"), change("u", "assistant")],
+    }
+    after = ", ".join(f"list_min([{', '.join(made)}]) AS {state}" for state, made in read.items())
+    return rf"""
+    WITH RECURSIVE plain AS (
+        SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+               string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), '') AS key
+        FROM conversations
+    ),
+    hashed AS (
+        SELECT *, xor(list_reduce(
+            [4294967295] || flatten(list_transform(key, lambda c: [unicode(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])),
+            lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END
+        ), 4294967295) % 20 AS way FROM plain
+    ),
+    damaged AS (
+        SELECT conv_id, turn, CASE way WHEN 4 THEN 'user' ELSE role END AS role,
+               CASE way WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+               unnest(range(CASE way WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+        FROM hashed
+    ),
+    placed AS (
+        SELECT *, left(role, 1) AS r, row_number() OVER w AS place, lag(left(role, 1)) OVER w AS before,
+               row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth
+        FROM damaged WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy)
+    ),
+    judged AS (
+        SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-]') THEN 'b' WHEN nth > 1 THEN 'd'
+                       WHEN NOT regexp_matches(text, '[.!?][ 	-]*$') THEN 't' ELSE '' END AS fault
+        FROM placed
+    ),
+    rows AS (SELECT conv_id, place, role, r, text, fault IN ('b', 'd') AS gone, CASE fault WHEN 't' THEN 3 ELSE 0 END AS cut FROM judged),
+    counts AS (
+        SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank,
+               count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+               count(*) FILTER (before IS NOT NULL AND before || r NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n_rows
+        FROM judged GROUP BY conv_id
+    ),
+    walk AS (
+        SELECT DISTINCT conv_id, 0::BIGINT AS i, {{'c': 0::BIGINT, 'a': '', 't': ''}} AS n, {never} AS s, {never} AS u, {never} AS a FROM conversations
+        UNION ALL
+        SELECT w.conv_id, i + 1, {after}
+        FROM ({ready}) w JOIN rows ON w.conv_id IS NOT DISTINCT FROM rows.conv_id AND rows.place = i + 1
+    ),
+    ends AS (
+        SELECT conv_id, i, list_min([n, a]) AS best FROM ({ready})
+    )
+    SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+           coalesce(illegal, 0) AS illegal, best.c AS cost, best.a AS audit, sha256(best.t[2:]) AS repaired_sha256
+    FROM ends e LEFT JOIN counts c ON e.conv_id IS NOT DISTINCT FROM c.conv_id WHERE e.i = coalesce(n_rows, 0)
+    """
+
+
+@query("op12_glr_repair", repair_sql())
+def op12(spark, folder):
+    return conversation_repair.repair(read(spark, folder, "conversations"))
