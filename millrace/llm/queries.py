@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.llm import conversation_repair, filter_audit, fingerprints, language_crf, near_dups, packing, pieces, quality_knn, quality_rules, secrets, sharding, url_filters
+from millrace.llm import conversation_repair, filter_audit, fingerprints, language_crf, near_dups, packing, pieces, pii, quality_knn, quality_rules, secrets, sharding, url_filters
 from millrace.llm.common import id_remainder, read
 from millrace.llm.registry import CHECKS, QUERIES, query
 from millrace.session import Workspace
@@ -300,3 +300,8 @@ def repair_sql() -> str:
 @query("op12_glr_repair", repair_sql())
 def op12(spark, folder):
     return conversation_repair.repair(read(spark, folder, "conversations"))
+
+
+@query("op11_deobfuscated_pii")
+def op11(spark, folder):
+    return pii.find(read(spark, folder, "documents"))
