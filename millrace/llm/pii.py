@@ -94,8 +94,13 @@ def phones(text: str) -> Iterator[tuple[int, int]]:
                 yield m.span()
 
 
+NO_DIGITS = bytes(set(range(256)) - set(b"0123456789"))
+
+
 def base_spans(text: str) -> list[Span]:
-    finders = (emails, addresses, cards, phones)
+    # No pattern but the first fits fewer than four digits.
+    digits = len(text.encode("utf-8", "surrogatepass").translate(None, NO_DIGITS))
+    finders = (emails, addresses, cards, phones) if digits >= 4 else (emails,)
     return sorted((start, kind, end) for kind, find in enumerate(finders) for start, end in find(text))
 
 
@@ -189,28 +194,45 @@ DOT_BEFORE = re.compile(rf"{DISGUISED_DOT}\Z", re.IGNORECASE)
 LABEL = re.compile(r"[A-Za-z0-9-]++")
 LAST_LABEL = re.compile(r"[A-Za-z]{2,24}\Z")
 NUMBERS = re.compile(rf"(?<![0-9A-Za-z.])[0-9]{{1,3}}(?:(?:{DISGUISED_DOT}|\.)[0-9]{{1,3}}){{3}}(?![0-9A-Za-z])", re.IGNORECASE)
-#: The longest disguised dot, for looking back.
-DOT_CHARS = 20
+#: The longest disguised dot, and what a disguised at has before its word, for looking back.
+DOT_CHARS, AT_CHARS = 20, 5
 
 _DIGIT = rf"(?:(?:{_either(TIMES_WORDS)})\x20)?(?:{_either(DIGIT_WORDS)}|[0-9]{{1,4}})"
 _WORD = rf"{_EDGE}(?:{_DIGIT}|{_either(DOT_WORDS)}){_STOP}"
 SPELLED = re.compile(rf"(?:{_EDGE}(?:{_either(PLUS_WORDS)})\x20|\+)?{_WORD}(?:[\x20,-]{{1,3}}{_WORD})*+", re.IGNORECASE)
 SPELLED_PART = re.compile(rf"(?P<plus>{_either(PLUS_WORDS)})|(?:(?P<times>{_either(TIMES_WORDS)})\x20)?(?P<word>{_either(DIGIT_WORDS)})|(?P<dot>{_either(DOT_WORDS)})", re.IGNORECASE)
-HAS_WORD = re.compile(rf"{_EDGE}(?:{_either([*AT_WORDS, *DOT_WORDS, *DIGIT_WORDS])}){_STOP}|[\[({{<]\x20{{0,2}}[.@]|@\x20|\x20@|\x20\.\x20", re.IGNORECASE)
+#: All words that a transducer reads, and the letters and digits between other characters.
+WORDS = frozenset([*DIGIT_WORDS, *AT_WORDS, *DOT_WORDS, *PLUS_WORDS])
+WORD_BYTES = {w.encode(): w for w in WORDS}
+#: Letters, digits and bytes of wide characters as they are, the rest of ASCII as spaces.
+PLAIN = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
+BRACKETS, BRACKET_DOT = "[({<", re.compile(r"[\[({<]\x20{0,2}\.")
+#: How far the runs of two words may lie apart: separators around a number.
+RUN_GAP = 12
+RUN_CHARS = frozenset("0123456789 ,-+")
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
-def character_edits(text: str, odd: re.Pattern, table: dict[str, str]) -> list[tuple[int, int, str]]:
+def wide_characters(text: str) -> set[str]:
+    """The characters outside ASCII."""
+    return set(text.encode("utf-8", "surrogatepass").translate(None, bytes(range(128))).decode("utf-8", "surrogatepass"))
+
+
+def character_edits(text: str, table: dict[str, str]) -> list[tuple[int, int, str]]:
     """Edits of single characters; in a word that stays outside ASCII its letters stay."""
+    odd = sorted(wide_characters(text) & table.keys())
+    if not odd:
+        return []
     edits, word = [], (-1, -1, True)
-    for m in odd.finditer(text):
+    for m in re.finditer("[" + "".join(map(re.escape, odd)) + "]", text):
         at = m.start()
         if text[at].isalpha():
             if not word[0] <= at < word[1]:
                 start = at
                 while start > word[1] and text[start - 1].isalpha():
                     start -= 1
-                end = LETTERS.match(text, at).end() if LETTERS.match(text, at) else at + 1
+                found = LETTERS.match(text, at)
+                end = found.end() if found else at + 1
                 word = (start, end, all(c.isascii() or c in table for c in text[start:end]))
             if not word[2]:
                 continue
@@ -218,15 +240,54 @@ def character_edits(text: str, odd: re.Pattern, table: dict[str, str]) -> list[t
     return edits
 
 
-def spelled_edits(text: str) -> list[tuple[int, int, str]]:
+def known_words(text: str) -> list[tuple[int, int, str]]:
+    """(start, end, lower case) of the words that transducers read."""
+    low = text.lower()
+    if len(low) != len(text):  # a letter that becomes two: its place would be lost
+        low = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+    apart = low
+    for c in () if text.isascii() else wide_characters(low):
+        apart = apart if c.isalnum() else apart.replace(c, " ")
+    tokens = set(apart.encode("utf-8", "surrogatepass").translate(PLAIN).split())
+    found = []
+    for word in WORD_BYTES.keys() & tokens:
+        word, at = WORD_BYTES[word], -1
+        while (at := apart.find(word, at + 1)) >= 0:
+            end = at + len(word)
+            if not (at and apart[at - 1].isalnum()) and not apart[end : end + 1].isalnum():
+                found.append((at, end, word))
+    return sorted(found)
+
+
+def run_windows(text: str, words: list[tuple[int, int, str]]) -> Iterator[tuple[int, int]]:
+    """Where a run of spelled digits can lie: two known words near each other, or one beside a number."""
+    i = 0
+    while i < len(words):
+        j = i
+        while j + 1 < len(words) and words[j + 1][0] - words[j][1] <= RUN_GAP:
+            j += 1
+        start, end = words[i][0], words[j][1]
+        while start and text[start - 1] in RUN_CHARS:
+            start -= 1
+        if start and text[start - 1].isalnum() and start < words[i][0]:  # "double one": the word before may belong to it
+            while start and text[start - 1].isalnum():
+                start -= 1
+        while end < len(text) and text[end] in RUN_CHARS:
+            end += 1
+        if any(w in DIGIT_WORDS for *_, w in words[i : j + 1]) and (j > i or any(c.isdigit() for c in text[start:end])):
+            yield start, min(len(text), end + 1)
+        i = j + 1
+
+
+def spelled_edits(text: str, words: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
     """Edits of spelled digits and of the gaps between the digits of a run."""
     edits = []
-    for m in SPELLED.finditer(text):
+    for m in (m for window in run_windows(text, words) for m in SPELLED.finditer(text, *window)):
         parts = [p for p in SPELLED_PART.finditer(text, m.start(), m.end())]
-        words = [p for p in parts if p["word"]]
-        figures = re.findall("[0-9]+", m.group())
+        spelled = sum(p["word"] is not None for p in parts)
+        figures = len(re.findall("[0-9]+", m.group()))
         dots = sum(p["dot"] is not None for p in parts)
-        if not words or len(words) < len(figures) or (len(words) + len(figures) < LEAST_RUN and not dots):
+        if not spelled or spelled < figures or (spelled + figures < LEAST_RUN and not dots):
             continue
         at, glue = m.start(), False
         tokens = re.finditer(rf"[0-9]+|{SPELLED_PART.pattern}", m.group(), re.IGNORECASE)
@@ -243,14 +304,19 @@ def spelled_edits(text: str) -> list[tuple[int, int, str]]:
     return edits
 
 
-def sign_edits(text: str) -> list[tuple[int, int, str]]:
+def sign_edits(text: str, words: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
     """Edits of disguised at and dot signs that make an address."""
-    edits = []
-    for m in NUMBERS.finditer(text):
-        dots = [d for d in DOT.finditer(text, m.start(), m.end())]
-        edits += [(d.start(), d.end(), ".") for d in dots if d["disguised"]]
-    at, done = AT.search(text), 0
-    while at:
+    edits, done = [], 0
+    signed = " . " in text or any(b in text for b in BRACKETS) and BRACKET_DOT.search(text)
+    if signed or any(w in DOT_WORDS for *_, w in words):
+        for m in NUMBERS.finditer(text):
+            dots = [d for d in DOT.finditer(text, m.start(), m.end())]
+            edits += [(d.start(), d.end(), ".") for d in dots if d["disguised"]]
+    places = [m.start() for m in re.finditer("@", text)] if "@" in text else []
+    for place in sorted(places + [start for start, _, w in words if w in AT_WORDS]):
+        at = AT.search(text, max(done, place - AT_CHARS)) if place >= done else None
+        if not at or not at.start() <= place < at.end():
+            continue
         start, end = at.span()
         hidden = [] if at.group() == "@" else [(start, end, "@")]
         label, dots, last = LABEL.match(text, end), [], None
@@ -279,9 +345,6 @@ def sign_edits(text: str) -> list[tuple[int, int, str]]:
                 head = dot.start()
             edits += before + hidden + masked
             done = stop
-            at = AT.search(text, stop)
-        else:
-            at = AT.search(text, end if at.group() == "@" else start + 1)
     edits.sort()
     return [e for i, e in enumerate(edits) if not i or e[0] >= edits[i - 1][1]]
 
@@ -291,16 +354,22 @@ class Scanner:
 
     def __init__(self):
         self.table = character_table()
-        self.odd = re.compile("[" + "".join(map(re.escape, self.table)) + "]")
 
-    def hidden_spans(self, text: str, base: list[Span]) -> list[Span]:
-        """Spans that the base patterns see only in the rewritten text."""
+    def rewritten(self, text: str) -> Rewritten:
         new = Rewritten(text)
         if not text.isascii():
-            new.apply(character_edits(text, self.odd, self.table))
-        if HAS_WORD.search(new.text):
-            new.apply(spelled_edits(new.text))
-            new.apply(sign_edits(new.text))
+            new.apply(character_edits(text, self.table))
+        words = known_words(new.text)
+        edits = spelled_edits(new.text, words)
+        if edits:
+            new.apply(edits)
+            words = known_words(new.text)
+        new.apply(sign_edits(new.text, words))
+        return new
+
+    def hidden_spans(self, text: str, base: list[Span]) -> list[Span]:
+        """Spans that the base patterns see only in the rewritten text."""
+        new = self.rewritten(text)
         if new.starts is None:
             return []
         found = set()
