@@ -211,6 +211,30 @@ def copy_into_query(t):
     return read_copied(t.spark, target)
 
 
+@query(
+    "copy_into_types",
+    """SELECT c_custkey, CASE WHEN c_nationkey < 8 THEN c_nationkey::VARCHAR WHEN c_nationkey < 16 THEN 'N' || c_nationkey END AS code,
+              CASE WHEN c_nationkey < 8 THEN c_nationkey::DOUBLE ELSE c_acctbal END AS amount,
+              CASE WHEN c_nationkey >= 16 THEN c_name END AS home_name, (c_nationkey + CASE WHEN c_nationkey >= 16 THEN 0.5 ELSE 0 END)::DOUBLE AS home_key
+       FROM customer""",
+)
+def copy_into_types(t):
+    """Three loads whose types differ: numbers, then text, then a wider struct."""
+    space = t.workspace()
+    target, landing = space.path("target"), space.path("landing")
+    key = F.col("c_nationkey")
+    waves = [
+        (key < 8, [key.alias("code"), key.alias("amount"), F.struct(key.alias("id")).alias("home")]),
+        ((key >= 8) & (key < 16), [F.concat(F.lit("N"), key).alias("code"), F.col("c_acctbal").alias("amount"), F.struct(key.alias("id")).alias("home")]),
+        (key >= 16, [F.col("c_acctbal").alias("amount"), F.struct((key + 0.5).alias("id"), F.col("c_name").alias("name")).alias("home")]),
+    ]
+    for where, columns in waves:
+        sinks.write_files(t.customer.where(where).select("c_custkey", *columns), landing, "json", mode="append")
+        copy_into(t.spark, target, landing, "json", glob="*.json")
+    rows = read_copied(t.spark, target)
+    return rows.select("c_custkey", "code", "amount", F.col("home.name").alias("home_name"), F.col("home.id").alias("home_key"))
+
+
 @query(
     "binary_scan",
     """SELECT sum(octet_length(encode(html)) + 1)::BIGINT AS bytes_listed,

@@ -4,12 +4,13 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace import Workspace, session, sinks
 from millrace.operators.merge import merge, merge_partitions
 from millrace.plans.scans import PART_SCHEMA
 from millrace.sources import files, generate, jdbc, tables
-from millrace.sources.copy_into import copy_into, read_copied
+from millrace.sources.copy_into import TypeClash, common_type, copy_into, read_copied
 
 
 def text(spark, space, name, lines):
@@ -95,6 +96,71 @@ def test_unfinished_load_is_invisible_and_repeatable(spark, space):
     assert sorted(r.id for r in read_copied(spark, target).collect()) == [0, 1, 2]
 
 
+def load(spark, source, target, rows, schema, **options):
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").json(source)
+    return copy_into(spark, target, source, "json", "*.json", **options)
+
+
+def test_loads_with_other_types_widen(spark, space):
+    source, target = space.path("in"), space.path("out")
+    load(spark, source, target, [(1, 5)], "id int, v int")
+    load(spark, source, target, [(2, 2.5)], "id int, v double")
+    assert dict(read_copied(spark, target).dtypes) == {"id": "bigint", "v": "double"}
+    load(spark, source, target, [(3, "x"), (4, None)], "id int, v string")
+    got = read_copied(spark, target)
+    assert dict(got.dtypes) == {"id": "bigint", "v": "string"}
+    assert {tuple(r) for r in got.collect()} == {(1, "5"), (2, "2.5"), (3, "x"), (4, None)}
+    assert copy_into(spark, target, source, "json", "*.json") == 0
+    pushed = got.where("id = 3")._jdf.queryExecution().executedPlan().toString()
+    assert pushed.count("EqualTo(id,3)") == 3  # one scan per schema, each with the filter
+
+
+def test_loads_without_a_common_type_are_refused_before_they_are_seen(spark, space):
+    source, target = space.path("in"), space.path("out")
+    load(spark, source, target, [(1, (5,))], "id int, v struct<a:int>")
+    for _ in range(2):  # also when tried again
+        with pytest.raises(TypeClash, match="v: struct"):
+            load(spark, source, target, [(2, "x")], "id int, v string")
+        assert read_copied(spark, target).count() == 1
+    with pytest.raises(ValueError):
+        read_copied(spark, space.path("empty"))
+
+
+def test_loads_can_insist_on_their_types(spark, space):
+    source, target = space.path("in"), space.path("out")
+    load(spark, source, target, [(1, 5)], "id int, v int", widen=False)
+    with pytest.raises(TypeClash, match="v"):
+        load(spark, source, target, [(2, "x")], "id int, v string", widen=False)
+    assert read_copied(spark, target).count() == 1
+
+
+def test_nested_types_are_merged_by_field(spark, space):
+    source, target = space.path("in"), space.path("out")
+    load(spark, source, target, [(1, [(5, "a")])], "id int, v array<struct<n:int,s:string>>")
+    load(spark, source, target, [(2, [(0.5, True)]), (3, None)], "id int, v array<struct<n:double,more:boolean>>")
+    got = {r.id: r.v for r in read_copied(spark, target).collect()}
+    assert [tuple(x) for x in got[1]] == [(5.0, "a", None)] and [tuple(x) for x in got[2]] == [(0.5, None, True)] and got[3] is None
+
+
+@pytest.mark.parametrize(
+    "a, b, want",
+    [("int", "bigint", "bigint"), ("bigint", "float", "double"), ("float", "float", "float"), ("decimal(5,2)", "decimal(4,4)", "decimal(7,4)"),
+     ("decimal(5,2)", "int", "double"), ("date", "timestamp", "timestamp"), ("date", "int", "string"), ("boolean", "int", "string"), ("void", "int", "int"),
+     ("map<string,int>", "map<string,double>", "map<string,double>")],
+)
+def test_common_types(spark, a, b, want):
+    kind = lambda text: T.StructType.fromDDL(f"c {text}").fields[0].dataType
+    assert common_type(kind(a), kind(b)).simpleString() == common_type(kind(b), kind(a)).simpleString() == want
+
+
+def test_tables_from_before_types_were_kept(spark, space):
+    source, target = space.path("in"), space.path("out")
+    spark.createDataFrame([(1, 5)], "id int, v int").write.parquet(f"{target}/data/_load=1")
+    spark.createDataFrame([("file:/old", 1, 1)], "path string, length bigint, load_id int").write.parquet(f"{target}/loads")
+    load(spark, source, target, [(2, "x")], "id int, v string")
+    assert {tuple(r) for r in read_copied(spark, target).collect()} == {(1, "5"), (2, "x")}
+
+
 def test_jdbc_options_and_ranges():
     assert jdbc.jdbc_options("jdbc:x", "t", driver="d", fetchsize=5) == {
         "url": "jdbc:x", "dbtable": "t", "fetchsize": "5", "driver": "d",
