@@ -14,9 +14,10 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
+from millrace.functions.scoring import scoring_function
 from millrace.operators import classify as cl
 from millrace.operators.documents import spread
-from millrace.plans.registry import query
+from millrace.plans.registry import checked, query
 
 CATEGORICAL = ["lang", "source"]
 NUMERIC = ["n_chars", "n_words", "n_lines", "digit_share", "upper_share"]
@@ -146,10 +147,11 @@ def split_sets(t):
     return counts.select("part", "whole", (F.col("whole") == F.col("distinct")).alias("disjoint"), near.alias("near_weight"))
 
 
-@query(
+@checked(
     "model_quality",
     """SELECT model, (SELECT count(*) FROM labels JOIN documents USING (doc_id)) AS scored, true AS sums_to_one,
               true AS better_than_chance FROM (VALUES ('logistic'), ('tree'), ('forest'), ('boosted')) AS v(model)""",
+    lambda rows: rows.select("model", "scored", "sums_to_one", (F.col("area_roc") > 0.55).alias("better_than_chance")),
 )
 def model_quality(t):
     """Four models over all labelled documents: rows scored, probabilities and area under the ROC curve."""
@@ -169,8 +171,7 @@ def model_quality(t):
     sums = kept.groupBy("model").agg(
         F.count("*").alias("scored"), F.bool_and(F.abs(F.col("prob_0") + F.col("prob_1") - 1) < 1e-9).alias("sums_to_one")
     )
-    better = (F.col("area_roc") > 0.55).alias("better_than_chance")
-    return sums.join(areas, "model").select("model", "scored", "sums_to_one", better)
+    return sums.join(areas, "model").select("model", "scored", "sums_to_one", "area_roc", "area_pr")
 
 
 @query("binarize", "SELECT p_partkey, p_size, (p_size >= 25)::INTEGER AS is_large FROM part")
@@ -191,68 +192,80 @@ _TEST_ROWS = f"""WITH {_LABELLED} SELECT doc_id, label::DOUBLE AS label, true AS
     WHERE {_bucket_sql("doc_id")} >= 70"""
 
 
-def _proper(scored):
+def _proper(scored, *more):
     """Rows with a check of their numbers: probabilities in [0, 1] that sum to one, and the likelier class predicted."""
     sums = F.abs(F.col("prob_0") + F.col("prob_1") - 1) < 1e-9
     inside = F.col("prob_0").between(0, 1) & F.col("prob_1").between(0, 1)
     likelier = F.col("prediction") == F.when(F.col("prob_1") > F.col("prob_0"), 1.0).otherwise(0.0)
     even = F.abs(F.col("prob_1") - F.col("prob_0")) < 1e-12
-    return scored.select("doc_id", "label", (sums & inside & (likelier | even)).alias("proper"))
+    return scored.select("doc_id", "label", (sums & inside & (likelier | even)).alias("proper"), *more)
 
 
-@query("logreg_scores", _TEST_ROWS)
+@checked("logreg_scores", _TEST_ROWS, _proper)
 def logreg_scores(t):
     train, test = _sets(t)
-    return _proper(_scored(LogisticRegression(maxIter=10).fit(train), test))
+    return _scored(LogisticRegression(maxIter=10).fit(train), test)
 
 
 _FEATURES = f"""f AS (SELECT 'lang_vector_' || lang AS feature FROM l UNION SELECT 'source_vector_' || source FROM l
     UNION {" UNION ".join(f"SELECT '{n}'" for n in NUMERIC)})"""
 
 
-@query("logreg_coefficients", f"WITH {_LABELLED}, {_FEATURES} SELECT feature, true AS finite FROM f UNION ALL SELECT '(intercept)', true")
+@checked(
+    "logreg_coefficients",
+    f"WITH {_LABELLED}, {_FEATURES} SELECT feature, true AS finite FROM f UNION ALL SELECT '(intercept)', true",
+    lambda rows: rows.select("feature", (F.abs("weight") < float("inf")).alias("finite")),
+)
 def logreg_coefficients(t):
     prepared = _prepared(t)
     train, _ = cl.hash_split(prepared, "doc_id", [70, 30])
     model = LogisticRegression(maxIter=10).fit(train)
-    rows = t.spark.createDataFrame(cl.coefficients(model, cl.feature_names(prepared)), "feature string, weight double")
-    return rows.select("feature", (F.abs("weight") < float("inf")).alias("finite"))
+    return t.spark.createDataFrame(cl.coefficients(model, cl.feature_names(prepared)), "feature string, weight double")
 
 
-@query("tree_scores", _TEST_ROWS.replace("true AS proper", "true AS proper, true AS shallow, 'gini' AS impurity"))
+@checked(
+    "tree_scores",
+    _TEST_ROWS.replace("true AS proper", "true AS proper, true AS shallow, 'gini' AS impurity"),
+    lambda rows: _proper(rows, ((F.col("depth") <= 3) & (F.col("nodes") <= 15)).alias("shallow"), "impurity"),
+)
 def tree_scores(t):
     train, test = _sets(t)
     model = DecisionTreeClassifier(maxDepth=3, seed=42).fit(train)
-    shallow = F.lit(model.depth <= 3 and model.numNodes <= 15)
-    return _proper(_scored(model, test)).withColumns({"shallow": shallow, "impurity": F.lit(model.getOrDefault("impurity"))})
+    shape = {"depth": F.lit(model.depth), "nodes": F.lit(model.numNodes), "impurity": F.lit(model.getOrDefault("impurity"))}
+    return _scored(model, test).withColumns(shape)
 
 
-@query("forest_scores", _TEST_ROWS)
+@checked("forest_scores", _TEST_ROWS, _proper)
 def forest_scores(t):
     train, test = _sets(t)
-    return _proper(_scored(RandomForestClassifier(numTrees=20, seed=42).fit(train), test))
+    return _scored(RandomForestClassifier(numTrees=20, seed=42).fit(train), test)
 
 
-@query(
+def _importance_flags(rows):
+    total = rows.agg(F.sum("importance")).scalar()
+    return rows.select("feature", F.col("importance").between(0, 1).alias("inside"), (F.abs(total - 1) < 1e-9).alias("sum_is_one"))
+
+
+@checked(
     "feature_importance",
     f"WITH {_LABELLED}, {_FEATURES} SELECT feature, true AS inside, true AS sum_is_one FROM f",
+    _importance_flags,
 )
 def feature_importance(t):
     prepared = _prepared(t)
     train, _ = cl.hash_split(prepared, "doc_id", [70, 30])
     model = RandomForestClassifier(numTrees=20, seed=42).fit(train)
-    rows = t.spark.createDataFrame(cl.importances(model, cl.feature_names(prepared)), "feature string, importance double")
-    total = rows.agg(F.sum("importance")).scalar()
-    return rows.select("feature", F.col("importance").between(0, 1).alias("inside"), (F.abs(total - 1) < 1e-9).alias("sum_is_one"))
+    return t.spark.createDataFrame(cl.importances(model, cl.feature_names(prepared)), "feature string, importance double")
 
 
-@query(
+@checked(
     "prediction_counts",
     f"""WITH {_LABELLED} SELECT 'quality' AS by, quality::VARCHAR AS value, count(*) AS ct, true AS known FROM l GROUP BY quality
         UNION ALL SELECT 'lang', lang, count(*), true FROM l GROUP BY lang""",
+    lambda rows: rows.groupBy("by", "value").agg(F.sum("ct").alias("ct"), F.bool_and(F.col("prediction").isin(0.0, 1.0)).alias("known")),
 )
 def prediction_counts(t):
-    """Predictions by class and by language, and that they add up to the class and language counts."""
+    """How often each prediction was made, by class and by language."""
     prepared = _prepared(t)
     train, _ = cl.hash_split(prepared, "doc_id", [70, 30])
     model = RandomForestClassifier(numTrees=20, seed=42).fit(train.select("doc_id", "label", "features"))
@@ -260,14 +273,16 @@ def prediction_counts(t):
         F.struct(F.lit("quality").alias("by"), F.col("quality").cast("string").alias("value")),
         F.struct(F.lit("lang").alias("by"), F.col("lang").alias("value")),
     )
-    counts = model.transform(prepared).select("prediction", F.inline(pairs)).groupBy("by", "value", "prediction").agg(F.count("*").alias("ct"))
-    return counts.groupBy("by", "value").agg(F.sum("ct").alias("ct"), F.bool_and(F.col("prediction").isin(0.0, 1.0)).alias("known"))
+    return model.transform(prepared).select("prediction", F.inline(pairs)).groupBy("by", "value", "prediction").agg(F.count("*").alias("ct"))
 
 
 def _metrics(t, rows):
-    """The searched settings, best first, and whether each area is one."""
-    found = t.spark.createDataFrame(rows, "params string, area_roc double").orderBy(F.desc("area_roc"), "params")
-    return found.select("params", F.col("area_roc").between(0, 1).alias("inside"))
+    """The searched settings and their areas, best first."""
+    return t.spark.createDataFrame(rows, "params string, area_roc double").orderBy(F.desc("area_roc"), "params")
+
+
+def _areas_inside(rows):
+    return rows.select("params", F.col("area_roc").between(0, 1).alias("inside"))
 
 
 def _grid_sql(grid: dict) -> str:
@@ -286,28 +301,28 @@ GRID_FOREST = {"maxDepth": [2, 4, 6], "maxBins": [20, 60], "numTrees": [5, 20]}
 GRID_SWEEP = {"maxDepth": [1, 2, 3, 4], "stepSize": [0.05, 0.1, 0.2, 0.3], "subsamplingRate": [0.6, 0.8, 1.0], "maxIter": [2, 4]}
 
 
-@query("cv_grid", _grid_sql(GRID_LOGISTIC))
+@checked("cv_grid", _grid_sql(GRID_LOGISTIC), _areas_inside)
 def cv_grid(t):
     train, _ = _sets(t)
     _, rows = cl.tune(LogisticRegression(), GRID_LOGISTIC, train)
     return _metrics(t, rows)
 
 
-@query("cv_tree", _grid_sql(GRID_TREE))
+@checked("cv_tree", _grid_sql(GRID_TREE), _areas_inside)
 def cv_tree(t):
     train, _ = _sets(t)
     _, rows = cl.tune(DecisionTreeClassifier(seed=42), GRID_TREE, train)
     return _metrics(t, rows)
 
 
-@query("cv_forest", _grid_sql(GRID_FOREST))
+@checked("cv_forest", _grid_sql(GRID_FOREST), _areas_inside)
 def cv_forest(t):
     train, _ = _sets(t)
     _, rows = cl.tune(RandomForestClassifier(seed=42), GRID_FOREST, train)
     return _metrics(t, rows)
 
 
-@query("gbt_sweep", _grid_sql(GRID_SWEEP))
+@checked("gbt_sweep", _grid_sql(GRID_SWEEP), _areas_inside)
 def gbt_sweep(t):
     """96 settings on one train and validation split."""
     train, _ = _sets(t)
@@ -315,7 +330,7 @@ def gbt_sweep(t):
     return _metrics(t, rows)
 
 
-@query("batch_score", "SELECT doc_id, true AS proper FROM documents")
+@checked("batch_score", "SELECT doc_id, true AS proper FROM documents", lambda rows: _proper(rows.withColumn("label", F.lit(0))).drop("label"))
 def batch_score(t):
     """The best model of a search, kept, loaded and applied to every document."""
     space = t.workspace()
@@ -328,27 +343,63 @@ def batch_score(t):
     path = space.path("model")
     PipelineModel([*prepare.stages, search.bestModel]).write().save(path)
     scored = PipelineModel.load(path).transform(measured).withColumn("p", vector_to_array("probability"))
-    shown = scored.select("doc_id", F.lit(0).alias("label"), "prediction", F.col("p")[0].alias("prob_0"), F.col("p")[1].alias("prob_1"))
-    return _proper(shown).drop("label")
+    return scored.select("doc_id", "prediction", F.col("p")[0].alias("prob_0"), F.col("p")[1].alias("prob_1"))
 
 
-@query(
+def _class_flags(scored):
+    """Each probability in [0, 1], their sum one, the predicted class the likeliest and under its name."""
+    classes = [c for c in scored.columns if c.startswith("prob_")]
+    values = F.array(*classes)
+    sums = F.abs(F.aggregate(values, F.lit(0.0), lambda a, x: a + x) - 1) < 1e-9
+    likeliest = F.element_at(values, F.col("prediction").cast("int") + 1) == F.array_max(values)
+    named = F.col("predicted") == F.concat(F.lit("class_"), F.col("prediction").cast("int"))
+    inside = F.forall(values, lambda x: x.between(0, 1))
+    return scored.select("vec_id", "label", (sums & likeliest & named & inside).alias("proper"))
+
+
+@checked(
     "prob_columns",
     f"""SELECT vec_id, label::DOUBLE AS label, true AS proper FROM embeddings WHERE {_bucket_sql("vec_id")} >= 70""",
+    _class_flags,
 )
 def prob_columns(t):
-    """A probability column per class: each in [0, 1], their sum one, the predicted class the likeliest."""
+    """A probability column per class and the predicted class by name."""
     rows = t.embeddings.select("vec_id", F.col("label").cast("double").alias("label"), array_to_vector("embedding").alias("features"))
     train, test = cl.hash_split(rows, "vec_id", [70, 30])
     model = RandomForestClassifier(numTrees=20, seed=42).fit(train)
     classes = [f"class_{i}" for i in range(model.numClasses)]
     scored = cl.probability_columns(model.transform(test), classes)
-    values = F.array(*[f"prob_{c}" for c in classes])
-    sums = F.abs(F.aggregate(values, F.lit(0.0), lambda a, x: a + x) - 1) < 1e-9
-    likeliest = F.element_at(values, F.col("prediction").cast("int") + 1) == F.array_max(values)
-    named = F.col("predicted") == F.concat(F.lit("class_"), F.col("prediction").cast("int"))
-    inside = F.forall(values, lambda x: x.between(0, 1))
-    return scored.select("vec_id", "label", (sums & likeliest & named & inside).alias("proper"))
+    return scored.select("vec_id", "label", "prediction", "predicted", *[f"prob_{c}" for c in classes])
+
+
+def _forest_pipeline(t, space):
+    """Measured documents and a fitted pipeline from their columns to a forest's scores."""
+    measured = space.keep(_with_measures(t.documents), "measured")
+    train, _ = cl.hash_split(measured.join(t.labels.select("doc_id", "quality"), "doc_id"), "doc_id", [70, 30])
+    train = space.keep(train.withColumn("label", F.col("quality").cast("double")), "train")
+    stages = [*cl.preparation(CATEGORICAL, NUMERIC).getStages(), RandomForestClassifier(numTrees=20, seed=42)]
+    return measured, Pipeline(stages=stages).fit(train)
+
+
+@query("struct_score")
+def struct_score(t):
+    """A forest as a function over a struct of columns, used from SQL."""
+    measured, model = _forest_pipeline(t, t.workspace())
+    t.spark.udf.register("millrace_quality", scoring_function(t.spark, model))
+    columns = ", ".join([*CATEGORICAL, *NUMERIC])
+    scored = t.spark.sql(f"SELECT doc_id, millrace_quality(struct({columns})) AS s FROM {{rows}}", rows=measured)
+    p = F.col("s.probability")
+    return scored.select("doc_id", "s.prediction", p[0].alias("prob_0"), p[1].alias("prob_1"))
+
+
+@query("struct_score_check", "SELECT doc_id, true AS same_prediction, true AS same_probability FROM documents")
+def struct_score_check(t):
+    """The function's scores next to those of the pipeline's own transform, row by row."""
+    measured, model = _forest_pipeline(t, t.workspace())
+    score = scoring_function(t.spark, model)
+    both = model.transform(measured.withColumn("s", score(F.struct(*CATEGORICAL, *NUMERIC)))).withColumn("p", vector_to_array("probability"))
+    near = F.forall(F.zip_with("p", "s.probability", lambda a, b: F.abs(a - b) < 1e-12), lambda x: x)
+    return both.select("doc_id", (F.col("prediction") == F.col("s.prediction")).alias("same_prediction"), near.alias("same_probability"))
 
 
 # ---- curves ----------------------------------------------------------------

@@ -33,3 +33,18 @@ def query(key: str, check: str | None = None):
         return plan
 
     return register
+
+
+def checked(key: str, check: str, flags):
+    """Register a plan's numbers under ``key`` and, under ``<key>_check``, what SQL can state of them."""
+
+    def register(plan):
+        query(key)(plan)
+
+        def check_of(t):
+            return flags(plan(t))
+
+        query(f"{key}_check", check)(check_of)
+        return plan
+
+    return register

@@ -15,7 +15,7 @@ from millrace.operators import features as feat
 from millrace.operators import forecast as fc
 from millrace.operators.classify import hash_split
 from millrace.operators.merge import merge_partitions
-from millrace.plans.registry import query
+from millrace.plans.registry import checked, query
 
 # ---- features --------------------------------------------------------------
 
@@ -96,9 +96,11 @@ def feature_lookup_floor(t):
     return _short_training(_training(t, "floor"))
 
 
-@query(
+@checked(
     "regress_features",
     "SELECT model, true AS fitted FROM (VALUES ('linear'), ('boosted_trees')) AS v(model), (SELECT count(*) FROM events) AS e",
+    # Values carry little signal; a model that went astray would miss by several deviations.
+    lambda rows: rows.select("model", (F.greatest("validation_rmse", "test_rmse") < 2 * F.col("label_stddev")).alias("fitted")),
 )
 def regress_features(t):
     names = [
@@ -126,9 +128,7 @@ def regress_features(t):
         found.append((name, float(min(search.validationMetrics)), float(evaluator.evaluate(search.transform(test)))))
     errors = t.spark.createDataFrame(found, "model string, validation_rmse double, test_rmse double")
     spread = rows.agg(F.stddev_samp("label")).scalar()
-    # Values carry little signal; a model that went astray would miss by several deviations.
-    fitted = F.greatest("validation_rmse", "test_rmse") < 2 * spread
-    return errors.select("model", fitted.alias("fitted"))
+    return errors.withColumn("label_stddev", spread)
 
 
 # ---- forecasts -------------------------------------------------------------
@@ -262,20 +262,23 @@ def forecast_eval_store(t):
     return t.spark.table(name).select("group", F.round("mae", 4).alias("mae"), "training_date")
 
 
-@query(
+def _grouped_map_totals(rows):
+    inside = F.col("y").between(F.col("yhat_lower"), F.col("yhat_upper")).cast("double")
+    return rows.groupBy("group").agg(
+        F.count("y").alias("past"), F.count_if(F.col("y").isNull()).alias("ahead"), F.round(F.sum("y"), 2).alias("sum_y"),
+        F.max("ds").alias("last_day"), (F.avg(inside) > 0.85).alias("inside"),
+    )
+
+
+@checked(
     "forecast_grouped_map",
     f"""WITH s AS ({_SERIES}) SELECT "group", count(*) AS past, {_DAYS}::BIGINT AS ahead, round(sum(y), 2) AS sum_y,
                max(ds) + {_DAYS} AS last_day, true AS inside FROM s GROUP BY 1""",
+    _grouped_map_totals,
 )
 def forecast_grouped_map(t):
-    fitted = fc.forecast_grouped_map(_series(t), _DAYS, _RUN)
-    return fitted.groupBy("group").agg(
-        F.count("y").alias("past"),
-        F.count_if(F.col("y").isNull()).alias("ahead"),
-        F.round(F.sum("y"), 2).alias("sum_y"),
-        F.max("ds").alias("last_day"),
-        (F.avg(F.col("y").between(F.col("yhat_lower"), F.col("yhat_upper")).cast("double")) > 0.85).alias("inside"),
-    )
+    """Day by day: history, fit and interval of every group."""
+    return fc.forecast_grouped_map(_series(t), _DAYS, _RUN)
 
 
 @query(
