@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import math
+import random
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline
+from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -104,6 +109,82 @@ def sweep(estimator, grid: dict, train: DataFrame, ratio: float = 0.8, paralleli
     return search, _named(maps, search.validationMetrics)
 
 
+def halving_sizes(trials: int, eta: int) -> list[int]:
+    """Settings per rung, ``trials`` in sum: each rung has one in ``eta`` of the one before."""
+
+    def rungs(first: int) -> list[int]:
+        sizes = [first]
+        while sizes[-1] >= eta:
+            sizes.append(sizes[-1] // eta)
+        return sizes
+
+    first = next(n for n in range(trials, 0, -1) if sum(rungs(n)) <= trials)
+    sizes = rungs(first)
+    return [sizes[0] + trials - sum(sizes), *sizes[1:]]
+
+
+def drawn(ranges: dict, count: int, seed: int, around: Sequence[dict] = (), spread: float = 0.15) -> list[dict]:
+    """Settings from continuous ranges ``{name: (least, most, kind)}``, kind being ``float``, ``int`` or ``log``.
+
+    With settings to search ``around``, each draw moves one of them, in turn,
+    by a normal step of ``spread`` of the range.
+    """
+    r = random.Random(seed)
+    made = []
+    for i in range(count):
+        setting = {}
+        for name, (least, most, kind) in sorted(ranges.items()):
+            low, high = (math.log(least), math.log(most)) if kind == "log" else (least, most)
+            if around:
+                at = around[i % len(around)][name]
+                place = (math.log(at) if kind == "log" else at) + r.gauss(0, spread * (high - low))
+            else:
+                place = r.uniform(low, high)
+            place = min(high, max(low, place))
+            setting[name] = math.exp(place) if kind == "log" else int(round(place)) if kind == "int" else place
+        made.append(setting)
+    return made
+
+
+def boosted_fit(rows: DataFrame, setting: dict, rounds: int, held: str, patience: float = 0.005, seed: int = 42):
+    """Boosted trees of at most ``rounds`` rounds; they stop when the rows marked by ``held`` gain nothing more."""
+    booster = GBTClassifier(maxIter=rounds, validationIndicatorCol=held, validationTol=patience, seed=seed)
+    return booster.copy({booster.getParam(n): v for n, v in setting.items()}).fit(rows)
+
+
+def halving_search(
+    rows: DataFrame, ranges: dict, held: str, trials: int = 96, eta: int = 3, rounds: int = 2, refine: float = 0.5, parallelism: int = 10, seed: int = 42
+) -> list[dict]:
+    """Successive halving of boosted trees over continuous ranges, with early stopping in each fit.
+
+    The first rung is fitted with few rounds, and each next one with ``eta``
+    times as many. Of its settings a share of ``refine`` moves the best of the
+    rung before a little, and the rest are these best themselves; so later
+    settings follow from earlier results. ``rows`` hold ``features``, ``label``
+    and the column ``held``, true for rows that judge and end a fit. Returns a
+    record per trial, in order: rung, setting, rounds allowed and used, area
+    under the ROC curve of the held rows. All draws follow from ``seed``.
+    """
+    judged, evaluator = rows.where(held), BinaryClassificationEvaluator()
+    done: list[dict] = []
+    best: list[dict] = []
+    for rung, size in enumerate(halving_sizes(trials, eta)):
+        moved = 0 if not best else int(size * refine) if size > 1 else 0
+        settings = [b["setting"] for b in best[: size - moved]] + drawn(ranges, size - len(best[: size - moved]), seed + rung, [b["setting"] for b in best])
+        allowed = rounds * eta**rung
+
+        def fit(setting, rung=rung, allowed=allowed):
+            model = boosted_fit(rows, setting, allowed, held, seed=seed)
+            area = evaluator.evaluate(model.transform(judged))
+            return {"rung": rung, "setting": setting, "rounds_allowed": allowed, "rounds_used": model.getNumTrees, "area_roc": area}
+
+        with ThreadPool(parallelism) as pool:  # as CrossValidator does: the fits are Spark jobs
+            fitted = pool.map(inheritable_thread_target(rows.sparkSession)(fit), settings)
+        done += [{"trial": len(done) + i, **f} for i, f in enumerate(fitted)]
+        best = sorted(done[-size:], key=lambda f: (-f["area_roc"], f["trial"]))
+    return done
+
+
 def roc_points(df: DataFrame, score: str, positive: Column, keys: Sequence[str] = ()) -> DataFrame:
     """One ROC and precision-recall point per distinct score, highest first.
 

@@ -330,6 +330,35 @@ def gbt_sweep(t):
     return _metrics(t, rows)
 
 
+# Ranges of the adaptive search: least, most, and how values spread between them.
+RANGES = {"maxDepth": (1, 5, "int"), "stepSize": (0.02, 0.5, "log"), "subsamplingRate": (0.5, 1.0, "float"), "minInstancesPerNode": (1, 20, "int")}
+
+
+def _halving_flags(rows):
+    sound = F.col("area_roc").between(0, 1) & (F.col("rounds_used") >= 1) & (F.col("rounds_used") <= F.col("rounds_allowed"))
+    inside = [F.col(n).between(least, most) for n, (least, most, _) in RANGES.items()]
+    for condition in inside:
+        sound = sound & condition
+    return rows.groupBy("rung", "rounds_allowed").agg(F.count("*").alias("trials"), F.bool_and(sound).alias("sound"))
+
+
+@checked(
+    "gbt_halving",
+    """SELECT rung, (2 * 3 ** rung)::INTEGER AS rounds_allowed, trials, true AS sound
+       FROM (VALUES (0, 66::BIGINT), (1, 21), (2, 7), (3, 2)) AS v(rung, trials), (SELECT count(*) FROM labels) AS l""",
+    _halving_flags,
+)
+def gbt_halving(t):
+    """96 trials of boosted trees: settings of a rung follow from the one before, and rounds stop on held-out rows."""
+    train, _ = _sets(t)
+    space = t.workspace()
+    rows = space.keep(train.withColumn("held", cl.part_of("doc_id", [80, 20], seed=7) == 1), "trials")
+    found = cl.halving_search(rows, RANGES, "held")
+    schema = "trial int, rung int, maxDepth int, stepSize double, subsamplingRate double, minInstancesPerNode int, rounds_allowed int, rounds_used int, area_roc double"
+    made = [{**{k: v for k, v in f.items() if k != "setting"}, **f["setting"]} for f in found]
+    return t.spark.createDataFrame(made, schema)
+
+
 @checked("batch_score", "SELECT doc_id, true AS proper FROM documents", lambda rows: _proper(rows.withColumn("label", F.lit(0))).drop("label"))
 def batch_score(t):
     """The best model of a search, kept, loaded and applied to every document."""

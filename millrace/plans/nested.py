@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.functions import dates, text, udfs, units
+from millrace.functions import dates, text, udfs, units, vectorised
 from millrace.operators import nested
 from millrace.plans.registry import query
 
@@ -266,6 +266,24 @@ def udf_equivalence(t):
     )
 
 
+@query("strip_accents", "SELECT doc_id, md5(strip_accents(text)) AS digest FROM documents")
+def strip_accents(t):
+    plain = vectorised.strip_accents()
+    return t.documents.select("doc_id", F.md5(plain("text").cast("binary")).alias("digest"))
+
+
+@query(
+    "name_similarity",
+    """SELECT s_name, n_name, round(jaro_winkler_similarity(lower(s_name || ' ' || n_name), lower(n_name || ' ' || r_name)), 9) AS similarity
+       FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
+)
+def name_similarity(t):
+    similarity = vectorised.name_similarity()
+    rows = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
+    a, b = F.lower(F.concat_ws(" ", "s_name", "n_name")), F.lower(F.concat_ws(" ", "n_name", "r_name"))
+    return rows.select("s_name", "n_name", F.round(similarity(a, b), 9).alias("similarity"))
+
+
 @query(
     "sql_udtf",
     """SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_returnflag = 'R' AND l_quantity >= 20""",

@@ -118,3 +118,52 @@ def test_areas_against_pairs(spark):
     own = cl.areas(cl.roc_points(scored, "score", F.col("label") == 1.0)).first()
     label, score = np.array(scored.collect()).T
     assert abs(own.area_roc - area(label, score)) < 1e-9
+
+
+def test_vectorised_text_functions(spark):
+    """Against another engine's forms, on odd and on random texts."""
+    import random
+
+    import duckdb
+
+    from millrace.functions import vectorised
+
+    r = random.Random(8)
+    words = ["", "a", "ab", "ba", "martha", "marhta", "dwayne", "duane", "dixon", "dicksonx", "éàü", "straße", "ÅÉÎ õ ñ", "中文", "İstanbul", "x" * 70]
+    words += ["".join(r.choice("abcdé") for _ in range(r.randint(0, 80))) for _ in range(120)]
+    pairs = [(r.choice(words), r.choice(words)) for _ in range(800)] + [(None, "a"), ("a", None), ("", "")]
+    df = spark.createDataFrame(pairs, "a string, b string").repartition(3)
+    got = {(x.a, x.b): (x.s, x.p) for x in df.select("a", "b", vectorised.name_similarity()("a", "b").alias("s"), vectorised.strip_accents()("a").alias("p")).collect()}
+    for a, b in pairs:
+        want = duckdb.execute("SELECT jaro_winkler_similarity(?, ?), strip_accents(?)", [a, b, a]).fetchone()
+        similar, plain = got[a, b]
+        assert (a is None or b is None) == (similar is None) and plain == want[1]
+        if similar is not None and (a or b) and (a + b).isascii():
+            assert abs(similar - want[0]) < 1e-9, (a, b)
+
+
+def test_halving_search(spark, measured):
+    ready = cl.preparation(models.CATEGORICAL, models.NUMERIC).fit(measured).transform(measured).select("doc_id", "label", "features")
+    rows = ready.withColumn("held", cl.part_of("doc_id", [70, 30], seed=7) == 1).cache()
+    found = cl.halving_search(rows, models.RANGES, "held", trials=13, rounds=2)
+    assert [f["trial"] for f in found] == list(range(13)) and [f["rung"] for f in found] == [0] * 9 + [1] * 3 + [2]
+    assert all(1 <= f["rounds_used"] <= f["rounds_allowed"] == 2 * 3 ** f["rung"] for f in found)
+    assert any(f["rounds_used"] < f["rounds_allowed"] for f in found)  # some fits ended early
+    first = [f for f in found if f["rung"] == 0]
+    carried = max(first, key=lambda f: f["area_roc"])["setting"]
+    assert carried in [f["setting"] for f in found if f["rung"] == 1]  # the best goes on
+    best = max(found, key=lambda f: f["area_roc"])
+    model = cl.boosted_fit(rows, best["setting"], best["rounds_allowed"], "held")
+    scored = model.transform(rows.where("held")).select("label", vector_to_array("probability")[1].alias("p")).collect()
+    label, p = np.array(scored).T
+    assert model.getNumTrees == best["rounds_used"] and abs(area(label, p) - best["area_roc"]) < 1e-6
+    assert cl.halving_search(rows, models.RANGES, "held", trials=4, rounds=2)[:3] == cl.halving_search(rows, models.RANGES, "held", trials=4, rounds=2)[:3]
+
+
+def test_halving_sizes_and_draws():
+    assert cl.halving_sizes(96, 3) == [66, 21, 7, 2] and cl.halving_sizes(13, 3) == [9, 3, 1] and cl.halving_sizes(1, 3) == [1]
+    wide = cl.drawn(models.RANGES, 200, 1)
+    near = cl.drawn(models.RANGES, 200, 1, wide[:1], spread=0.01)
+    for name, (least, most, kind) in models.RANGES.items():
+        assert all(least <= s[name] <= most for s in wide + near) and len({s[name] for s in wide}) > 4
+        assert kind == "int" or np.std([s[name] for s in near]) < np.std([s[name] for s in wide]) / 5
