@@ -223,6 +223,74 @@ def forecast_select(t):
     return best.withColumns({c: F.round(c, 4) for c in ("mdape", *fc.MODELS)})
 
 
+_ROLLING = f"""s AS ({_SERIES}),
+  b AS (SELECT "group", min(ds) AS first_ds, max(ds) AS last_ds FROM s GROUP BY 1),
+  k AS (SELECT "group", first_ds, (last_ds - 30 * i::INTEGER)::DATE AS cutoff FROM b, range(1, 4) AS g(i) WHERE last_ds - 30 * i::INTEGER > first_ds),
+  x AS (SELECT s."group", cutoff, ds, y AS actual, CASE WHEN ds <= cutoff THEN y END AS y, date_diff('day', first_ds, ds) AS d
+        FROM s JOIN k ON s."group" = k."group" AND ds <= cutoff + 30),
+  c AS (SELECT "group", cutoff, regr_intercept(y, d) AS a, regr_slope(y, d) AS b, arg_max(y, ds) FILTER (y IS NOT NULL) AS last_value FROM x GROUP BY ALL),
+  r1 AS (SELECT x.*, a + b * d AS trend, y / nullif(a + b * d, 0) AS r1, last_value FROM x JOIN c USING ("group", cutoff)),
+  r2 AS (SELECT *, avg(r1) OVER (PARTITION BY "group", cutoff, dayofweek(ds)) AS wf FROM r1),
+  r3 AS (SELECT *, avg(r1 / nullif(wf, 0)) OVER (PARTITION BY "group", cutoff, month(ds)) AS mf FROM r2),
+  e AS (SELECT "group", cutoff, count(*) AS days, quantile_cont(abs((actual - last_value) / nullif(actual, 0)), 0.5) AS last_value,
+               quantile_cont(abs((actual - trend * coalesce(wf, 1) * coalesce(mf, 1)) / nullif(actual, 0)), 0.5) AS seasonal,
+               quantile_cont(abs((actual - trend) / nullif(actual, 0)), 0.5) AS trend
+        FROM r3 WHERE ds > cutoff GROUP BY ALL)"""
+
+
+@query(
+    "forecast_rolling",
+    f"""WITH {_ROLLING} SELECT "group", cutoff, days, round(last_value, 4) AS last_value, round(seasonal, 4) AS seasonal, round(trend, 4) AS trend FROM e""",
+)
+def forecast_rolling(t):
+    """Errors per cut-off day on the 30 days after it."""
+    return fc.rolling_errors(_series(t)).withColumns({c: F.round(c, 4) for c in fc.MODELS})
+
+
+@query(
+    "forecast_select_unseen",
+    f"""WITH {_ROLLING}, m AS (SELECT "group", count(*) AS cutoffs, avg(last_value) AS last_value, avg(seasonal) AS seasonal, avg(trend) AS trend FROM e GROUP BY 1)
+        SELECT "group", CASE least(last_value, seasonal, trend) WHEN last_value THEN 'last_value' WHEN seasonal THEN 'seasonal' ELSE 'trend' END AS model,
+               round(least(last_value, seasonal, trend), 4) AS mdape, cutoffs, round(last_value, 4) AS last_value, round(seasonal, 4) AS seasonal,
+               round(trend, 4) AS trend FROM m""",
+)
+def forecast_select_unseen(t):
+    best = fc.best_unseen(fc.rolling_errors(_series(t)))
+    return best.withColumns({c: F.round(c, 4) for c in ("mdape", *fc.MODELS)})
+
+
+# With one break the normal equations have three unknowns: solved here by Cramer's rule.
+_DET = "({a} * ({e} * {i} - {f} * {h}) - {b} * ({d} * {i} - {f} * {g}) + {c} * ({d} * {h} - {e} * {g}))"
+_GRAM = {"a": "g00", "b": "g01", "c": "g02", "d": "g01", "e": "g11", "f": "g12", "g": "g02", "h": "g12", "i": "g22"}
+_CRAMER = [
+    _DET.format(**_GRAM),
+    _DET.format(**{**_GRAM, "a": "q0", "d": "q1", "g": "q2"}),
+    _DET.format(**{**_GRAM, "b": "q0", "e": "q1", "h": "q2"}),
+    _DET.format(**{**_GRAM, "c": "q0", "f": "q1", "i": "q2"}),
+]
+
+
+@query(
+    "forecast_broken_trend",
+    f"""WITH s AS ({_SERIES}), b AS (SELECT "group", min(ds) AS first_ds, max(ds) AS last_ds, max(ds) - min(ds) AS span FROM s GROUP BY 1),
+        days AS (SELECT "group", ds, y FROM s
+                 UNION ALL SELECT "group", (last_ds + i::INTEGER)::DATE, NULL FROM b, range(1, {_DAYS + 1}) AS g(i)),
+        x AS (SELECT days.*, (ds - first_ds) / span AS t, greatest((ds - first_ds) / span - 0.5::DOUBLE, 0) AS h, greatest(ds - last_ds, 0) / span AS ahead
+              FROM days JOIN b USING ("group")),
+        m AS (SELECT "group", count(*)::DOUBLE AS g00, sum(t) AS g01, sum(h) AS g02, sum(t * t) AS g11, sum(t * h) AS g12,
+                     sum(h * h) + 0.001::DOUBLE * count(*) AS g22, sum(y) AS q0, sum(t * y) AS q1, sum(h * y) AS q2 FROM x WHERE y IS NOT NULL GROUP BY 1),
+        w AS (SELECT "group", {_CRAMER[1]} / {_CRAMER[0]} AS w0, {_CRAMER[2]} / {_CRAMER[0]} AS w1, {_CRAMER[3]} / {_CRAMER[0]} AS w2 FROM m),
+        f AS (SELECT x.*, w0 + w1 * t + w2 * h AS yhat, w2 FROM x JOIN w USING ("group")),
+        v AS (SELECT *, var_samp(y - yhat) OVER (PARTITION BY "group") AS error FROM f)
+        SELECT "group", ds, round(y, 2) AS y, round(yhat, 3) AS yhat, round(yhat + 1.96 * sqrt(error + w2 * w2 * 2 * ahead ** 3 / 3), 3) AS yhat_upper,
+               round(yhat - 1.96 * sqrt(error + w2 * w2 * 2 * ahead ** 3 / 3), 3) AS yhat_lower FROM v""",
+)
+def forecast_broken_trend(t):
+    """A trend with one bend per brand, and a band that widens with the horizon."""
+    rows = fc.broken_trend(_series(t), _DAYS, breaks=1)
+    return rows.withColumns({"y": F.round("y", 2), **{c: F.round(c, 3) for c in ("yhat", "yhat_upper", "yhat_lower")}})
+
+
 @query(
     "forecast_report",
     f"""SELECT "group", ds, yhat, yhat_upper, yhat_lower FROM ({_FORECAST})

@@ -3,6 +3,7 @@
 import datetime as dt
 import html
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -377,3 +378,60 @@ def test_profile_of_nulls_and_groups(spark):
     got = {(r.g, r.column_name): r for r in profile.summarize(df, ["v", "w"], ["g"]).collect()}
     assert len(got) == 4 and (got["g", "v"].n, got["g", "v"].mean, got["g", "v"].p50) == (2, 2.0, 2.0)
     assert got["g", "v"].stddev == pytest.approx(2**0.5) and got["h", "v"].n == 0 and got["h", "v"].min is None
+
+
+def test_rolling_errors_judge_unseen_days(spark):
+    """A series that doubles after the cut-off: each candidate is judged on the days it has not seen."""
+    base = dt.date(2023, 1, 1)
+    data = [("flat", base + dt.timedelta(days=i), 10.0) for i in range(100)]
+    data += [("line", base + dt.timedelta(days=i), 100.0 + 2 * i) for i in range(100)]
+    data += [("week", base + dt.timedelta(days=i), 50.0 * (1 + (i % 7 == 0))) for i in range(100)]
+    data += [("jump", base + dt.timedelta(days=i), 10.0 if i < 90 else 20.0) for i in range(100)]
+    data += [("short", base + dt.timedelta(days=i), 10.0) for i in range(12)] + [("flat", None, 3.0), ("flat", base, None)]
+    table = spark.createDataFrame(data, "`group` string, ds date, y double").repartition(5)
+    errors = forecast.rolling_errors(table, cutoffs=3, days=10)
+    got = {(r.group, r.cutoff): r for r in errors.collect()}
+    last = base + dt.timedelta(days=99)
+    assert {g for g, _ in got} == {"flat", "line", "week", "jump", "short"} and sum(g == "short" for g, _ in got) == 1
+    for k in (1, 2, 3):
+        cutoff = last - dt.timedelta(days=10 * k)
+        flat, line, week = (got[g, cutoff] for g in ("flat", "line", "week"))
+        assert flat.days == 10 and max(flat.last_value, flat.seasonal, flat.trend) < 1e-9
+        days = [100 + 2 * (99 - 10 * k + j) for j in range(1, 11)]
+        assert line.trend < 1e-9 and abs(line.last_value - np.median([2 * j / d for j, d in enumerate(days, 1)])) < 1e-9
+        assert week.seasonal < 0.05
+    jump = got["jump", last - dt.timedelta(days=10)]
+    assert abs(jump.last_value - 0.5) < 1e-9 and jump.trend > 0.4  # nothing of the jump was known
+    best = {r.group: r for r in forecast.best_unseen(errors).collect()}
+    assert best["line"].model != "last_value" and best["line"].mdape < 1e-9 and best["week"].model == "seasonal" and best["short"].cutoffs == 1
+    assert forecast.rolling_errors(table.limit(0)).collect() == []
+
+
+def test_broken_trend_finds_a_known_break(spark):
+    base = dt.date(2023, 1, 1)
+    shape = lambda i: 100.0 + i if i <= 60 else 160.0 - 3 * (i - 60)
+    data = [("bent", base + dt.timedelta(days=i), shape(i)) for i in range(121)]
+    data += [("line", base + dt.timedelta(days=i), 5.0 + i) for i in range(121) if i % 3] + [("one", base, 7.0)]
+    table = spark.createDataFrame(data, "`group` string, ds date, y double").repartition(3)
+    rows = {}
+    for r in forecast.broken_trend(table, 40, breaks=1, ridge=0.0).orderBy("ds").collect():
+        rows.setdefault(r.group, []).append(r)
+    assert len(rows["bent"]) == 161 and len(rows["line"]) == 120 and len(rows["one"]) == 41
+    for i, r in enumerate(rows["bent"]):
+        assert abs(r.yhat - shape(i)) < 1e-6
+    widths = [r.yhat_upper - r.yhat for r in rows["bent"] if r.y is None]
+    assert all(b > a for a, b in zip(widths, widths[1:])) and widths[-1] > 50 * max(r.yhat_upper - r.yhat for r in rows["bent"] if r.y is not None)
+    straight = [r.yhat_upper - r.yhat for r in rows["line"]]
+    assert max(straight) < 1e-3  # no bend was seen, so none is expected
+    assert all(r.yhat == 7.0 and r.yhat_upper == r.yhat_lower for r in rows["one"])
+
+
+def test_broken_trend_equals_least_squares(spark):
+    rng = np.random.default_rng(5)
+    base, y = dt.date(2022, 1, 1), np.cumsum(rng.normal(size=200)) + 50
+    table = spark.createDataFrame([("g", base + dt.timedelta(days=i), float(v)) for i, v in enumerate(y)], "`group` string, ds date, y double")
+    got = [r.yhat for r in forecast.broken_trend(table, 20, breaks=4, ridge=0.01).orderBy("ds").collect()]
+    t = np.arange(220) / 199
+    x = np.column_stack([np.ones(220), t, *[np.maximum(t - k / 5, 0) for k in range(1, 5)]])
+    a = x[:200].T @ x[:200] + np.diag([0, 0, 2.0, 2.0, 2.0, 2.0])
+    assert np.allclose(got, x @ np.linalg.solve(a, x[:200].T @ y), atol=1e-6)
