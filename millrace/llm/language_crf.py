@@ -12,15 +12,22 @@ Forward-backward runs on whole texts in segments of ``SEGMENT`` words: the
 transfer matrix of each segment, then the chain over segments, then the words
 inside them. All texts of a batch go through numpy together.
 
-Training uses at most ``TRAIN_DOCS`` distinct texts (by least hash) of at most
-``TRAIN_CHARS`` characters.
+Training uses at most ``TRAIN_DOCS`` distinct texts, shared out evenly among the
+languages; what a rare one leaves goes to the others. Within a language the
+texts of least hash are taken. A longer text gives a window of ``TRAIN_CHARS``
+characters at a place that its hash names. Of more than ``MOST_LANGUAGES``
+values of the label column the most frequent are learned.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0;
-repeated rows agree; without any labelled row every text is ``und``.
+repeated rows agree; of two equally likely languages the first by name wins; a
+very long text is read whole, segment by segment; without any labelled row
+every text is ``und``; an empty table gives an empty result; a kept column named
+like a result gives way to it.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from dataclasses import dataclass
@@ -35,7 +42,8 @@ UNKNOWN = "und"
 WORD = re.compile(r"[^\W\d_]+")
 BUCKETS = 1 << 16
 TRAIN_DOCS = 1500
-TRAIN_CHARS = 20_000
+TRAIN_CHARS = 8_000
+MOST_LANGUAGES = 200
 HASHES = 2**40
 WINDOW = 24
 EPOCHS = 4
@@ -245,17 +253,41 @@ def train(rows: list[tuple[str, str]], seed: int = 7) -> Model | None:
     return Model(labels, weights.astype(np.float32), start, steps)
 
 
+def quotas(counts: dict[str, int], most: int) -> dict[str, int]:
+    """Texts per language: even shares, and what a rare one leaves is shared among the rest."""
+    given, left = {}, most
+    for i, (lang, n) in enumerate(sorted(counts.items(), key=lambda c: (c[1], c[0]))):
+        given[lang] = min(n, left // (len(counts) - i))
+        left -= given[lang]
+    return given
+
+
 def training_rows(df: DataFrame, text: str = "text", lang: str = "lang", most: int = TRAIN_DOCS) -> list[tuple[str, str]]:
-    """The documented sample: of the distinct labelled texts of bounded length those of least hash, at most ``most``.
+    """The documented sample: per language the distinct labelled texts of least hash, at most ``most`` in all.
 
-    A count sets the share of hashes that is looked at, so about a fifth more
-    than ``most`` rows leave the tasks, however large the table.
+    An approximate count of distinct texts per language sets the share of
+    hashes that is looked at, so about a fifth more than ``most`` texts leave
+    the tasks, however large the table and however many copies it holds.
     """
-    usable = df.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & (F.length(text) <= TRAIN_CHARS))
+    usable = df.where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
     usable = usable.select(F.pmod(F.xxhash64(text), F.lit(HASHES)).alias("h"), F.col(text).alias("t"), F.col(lang).alias("l"))
-    share = min(1.0, 1.2 * most / max(1, df.where(F.col(lang).isNotNull()).count()))
-    picked = usable.where(F.col("h") < int(share * HASHES)).groupBy("h").agg(F.min("l").alias("l"), F.min("t").alias("t"))
-    return [(r.t, r.l) for r in picked.orderBy("h").limit(most).collect()]
+    seen = usable.groupBy("l").agg(F.approx_count_distinct("h").alias("n")).orderBy(F.desc("n"), "l").limit(MOST_LANGUAGES).collect()
+    if not seen:
+        return []
+    # A count that is a little short must not cut a rare language.
+    counts = {r.l: r.n for r in seen}
+    wanted = quotas({name: math.ceil(1.1 * n) for name, n in counts.items()}, most)
+    shares = {name: min(1.0, 1.25 * wanted[name] / counts[name]) for name in counts}
+    limits = F.create_map(*[F.lit(x) for name, share in shares.items() for x in (name, int(share * HASHES))])
+    place = F.lit(1) + F.pmod(F.col("h"), F.greatest(F.length("t") - TRAIN_CHARS + 1, F.lit(1)))
+    window = F.substring(F.col("t"), place.cast("int"), F.lit(TRAIN_CHARS))
+    picked = usable.where(F.col("h") < F.element_at(limits, F.col("l"))).select("h", "l", window.alias("t"))
+    rows = picked.groupBy("h").agg(F.min("l").alias("l"), F.min("t").alias("t")).orderBy("h").collect()
+    taken: dict[str, list[str]] = {}
+    for r in rows:
+        if len(taken.setdefault(r.l, [])) < wanted[r.l]:
+            taken[r.l].append(r.t)
+    return [(t, name) for name in sorted(taken) for t in taken[name]]
 
 
 class Tagger:

@@ -108,3 +108,46 @@ def test_votes_match_brute_force():
         weights = [max(0.0, c) ** quality_knn.POWER for c, _ in cos]
         calm = 0.5**quality_knn.POWER
         assert abs(got[i] - (sum(w * q for w, (_, q) in zip(weights, cos, strict=True)) + calm * 0.4) / (sum(weights) + calm)) < 1e-4
+
+
+def syllables(seed, words, parts):
+    import random
+
+    r = random.Random(seed)
+    return " ".join("".join(r.choice(parts) for _ in range(r.randint(1, 3))) for _ in range(words))
+
+
+DE, FR = ["sch", "ung", "ein", "ver", "keit"], ["eau", "oui", "que", "ée", "ais"]
+
+
+def test_rare_languages_are_learned(spark):
+    """Two in 4,000 texts, next to thousands of others and a third of copies: all of them are in the sample."""
+    rows = [(i, syllables(i, 12, DE), "de") for i in range(4000)] + [(9000 + i, "ein ver ung", "de") for i in range(2000)]
+    rows += [(20_000 + i, syllables(i, 12, FR), "fr") for i in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(6)
+    sample = language_crf.training_rows(docs)
+    langs = [lang for _, lang in sample]
+    assert langs.count("fr") == 2 and 1300 <= langs.count("de") <= 1500 and len(set(sample)) == len(sample)
+    model = language_crf.train(sample)
+    new = spark.createDataFrame([(1, syllables(99, 30, FR)), (2, syllables(98, 30, DE))], "doc_id long, text string")
+    assert {r.doc_id: r.lang_pred for r in language_crf.predict(new, model).collect()} == {1: "fr", 2: "de"}
+
+
+def test_only_long_texts_are_learned_by_windows(spark):
+    rows = [(i, syllables(i, 9000, DE if i % 2 else FR), "de" if i % 2 else "fr") for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sample = language_crf.training_rows(docs)
+    assert len(sample) == 6 and all(len(t) == language_crf.TRAIN_CHARS and any(t in text for _, text, _ in rows) for t, _ in sample)
+    got = language_crf.predict(docs, language_crf.train(sample)).collect()
+    assert all(r.lang_pred == ("de" if r.doc_id % 2 else "fr") for r in got)
+
+
+def test_quotas():
+    assert language_crf.quotas({"a": 5, "b": 10_000, "c": 10_000}, 1500) == {"a": 5, "b": 747, "c": 748}
+    assert language_crf.quotas({"a": 3}, 1500) == {"a": 3} and language_crf.quotas({}, 10) == {}
+
+
+def test_texts_without_letters_or_labels_teach_nothing(spark, odd):
+    none = spark.createDataFrame([(1, "123 !!", "de"), (2, None, "de"), (3, "Wort", None)], "doc_id long, text string, lang string")
+    assert language_crf.training_rows(none) == []
+    assert {r.lang_pred for r in language_crf.predict(odd.drop("lang_pred"), None).collect()} == {"und"}

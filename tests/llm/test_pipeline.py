@@ -7,6 +7,8 @@ from collections import Counter
 
 import pytest
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from compare import differences, duck
 from millrace import Workspace
@@ -103,3 +105,26 @@ def test_entry_without_the_corpus_operators(tmp_path):
     assert out[0] == "0" and int(out[1]) > 100
 
 
+
+
+def test_language_stage_keeps_what_it_cannot_judge(spark, odd):
+    """Without labels all stay; only long texts are learned from by windows; a given lang stays; texts without letters go."""
+    bare = odd.withColumn("lang", F.lit(None).cast("string"))
+    assert Counter(map(repr, corpus_pipeline.known_language(spark, bare, FOLDER).collect())) == Counter(map(repr, bare.collect()))
+    long = [(i, "wort " * 6000 if i % 2 else "mot que " * 4000, "de" if i % 2 else "fr", None, None) for i in range(8)]
+    more = [(50, "wort " * 30, None, None, None), (51, "mot que zzz kkk ppp", "fr", None, None), (52, "12 34", "fr", None, None), (53, None, "de", None, None)]
+    docs = spark.createDataFrame(long + more, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {r.doc_id: r.lang for r in corpus_pipeline.known_language(spark, docs, FOLDER).collect()}
+    assert kept == {**{i: "de" if i % 2 else "fr" for i in range(8)}, 50: "de", 51: "fr"}
+
+
+def test_stages_on_awkward_and_empty_tables(spark, odd, none):
+    names = ["doc_id", "text", "lang", "source", "n_chars"]
+    space = Workspace(spark)
+    for table in (odd.select(names), none.select(names)):
+        docs = table
+        for name, stage in corpus_pipeline.STAGES:
+            docs = space.keep(stage(spark, docs, FOLDER), "awkward")
+            if name != "packing":
+                assert docs.columns == names
+        assert docs.count() == 0 or table is not none
