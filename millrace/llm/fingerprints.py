@@ -1,25 +1,33 @@
 """Document fingerprints by consistent weighted sampling, in DataFrame functions only.
 
-A document is a weighted set: each lower-cased word, hashed to one of
-``TERMS`` terms, weighs its count. For every term and every one of ``SAMPLES``
-samples there are fixed draws r, c ~ Gamma(2, 1) and b ~ U(0, 1). A weight w
-gives t = floor(ln w / r + b), y = exp(r (t - b)) and a = c / (y e^r); the term
-of the least a, with its t, is the sample. Two documents share a sample with
-the probability of their generalised Jaccard similarity (the sum of least
-weights over the sum of greatest), so the share of equal samples estimates it.
-
-The draws are one small table (``TERMS`` rows of three arrays), broadcast. A
-sample is the minimum of one long that holds a, the term and t, so all samples
-are plain hash aggregates that combine before anything moves.
+A document is a weighted set: each lower-cased word weighs its count. For every
+word and every one of ``SAMPLES`` samples there are fixed draws r, c ~ Gamma(2, 1)
+and b ~ U(0, 1). A weight w gives t = floor(ln w / r + b), y = exp(r (t - b)) and
+a = c / (y e^r); the word of the least a, with its t, is the sample. Two
+documents share a sample with the probability of their generalised Jaccard
+similarity (the sum of least weights over the sum of greatest), so the share of
+equal samples estimates it.
+
+A word is its 64-bit hash. Its draws come from two small tables, broadcast: r
+from the row that one part of the hash names, c and b from the row of another
+part, so two words have the same draws with a chance of 2**-30, whatever the
+number of words, and differ in their hashes even then. A sample is the minimum
+of one long that holds a, 27 bits of the word's hash and t, so all samples are
+plain hash aggregates that combine before anything moves.
 
 ``edited`` puts documents into buckets of consecutive ids, shuffles each text
 once, and adds the first document of the next bucket to each as an extra row,
 so a text meets its neighbour without a second shuffle.
 
+Buckets are cut by id and, where one id (or none) fills several of them, by the
+hash of the text as well, so no id is one task.
+
 Defined results: a null text is an empty one; a text without words has the
 empty fingerprint, whose likeness is 1 to itself and 0 to any other; repeated
 rows are neighbours of each other, rows of one id go by the hash of their
-text; null ids come last. A single document is its own neighbour.
+text; null ids come last; a very long text is one row's value, its words are
+counted before anything moves. A single document is its own neighbour. An empty
+table gives an empty result. Only the named columns are read.
 """
 
 from __future__ import annotations
@@ -27,10 +35,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-TERMS = 1 << 15
+#: Rows of each table of draws, named by disjoint bits of a word's hash.
+TERM_BITS = 15
+TERMS = 1 << TERM_BITS
 SAMPLES = 64
-#: A sample keeps ln a in steps of 2**-28 from -64 on, then 15 bits of term and 12 of t.
-STEPS, LOW = 28, 64.0
+#: A sample keeps ln a in steps of 2**-28 from -64 on, then 27 bits of the word's hash, the last 12 of them changed by t.
+STEPS, LOW, WORD_BITS = 28, 64.0, 27
 
 
 def draws(spark: SparkSession, terms: int = TERMS, samples: int = SAMPLES) -> DataFrame:
@@ -52,12 +62,12 @@ def draws(spark: SparkSession, terms: int = TERMS, samples: int = SAMPLES) -> Da
 
 
 def sample(k: int) -> Column:
-    """The long whose minimum over a document's terms is its sample ``k``; columns lw, r, lc, b, term."""
+    """The long whose minimum over a document's words is its sample ``k``; columns lw, r, lc, b and ``low``, the word's bits."""
     r, lc, b = (F.col(c).getItem(k).cast("double") for c in ("r", "lc", "b"))
     t = F.floor(F.col("lw") / r + b)
     la = lc - r * (t - b) - r
     high = F.floor((F.greatest(F.lit(-LOW), F.least(F.lit(LOW), la)) + LOW) * float(2**STEPS))
-    return F.shiftleft(high, 27).bitwiseOR(F.shiftleft(F.col("term").cast("long"), 12)).bitwiseOR(t.bitwiseAND(F.lit(4095)))
+    return F.shiftleft(high, WORD_BITS).bitwiseOR(F.col("low").bitwiseXOR(t.bitwiseAND(F.lit(4095))))
 
 
 def words(text: Column) -> Column:
@@ -65,18 +75,23 @@ def words(text: Column) -> Column:
 
 
 def fingerprints(texts: DataFrame, keys: list[str], text: str, samples: int = SAMPLES) -> DataFrame:
-    """``keys`` and ``samples`` (an int each) of each row that has a word; ``keys`` name a row."""
+    """``keys`` and ``samples`` (a long each) of each row that has a word; ``keys`` name a row."""
     spark = texts.sparkSession
     exploded = texts.select(*keys, F.explode(words(F.col(text))).alias("word")).where("word <> ''")
-    counted = exploded.groupBy(*keys, F.pmod(F.xxhash64("word"), F.lit(TERMS)).cast("int").alias("term")).agg(F.count("*").alias("n"))
-    drawn = counted.withColumn("lw", F.log("n")).join(F.broadcast(draws(spark, samples=samples)), "term")
+    counted = exploded.groupBy(*keys, F.xxhash64("word").alias("word")).agg(F.count("*").alias("n"))
+    part = lambda from_bit: F.shiftrightunsigned("word", from_bit).bitwiseAND(F.lit(TERMS - 1)).cast("int")
+    named = counted.select(
+        *keys, F.log("n").alias("lw"), F.col("word").bitwiseAND(F.lit((1 << WORD_BITS) - 1)).alias("low"), part(64 - TERM_BITS).alias("term"), part(64 - 2 * TERM_BITS).alias("other")
+    )
+    table = draws(spark, samples=samples)
+    drawn = named.join(F.broadcast(table.select("term", "r")), "term").join(F.broadcast(table.select(F.col("term").alias("other"), "lc", "b")), "other")
     least = drawn.groupBy(*keys).agg(*[F.min(sample(k)).alias(f"s{k}") for k in range(samples)])
-    return least.select(*keys, F.array(*[F.hash(f"s{k}") for k in range(samples)]).alias("samples"))
+    return least.select(*keys, F.array(*[f"s{k}" for k in range(samples)]).alias("samples"))
 
 
 def shown(samples: Column) -> Column:
     """A fingerprint as text: four hex digits a sample; empty without samples."""
-    digits = F.transform(samples, lambda s: F.lpad(F.lower(F.hex(F.pmod(s, F.lit(65536)))), 4, "0"))
+    digits = F.transform(samples, lambda s: F.lpad(F.lower(F.hex(F.pmod(F.hash(s), F.lit(65536)))), 4, "0"))
     return F.coalesce(F.array_join(digits, ""), F.lit(""))
 
 
@@ -87,10 +102,8 @@ def likeness(a: Column, b: Column) -> Column:
     return both.otherwise(equal / F.size(a).cast("double"))
 
 
-def bucket_of(value: Column, cuts: list[float]) -> Column:
-    """How many of the ascending ``cuts`` lie below ``value``, by halving; 0 for null."""
-    if not cuts:
-        return F.lit(0)
+def _below(cuts: list[float], value: Column, equal: bool) -> Column:
+    """How many of the ascending ``cuts`` lie below ``value`` (or at it), by halving."""
     table = F.array(*[F.lit(float(c)) for c in cuts])
     steps = []
     step = 1 << (len(cuts).bit_length() - 1)
@@ -100,9 +113,25 @@ def bucket_of(value: Column, cuts: list[float]) -> Column:
 
     def halve(at, step):
         here = at + step
-        return F.when((here <= len(cuts)) & (F.try_element_at(table, F.least(here, F.lit(len(cuts)))) < value.cast("double")), here).otherwise(at)
+        cut = F.try_element_at(table, F.least(here, F.lit(len(cuts))))
+        passed = cut <= value.cast("double") if equal else cut < value.cast("double")
+        return F.when((here <= len(cuts)) & passed, here).otherwise(at)
+
+    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), halve)
 
-    return F.coalesce(F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), halve), F.lit(0))
+
+def bucket_of(value: Column, cuts: list[float], hashed: Column | None = None, none: int = 1) -> Column:
+    """A number that rises with ``value`` and, inside a value that holds several of the ascending ``cuts``, falls with ``hashed``.
+
+    Rows without a value have the first ``none`` numbers, by hash as well.
+    """
+    share = F.lit(0.0) if hashed is None else hashed.cast("double") / float(2**64) + 0.5
+    part = lambda count: count - 1 - F.least(F.floor(share * count), count - 1).cast("int")
+    if not cuts:
+        return F.when(value.isNull(), part(F.lit(none))).otherwise(F.lit(none))
+    low, high = _below(cuts, value, False), _below(cuts, value, True)
+    inside = F.when(high - low > 1, part(high - low)).otherwise(0) if hashed is not None else F.lit(0)
+    return F.when(value.isNull(), part(F.lit(none))).otherwise(none + low + inside)
 
 
 def edited(docs: DataFrame, space, key: str = "doc_id", text: str = "text", parts: int | None = None) -> DataFrame:
@@ -117,10 +146,13 @@ def edited(docs: DataFrame, space, key: str = "doc_id", text: str = "text", part
     parts = parts or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     wanted = 2 * parts
     quantiles = [i / wanted for i in range(1, wanted)]
-    cuts = sorted(set(docs.select(F.col(key).cast("double").alias("k")).approxQuantile("k", quantiles, 0.25 / wanted)))
+    ids = docs.select(F.col(key).cast("double").alias("k"))
+    cuts = sorted(ids.approxQuantile("k", quantiles, 0.25 / wanted))
+    count, without = ids.agg(F.count("*"), F.count_if(F.col("k").isNull())).first()
+    none = 1 + wanted * without // max(1, count)
     body = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(
-        bucket_of(F.col(key), cuts).alias("bucket"), F.col(key).alias("id"), F.xxhash64(body).alias("hash"), body.alias("body")
+        bucket_of(F.col(key), cuts, F.xxhash64(body), none).alias("bucket"), F.col(key).alias("id"), F.xxhash64(body).alias("hash"), body.alias("body")
     )
     # The first row of each bucket, and the bucket that it follows: one row per bucket.
     order = F.struct(F.col("id").isNull().alias("none"), (-F.col("id")).alias("minus"), F.col("hash").alias("hash"))

@@ -5,6 +5,7 @@ import math
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from millrace import Workspace
 from millrace.llm import fingerprints, pieces, queries
@@ -177,3 +178,54 @@ def test_hot_words_are_bounded(spark, monkeypatch, counts):
     got = sorted((r.n for r in pieces.hot_words(known).collect()), reverse=True)
     assert len(got) <= 300 and got == sorted(counts, reverse=True)[: len(got)]
     assert len(got) >= 290 or len(set(counts)) == 1  # close to the bound where counts differ
+
+
+def drawn(spark, word):
+    """The draws of a word from its hash, by number: r from one row of the table, ln c and b from another."""
+    hashed = spark.sql("SELECT xxhash64(:w)", {"w": word}).first()[0] & (2**64 - 1)
+    first, second = hashed >> 49, (hashed >> 34) & (fingerprints.TERMS - 1)
+    table = {r.term: r for r in fingerprints.draws(spark).where(F.col("term").isin(first, second)).collect()}
+    return hashed, table[first].r, table[second].lc, table[second].b
+
+
+def test_samples_from_their_definition(spark):
+    """Every sample of a weighted set recomputed: t, a and the word of the least a."""
+    counts = {"ab": 1, "c": 2, "def": 7, "gh": 40, "été": 3}
+    docs = spark.createDataFrame([(1, " ".join(w for w, n in counts.items() for _ in range(n)))], "id long, text string")
+    got = fingerprints.fingerprints(docs, ["id"], "text").first().samples
+    named = {w: drawn(spark, w) for w in counts}
+    for k, sample in enumerate(got):
+        found = []
+        for word, n in counts.items():
+            hashed, r, lc, b = named[word]
+            t = math.floor(math.log(n) / r[k] + b[k])
+            log_a = lc[k] - r[k] * (t - b[k]) - r[k]
+            found.append((math.floor((log_a + 64) * 2**28), (hashed & (2**27 - 1)) ^ (t & 4095)))
+        want = min(found)
+        assert abs((sample >> 27) - want[0]) <= 1 and sample & (2**27 - 1) == want[1]
+
+
+@pytest.mark.parametrize("size", [2_000, 20_000, 100_000])
+def test_long_texts_share_only_what_they_share(spark, size):
+    words = [f"w{i}" for i in range(2 * size)]
+    texts = [(0, " ".join(words[:size])), (1, " ".join(words[size:])), (2, " ".join(words[size // 2 : size // 2 + size]))]
+    got = {r.id: r.samples for r in fingerprints.fingerprints(spark.createDataFrame(texts, "id long, text string"), ["id"], "text").collect()}
+    share = lambda a, b: sum(x == y for x, y in zip(got[a], got[b], strict=True)) / 64
+    assert share(0, 1) < 0.02 and abs(share(0, 2) - 1 / 3) < 0.2 and abs(share(1, 2) - 1 / 3) < 0.2
+
+
+def test_one_id_of_many_rows_is_many_buckets(spark, space):
+    named = [(5, f"text number {i} of one id") for i in range(400)] + [(None, f"without {i}") for i in range(300)] + [(10 + i, f"other {i}") for i in range(300)]
+    docs = spark.createDataFrame(named, "doc_id long, text string").repartition(4)
+    ids = docs.select(F.col("doc_id").cast("double").alias("k"))
+    cuts = sorted(ids.approxQuantile("k", [i / 16 for i in range(1, 16)], 0.25 / 16))
+    dealt = docs.withColumn("bucket", fingerprints.bucket_of(F.col("doc_id"), cuts, F.xxhash64("text"), 1 + 16 * 300 // 1000))
+    assert max(r["count"] for r in dealt.groupBy("bucket").count().collect()) < 200
+    got = fingerprints.edited(docs, space, parts=8).collect()
+    hashes = dict(docs.select("text", F.xxhash64("text")).collect())
+    order = sorted(named, key=lambda r: (r[0] is None, -(r[0] or 0), hashes[r[1]]))
+    want = []
+    for at, (i, t) in enumerate(order):
+        after, half = order[(at + 1) % len(order)][1], len(t) // 2
+        want.append((i, hashlib.sha256((t[: len(t) - half] + after[:half]).encode()).hexdigest()))
+    assert sorted(map(repr, want)) == sorted(repr((r.doc_id, r.edited_sha256)) for r in got)
