@@ -102,24 +102,6 @@ def likeness(a: Column, b: Column) -> Column:
     return both.otherwise(equal / F.size(a).cast("double"))
 
 
-def _below(cuts: list[float], value: Column, equal: bool) -> Column:
-    """How many of the ascending ``cuts`` lie below ``value`` (or at it), by halving."""
-    table = F.array(*[F.lit(float(c)) for c in cuts])
-    steps = []
-    step = 1 << (len(cuts).bit_length() - 1)
-    while step:
-        steps.append(step)
-        step >>= 1
-
-    def halve(at, step):
-        here = at + step
-        cut = F.try_element_at(table, F.least(here, F.lit(len(cuts))))
-        passed = cut <= value.cast("double") if equal else cut < value.cast("double")
-        return F.when((here <= len(cuts)) & passed, here).otherwise(at)
-
-    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), halve)
-
-
 def bucket_of(value: Column, cuts: list[float], hashed: Column | None = None, none: int = 1) -> Column:
     """A number that rises with ``value`` and, inside a value that holds several of the ascending ``cuts``, falls with ``hashed``.
 
@@ -129,9 +111,27 @@ def bucket_of(value: Column, cuts: list[float], hashed: Column | None = None, no
     part = lambda count: count - 1 - F.least(F.floor(share * count), count - 1).cast("int")
     if not cuts:
         return F.when(value.isNull(), part(F.lit(none))).otherwise(F.lit(none))
-    low, high = _below(cuts, value, False), _below(cuts, value, True)
-    inside = F.when(high - low > 1, part(high - low)).otherwise(0) if hashed is not None else F.lit(0)
-    return F.when(value.isNull(), part(F.lit(none))).otherwise(none + low + inside)
+    # Each cut once, with how many lie below it and at it; found by halving, in one fold.
+    kinds = sorted(set(cuts))
+    table = F.array(*[F.struct(F.lit(float(c)).alias("cut"), F.lit(cuts.index(c)).alias("low"), F.lit(cuts.count(c)).alias("many")) for c in kinds])
+    steps = []
+    step = 1 << (len(kinds).bit_length() - 1)
+    while step:
+        steps.append(step)
+        step >>= 1
+
+    def halve(at, step):
+        here = at + step
+        cut = F.try_element_at(table, F.least(here, F.lit(len(kinds))))["cut"]
+        return F.when((here <= len(kinds)) & (cut < value.cast("double")), here).otherwise(at)
+
+    def number(passed):
+        at = F.try_element_at(table, passed + 1)  # the first cut that is not below the value
+        many = F.when((at["cut"] == value.cast("double")) & (at["many"] > 1), at["many"]).otherwise(1)
+        return F.coalesce(at["low"], F.lit(len(cuts))) + (part(F.coalesce(many, F.lit(1))) if hashed is not None else F.lit(0))
+
+    place = F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), halve, number)
+    return F.when(value.isNull(), part(F.lit(none))).otherwise(none + place)
 
 
 def edited(docs: DataFrame, space, key: str = "doc_id", text: str = "text", parts: int | None = None) -> DataFrame:
