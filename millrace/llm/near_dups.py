@@ -232,7 +232,7 @@ def rare_marks(nodes: DataFrame, sets: DataFrame, threshold: float) -> DataFrame
 
     Of n shingles the rarest n - ceil(threshold n) + 1 are taken, in one order
     for all. Two sets that reach the threshold share one of them, so joining
-    on marks loses no pair; shingles that a whole crowd shares are left out.
+    on marks loses no pair; shingles that no other node has are left out.
     """
     each = nodes.select("node", "n").join(sets, "node").select("node", "n", F.explode("shingles").alias("mark"))
     counts = each.groupBy("mark").agg(F.count("*").alias("c"))
@@ -243,6 +243,24 @@ def rare_marks(nodes: DataFrame, sets: DataFrame, threshold: float) -> DataFrame
     return ranked.where("c > 1").select("node", "mark", "place").join(nodes, "node")
 
 
+def leading(threshold: float):
+    """This mark (columns n and place) is among those with which the smaller set of a pair enters.
+
+    A pair of n and m >= n shingles at the threshold t shares 2 t / (1 + t) n of
+    them at least, so the smaller set needs fewer marks than the larger. Pages
+    of a template that stay just under the threshold then meet by no mark.
+    """
+    percent = round(100 * threshold)
+    return F.col("place") <= F.col("n") - F.ceil(F.lit(2 * percent) * F.col("n") / F.lit(100 + percent)) + 1
+
+
+def meeting(marks: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of nodes (columns ..._a and ..._b) by a shared mark; a is the smaller set, of equal sizes the lesser node."""
+    few = _side(marks.where(leading(threshold)).withColumnRenamed("mark", "key"), "a")
+    met = few.join(_side(marks.withColumnRenamed("mark", "key"), "b"), "key")
+    return met.where((F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("a") < F.col("b"))))
+
+
 def reachable(threshold: float):
     """Were this mark (columns place_a and place_b) the first that two sets share, they could still reach the threshold.
 
@@ -315,9 +333,7 @@ def group(df: DataFrame, space, threshold: float = 0.85, key: str = "doc_id", te
     # In a crowded bucket most pairs fail, so there a pair must share a rare shingle too.
     crowd = open_ones.where(F.col("members") > CROWD).select("node", "n", "bits_a", "bits_b", "component").distinct()
     marks = space.keep(rare_marks(crowd, sets, threshold), "marks")
-    marks = marks.withColumnRenamed("mark", "key")
-    third = _side(marks, "a").join(_side(marks, "b"), "key")
-    third = third.where(apart & (F.col("a") < F.col("b")) & reachable(threshold) & likely).select("a", "b")
+    third = meeting(marks, threshold).where(apart & reachable(threshold) & likely).select("a", "b")
     second = second.unionByName(third).distinct()
     more = space.keep(confirm(second, sets, threshold), "links-2")
     final = components(links.unionByName(more), space, "round-2")

@@ -63,6 +63,53 @@ def test_groups(spark, rows, threshold):
     assert bag(map(tuple, got)) == bag(grouped(docs, round(100 * threshold)))
 
 
+def family(shared, own, n, start=0):
+    """``n`` sets that share ``shared`` shingles and have ``own`` more each."""
+    return [(start + i, list(range(shared)) + [10**6 + 1000 * (start + i) + j for j in range(own)]) for i in range(n)]
+
+
+def met(spark, sets, threshold):
+    nodes = spark.createDataFrame([(i, len(s), 0, 0, i) for i, s in sets], "node long, n long, bits_a long, bits_b long, component long")
+    shingled = spark.createDataFrame(sets, "node long, shingles array<long>")
+    return near_dups.meeting(near_dups.rare_marks(nodes, shingled, threshold), threshold)
+
+
+def test_pages_of_a_template_under_the_threshold_never_meet(spark):
+    # 90 of 110 shingles are shared: each page enters with 9 marks and has 10 of its own.
+    for n in (500, 2000):
+        assert met(spark, family(90, 10, n), 0.85).count() == 0
+
+
+@pytest.mark.parametrize("threshold", [0.85, 0.8])
+def test_shorter_marks_lose_no_pair(spark, threshold):
+    r = random.Random(5)
+    base = list(range(60))
+    sets = []
+    for i in range(150):
+        kept = [x for x in base if r.random() > r.choice([0.02, 0.08, 0.2])]
+        sets.append((i, kept + [10**6 + r.randrange(400) for _ in range(r.randrange(8))]))
+    sets = [(i, sorted(set(s))) for i, s in sets] + family(17, 3, 5, 200)
+    percent = round(100 * threshold)
+    order = lambda x: (len(x[1]), x[0])
+    want = set()
+    for x in sets:
+        for y in sets:
+            a, b = set(x[1]), set(y[1])
+            if order(x) < order(y) and 100 * len(a & b) >= percent * len(a | b):
+                want.add((x[0], y[0]))
+    rows = met(spark, sets, threshold).where(near_dups.reachable(threshold)).select("a", "b").distinct().collect()
+    assert len(want) > 100 and want <= set(map(tuple, rows))
+
+
+def test_family_at_the_threshold(spark):
+    """Pages of two templates, one just under the threshold and one over it, in crowded buckets."""
+    under, over = prose(60, 94), prose(61, 94)
+    texts = [f"{under} {prose(1000 + i, 10)}" for i in range(150)] + [f"{over} {prose(3000 + i, 4)}" for i in range(150)]
+    docs = list(enumerate(texts))
+    got = near_dups.group(spark.createDataFrame(docs, "doc_id long, text string"), Workspace(spark), 0.85)
+    assert bag(map(tuple, got.select("doc_id", "n_shingles", "component_id").collect())) == bag(grouped(docs, 85))
+
+
 def test_awkward_rows_and_survivors(odd, none, spark):
     kept = near_dups.survivors(odd, Workspace(spark)).collect()
     ids = [r.doc_id for r in kept]
