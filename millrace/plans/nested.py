@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.functions import dates, text, udfs, units, vectorised
+from millrace.functions import tables as table_functions
 from millrace.operators import nested
 from millrace.plans.registry import query
 
@@ -296,3 +297,22 @@ def sql_udtf(t):
                   WHERE l_returnflag = flag AND l_quantity >= least"""
     )
     return t.spark.sql("SELECT * FROM millrace_lines('R', 20)")
+
+
+@query(
+    "python_udtf",
+    """WITH timed AS (
+           SELECT user_id AS key, ts::DATE AS day, ts,
+                  coalesce(ts - lag(ts) OVER (PARTITION BY user_id, ts::DATE ORDER BY ts) > INTERVAL 120 MINUTE, true) AS fresh
+           FROM events WHERE ts IS NOT NULL
+       ),
+       numbered AS (SELECT *, sum(fresh::INT) OVER (PARTITION BY key, day ORDER BY ts RANGE UNBOUNDED PRECEDING) AS visit FROM timed)
+       SELECT key, day, visit::INT AS visit, floor(epoch(min(ts)))::BIGINT AS started, floor(epoch(max(ts)))::BIGINT AS ended, count(*) AS n_events
+       FROM numbered GROUP BY key, day, visit""",
+)
+def python_udtf(t):
+    """Visits of each user and day by a Python table function over a partitioned table argument."""
+    t.spark.udtf.register("millrace_visits", table_functions.visits(120))
+    rows = t.events.select(F.col("user_id").cast("bigint").alias("key"), F.to_date("ts").alias("day"), F.col("ts").cast("timestamp").alias("ts"))
+    found = t.spark.sql("SELECT * FROM millrace_visits(TABLE({rows}) PARTITION BY (key, day) ORDER BY ts)", rows=rows)
+    return found.withColumns({"started": F.unix_seconds("started"), "ended": F.unix_seconds("ended")})

@@ -303,13 +303,70 @@ def medallion_cities(t):
     return _rounded_sales(third.unionByName(seventh))
 
 
+@query(
+    "medallion_incremental",
+    """SELECT n_name AS city, o_orderdate::DATE AS order_date, c_custkey AS customer_id, c_name AS customer_name,
+              l_returnflag AS curr, round(sum(l_extendedprice), 2) AS sales, round(sum(l_quantity), 2) AS quantity,
+              count(l_partkey) AS product_count
+       FROM orders JOIN lineitem ON l_orderkey = o_orderkey JOIN customer ON c_custkey = o_custkey
+       JOIN nation ON n_nationkey = c_nationkey WHERE o_orderstatus <> 'P' GROUP BY ALL""",
+)
+def medallion_incremental(t):
+    """Gold brought up to date after each of three waves of orders, only for the months that a wave touches."""
+    space = t.workspace()
+    raw = space.keep(_raw_orders(t), "raw")
+    for wave in _waves(F.col("priority")):
+        sinks.write_files(raw.where(wave).drop("priority"), space.path("bronze"), "json", mode="append")
+        bronze = ingest.read_new_files(t.spark, space.path("bronze"), "json", raw.drop("priority").schema)
+        silver = medallion.cleaned_orders(bronze, _customers(t))
+        ingest.append(silver, space.path("silver"), space.path("silver-checkpoint"), ["order_month"])
+        new = ingest.read_new_files(t.spark, space.path("silver"), "parquet", silver.schema)
+        ingest.keep_current(new, space.path("silver"), "order_month", medallion.monthly_sales, space.path("gold"), space.path("gold-checkpoint"))
+    return _rounded_sales(t.spark.read.parquet(space.path("gold")).drop("order_month"))
+
+
+def _waves(priority):
+    """Three conditions of which each row meets one."""
+    first = F.coalesce(priority.isin("1-URGENT", "2-HIGH"), F.lit(False))
+    second = F.coalesce(priority.isin("3-MEDIUM", "4-NOT SPECIFIED"), F.lit(False))
+    return [first, second, ~first & ~second]
+
+
+@query(
+    "stream_rescued",
+    """WITH waves AS (
+           SELECT *, CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 1
+                          WHEN o_orderpriority IN ('3-MEDIUM', '4-NOT SPECIFIED') THEN 2 ELSE 3 END AS wave FROM orders
+       )
+       SELECT o_orderkey, CASE WHEN wave = 1 OR o_orderstatus <> 'F' THEN o_totalprice END AS o_totalprice,
+              CASE WHEN wave > 1 THEN o_orderstatus END AS o_orderstatus, CASE WHEN wave = 3 THEN o_custkey END AS o_custkey,
+              CASE WHEN wave > 1 AND o_orderstatus = 'F' THEN 'price of ' || o_orderkey END AS rescued_price
+       FROM waves""",
+)
+def stream_rescued(t):
+    """Orders in three waves of files: columns appear in the second and third, and some prices are no numbers."""
+    space = t.workspace()
+    word = F.concat(F.lit("price of "), F.col("o_orderkey").cast("string"))
+    price = F.when(F.col("o_orderstatus") == "F", F.concat(F.lit('"'), word, F.lit('"'))).otherwise(F.col("o_totalprice").cast("string"))
+    fields = {"o_orderkey": F.col("o_orderkey").cast("string"), "o_totalprice": F.col("o_totalprice").cast("string")}
+    later = {**fields, "o_totalprice": price, "o_orderstatus": F.concat(F.lit('"'), "o_orderstatus", F.lit('"'))}
+    last = {**later, "o_custkey": F.col("o_custkey").cast("string")}
+    for wave, columns in zip(_waves(F.col("o_orderpriority")), (fields, later, last), strict=True):
+        named = [F.concat(F.lit(f'"{name}":'), F.coalesce(value, F.lit("null"))) for name, value in columns.items()]
+        line = F.concat(F.lit("{"), F.concat_ws(",", *named), F.lit("}"))
+        t.orders.where(wave).select(line.alias("value")).write.mode("append").text(space.path("landing"))
+        stream = ingest.read_rescuing(t.spark, space.path("landing"), space.path("schema"))
+        ingest.append(stream, space.path("sink"), space.path("checkpoint"))
+    rows = t.spark.read.option("mergeSchema", True).parquet(space.path("sink"))
+    return rows.select(*last, F.element_at("_rescued", "o_totalprice").alias("rescued_price"))
+
+
 def _rounded_sales(gold):
     return gold.withColumns({"sales": F.round("sales", 2), "quantity": F.round("quantity", 2)})
 
 
-def _silver(t, folder: str):
-    """Orders through the raw and the cleaned layer, the latter stored by day or by month."""
-    space = t.workspace()
+def _raw_orders(t):
+    """Orders with their lines nested, as they arrive, and their priority."""
     product = F.transform(
         "lines",
         lambda x: F.struct(
@@ -317,13 +374,20 @@ def _silver(t, folder: str):
         ),
     )
     # Pending orders arrive without a number, so the cleaned layer drops them.
-    raw = nest_lines(t.orders, t.lineitem).select(
+    return nest_lines(t.orders, t.lineitem).select(
         F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey")).alias("order_number"),
         F.col("o_custkey").alias("customer_id"),
         F.format_string("Customer#%09d", "o_custkey").alias("customer_name"),
         F.unix_timestamp("o_orderdate").cast("string").alias("order_datetime"),
         product.alias("ordered_products"),
+        F.col("o_orderpriority").alias("priority"),
     )
+
+
+def _silver(t, folder: str):
+    """Orders through the raw and the cleaned layer, the latter stored by day or by month."""
+    space = t.workspace()
+    raw = _raw_orders(t).drop("priority")
     sinks.write_files(raw, space.path("bronze"), "json")
     bronze = ingest.read_new_files(t.spark, space.path("bronze"), "json", raw.schema)
     silver = medallion.cleaned_orders(bronze, _customers(t))

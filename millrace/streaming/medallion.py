@@ -35,3 +35,8 @@ def sales_by_city(cleaned: DataFrame, city: str | None = None) -> DataFrame:
         F.sum("product.qty").alias("quantity"),
         F.count("product.id").alias("product_count"),
     )
+
+
+def monthly_sales(cleaned: DataFrame) -> DataFrame:
+    """:func:`sales_by_city` with the month that a row is stored under."""
+    return sales_by_city(cleaned).withColumn("order_month", year_month("order_date"))

@@ -263,6 +263,69 @@ def test_stream_restarts_without_repeats_from_an_inclusive_start(spark, space):
     assert sorted(offsets) == list(range(10, 80))
 
 
+def test_misfits_and_new_columns_are_kept(spark, space):
+    waves = [
+        ['{"id": 1, "v": 2, "s": {"a": 1}}', '{"id": 2, "v": null}', ""],
+        ['{"id": 3, "v": "two", "s": {"a": "x"}, "w": [1, 2]}', '{"id": 4, "v": 2.5}', "no object", "[1]"],
+        ['{"id": "five", "v": 5, "w": 7, "s": {"a": 9}}', "{broken", '{"id": 6, "v": 99999999999999999999}'],
+    ]
+    for i, lines in enumerate(waves):
+        spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.mode("append").text(space.path("in"))
+        for _ in range(2):  # a start with nothing new adds nothing
+            stream = ingest.read_rescuing(spark, space.path("in"), space.path("schema"))
+            ingest.append(stream, space.path("out"), space.path("point"))
+        assert stream.columns == [["id", "s", "v", "_rescued"], ["id", "s", "v", "w", "_rescued"], ["id", "s", "v", "w", "_rescued"]][i]
+    got = [r.asDict(recursive=True) for r in spark.read.option("mergeSchema", True).parquet(space.path("out")).collect()]
+    by_id = {r["id"]: r for r in got if r["id"] is not None}
+    assert len(got) == 9 and set(by_id) == {1, 2, 3, 4, 6}
+    assert by_id[1] == {"id": 1, "v": 2, "s": {"a": 1}, "w": None, "_rescued": None}
+    assert by_id[2]["_rescued"] is None and by_id[2]["v"] is None
+    assert by_id[3]["w"] == [1, 2] and by_id[3]["_rescued"] == {"v": "two", "s": '{"a":"x"}'}
+    assert by_id[4]["v"] is None and by_id[4]["_rescued"] == {"v": "2.5"}
+    assert by_id[6]["_rescued"] == {"v": "99999999999999999999"}
+    others = sorted((r["_rescued"] for r in got if r["id"] is None), key=str)
+    assert {"id": "five", "w": "7"} in others and [r for r in got if (r["_rescued"] or {}).get("id") == "five"][0]["s"] == {"a": 9}
+    assert {"": "no object"} in others and {"": "[1]"} in others and {"": "{broken"} in others
+
+
+def test_types_of_a_rescuing_stream_can_be_given(spark, space):
+    spark.createDataFrame([('{"id": 1, "code": 7}',), ('{"code": "x"}',)], "value string").write.text(space.path("in"))
+    stream = ingest.read_rescuing(spark, space.path("in"), space.path("schema"), hints="code string, seen date")
+    ingest.append(stream, space.path("out"), space.path("point"))
+    got = spark.read.parquet(space.path("out"))
+    assert got.columns == ["code", "seen", "id", "_rescued"] and sorted(r.code for r in got.collect()) == ["7", "x"]
+
+
+def test_totals_follow_batches_and_a_replayed_batch_changes_nothing(spark, space):
+    def total(df):
+        return df.groupBy("day").agg(F.sum("v").alias("v"), F.count("*").alias("n"))
+
+    def files():
+        return {f for f in spark.read.parquet(space.path("gold")).inputFiles() if "day=d2" in f}
+
+    def gold():
+        return sorted(((str(r.day), r.v, r.n) for r in spark.read.parquet(space.path("gold")).collect()), key=str)
+
+    schema = "v long, day string"
+    first = [(1, "d1"), (2, "d1"), (3, "d2"), (4, None)]
+    second = [(5, "d1"), (6, "d3"), (7, None)]  # the second day stays closed
+    seen = []
+    for rows in (first, second):
+        spark.createDataFrame(rows, schema).write.mode("append").partitionBy("day").parquet(space.path("silver"))
+        stream = ingest.read_new_files(spark, space.path("silver"), "parquet", schema)
+        closed = files() if seen else set()
+        ingest.keep_current(stream, space.path("silver"), "day", total, space.path("gold"), space.path("point"))
+        seen += rows
+        want = {d: [v for v, x in seen if x == d] for d in {x for _, x in seen}}
+        assert gold() == sorted(((str(d), sum(v), len(v)) for d, v in want.items()), key=str)
+    assert closed and closed == files()
+    # All batches run again, as after a lost checkpoint.
+    before = gold()
+    stream = ingest.read_new_files(spark, space.path("silver"), "parquet", schema)
+    ingest.keep_current(stream, space.path("silver"), "day", total, space.path("gold"), space.path("other-point"))
+    assert gold() == before
+
+
 def test_stream_of_csv_infers_types_once(spark, space):
     spark.range(20).withColumn("v", F.col("id") / 2).write.option("header", True).csv(space.path("in"))
     stream = ingest.read_new_files(spark, space.path("in"), "csv", header=True)
