@@ -11,7 +11,11 @@ the vocabulary's). The matching edges are grouped by word and folded in order
 of their ends with ``aggregate``: the state holds the best score of every
 position so far, with where it came from; ties go to the longer last piece. A
 second fold walks back. A letter that is no piece is an edge below all others,
-written as the byte pieces of its UTF-8 form.
+written as the byte pieces of its UTF-8 form. Edges are folded in blocks, so
+that a step copies the open block's state only, long words are cut into overlapping
+parts before their substrings are made, and a long word travels under a short
+name; what still grows faster than a word is one copy of its state per block. The lattice of
+one word is one value and has to fit in a row.
 
 Tasks list the distinct words of their texts in Python, so that the shuffle
 gets a word once per task. Documents meet the encoded words again by word: up
@@ -22,11 +26,14 @@ that comes out is compared with the document.
 
 Defined results: a null or empty text has no words and no pieces; U+2581 in a
 text is taken as a space; repeated rows are encoded one by one; scores are
-those of the model file, used as unigram scores whatever its kind.
+those of the model file, used as unigram scores whatever its kind; an empty
+table gives no rows; very long texts and words are encoded whole; of other
+columns than key and text none is read.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -49,6 +56,14 @@ LISTED_WORDS = 250_000
 SPREAD = 8
 #: A hot word is at most this long, so the broadcast table is bounded in bytes too.
 HOT_CHARS = 64
+#: A word of more characters goes by a hash.
+LONG = 64
+#: Characters of long words that a task holds before it hands them on.
+LONG_CHARS = 16_000_000
+#: Letters whose substrings are made from one part of a word.
+PART = 512
+#: Edges, or steps of the way back, that are folded at a time.
+BLOCK = 512
 
 
 def piece_table(spark: SparkSession, path: str) -> tuple[DataFrame, float, int, int]:
@@ -75,69 +90,115 @@ def words(text: str | None) -> list[str]:
     return text.replace("\n", " \n").split(" ")
 
 
+def names(text: str | None) -> list[str]:
+    """The words of a text, long ones by a hash; no word begins with two line ends."""
+    return [w if len(w) <= LONG else "\n\n" + hashlib.sha256(w.encode("utf-8", "surrogatepass")).hexdigest() for w in words(text)]
+
+
 def marked(word: Column) -> Column:
     return F.when(F.startswith(word, F.lit("\n")), word).otherwise(F.concat(F.lit(MARK), word))
 
 
 def edges(distinct: DataFrame, table: DataFrame, unknown: float, longest: int) -> DataFrame:
-    """(word, n, stop, start, score, id): the lattice of each word; id -1 for an unknown letter."""
-    shown = distinct.select("word", "n", marked(F.col("word")).alias("s"))
-    at = shown.select("word", "n", "s", F.explode(F.sequence(F.lit(0), F.length("s") - 1)).alias("start"))
-    reach = F.least(F.lit(longest), F.length("s") - F.col("start"))
-    cut = at.select("word", "n", "s", "start", F.explode(F.sequence(F.lit(1), reach)).alias("size"))
-    cut = cut.select("word", "n", "start", "size", F.substring(F.col("s"), F.col("start") + 1, F.col("size")).alias("piece"))
+    """(word, n, stop, start, score, id): the lattice of each word; id is -1 less the code point for an unknown letter."""
+    body = F.coalesce("body", "word") if "body" in distinct.columns else F.col("word")
+    shown = distinct.select("word", "n", marked(body).alias("s"))
+    bases = shown.select("word", "n", "s", F.explode(F.sequence(F.lit(0), F.length("s") - 1, F.lit(PART))).alias("base"))
+    parts = bases.select("word", "n", "base", F.substring(F.col("s"), F.col("base") + 1, F.lit(PART + longest - 1)).alias("part"))
+    at = parts.select("word", "n", "base", "part", F.explode(F.sequence(F.lit(0), F.least(F.length("part"), F.lit(PART)) - 1)).alias("at"))
+    reach = F.least(F.lit(longest), F.length("part") - F.col("at"))
+    cut = at.select("word", "n", "base", "part", "at", F.explode(F.sequence(F.lit(1), reach)).alias("size"))
+    piece = F.substring(F.col("part"), F.col("at") + 1, F.col("size"))
+    cut = cut.select("word", "n", (F.col("base") + F.col("at")).alias("start"), "size", piece.alias("piece"))
     found = cut.join(F.broadcast(table), "piece", "left").where("id IS NOT NULL OR size = 1")
     return found.select(
-        "word", "n", (F.col("start") + F.col("size")).alias("stop"), "start", F.coalesce("score", F.lit(unknown)).alias("score"), F.coalesce("id", F.lit(-1)).alias("id")
+        "word", "n", (F.col("start") + F.col("size")).alias("stop"), "start", F.coalesce("score", F.lit(unknown)).alias("score"), F.coalesce("id", -1 - F.ascii("piece")).alias("id")
     )
 
 
-def viterbi(edges: Column) -> Column:
-    """Best edge into each position from 0 on: array of (score, minus start, id); ``edges`` come sorted by their stop."""
+def viterbi(edges: Column, longest: int, block: int = BLOCK) -> Column:
+    """Best edge into each position from 0 on: array of (score, minus start, id); ``edges`` come sorted by their stop.
+
+    A fold copies its state in each step, so edges are folded ``block`` at a
+    time: ``near`` holds the ``longest`` positions before the block and those
+    of the block (the first is number ``first``), ``now`` is the one that
+    ``at`` names, and all others wait in ``done``.
+    """
+    kind = "struct<score:double,minus:int,id:int>"
+    none = F.array().cast(f"array<{kind}>")
     nothing = F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("minus"), F.lit(-1).alias("id"))
-    state = F.struct(F.array().cast("array<struct<score:double,minus:int,id:int>>").alias("best"), nothing.alias("now"), F.lit(0).alias("at"))
+    state = F.struct(none.alias("done"), none.alias("near"), F.lit(0).alias("first"), nothing.alias("now"), F.lit(0).alias("at"))
 
     def step(s, e):
         fresh = e["stop"] > s["at"]
-        best = F.when(fresh, F.concat(s["best"], F.array(s["now"]))).otherwise(s["best"])
-        score = F.element_at(best, e["start"] + 1)["score"] + e["score"]
-        edge = F.struct(score.alias("score"), (-e["start"]).alias("minus"), e["id"].alias("id"))
-        now = F.when(fresh, edge).otherwise(F.greatest(s["now"], edge))
-        return F.struct(best.alias("best"), now.alias("now"), e["stop"].alias("at"))
-
-    return F.aggregate(edges, state, step, lambda s: F.concat(s["best"], F.array(s["now"])))
-
-
-def walked(best: Column) -> Column:
+        before = F.when(e["start"] == s["at"], s["now"]).otherwise(F.get(s["near"], e["start"] - s["first"]))
+        edge = F.struct((before["score"] + e["score"]).alias("score"), (-e["start"]).alias("minus"), e["id"].alias("id"))
+        return F.struct(
+            F.when(fresh, F.concat(s["near"], F.array(s["now"]))).otherwise(s["near"]).alias("near"),
+            s["first"].alias("first"),
+            F.when(fresh, edge).otherwise(F.greatest(s["now"], edge)).alias("now"),
+            e["stop"].alias("at"),
+        )
+
+    def fold(old, some):
+        def close(s):
+            carried = F.size(old["near"])
+            stay = F.least(F.lit(longest), F.size(s["near"]))
+            return F.struct(
+                F.concat(old["done"], F.slice(s["near"], carried + 1, F.size(s["near"]) - carried)).alias("done"),
+                F.slice(s["near"], F.size(s["near"]) - stay + 1, stay).alias("near"),
+                (s["at"] - stay).alias("first"),
+                s["now"].alias("now"),
+                s["at"].alias("at"),
+            )
+
+        open_ = F.struct(old["near"].alias("near"), old["first"].alias("first"), old["now"].alias("now"), old["at"].alias("at"))
+        return F.aggregate(some, open_, step, close)
+
+    blocks = F.transform(F.sequence(F.lit(1), F.size(edges), F.lit(block)), lambda i: F.slice(edges, i, F.lit(block)))
+    return F.aggregate(blocks, state, fold, lambda s: F.concat(s["done"], F.array(s["now"])))
+
+
+def walked(best: Column, block: int = BLOCK) -> Column:
     """The path back from the last position: array of (start, id) in reading order."""
     last = F.size(best) - 1
-    state = F.struct(F.array().cast("array<struct<start:int,id:int>>").alias("path"), last.alias("at"))
+    none = F.array().cast("array<struct<start:int,id:int>>")
+    state = F.struct(none.alias("done"), last.alias("at"))
 
     def step(s, _):
         edge = F.element_at(best, s["at"] + 1)
         here = F.array(F.struct((-edge["minus"]).alias("start"), edge["id"].alias("id")))
-        more = F.struct(F.concat(here, s["path"]).alias("path"), (-edge["minus"]).alias("at"))
+        more = F.struct(F.concat(s["part"], here).alias("part"), (-edge["minus"]).alias("at"))
         return F.when(s["at"] > 0, more).otherwise(s)
 
-    return F.aggregate(F.sequence(F.lit(1), last), state, step, lambda s: s["path"])
+    def fold(old, _):
+        close = lambda s: F.struct(F.concat(old["done"], s["part"]).alias("done"), s["at"].alias("at"))
+        return F.aggregate(F.sequence(F.lit(1), F.least(last, F.lit(block))), F.struct(none.alias("part"), old["at"].alias("at")), step, close)
+
+    return F.aggregate(F.sequence(F.lit(1), last, F.lit(block)), state, fold, lambda s: F.reverse(s["done"]))
 
 
-def bytes_of(letter: Column, first_byte: int) -> Column:
-    """Byte piece ids of a letter."""
-    digits = F.hex(F.encode(letter, "UTF-8"))
-    one = lambda i: (F.conv(F.substring(digits, 2 * i + 1, F.lit(2)), 16, 10).cast("int") + first_byte)
-    return F.transform(F.sequence(F.lit(0), (F.length(digits) / 2).cast("int") - 1), one)
+def bytes_of(point: Column, first_byte: int) -> Column:
+    """Byte piece ids of a letter, by its code point."""
+    tail = lambda shift: F.lit(0x80) + F.shiftright(point, shift).bitwiseAND(F.lit(0x3F))
+    lead = lambda mark, shift: F.lit(mark) + F.shiftright(point, shift)
+    utf8 = (
+        F.when(point < 0x80, F.array(point))
+        .when(point < 0x800, F.array(lead(0xC0, 6), tail(0)))
+        .when(point < 0x10000, F.array(lead(0xE0, 12), tail(6), tail(0)))
+        .otherwise(F.array(lead(0xF0, 18), tail(12), tail(6), tail(0)))
+    )
+    return F.transform(utf8, lambda b: b + first_byte)
 
 
 def encode_words(distinct: DataFrame, spark: SparkSession, path: str) -> DataFrame:
-    """(word, n, ids): the pieces of each distinct word of ``distinct`` (word, n)."""
+    """(word, n, ids): the pieces of each distinct word of ``distinct`` (word, n; a ``body``, if any, is what a word stands for)."""
     table, unknown, longest, first_byte = piece_table(spark, path)
     lattice = edges(distinct, table, unknown, longest)
-    grouped = lattice.groupBy("word", "n").agg(F.array_sort(F.collect_list(F.struct("stop", "start", "score", "id"))).alias("edges"))
-    folded = grouped.select("word", "n", viterbi(F.col("edges")).alias("best"))
+    grouped = lattice.groupBy("word", "n").agg(F.sort_array(F.collect_list(F.struct("stop", "start", "score", "id"))).alias("edges"))
+    folded = grouped.select("word", "n", viterbi(F.col("edges"), longest).alias("best"))
     paths = folded.select("word", "n", walked(F.col("best")).alias("path"))
-    letter = lambda p: F.substring(marked(F.col("word")), p["start"] + 1, F.lit(1))
-    own = F.transform("path", lambda p: F.when(p["id"] >= 0, F.array(p["id"])).otherwise(bytes_of(letter(p), first_byte)))
+    own = F.transform("path", lambda p: F.when(p["id"] >= 0, F.array(p["id"])).otherwise(bytes_of(-1 - p["id"], first_byte)))
     return paths.select("word", "n", F.flatten(own).alias("ids"))
 
 
@@ -174,30 +235,43 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids", out: str = "decoded"
 
 
 def distinct_words(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(word, n): every distinct word and how often it occurs, in many small partitions by word."""
-    schema = T.StructType.fromDDL("word string, n long")
+    """(word, body, n): every distinct word and how often it occurs, in many small partitions by word.
+
+    ``word`` is the word as :func:`names` has it, ``body`` a long word itself, else null.
+    """
+    schema = T.StructType.fromDDL("word string, body string, n long")
     arrow = _arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
+        bodies: dict[str, str] = {}
+        held = 0
 
         def out():
             found = list(seen.items())
             seen.clear()
             for at in range(0, len(found), 50_000):
                 part = found[at : at + 50_000]
-                yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in part], pa.string()), pa.array([n for _, n in part], pa.int64())], schema=arrow)
+                columns = [pa.array([w for w, _ in part], pa.string()), pa.array([bodies.get(w) for w, _ in part], pa.string())]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array([n for _, n in part], pa.int64())], schema=arrow)
+            bodies.clear()
 
         for batch in batches:
             for t in batch.column(0).to_pylist():
-                seen.update(words(t))
-                if len(seen) > LISTED_WORDS:
+                called = names(t)
+                seen.update(called)
+                for name, word in zip(called, words(t) if any(len(w) > LONG for w in called) else (), strict=False):
+                    if len(name) > LONG and name not in bodies:
+                        bodies[name] = word
+                        held += len(word)
+                if len(seen) > LISTED_WORDS or held > LONG_CHARS:
                     yield from out()
+                    held = 0
         yield from out()
 
     parts = SPREAD * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     listed = docs.select(text).mapInArrow(run, schema)
-    return listed.repartition(parts, "word").groupBy("word").agg(F.sum("n").alias("n"))
+    return listed.repartition(parts, "word").groupBy("word", "body").agg(F.sum("n").alias("n"))
 
 
 def hot_bound(counted: DataFrame, most: int = HOT_WORDS) -> int:
@@ -248,7 +322,7 @@ def encoded(docs: DataFrame, space, path: str, key: str = "doc_id", text: str =
 
     def rare():
         common = set(held.value[0].column("word").to_pylist())
-        return lambda texts: [[list(set(words(t)) - common) for t in texts]]
+        return lambda texts: [[list(set(names(t)) - common) for t in texts]]
 
     asked = map_texts(rows, rare, "__words array<string>", ["__row"], "__text").select("__row", F.explode("__words").alias("word"))
     found = asked.join(known.drop("n"), "word").groupBy("__row").agg(F.collect_set(F.struct("word", "ids")).alias("found"))
@@ -264,16 +338,16 @@ def encoded(docs: DataFrame, space, path: str, key: str = "doc_id", text: str =
         seen = dict(common)
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            names, own = batch.column(2), batch.column(3)
-            names, at = names.values.to_pylist(), names.offsets.to_pylist()
+            called, own = batch.column(2), batch.column(3)
+            called, at = called.values.to_pylist(), called.offsets.to_pylist()
             own, own_at = packed(own.values), own.offsets.to_pylist()
             for part in chunks(texts):
                 counts, joined, same = [], [], []
                 for i in range(part.start, part.stop):
                     if len(seen) > len(common) + LISTED_WORDS:
                         seen = dict(common)
-                    seen.update(zip(names[at[i] : at[i + 1]], own[own_at[i] : own_at[i + 1]], strict=True))
-                    split = words(texts[i])
+                    seen.update(zip(called[at[i] : at[i + 1]], own[own_at[i] : own_at[i + 1]], strict=True))
+                    split = names(texts[i])
                     raw = b"".join(map(seen.__getitem__, split))
                     counts.append(len(split))
                     joined.append(raw)

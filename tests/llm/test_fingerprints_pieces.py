@@ -2,6 +2,8 @@
 
 import hashlib
 import math
+import random
+import time
 from collections import Counter
 
 import pytest
@@ -137,6 +139,27 @@ def test_same_as_the_library(spark, vocabulary):
         assert list(r.ids) == library.nbest_encode_as_ids(r.word, 2)[0]
 
 
+def test_long_words(spark, vocabulary):
+    """Words around the bounds of names, parts and blocks, with letters of every width that are no piece."""
+    texts, parts = [], ["the", "ing", "a", "xq", "é", "中", "\u07ff", "😀", "\x01", "zz", "internationalization"]
+    for size in (63, 64, 65, 127, 128, 129, 255, 256, 257, 511, 512, 513, 1100, 3000):
+        r = random.Random(size)
+        word = "".join(r.choice(parts) for _ in range(size))[:size]
+        texts += [word, f"{word} a {word[:-1]}", f"\n{word}", word]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (list(r.ids), r.round_trip) for r in pieces.encoded(docs, Workspace(spark), queries.pieces_path()).collect()}
+    assert got == {i: (whole(t, *vocabulary), True) for i, t in enumerate(texts)}
+
+
+def test_a_word_of_200000_letters(spark):
+    r = random.Random(7)
+    word = "".join(r.choice("etaoinshrdlu0123456789+/") for _ in range(200_000))
+    start = time.time()
+    row = pieces.digests(spark.createDataFrame([(1, word)], "doc_id long, text string"), Workspace(spark), queries.pieces_path()).first()
+    assert row.round_trip and row.n_words == 1 and 50_000 < row.n_pieces <= 200_001
+    assert time.time() - start < 100  # a fold that copies its state takes hours
+
+
 def test_round_trip(spark, odd, none, rows):
     got = pieces.digests(odd, Workspace(spark), queries.pieces_path()).collect()
     assert len(got) == len(rows) and all(r.round_trip for r in got)
