@@ -122,16 +122,20 @@ def settled(start: DataFrame, edges: DataFrame, space, damping: float = DAMPING,
 
 
 def judge(pages: DataFrame, rules: dict[str, str], space, keep: Sequence[str] = ("page_id",), url: str = "url", html: str = "html") -> DataFrame:
-    """``keep``, host, path, rule and verdict of every page; ``rules`` maps a rule to ``allow`` or ``block``."""
+    """``keep``, host, path, rule and verdict of every page; ``rules`` maps a rule to ``allow`` or ``block``.
+
+    A kept column named like one of the four gives way to it.
+    """
+    keep = [c for c in keep if c not in ("host", "path", "rule", "verdict")]
     judged = parsed(pages, rules, keep, url)
     start = space.keep(seeds(judged, rules), "seeds")
     edges = space.keep(host_edges(pages, url, html), "edges")
     mass = settled(start, edges, space)
     trust = F.coalesce(F.sum(F.when(F.col("way") == 0, F.col("mass"))), F.lit(0.0))
     distrust = F.coalesce(F.sum(F.when(F.col("way") == 1, F.col("mass"))), F.lit(0.0))
-    bad = mass.groupBy(F.col("host").alias("bad")).agg(trust.alias("t"), distrust.alias("d")).where("d > t").select("bad")
-    out = judged.join(bad, judged["host"] == F.col("bad"), "left")
+    bad = mass.groupBy(F.col("host").alias("__bad")).agg(trust.alias("t"), distrust.alias("d")).where("d > t").select("__bad")
+    out = judged.join(bad, F.col("host") == F.col("__bad"), "left")
     ruled = F.create_map(*[F.lit(x) for pair in rules.items() for x in pair])
-    own = F.when((F.col("host") == "") | F.col("bad").isNotNull(), F.lit("block")).otherwise(F.lit("allow"))
+    own = F.when((F.col("host") == "") | F.col("__bad").isNotNull(), F.lit("block")).otherwise(F.lit("allow"))
     verdict = F.when(F.col("rule").isNotNull(), F.element_at(ruled, F.col("rule"))).otherwise(own)
     return out.select(*keep, "host", "path", "rule", verdict.alias("verdict"))

@@ -6,6 +6,7 @@ import pytest
 from compare import duck_rows, spark_rows
 from millrace import Workspace
 from millrace.llm import queries, url_filters
+from llm.conftest import bag
 
 RULES = {"com/": "allow", "bad.com/": "block", "bad.com/ok/": "allow"}
 
@@ -109,3 +110,12 @@ def test_chain_beyond_eight_links(spark, space):
     got = {r.host: r.mass for r in url_filters.settled(start, edges, space).collect() if r.way == 1}
     assert got == {h: pytest.approx(m, rel=1e-5) for h, m in zip(hosts, want, strict=True)}
     assert {r.verdict for r in url_filters.judge(pages, RULES, space).collect()} == {"block"}
+
+
+def test_kept_columns_of_clashing_names(pages, space):
+    rows = pages.selectExpr("*", "'p' AS path", "1 AS bad", "2 AS mass", "3 AS way", "4 AS verdict")
+    kept = ("page_id", "host", "path", "rule", "verdict", "bad", "mass", "way")
+    got = url_filters.judge(rows, RULES, space, kept)
+    assert got.columns == ["page_id", "bad", "mass", "way", "host", "path", "rule", "verdict"]
+    plain = url_filters.judge(pages, RULES, space)
+    assert bag(map(tuple, got.drop("bad", "mass", "way").collect())) == bag(map(tuple, plain.collect()))
