@@ -12,6 +12,7 @@ for the cuts, its keys and values for the range totals, and its rows once.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,6 +21,13 @@ from pyspark.sql import types as T
 from millrace.session import Workspace
 
 _LOW, _TIE = "_range", "_tie_range"
+#: Of the sketch that brackets percentiles: its ranks are off by a share of 1 / ACCURACY of the rows.
+ACCURACY = 10_000
+#: Share of the rows on either side of a wanted rank that its bracket spans at first.
+MARGIN = 4 / ACCURACY
+#: Counted values of one key that a plain window may sort in one task.
+WINDOW_ROWS = 100_000
+
 
 def _range_count(df: DataFrame) -> int:
     """A power of two, at least the number of shuffle partitions."""
@@ -49,7 +57,7 @@ def _measure(df: DataFrame, column: str) -> Column:
 def with_ranges(df: DataFrame, order: str, tie: str) -> DataFrame:
     """Add two order-preserving range numbers for ``(order, tie)``.
 
-    Split points are quantiles of the column, found in one aggregate. A value
+    Split points are quantiles of both columns, found in one aggregate. A value
     so frequent that it fills several quantiles gets a range of its own, which
     is cut again by the tie column. Texts are cut by their first bytes.
     """
@@ -57,12 +65,14 @@ def with_ranges(df: DataFrame, order: str, tie: str) -> DataFrame:
     at = F.array(*[F.lit(i / count) for i in range(1, count)])
 
     def cuts(column: str) -> Column:
-        return df.agg(F.percentile_approx(_measure(df, column), at, F.lit(max(10_000, 4 * count)))).scalar()
+        return F.percentile_approx(_measure(df, column), at, F.lit(max(10_000, 4 * count)))
 
-    place = df.withColumn("_cuts", cuts(order)).withColumn("_at", _measure(df, order))
-    place = place.withColumn("_seen", _below(F.col("_cuts"), F.col("_at"), count))
+    both = [cuts(order).alias("order"), *([] if tie == order else [cuts(tie).alias("tie")])]
+    place = df.withColumn("_cuts", df.agg(F.struct(*both)).scalar()).withColumn("_at", _measure(df, order))
+    place = place.withColumns({c: F.col(f"_cuts.{n}") for c, n in (("_orders", "order"), ("_ties", "tie")) if n == "order" or tie != order})
+    place = place.withColumn("_seen", _below(F.col("_orders"), F.col("_at"), count))
     heavy = F.col(order).isNull() | (
-        (F.get("_cuts", F.col("_seen")) == F.col("_at")) & (F.get("_cuts", F.col("_seen") + 1) == F.col("_at"))
+        (F.get("_orders", F.col("_seen")) == F.col("_at")) & (F.get("_orders", F.col("_seen") + 1) == F.col("_at"))
     )
     if isinstance(df.schema[order].dataType, (T.StringType, T.BinaryType)):
         heavy = F.col(order).isNull()  # texts with the same first bytes still have an order of their own
@@ -71,10 +81,10 @@ def with_ranges(df: DataFrame, order: str, tie: str) -> DataFrame:
     if tie == order:
         place = place.withColumn(_TIE, F.lit(0))
     else:
-        place = place.withColumn("_ties", cuts(tie)).withColumn(
+        place = place.withColumn(
             _TIE, F.when(F.col("_heavy"), _below(F.col("_ties"), _measure(df, tie), count)).otherwise(0)
         )
-    return place.withColumn(_LOW, low).drop("_cuts", "_ties", "_seen", "_heavy", "_at")
+    return place.withColumn(_LOW, low).drop("_cuts", "_orders", "_ties", "_seen", "_heavy", "_at")
 
 
 def running_totals(
@@ -124,43 +134,78 @@ def numbered(df: DataFrame, keys: Sequence[str], order: str, tie: str, out: str,
     return ranked.withColumn(out, F.col(out).cast("int"))
 
 
-def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """``(keys, value, _n)`` of the values that are not null, as a written table.
-
-    Counts combine before the shuffle; several statistics can then be read
-    from them without another pass over the rows.
-    """
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
-    return Workspace(df.sparkSession).keep(counts, "value-counts")
-
-
-def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float]) -> DataFrame:
-    """Interpolated percentiles per key, one column per name in ``probs``."""
-    return percentiles_of_counts(value_counts(df, keys, value), keys, value, probs)
+def matched(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """``left`` with the other columns of ``right``, which has one row per key; a null key matches a null key."""
+    there = right.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
+    return left.join(there, same, how).drop(*[f"_k_{k}" for k in keys])
 
 
-def percentiles_of_counts(counts: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float]) -> DataFrame:
-    """Percentiles from :func:`value_counts`.
+def _near_counts(rows: DataFrame, keys: Sequence[str], value: str, probs: Sequence[float], margin: float, space: Workspace) -> DataFrame:
+    """``(keys, value, _gap, _n)``: counts of the values near the wanted ranks, and of all others together.
 
-    The counts are accumulated by value, and each wanted rank picks its value,
-    so no task holds a group's values.
+    A sketch per key brackets each rank by two values. A value inside a bracket
+    is counted as itself; those of a gap count as one row (``_gap`` 1) under the
+    upper end of the bracket before it, null before the first. So rows sorted by
+    value and ``_gap`` are sorted by rank, and only the brackets' values stay
+    apart. Counts combine before the shuffle, and the sketches are written
+    first: Spark sees their size and broadcasts them only where they are small.
     """
-    ranked = running_totals(counts, keys, value, value, {"_upto": "_n"}, whole=True)
+    ends = [max(0.0, p - margin) for p in probs] + [min(1.0, p + margin) for p in probs]
+    sketch = F.percentile_approx(value, F.array(*[F.lit(float(p)) for p in ends]), F.lit(ACCURACY)).alias("_ends")
+    if keys:
+        placed = matched(rows, space.keep(rows.groupBy(*keys).agg(sketch), "brackets"), keys)
+    else:
+        placed = rows.withColumn("_ends", rows.agg(sketch).scalar())
+    v, k = F.col(value), len(probs)
+    inside = reduce(lambda a, b: a | b, [v.between(F.get("_ends", F.lit(i)), F.get("_ends", F.lit(k + i))) for i in range(k)])
+    passed = [F.when(v > F.get("_ends", F.lit(k + i)), F.get("_ends", F.lit(k + i))) for i in range(k)]
+    before = F.greatest(*passed) if k > 1 else passed[0]
+    coarse = placed.select(*keys, F.when(inside, v).otherwise(before).alias(value), F.when(inside, 0).otherwise(1).alias("_gap"))
+    return coarse.groupBy(*keys, value, "_gap").agg(F.count("*").alias("_n"))
 
-    def at_rank(rank: Column) -> Column:
-        hit = (F.col("_upto") - F.col("_n") <= rank) & (rank < F.col("_upto"))
-        return F.max(F.when(hit, F.col(value)))
 
-    picks, finals = [], []
+def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float]) -> DataFrame:
+    """Interpolated percentiles per key, one column per name in ``probs``, as a written table; nulls do not count.
+
+    Two scans: a sketch per key brackets the wanted ranks, then the values inside
+    the brackets are counted (:func:`_near_counts`), so of a continuous column
+    some thousandths of the rows move. The counts are accumulated by value,
+    and each wanted rank picks its value: in a window per key where no key has
+    more than ``WINDOW_ROWS`` counted values, else in ranges. A rank that falls into a gap shows that its bracket missed it: then all is done again
+    with wider brackets, in the end with every value in one.
+    """
+    space = Workspace(df.sparkSession)
+    rows = df.select(*keys, value).where(F.col(value).isNotNull())
+    margin = MARGIN
+    while True:
+        counts = space.keep(_near_counts(rows, keys, value, list(probs.values()), margin, space), "value-counts")
+        most = counts.groupBy(*keys).agg(F.count("*").alias("rows")).agg(F.max("rows")).first()[0] or 0
+        found = space.keep(_picked(counts, keys, value, probs, most <= WINDOW_ROWS), "percentiles")
+        if margin >= 1 or found.where("_missed").isEmpty():
+            return found.drop("_missed")
+        margin *= 8
+
+
+def _picked(counts: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float], few: bool) -> DataFrame:
+    """Percentiles from :func:`_near_counts`, and whether a rank fell into a gap; ``few`` counts per key take a plain window."""
+    if few:
+        key = Window.partitionBy(*keys)
+        upto = key.orderBy(value, "_gap").rowsBetween(Window.unboundedPreceding, 0)
+        ranked = counts.withColumns({"_upto": F.sum("_n").over(upto), "_upto_whole": F.sum("_n").over(key)})
+    else:
+        ranked = running_totals(counts, keys, value, "_gap", {"_upto": "_n"}, whole=True)
+    picks, finals, misses = [], [], []
     for name, p in probs.items():
         place = F.lit(float(p)) * (F.col("_upto_whole") - 1)
-        picks += [
-            at_rank(F.floor(place)).alias(f"_lo_{name}"),
-            at_rank(F.ceil(place)).alias(f"_hi_{name}"),
-            F.max(place - F.floor(place)).alias(f"_w_{name}"),
-        ]
+        for end, rank in (("lo", F.floor(place)), ("hi", F.ceil(place))):
+            hit = (F.col("_upto") - F.col("_n") <= rank) & (rank < F.col("_upto"))
+            picks.append(F.max(F.when(hit, F.col(value))).alias(f"_{end}_{name}"))
+            misses.append(hit & (F.col("_gap") == 1))
+        picks.append(F.max(place - F.floor(place)).alias(f"_w_{name}"))
         finals.append(
             (F.col(f"_lo_{name}") + F.col(f"_w_{name}") * (F.col(f"_hi_{name}") - F.col(f"_lo_{name}"))).alias(name)
         )
+    picks.append(F.max(reduce(lambda a, b: a | b, misses)).alias("_missed"))
     grouped = ranked.groupBy(*keys).agg(*picks) if keys else ranked.agg(*picks)
-    return grouped.select(*keys, *finals)
+    return grouped.select(*keys, *finals, F.coalesce("_missed", F.lit(False)).alias("_missed"))

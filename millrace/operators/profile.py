@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators.ordered import percentiles_of_counts, value_counts
+from millrace.operators.ordered import exact_percentiles, matched
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
@@ -20,44 +20,37 @@ def _long(df: DataFrame, keep: Sequence[str], columns: Sequence[str]) -> DataFra
 def summarize(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Count, mean, stddev, min, quartiles and max per column (and group).
 
-    All of it is read from the counts of distinct values, so the rows are
-    scanned once. Deviations are summed around the mean, not from squares.
+    Moments are built-in aggregates of one scan, one row per group; quartiles
+    take two more scans (:func:`~millrace.operators.ordered.exact_percentiles`).
+    A column of a group that holds nulls only has a row as well.
     """
     keys = [*by, "column_name"]
-    counts = value_counts(_long(df, by, columns), keys, "value")
-    n, v = F.col("_n"), F.col("value")
-    means = counts.groupBy(*keys).agg(
-        F.sum(n).alias("n"), (F.sum(v * n) / F.sum(n)).alias("mean"), F.min(v).alias("min"), F.max(v).alias("max")
-    )
-    around = counts.join(means.select(*keys, "mean"), keys).groupBy(*keys)
-    spread = around.agg(F.sqrt(F.try_divide(F.sum(n * F.pow(v - F.col("mean"), 2)), F.sum(n) - 1)).alias("stddev"))
-    quartiles = percentiles_of_counts(counts, keys, "value", QUARTILES)
-    found = means.join(spread, keys).join(quartiles, keys)
-    # A column of a group that holds nulls only has a row as well.
-    groups = df.select(*by).distinct() if by else df.sparkSession.range(1).select()
-    every = groups.withColumn("column_name", F.explode(F.array(*[F.lit(c) for c in columns])))
-    names = ["n", "mean", "stddev", "min", "max", *QUARTILES]
-    whole = every.join(found, keys, "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    return whole.select(*keys, *names)
+    numbers = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
+    facts = {"n": F.count, "mean": F.avg, "stddev": F.stddev_samp, "min": F.min, "max": F.max}
+    each = [F.struct(F.lit(c).alias("column_name"), *[f(c).alias(n) for n, f in facts.items()]) for c in columns]
+    wide = numbers.groupBy(*by).agg(F.array(*each).alias("_facts"))
+    moments = wide.select(*by, F.inline("_facts"))
+    quartiles = exact_percentiles(_long(df, by, columns), keys, "value", QUARTILES)
+    return matched(moments, quartiles, keys, "left").select(*keys, *facts, *QUARTILES)
 
 
 def boxplot(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> DataFrame:
     """Quartiles, and whiskers at the last value within 1.5 IQR, per column and group."""
     keys = [*by, "column_name"]
-    counts = value_counts(_long(df, by, columns), keys, "value")
+    cells = _long(df, by, columns).where(F.col("value").isNotNull())
     fences = (
-        percentiles_of_counts(counts, keys, "value", QUARTILES)
+        exact_percentiles(cells, keys, "value", QUARTILES)
         .withColumn("_low", F.col("p25") - 1.5 * (F.col("p75") - F.col("p25")))
         .withColumn("_high", F.col("p75") + 1.5 * (F.col("p75") - F.col("p25")))
     )
     inside = F.col("value").between(F.col("_low"), F.col("_high"))
     return (
-        counts.join(fences, keys)
+        matched(cells, fences, keys)
         .groupBy(*keys, *QUARTILES)
         .agg(
             F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
             F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
-            F.sum(F.when(inside, 0).otherwise(F.col("_n"))).alias("outliers"),
+            F.sum(F.when(inside, 0).otherwise(1)).alias("outliers"),
         )
     )
 

@@ -45,6 +45,7 @@ def merge_upsert_all(t):
     series = t.lineitem.groupBy(F.to_date("l_shipdate").alias("ds"), "l_returnflag").agg(
         F.sum("l_quantity").alias("y")
     )
+    series = t.workspace().keep(series, "series")  # both sides of the merge come from it
     stored = series.where("ds < DATE '1999-01-01'").withColumn("training_date", F.lit("2024-01-01").cast("date"))
     new = series.where("ds >= DATE '1998-01-01'").select(
         "ds", "l_returnflag", (F.col("y") * 2).alias("y"), F.lit("2024-02-01").cast("date").alias("training_date")

@@ -441,6 +441,11 @@ def test_profile_of_nulls_and_groups(spark):
     got = {(r.g, r.column_name): r for r in profile.summarize(df, ["v", "w"], ["g"]).collect()}
     assert len(got) == 4 and (got["g", "v"].n, got["g", "v"].mean, got["g", "v"].p50) == (2, 2.0, 2.0)
     assert got["g", "v"].stddev == pytest.approx(2**0.5) and got["h", "v"].n == 0 and got["h", "v"].min is None
+    nameless = spark.createDataFrame([(None, 1.0), (None, 2.0), ("h", 5.0)], "g string, v double")
+    got = {r.g: r for r in profile.summarize(nameless, ["v"], ["g"]).collect()}
+    assert (got[None].n, got[None].p50, got["h"].p50) == (2, 1.5, 5.0)
+    none = profile.summarize(nameless.limit(0), ["v"]).first()
+    assert (none.n, none["mean"], none.p50) == (0, None, None)
 
 
 def test_rolling_errors_judge_unseen_days(spark):

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators import classify
+from millrace.operators import classify, ordered
 from millrace.operators.ordered import exact_percentiles, numbered, running_totals
 from millrace.operators.relational import first_per_key, null_counts, share_of_total, underscore_names
 
@@ -85,6 +85,34 @@ def test_percentiles_equal_the_builtin(spark):
     assert as_set(own.select("k", *probs)) == as_set(builtin)
 
 
+@pytest.mark.parametrize(
+    ("margin", "accuracy", "most"), [(ordered.MARGIN, ordered.ACCURACY, ordered.WINDOW_ROWS), (0.001, 5, ordered.WINDOW_ROWS), (0.3, 5, 10)]
+)
+def test_percentiles_of_many_values(spark, monkeypatch, margin, accuracy, most):
+    """Skewed and continuous columns, heavy values, a null key; coarse sketches miss ranks, and wider brackets find them."""
+    monkeypatch.setattr(ordered, "MARGIN", margin)
+    monkeypatch.setattr(ordered, "ACCURACY", accuracy)
+    monkeypatch.setattr(ordered, "WINDOW_ROWS", most)
+    key = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.concat(F.lit("k"), F.col("id") % 7))
+    unit = (F.abs(F.xxhash64("id")) % 1_000_003) / 1_000_003.0
+    value = F.when(F.col("id") % 5 == 0, 0.5).when(F.col("id") % 11 == 0, None).otherwise(F.pow(unit, 4) - 0.1)
+    df = spark.range(60_000).select(key.alias("k"), value.alias("v"))
+    probs = {"p25": 0.25, "p50": 0.5, "p999": 0.999}
+    for keys in (["k"], []):
+        own = exact_percentiles(df, keys, "v", probs).select(*keys, *probs)
+        builtin = df.groupBy(*keys).agg(*[F.percentile("v", F.lit(p)).alias(n) for n, p in probs.items()])
+        as_set = lambda d: {tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in d.collect()}
+        assert as_set(own) == as_set(builtin)
+
+
+def test_percentiles_count_only_values_near_the_ranks(spark, space):
+    """Of 100,000 distinct values some hundreds stay apart; the others are counted per gap, none is lost."""
+    df = spark.range(100_000).select(F.lit("k").alias("k"), F.xxhash64("id").cast("double").alias("v"))
+    counts = ordered._near_counts(df, ["k"], "v", [0.25, 0.5], ordered.MARGIN, space)
+    assert counts.count() < 1000 and counts.agg(F.sum("_n")).first()[0] == 100_000
+    assert counts.where("_gap = 1").count() == 3
+
+
 def test_areas_count_ties_once(spark):
     data = [(0.9, 1), (0.8, 1), (0.8, 0), (0.3, 0), (0.3, 1), (0.1, 0)]
     df = spark.createDataFrame(data, "score double, y int")
