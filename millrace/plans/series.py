@@ -11,6 +11,7 @@ from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import functions as F
 
 from millrace import sinks
+from millrace.operators import budget
 from millrace.operators import features as feat
 from millrace.operators import forecast as fc
 from millrace.operators.classify import hash_split
@@ -103,17 +104,7 @@ def feature_lookup_floor(t):
     lambda rows: rows.select("model", (F.greatest("validation_rmse", "test_rmse") < 2 * F.col("label_stddev")).alias("fitted")),
 )
 def regress_features(t):
-    names = [
-        "mean_fare_window_1h_pickup_zip",
-        "count_trips_window_1h_pickup_zip",
-        "count_trips_window_30m_dropoff_zip",
-        "dropoff_is_weekend",
-    ]
-    found = _training(t, "floor").select("event_id", F.col("value").alias("label"), *[F.col(n).cast("double") for n in names])
-    rows = t.workspace().keep(found, "training_set")
-    filled = Imputer(inputCols=names, outputCols=names, strategy="mean").fit(rows).transform(rows)
-    ready = VectorAssembler(inputCols=names, outputCol="features").transform(filled)
-    train, test = hash_split(ready, "event_id", [80, 20])
+    rows, train, test = _regression_sets(t)
     evaluator = RegressionEvaluator(metricName="rmse")
     linear, trees = LinearRegression(), GBTRegressor(maxIter=5, seed=42)
     searches = {
@@ -131,6 +122,63 @@ def regress_features(t):
     return errors.withColumn("label_stddev", spread)
 
 
+def _regression_sets(t):
+    """Rows of the training set with their label, and the parts to fit and to test on."""
+    names = [
+        "mean_fare_window_1h_pickup_zip",
+        "count_trips_window_1h_pickup_zip",
+        "count_trips_window_30m_dropoff_zip",
+        "dropoff_is_weekend",
+    ]
+    found = _training(t, "floor").select("event_id", F.col("value").alias("label"), *[F.col(n).cast("double") for n in names])
+    rows = t.workspace().keep(found, "training_set")
+    filled = Imputer(inputCols=names, outputCols=names, strategy="mean").fit(rows).transform(rows)
+    ready = VectorAssembler(inputCols=names, outputCol="features").transform(filled)
+    train, test = hash_split(ready, "event_id", [80, 20])
+    return rows, train, test
+
+
+#: Seconds that the search of ``regress_budget`` may take.
+_BUDGET = 300.0
+
+
+@checked(
+    "regress_budget",
+    """SELECT candidate, true AS consistent
+       FROM (SELECT 'linear ' || r AS candidate FROM (VALUES ('0.0'), ('0.01'), ('0.1'), ('1.0')) AS v(r)
+             UNION ALL SELECT 'boosted trees ' || d || ' x ' || n FROM (VALUES ('2'), ('4')) AS v(d), (VALUES ('5'), ('10')) AS w(n)),
+            (SELECT count(*) FROM events) AS e""",
+    # What the time allowed differs from run to run; a candidate has an error exactly when it was tried, and the best has the least.
+    lambda rows: rows.select(
+        "candidate",
+        (
+            ((F.col("status") == "tried") == F.col("validation_rmse").isNotNull())
+            & (F.col("validation_rmse").isNull() | (F.col("best_validation_rmse") <= F.col("validation_rmse")))
+            & (F.col("best_validation_rmse").isNull() | (F.col("best_test_rmse") < 2 * F.col("label_stddev")))
+        ).alias("consistent"),
+    ),
+)
+def regress_budget(t):
+    """Linear models and boosted trees, cheapest first, until the budget is used up; errors of all that were tried."""
+    rows, train, test = _regression_sets(t)
+    space = t.workspace()
+    fit, validate = hash_split(train, "event_id", [75, 25], seed=7)
+    fit, validate = space.keep(fit, "fit"), space.keep(validate, "validate")
+    candidates = [(f"linear {r}", LinearRegression(regParam=r, solver="normal")) for r in (0.0, 0.01, 0.1, 1.0)]
+    candidates += [
+        (f"boosted trees {d} x {n}", GBTRegressor(maxDepth=d, maxIter=n, seed=42)) for d in (2, 4) for n in (5, 10)
+    ]
+    evaluator = RegressionEvaluator(metricName="rmse")
+    best, found = budget.search(candidates, fit, validate, evaluator, _BUDGET)
+    tested = None if best is None else float(evaluator.evaluate(best.transform(test)))
+    least = min((f["error"] for f in found if f["error"] is not None), default=None)
+    errors = t.spark.createDataFrame(
+        [(f["place"], f["candidate"], f["passes"], f["status"], f["error"], least, tested) for f in found],
+        "place int, candidate string, passes int, status string, validation_rmse double, best_validation_rmse double, best_test_rmse double",
+    )
+    return errors.withColumn("label_stddev", rows.agg(F.stddev_samp("label")).scalar())
+
+
 # ---- forecasts -------------------------------------------------------------
 
 _RUN = date(2024, 2, 1)

@@ -167,3 +167,47 @@ def test_halving_sizes_and_draws():
     for name, (least, most, kind) in models.RANGES.items():
         assert all(least <= s[name] <= most for s in wide + near) and len({s[name] for s in wide}) > 4
         assert kind == "int" or np.std([s[name] for s in near]) < np.std([s[name] for s in wide]) / 5
+
+
+def test_search_within_a_budget(spark):
+    """All are tried in ample time; none without time; a fit that goes on is stopped, and what was found before stays."""
+    import time
+
+    from pyspark.ml.evaluation import RegressionEvaluator
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import GBTRegressor, LinearRegression
+
+    from millrace.operators import budget
+
+    df = spark.range(400).select((F.col("id") % 17).cast("double").alias("x"), (2.0 * (F.col("id") % 17) + F.col("id") % 3).alias("label"))
+    rows = VectorAssembler(inputCols=["x"], outputCol="features").transform(df)
+    evaluator = RegressionEvaluator(metricName="rmse")
+    plain = [("trees", GBTRegressor(maxDepth=1, maxIter=1, seed=1)), ("strong", LinearRegression(regParam=9.0, solver="normal")), ("free", LinearRegression(solver="normal"))]
+    best, found = budget.search(plain, rows, rows, evaluator, 120)
+    assert [f["candidate"] for f in found] == ["strong", "free", "trees"] and {f["status"] for f in found} == {"tried"}
+    again = {n: evaluator.evaluate(e.fit(rows).transform(rows)) for n, e in plain}
+    assert all(f["error"] == pytest.approx(again[f["candidate"]]) for f in found)
+    assert evaluator.evaluate(best.transform(rows)) == pytest.approx(min(again.values()))
+
+    best, found = budget.search(plain, rows, rows, evaluator, 0)
+    assert best is None and {f["status"] for f in found} == {"not tried"}
+
+    class Endless(LinearRegression):
+        def fit(self, data):
+            slow = F.udf(lambda x: time.sleep(600) or x, "double")
+            return data.select(slow("x")).collect()
+
+    endless = Endless(solver="l-bfgs", maxIter=50)
+    start = time.monotonic()
+    best, found = budget.search([("endless", endless), ("later", GBTRegressor(maxDepth=5, maxIter=20)), *plain], rows, rows, evaluator, 15, parallelism=1)
+    assert time.monotonic() - start < 60 and best is not None
+    got = {f["candidate"]: f["status"] for f in found}
+    assert got["endless"] == "stopped" and got["later"] == "not tried" and got["free"] == "tried"
+    assert spark.range(10).count() == 10
+
+    class Broken(LinearRegression):
+        def fit(self, data):
+            raise ValueError("broken fit")
+
+    with pytest.raises(ValueError, match="broken fit"):
+        budget.search([("broken", Broken(solver="normal"))], rows, rows, evaluator, 60)
