@@ -52,12 +52,43 @@ ENTITIES = [
 # Blank-line clean-up after the tags are gone.
 TIDY_RULES = [(r"[ \t]*\n[ \t]*\n[ \t\n]*", "\n\n"), (r"^[ \t\n]+", ""), (r"[ \t\n]+$", "")]
 
+#: Entries of an array that one fold sums.
+BLOCK = 512
+
 
 def split_pages(documents: DataFrame, key: str, text: str, separator: str = "\n") -> DataFrame:
     """One row per page: ``(key, page, text)``, pages numbered from 0."""
     return documents.select(key, F.posexplode(F.split(text, separator)).alias("page", "text"))
 
 
+def _sums_before(sizes: Column) -> Column:
+    """Per entry of an array of bigint, the sum of the entries before it.
+
+    A fold copies its state in each step, so entries are summed in blocks and a
+    block starts from the sum of those before: the work grows with the entries.
+    """
+
+    def fold(numbers: Column, start: Column) -> Column:
+        def add(seen: Column, size: Column) -> Column:
+            return F.struct((seen["end"] + size).alias("end"), F.concat(seen["starts"], F.array(seen["end"])).alias("starts"))
+
+        state = F.struct(start.alias("end"), F.array().cast("array<bigint>").alias("starts"))
+        return F.aggregate(numbers, state, add, lambda seen: seen["starts"])
+
+    zero = F.lit(0).cast("bigint")
+
+    def cut(numbers: Column) -> Column:
+        firsts = F.sequence(F.lit(1), F.greatest(F.size(numbers), F.lit(1)), F.lit(BLOCK))
+        return F.transform(firsts, lambda i: F.slice(numbers, i, F.lit(BLOCK)))
+
+    def placed(blocks: Column) -> Column:
+        totals = F.transform(blocks, lambda block: F.aggregate(block, zero, lambda total, size: total + size))
+        return F.flatten(F.zip_with(blocks, fold(totals, zero), fold))
+
+    # Arrays of one entry bind a value to a name; else each block would compute it again.
+    return F.get(F.transform(F.transform(F.array(sizes), cut), placed), F.lit(0))
+
+
 def page_map(documents: DataFrame, key: str, pages: Column, trailing_space: bool = False) -> DataFrame:
     """``(key, page, offset, text)`` from an array of page texts.
 
@@ -66,13 +97,7 @@ def page_map(documents: DataFrame, key: str, pages: Column, trailing_space: bool
     """
     if trailing_space:
         pages = F.transform(pages, lambda p: F.concat(p, F.lit(" ")))
-    nothing = F.struct(F.lit(0).cast("bigint").alias("end"), F.array().cast("array<bigint>").alias("starts"))
-
-    def add(seen: Column, size: Column) -> Column:
-        return F.struct((seen["end"] + size).alias("end"), F.concat(seen["starts"], F.array(seen["end"])).alias("starts"))
-
-    sizes = F.transform(pages, lambda p: F.length(p).cast("bigint"))
-    starts = F.aggregate(sizes, nothing, add, lambda seen: seen["starts"])
+    starts = _sums_before(F.transform(pages, lambda p: F.length(p).cast("bigint")))
     zipped = F.zip_with(pages, starts, lambda p, at: F.struct(at.alias("offset"), p.alias("text")))
     placed = documents.select(key, F.posexplode(zipped).alias("page", "_page"))
     return placed.select(key, "page", "_page.offset", "_page.text")
@@ -173,15 +198,13 @@ def document_markdown(pages: DataFrame, spans: DataFrame, document: str, page: s
     inlined = inline_tables(pages, spans, [document, page])
     listed = F.array_sort(F.collect_list(F.struct(F.col(page).cast("int").alias("page"), "text")))
     joined = inlined.groupBy(document).agg(listed.alias("_pages"))
-    sizes = F.transform("_pages", lambda p: F.struct(p["page"].alias("page"), F.length(p["text"]).alias("length")))
-    start = F.struct(F.lit(0).alias("end"), F.array().cast("array<struct<page:int,offset:int,length:int>>").alias("map"))
+    starts = _sums_before(F.transform("_pages", lambda p: F.length(p["text"]).cast("bigint")))
 
-    def add(seen: Column, p: Column) -> Column:
-        entry = F.struct(p["page"].alias("page"), seen["end"].alias("offset"), p["length"].alias("length"))
-        return F.struct((seen["end"] + p["length"]).alias("end"), F.concat(seen["map"], F.array(entry)).alias("map"))
+    def entry(p: Column, at: Column) -> Column:
+        return F.struct(p["page"].alias("page"), at.cast("int").alias("offset"), F.length(p["text"]).alias("length"))
 
     whole = F.array_join(F.transform("_pages", lambda p: p["text"]), "")
-    return joined.select(document, to_markdown(whole).alias("content"), F.aggregate(sizes, start, add, lambda s: s["map"]).alias("page_map"))
+    return joined.select(document, to_markdown(whole).alias("content"), F.zip_with("_pages", starts, entry).alias("page_map"))
 
 
 def spread(df: DataFrame) -> DataFrame:

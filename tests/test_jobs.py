@@ -357,6 +357,19 @@ def test_page_offsets(spark):
     assert spaced == [(1, 0, 0), (1, 1, 3), (1, 2, 4), (1, 3, 8), (2, 0, 0)]
 
 
+def test_page_offsets_of_many_pages(spark):
+    """Pages over several blocks, a block exactly full, and no page at all; 300,000 pages in one row."""
+    for n in (0, 1, documents.BLOCK, documents.BLOCK + 1, 3 * documents.BLOCK + 7, 300_000):
+        pages = F.expr(f"slice(transform(sequence(0, {max(n, 1) - 1}), i -> repeat('x', cast(i % 5 as int))), 1, {n})")
+        placed = documents.page_map(spark.range(1), "id", pages)
+        got = placed.agg(F.count("*").alias("n"), F.sum("offset").alias("s"), F.max("offset").alias("m")).first()
+        sizes = [i % 5 for i in range(n)]
+        before = [sum(sizes[:5]) * (i // 5) + sum(sizes[: i % 5]) for i in range(n)]
+        assert (got.n, got.s or 0, got.m or 0) == (n, sum(before), max(before, default=0))
+    nothing = spark.createDataFrame([(1, None)], "id int, p array<string>")
+    assert documents.page_map(nothing, "id", F.col("p")).count() == 0
+
+
 def test_table_html(spark):
     cells = spark.createDataFrame(
         [(1, 1, 1, "content", "x<", 1, 1), (1, 1, 0, "rowHeader", "r", 2, 1), (1, 0, 0, "columnHeader", "h", 1, 2)],
