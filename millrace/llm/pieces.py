@@ -1,28 +1,26 @@
-"""SentencePiece encoding and decoding as relations.
+"""SentencePiece encoding and decoding in tasks.
 
 Text is cut at its spaces; each run of spaces opens a word that begins with as
 many marks U+2581, and a text begins with one. No piece holds the mark after
 another letter, so words encode on their own; a line end, which no piece
 holds, opens a word as well.
 
-Each distinct word is a lattice: its substrings of up to the longest piece's
-length are exploded and equi-joined to the piece table (broadcast; its size is
-the vocabulary's). The matching edges are grouped by word and folded in order
-of their ends with ``aggregate``: the state holds the best score of every
-position so far, with where it came from; ties go to the longer last piece. A
-second fold walks back. A letter that is no piece is an edge below all others,
-written as the byte pieces of its UTF-8 form. Edges are folded in blocks, so
-that a step copies the open block's state only, long words are cut into overlapping
-parts before their substrings are made, and a long word travels under a short
-name; what still grows faster than a word is one copy of its state per block. The lattice of
-one word is one value and has to fit in a row.
-
-Tasks list the distinct words of their texts in Python, so that the shuffle
-gets a word once per task. Documents meet the encoded words again by word: up
-to ``HOT_WORDS`` words that occur most are a bounded table, broadcast; the
-others are joined once per document and travel to it with their ids. There
-each document gets its ids in order, the ids alone are decoded, and the text
-that comes out is compared with the document.
+Each word is a lattice: its substrings of up to the longest piece's length are
+looked up in a trie of the pieces (broadcast; its size is the vocabulary's), and a
+substring that begins no piece ends the search from its first letter. Edges go
+from the first position to the last: a position holds the best score so far and
+the edge it came by; ties go to the longer last piece. A walk back gives the
+path. A letter that is no piece is an edge below all others, written as the byte
+pieces of its UTF-8 form. A position takes 16 bytes, and the work grows with the
+word's length.
+
+A text stays where it is read: its task encodes the words that it has not met
+yet, puts the ids of all words in order, decodes the ids alone and compares what
+comes out with the document. Nothing is shuffled, so disk and network do not
+grow with the words. Words are remembered up to ``LISTED_WORDS`` words and
+``LONG_CHARS`` characters, then from anew.
+
+:func:`lexicon` has the ids and the counts of all distinct words as a table.
 
 Defined results: a null or empty text has no words and no pieces; U+2581 in a
 text is taken as a space; repeated rows are encoded one by one; scores are
@@ -34,36 +32,34 @@ columns than key and text none is read.
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+from array import array
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import _arrow_schema, chunks, map_texts
+from millrace.llm.common import _arrow_schema, chunks
 
 MARK = "▁"
 RUN = re.compile("  +")
 UNKNOWN_PENALTY = 10.0
 HOT_WORDS = 200_000
-#: Words that a task lists before it hands them on.
+#: Words that a task lists before it hands them on, or remembers with their ids.
 LISTED_WORDS = 250_000
-#: Tasks of the lattice for each shuffle partition; a word has some twenty edges.
+#: Tasks of the lexicon for each shuffle partition.
 SPREAD = 8
 #: A hot word is at most this long, so the broadcast table is bounded in bytes too.
 HOT_CHARS = 64
 #: A word of more characters goes by a hash.
 LONG = 64
-#: Characters of long words that a task holds before it hands them on.
+#: Characters of long words that a task holds before it hands them on, or of all words that it remembers.
 LONG_CHARS = 16_000_000
-#: Letters whose substrings are made from one part of a word.
-PART = 512
-#: Edges, or steps of the way back, that are folded at a time.
-BLOCK = 512
 
 
 def piece_table(spark: SparkSession, path: str) -> tuple[DataFrame, float, int, int]:
@@ -95,111 +91,81 @@ def names(text: str | None) -> list[str]:
     return [w if len(w) <= LONG else "\n\n" + hashlib.sha256(w.encode("utf-8", "surrogatepass")).hexdigest() for w in words(text)]
 
 
-def marked(word: Column) -> Column:
-    return F.when(F.startswith(word, F.lit("\n")), word).otherwise(F.concat(F.lit(MARK), word))
+def marked(word: str) -> str:
+    return word if word.startswith("\n") else MARK + word
+
+
+def lattice(pieces: list[tuple[str, int, float]], unknown: float, first_byte: int) -> Callable[[str], bytes]:
+    """The function that gives the ids of a word's best path, as int32 in bytes."""
+    # A trie: what follows, and the score and id if the letters so far are a piece.
+    root: dict[str, list] = {}
+    for piece, i, score in pieces:
+        here, node = root, None
+        for letter in piece:
+            node = here.setdefault(letter, [{}, None, -1])
+            here = node[0]
+        node[1:] = score, i
+    longest = max(len(piece) for piece, _, _ in pieces)
+
+    def ids(word: str) -> bytes:
+        s = marked(word)
+        n = len(s)
+        if n <= LONG:
+            scores, starts, came = [-math.inf] * (n + 1), [0] * (n + 1), [0] * (n + 1)
+        else:  # 16 bytes a position
+            scores, starts, came = array("d", [-math.inf]) * (n + 1), array("i", [0]) * (n + 1), array("i", [0]) * (n + 1)
+        scores[0] = 0.0
+        for start in range(n):
+            score, here, stop = scores[start], root, start
+            for letter in s[start : start + longest]:
+                node = here.get(letter)
+                if node is None:
+                    break
+                here, own, i = node
+                stop += 1
+                # Starts come in rising order, so an equal score keeps the longer last piece.
+                if own is not None and score + own > scores[stop]:
+                    scores[stop], starts[stop], came[stop] = score + own, start, i
+            node = root.get(s[start])
+            if (node is None or node[1] is None) and score + unknown > scores[start + 1]:
+                scores[start + 1], starts[start + 1], came[start + 1] = score + unknown, start, -1 - ord(s[start])
+        path = array("i")
+        at = n
+        while at:
+            if came[at] >= 0:
+                path.append(came[at])
+            else:
+                path.extend(first_byte + b for b in reversed(chr(-1 - came[at]).encode()))
+            at = starts[at]
+        path.reverse()
+        return path.tobytes()
+
+    return ids
+
+
+def lattice_of(spark: SparkSession, path: str):
+    """A broadcast of what :func:`lattice` needs of a model file."""
+    table, unknown, _, first_byte = piece_table(spark, path)
+    return spark.sparkContext.broadcast(([tuple(r) for r in table.collect()], unknown, first_byte))
 
 
-def edges(distinct: DataFrame, table: DataFrame, unknown: float, longest: int) -> DataFrame:
-    """(word, n, stop, start, score, id): the lattice of each word; id is -1 less the code point for an unknown letter."""
+def encode_words(distinct: DataFrame, spark: SparkSession, path: str) -> DataFrame:
+    """(word, n, ids): the pieces of each distinct word of ``distinct`` (word, n; a ``body``, if any, is what a word stands for)."""
+    held = lattice_of(spark, path)
     body = F.coalesce("body", "word") if "body" in distinct.columns else F.col("word")
-    shown = distinct.select("word", "n", marked(body).alias("s"))
-    bases = shown.select("word", "n", "s", F.explode(F.sequence(F.lit(0), F.length("s") - 1, F.lit(PART))).alias("base"))
-    parts = bases.select("word", "n", "base", F.substring(F.col("s"), F.col("base") + 1, F.lit(PART + longest - 1)).alias("part"))
-    at = parts.select("word", "n", "base", "part", F.explode(F.sequence(F.lit(0), F.least(F.length("part"), F.lit(PART)) - 1)).alias("at"))
-    reach = F.least(F.lit(longest), F.length("part") - F.col("at"))
-    cut = at.select("word", "n", "base", "part", "at", F.explode(F.sequence(F.lit(1), reach)).alias("size"))
-    piece = F.substring(F.col("part"), F.col("at") + 1, F.col("size"))
-    cut = cut.select("word", "n", (F.col("base") + F.col("at")).alias("start"), "size", piece.alias("piece"))
-    found = cut.join(F.broadcast(table), "piece", "left").where("id IS NOT NULL OR size = 1")
-    return found.select(
-        "word", "n", (F.col("start") + F.col("size")).alias("stop"), "start", F.coalesce("score", F.lit(unknown)).alias("score"), F.coalesce("id", -1 - F.ascii("piece")).alias("id")
-    )
-
-
-def viterbi(edges: Column, longest: int, block: int = BLOCK) -> Column:
-    """Best edge into each position from 0 on: array of (score, minus start, id); ``edges`` come sorted by their stop.
-
-    A fold copies its state in each step, so edges are folded ``block`` at a
-    time: ``near`` holds the ``longest`` positions before the block and those
-    of the block (the first is number ``first``), ``now`` is the one that
-    ``at`` names, and all others wait in ``done``.
-    """
-    kind = "struct<score:double,minus:int,id:int>"
-    none = F.array().cast(f"array<{kind}>")
-    nothing = F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("minus"), F.lit(-1).alias("id"))
-    state = F.struct(none.alias("done"), none.alias("near"), F.lit(0).alias("first"), nothing.alias("now"), F.lit(0).alias("at"))
-
-    def step(s, e):
-        fresh = e["stop"] > s["at"]
-        before = F.when(e["start"] == s["at"], s["now"]).otherwise(F.get(s["near"], e["start"] - s["first"]))
-        edge = F.struct((before["score"] + e["score"]).alias("score"), (-e["start"]).alias("minus"), e["id"].alias("id"))
-        return F.struct(
-            F.when(fresh, F.concat(s["near"], F.array(s["now"]))).otherwise(s["near"]).alias("near"),
-            s["first"].alias("first"),
-            F.when(fresh, edge).otherwise(F.greatest(s["now"], edge)).alias("now"),
-            e["stop"].alias("at"),
-        )
-
-    def fold(old, some):
-        def close(s):
-            carried = F.size(old["near"])
-            stay = F.least(F.lit(longest), F.size(s["near"]))
-            return F.struct(
-                F.concat(old["done"], F.slice(s["near"], carried + 1, F.size(s["near"]) - carried)).alias("done"),
-                F.slice(s["near"], F.size(s["near"]) - stay + 1, stay).alias("near"),
-                (s["at"] - stay).alias("first"),
-                s["now"].alias("now"),
-                s["at"].alias("at"),
-            )
-
-        open_ = F.struct(old["near"].alias("near"), old["first"].alias("first"), old["now"].alias("now"), old["at"].alias("at"))
-        return F.aggregate(some, open_, step, close)
-
-    blocks = F.transform(F.sequence(F.lit(1), F.size(edges), F.lit(block)), lambda i: F.slice(edges, i, F.lit(block)))
-    return F.aggregate(blocks, state, fold, lambda s: F.concat(s["done"], F.array(s["now"])))
-
-
-def walked(best: Column, block: int = BLOCK) -> Column:
-    """The path back from the last position: array of (start, id) in reading order."""
-    last = F.size(best) - 1
-    none = F.array().cast("array<struct<start:int,id:int>>")
-    state = F.struct(none.alias("done"), last.alias("at"))
-
-    def step(s, _):
-        edge = F.element_at(best, s["at"] + 1)
-        here = F.array(F.struct((-edge["minus"]).alias("start"), edge["id"].alias("id")))
-        more = F.struct(F.concat(s["part"], here).alias("part"), (-edge["minus"]).alias("at"))
-        return F.when(s["at"] > 0, more).otherwise(s)
-
-    def fold(old, _):
-        close = lambda s: F.struct(F.concat(old["done"], s["part"]).alias("done"), s["at"].alias("at"))
-        return F.aggregate(F.sequence(F.lit(1), F.least(last, F.lit(block))), F.struct(none.alias("part"), old["at"].alias("at")), step, close)
-
-    return F.aggregate(F.sequence(F.lit(1), last, F.lit(block)), state, fold, lambda s: F.reverse(s["done"]))
-
-
-def bytes_of(point: Column, first_byte: int) -> Column:
-    """Byte piece ids of a letter, by its code point."""
-    tail = lambda shift: F.lit(0x80) + F.shiftright(point, shift).bitwiseAND(F.lit(0x3F))
-    lead = lambda mark, shift: F.lit(mark) + F.shiftright(point, shift)
-    utf8 = (
-        F.when(point < 0x80, F.array(point))
-        .when(point < 0x800, F.array(lead(0xC0, 6), tail(0)))
-        .when(point < 0x10000, F.array(lead(0xE0, 12), tail(6), tail(0)))
-        .otherwise(F.array(lead(0xF0, 18), tail(12), tail(6), tail(0)))
-    )
-    return F.transform(utf8, lambda b: b + first_byte)
+    schema = T.StructType([distinct.schema["word"], distinct.schema["n"], *T.StructType.fromDDL("ids array<int>").fields])
+    arrow = _arrow_schema(schema)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = lattice(*held.value)
+        for batch in batches:
+            bodies = batch.column(2).to_pylist()
+            for part in chunks(bodies):
+                size = part.stop - part.start
+                old = [batch.column(i).slice(part.start, size).cast(arrow.field(i).type) for i in range(2)]
+                yield pa.RecordBatch.from_arrays([*old, unpacked([ids(w) for w in bodies[part]]).cast(arrow.field(2).type)], schema=arrow)
 
-def encode_words(distinct: DataFrame, spark: SparkSession, path: str) -> DataFrame:
-    """(word, n, ids): the pieces of each distinct word of ``distinct`` (word, n; a ``body``, if any, is what a word stands for)."""
-    table, unknown, longest, first_byte = piece_table(spark, path)
-    lattice = edges(distinct, table, unknown, longest)
-    grouped = lattice.groupBy("word", "n").agg(F.sort_array(F.collect_list(F.struct("stop", "start", "score", "id"))).alias("edges"))
-    folded = grouped.select("word", "n", viterbi(F.col("edges"), longest).alias("best"))
-    paths = folded.select("word", "n", walked(F.col("best")).alias("path"))
-    own = F.transform("path", lambda p: F.when(p["id"] >= 0, F.array(p["id"])).otherwise(bytes_of(-1 - p["id"], first_byte)))
-    return paths.select("word", "n", F.flatten(own).alias("ids"))
+    return distinct.select("word", "n", body.alias("body")).mapInArrow(run, schema)
 
 
 def piece_bytes(path: str) -> list[bytes]:
@@ -301,64 +267,58 @@ def hot_words(known: DataFrame) -> DataFrame:
     return known.where((F.col("n") >= hot_bound(known, HOT_WORDS)) & (F.length("word") <= HOT_CHARS))
 
 
-def packed(lists: pa.ListArray) -> list[bytes]:
-    """Each list of ids as bytes."""
-    raw = np.asarray(lists.values, dtype=np.int32).tobytes()
-    ends = (4 * lists.offsets.to_numpy().astype(np.int64)).tolist()
-    return [raw[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+def unpacked(lists: list[bytes]) -> pa.ListArray:
+    """An array of ids from each list's bytes."""
+    ends = np.cumsum([0] + [len(raw) // 4 for raw in lists]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(lists), np.int32)))
 
 
-def encoded(docs: DataFrame, space, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: ``key``, ``n_words``, ``ids`` and ``round_trip`` (the ids decode to the text).
+class Encoder:
+    """Ids of texts; the ids of words are remembered up to a bound."""
 
-    Rare words come to a row by a hash of its key and text. Rows that share the
-    hash get each other's words too, which changes nothing.
-    """
+    def __init__(self, ids: Callable[[str], bytes]):
+        self.word_ids = ids
+        self.known: dict[str, bytes] = {}
+        self.held = 0
+
+    def ids(self, text: str) -> tuple[int, bytes]:
+        """How many words a text has, and its ids as int32 in bytes."""
+        if len(self.known) > LISTED_WORDS or self.held > LONG_CHARS:
+            self.known.clear()
+            self.held = 0
+        known = self.known
+        split = words(text)
+        for word in set(split).difference(known):
+            known[word] = self.word_ids(word)
+            self.held += len(word)
+        return len(split), b"".join(map(known.__getitem__, split))
+
+
+def encoded(docs: DataFrame, space, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per row: ``key``, ``n_words``, ``ids`` and ``round_trip`` (the ids decode to the text)."""
     spark = docs.sparkSession
-    known = lexicon(docs, space, path, text).select("word", "n", "ids")
-    hot = hot_words(known).select("word", "ids").toArrow().combine_chunks()  # bounded by HOT_WORDS and HOT_CHARS
-    held = spark.sparkContext.broadcast((hot, piece_bytes(path)))
-    rows = docs.select(F.xxhash64(key, text).alias("__row"), F.col(key).alias("__id"), F.col(text).alias("__text"))
-
-    def rare():
-        common = set(held.value[0].column("word").to_pylist())
-        return lambda texts: [[list(set(names(t)) - common) for t in texts]]
-
-    asked = map_texts(rows, rare, "__words array<string>", ["__row"], "__text").select("__row", F.explode("__words").alias("word"))
-    found = asked.join(known.drop("n"), "word").groupBy("__row").agg(F.collect_set(F.struct("word", "ids")).alias("found"))
-    met = rows.join(found, "__row", "left").select("__id", "__text", F.col("found.word").alias("words"), F.col("found.ids").alias("ids"))
+    held = lattice_of(spark, path)
+    bytes_held = spark.sparkContext.broadcast(piece_bytes(path))
+    rows = docs.select(F.col(key).alias("__id"), F.col(text).alias("__text"))
     schema = T.StructType([rows.schema["__id"], *T.StructType.fromDDL("n_words long, ids array<int>, round_trip boolean").fields])
     arrow = _arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot, table = held.value
-        common = {}
-        for batch in hot.to_batches():
-            common.update(zip(batch.column(0).to_pylist(), packed(batch.column(1)), strict=True))
-        seen = dict(common)
+        encoder, table = Encoder(lattice(*held.value)), bytes_held.value
         for batch in batches:
             texts = [t or "" for t in batch.column(1).to_pylist()]
-            called, own = batch.column(2), batch.column(3)
-            called, at = called.values.to_pylist(), called.offsets.to_pylist()
-            own, own_at = packed(own.values), own.offsets.to_pylist()
             for part in chunks(texts):
                 counts, joined, same = [], [], []
-                for i in range(part.start, part.stop):
-                    if len(seen) > len(common) + LISTED_WORDS:
-                        seen = dict(common)
-                    seen.update(zip(called[at[i] : at[i + 1]], own[own_at[i] : own_at[i + 1]], strict=True))
-                    split = names(texts[i])
-                    raw = b"".join(map(seen.__getitem__, split))
-                    counts.append(len(split))
+                for t in texts[part]:
+                    n, raw = encoder.ids(t)
+                    counts.append(n)
                     joined.append(raw)
-                    text = " " + texts[i].replace(MARK, " ") if texts[i] else ""  # a text begins with a mark
-                    same.append(text_of(np.frombuffer(raw, np.int32).tolist(), table) == text)
-                ends = np.cumsum([0] + [len(raw) // 4 for raw in joined]).astype(np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(joined), np.int32)))
+                    shown = " " + t.replace(MARK, " ") if t else ""  # a text begins with a mark
+                    same.append(text_of(np.frombuffer(raw, np.int32).tolist(), table) == shown)
                 old = batch.column(0).slice(part.start, part.stop - part.start).cast(arrow.field(0).type)
-                yield pa.RecordBatch.from_arrays([old, pa.array(counts, pa.int64()), ids.cast(arrow.field(2).type), pa.array(same)], schema=arrow)
+                yield pa.RecordBatch.from_arrays([old, pa.array(counts, pa.int64()), unpacked(joined).cast(arrow.field(2).type), pa.array(same)], schema=arrow)
 
-    return met.mapInArrow(run, schema).withColumnRenamed("__id", key)
+    return rows.mapInArrow(run, schema).withColumnRenamed("__id", key)
 
 
 def encode(docs: DataFrame, space, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:

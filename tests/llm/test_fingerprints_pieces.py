@@ -177,6 +177,16 @@ def test_hot_and_rare_words_agree(spark, space, monkeypatch):
     assert sorted(map(tuple, pieces.digests(docs, space, queries.pieces_path()).collect())) == want
 
 
+def test_texts_stay_where_they_are_read(spark, rows, monkeypatch):
+    """No word and no text is shuffled, and a task that forgets its words gives the same rows."""
+    docs = spark.createDataFrame([(i, t) for i, t in rows if len(t or "") < 3000], "doc_id long, text string")
+    made = pieces.digests(docs, Workspace(spark), queries.pieces_path())
+    assert "Exchange" not in made._jdf.queryExecution().executedPlan().toString()
+    want = sorted(map(repr, made.collect()))
+    monkeypatch.setattr(pieces, "LISTED_WORDS", 3)
+    assert sorted(map(repr, pieces.digests(docs, Workspace(spark), queries.pieces_path()).collect())) == want
+
+
 def test_digest_is_of_the_ids(spark, rows, vocabulary):
     """The query's numbers are those of each document's own ids, from first to last."""
     texts = [(i, t) for i, t in rows if i is not None and len(t or "") < 3000 and i != 107] + list(enumerate(TEXTS, 1000))
