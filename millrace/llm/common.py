@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DOCUMENT_SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 #: Characters of text that one call of a task's function gets; a longer text comes alone.
-CHUNK_CHARS = 4_000_000
+CHUNK_CHARS = 1_000_000
 
 
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -35,6 +36,11 @@ def chunks(texts: Sequence[str], most: int = CHUNK_CHARS) -> Iterator[slice]:
         yield slice(start, len(texts))
 
 
+def spans(texts: pa.StringArray, most: int = CHUNK_CHARS) -> Iterator[slice]:
+    """:func:`chunks` of texts that are not Python's yet, by their bytes."""
+    return chunks([range(n) for n in pc.fill_null(pc.binary_length(texts), 0).to_pylist()], most)
+
+
 def map_texts(
     df: DataFrame,
     make: Callable[[], Callable[[list], Sequence]],
@@ -48,7 +54,8 @@ def map_texts(
     ``make()`` runs once per task and returns ``f(texts) -> columns`` in the
     order of ``fields`` (a DDL string). Null texts arrive as None. A kept
     column with the name of a new one gives way to it. Batches are cut to
-    ``most`` characters, so memory follows the longest text, not the table.
+    ``most`` bytes before their texts become Python's, so memory follows the
+    longest text, not the table.
     """
     new = T.StructType.fromDDL(fields)
     keep = [c for c in keep if c not in new.names]
@@ -60,10 +67,9 @@ def map_texts(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            texts = batch.column(place).to_pylist()
-            for part in chunks([t or "" for t in texts], most):
-                made = work(texts[part])
+            for part in spans(batch.column(place), most):
                 size = part.stop - part.start
+                made = work(batch.column(place).slice(part.start, size).to_pylist())
                 old = [batch.column(i).slice(part.start, size).cast(arrow.field(i).type) for i in range(len(keep))]
                 cols = [pa.array(c, type=arrow.field(len(keep) + i).type) for i, c in enumerate(made)]
                 yield pa.RecordBatch.from_arrays(old + cols, schema=arrow)

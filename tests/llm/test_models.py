@@ -151,3 +151,15 @@ def test_texts_without_letters_or_labels_teach_nothing(spark, odd):
     none = spark.createDataFrame([(1, "123 !!", "de"), (2, None, "de"), (3, "Wort", None)], "doc_id long, text string, lang string")
     assert language_crf.training_rows(none) == []
     assert {r.lang_pred for r in language_crf.predict(odd.drop("lang_pred"), None).collect()} == {"und"}
+
+
+def test_a_batch_of_texts_is_cut_before_it_is_read():
+    """A task makes Python texts for one chunk at a time, and a chunk is a megabyte."""
+    import pyarrow as pa
+
+    from millrace.llm import common
+
+    texts = ["a" * 400, None, "é" * 300, "", "b" * 5000, "c"]
+    cut = list(common.spans(pa.array(texts, pa.string()), 900))
+    assert [texts[s] for s in cut] == [texts[:2], texts[2:4], texts[4:5], texts[5:]]
+    assert common.CHUNK_CHARS <= 1_000_000 and list(common.spans(pa.array([], pa.string()))) == []
