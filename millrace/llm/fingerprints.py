@@ -111,9 +111,12 @@ def bucket_of(value: Column, cuts: list[float], hashed: Column | None = None, no
     part = lambda count: count - 1 - F.least(F.floor(share * count), count - 1).cast("int")
     if not cuts:
         return F.when(value.isNull(), part(F.lit(none))).otherwise(F.lit(none))
-    # Each cut once, with how many lie below it and at it; found by halving, in one fold.
+    # Each cut once, with how many lie below it and at it; found by halving, in one fold. Written as
+    # one text each, as a literal of every number makes plans that fill the driver.
     kinds = sorted(set(cuts))
-    table = F.array(*[F.struct(F.lit(float(c)).alias("cut"), F.lit(cuts.index(c)).alias("low"), F.lit(cuts.count(c)).alias("many")) for c in kinds])
+    listed = lambda numbers, kind: F.split(F.lit(",".join(map(str, numbers))), ",").cast(f"array<{kind}>")
+    each = listed(map(float, kinds), "double")
+    below, at_it = listed(map(cuts.index, kinds), "int"), listed(map(cuts.count, kinds), "int")
     steps = []
     step = 1 << (len(kinds).bit_length() - 1)
     while step:
@@ -122,13 +125,16 @@ def bucket_of(value: Column, cuts: list[float], hashed: Column | None = None, no
 
     def halve(at, step):
         here = at + step
-        cut = F.try_element_at(table, F.least(here, F.lit(len(kinds))))["cut"]
+        cut = F.try_element_at(each, F.least(here, F.lit(len(kinds))))
         return F.when((here <= len(kinds)) & (cut < value.cast("double")), here).otherwise(at)
 
     def number(passed):
-        at = F.try_element_at(table, passed + 1)  # the first cut that is not below the value
-        many = F.when((at["cut"] == value.cast("double")) & (at["many"] > 1), at["many"]).otherwise(1)
-        return F.coalesce(at["low"], F.lit(len(cuts))) + (part(F.coalesce(many, F.lit(1))) if hashed is not None else F.lit(0))
+        first = passed + 1  # the first cut that is not below the value
+        low = F.coalesce(F.try_element_at(below, first), F.lit(len(cuts)))
+        if hashed is None:
+            return low
+        at_value = F.try_element_at(each, first) == value.cast("double")
+        return low + part(F.when(at_value, F.try_element_at(at_it, first)).otherwise(1))
 
     place = F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), halve, number)
     return F.when(value.isNull(), part(F.lit(none))).otherwise(none + place)

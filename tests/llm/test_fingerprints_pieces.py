@@ -262,3 +262,15 @@ def test_one_id_of_many_rows_is_many_buckets(spark, space):
         after, half = order[(at + 1) % len(order)][1], len(t) // 2
         want.append((i, hashlib.sha256((t[: len(t) - half] + after[:half]).encode()).hexdigest()))
     assert sorted(map(repr, want)) == sorted(repr((r.doc_id, r.edited_sha256)) for r in got)
+
+
+def test_many_buckets_are_a_short_plan(spark):
+    """The driver holds a few texts of numbers, not an expression for each cut."""
+    cuts = [float(i // 3 * 3) for i in range(1687)]
+    hashed = F.xxhash64("id")
+    dealt = spark.range(3000).select("id", fingerprints.bucket_of(F.col("id"), cuts, hashed).alias("bucket"))
+    assert len(dealt._jdf.queryExecution().analyzed().toJSON()) < 500_000
+    got = dict(dealt.collect())
+    for i, bucket in got.items():
+        low, many = sum(c < i for c in cuts), max(1, cuts.count(i))
+        assert 1 + low <= bucket < 1 + low + many
