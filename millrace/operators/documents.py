@@ -2,40 +2,66 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.text import escape_html
 
 # HTML to markdown, applied in this order. The first row of a table is marked a second time
-# between <sep> tags, where its cells become the dashes under the header.
+# between <sep> tags, where its cells become the dashes under the header. Each group begins with a pattern that
+# every text has in which one of its rules finds something; other texts pass the group as they are.
 MARKDOWN_RULES = [
-    (r"(?is)<(script|style|head)\b.*?</(script|style|head)>", ""),
-    (r"(?s)<!--.*?-->", ""),
-    (r"(?is)<table[^>]*>\s*(?:</?t(?:head|body)[^>]*>\s*)*<tr[^>]*>(.*?)</tr>", r"<table><tr>\1</tr><sep>\1</sep>"),
-    (r"(?is)\s*<t[hd](\s[^>]*)?>((?:(?!</?sep>|<t[hd][\s>]).)*?)</t[hd]>\s*(?=((?!<sep>).)*?</sep>)", " --- |"),
-    (r"(?i)\s*<sep>", "\n|"),
-    (r"(?i)</sep>", ""),
-    (r"(?is)\s*<t[hd](\s[^>]*)?>\s*(.*?)\s*</t[hd]>\s*", r" \2 |"),
-    (r"(?i)\s*<tr(\s[^>]*)?>", "\n|"),
-    (r"(?i)</tr>", ""),
-    (r"(?i)<img\s(?=[^>]*?\balt=\"([^\"]*)\")[^>]*?\bsrc=\"([^\"]*)\"[^>]*>", r"![\1](\2)"),
-    (r"(?i)<img\s[^>]*?\bsrc=\"([^\"]*)\"[^>]*>", r"![](\1)"),
-    (r"(?i)<h1[^>]*>", "\n\n# "),
-    (r"(?i)<h2[^>]*>", "\n\n## "),
-    (r"(?i)<h3[^>]*>", "\n\n### "),
-    (r"(?i)<h4[^>]*>", "\n\n#### "),
-    (r"(?i)<h5[^>]*>", "\n\n##### "),
-    (r"(?i)<h6[^>]*>", "\n\n###### "),
-    (r"(?i)</?(b|strong)(\s[^>]*)?>", "**"),
-    (r"(?i)</?(i|em)(\s[^>]*)?>", "*"),
-    (r"(?i)</?code(\s[^>]*)?>", "`"),
-    (r"(?is)<a\s[^>]*?href=\"([^\"]*)\"[^>]*>(.*?)</a>", r"[\2](\1)"),
-    (r"(?i)<li(\s[^>]*)?>", "\n* "),
-    (r"(?i)<br\s*/?>", "  \n"),
-    (r"(?i)<hr\s*/?>", "\n\n---\n\n"),
-    (r"(?i)</?(p|div|h[1-6]|ul|ol|article|section|table|blockquote|nav|footer|header)(\s[^>]*)?>", "\n\n"),
-    (r"<[^>]*>", ""),
+    (
+        r"(?i)<(?:script|style|head|!--)",
+        [
+            (r"(?is)<(script|style|head)\b.*?</(script|style|head)>", ""),
+            (r"(?s)<!--.*?-->", ""),
+        ],
+    ),
+    (
+        r"(?i)<(?:table|/?tr|/?sep|t[hd])",
+        [
+            (r"(?is)<table[^>]*>\s*(?:</?t(?:head|body)[^>]*>\s*)*<tr[^>]*>(.*?)</tr>", r"<table><tr>\1</tr><sep>\1</sep>"),
+            (
+                r"(?i)\s*<t[hd](?:\s[^>]*)?>(?:[^<]++|<(?!/?sep>|t[hd][\s>]|/t[hd]>))*+</t[hd]>\s*(?=(?:[^<]++|<(?!/?sep>))*+</sep>)",
+                " --- |",
+            ),
+            (r"(?i)\s*<sep>", "\n|"),
+            (r"(?i)</sep>", ""),
+            (r"(?is)\s*<t[hd](\s[^>]*)?>\s*(.*?)\s*</t[hd]>\s*", r" \2 |"),
+            (r"(?i)\s*<tr(\s[^>]*)?>", "\n|"),
+            (r"(?i)</tr>", ""),
+        ],
+    ),
+    (
+        r"(?i)<(?:h[1-6r]|/?(?:i|em|b|strong|code)|a\s|li)",
+        [
+            (r"(?i)<img\s(?=[^>]*?\balt=\"([^\"]*)\")[^>]*?\bsrc=\"([^\"]*)\"[^>]*>", r"![\1](\2)"),
+            (r"(?i)<img\s[^>]*?\bsrc=\"([^\"]*)\"[^>]*>", r"![](\1)"),
+            (r"(?i)<h1[^>]*>", "\n\n# "),
+            (r"(?i)<h2[^>]*>", "\n\n## "),
+            (r"(?i)<h3[^>]*>", "\n\n### "),
+            (r"(?i)<h4[^>]*>", "\n\n#### "),
+            (r"(?i)<h5[^>]*>", "\n\n##### "),
+            (r"(?i)<h6[^>]*>", "\n\n###### "),
+            (r"(?i)</?(b|strong)(\s[^>]*)?>", "**"),
+            (r"(?i)</?(i|em)(\s[^>]*)?>", "*"),
+            (r"(?i)</?code(\s[^>]*)?>", "`"),
+            (r"(?is)<a\s[^>]*?href=\"([^\"]*)\"[^>]*>(.*?)</a>", r"[\2](\1)"),
+            (r"(?i)<li(\s[^>]*)?>", "\n* "),
+            (r"(?i)<br\s*/?>", "  \n"),
+            (r"(?i)<hr\s*/?>", "\n\n---\n\n"),
+        ],
+    ),
+    (
+        "<",
+        [
+            (r"(?i)</?(p|div|h[1-6]|ul|ol|article|section|table|blockquote|nav|footer|header)(\s[^>]*)?>", "\n\n"),
+            (r"<[^>]*>", ""),
+        ],
+    ),
 ]
 
 # Entities turned back into characters, ampersand last.
@@ -177,13 +203,22 @@ def to_markdown(html: str | Column) -> Column:
     Tables become pipe rows with their first row as header, ordered lists are
     numbered (a list inside another is not counted on its own).
     """
-    text = _numbered_lists(F.col(html) if isinstance(html, str) else html)
-    for pattern, replacement in MARKDOWN_RULES:
-        text = F.regexp_replace(text, pattern, replacement.replace("\\", "$"))
+    text = _bound(F.col(html) if isinstance(html, str) else html, _numbered_lists)
+    for sign, rules in MARKDOWN_RULES:
+        text = _bound(text, lambda t: F.when(F.regexp_like(t, F.lit(sign)), _replaced(t, rules)).otherwise(t))  # noqa: B023
     for entity, plain in ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(plain))
-    for pattern, replacement in TIDY_RULES:
-        text = F.regexp_replace(text, pattern, replacement)
+    return _replaced(text, TIDY_RULES)
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often it is named."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _replaced(text: Column, rules: list[tuple[str, str]]) -> Column:
+    for pattern, replacement in rules:
+        text = F.regexp_replace(text, pattern, replacement.replace("\\", "$"))
     return text
 
 

@@ -516,3 +516,16 @@ def test_broken_trend_equals_least_squares(spark):
     x = np.column_stack([np.ones(220), t, *[np.maximum(t - k / 5, 0) for k in range(1, 5)]])
     a = x[:200].T @ x[:200] + np.diag([0, 0, 2.0, 2.0, 2.0, 2.0])
     assert np.allclose(got, x @ np.linalg.solve(a, x[:200].T @ y), atol=1e-6)
+
+
+def test_markdown_of_a_long_text_after_a_table(spark):
+    """A long text after a table, or a long cell, is read in steps, not in one call inside another for each letter."""
+    from millrace.operators import documents
+
+    long = "some words < more\n" * 20_000
+    table = f"<table><TR><th>a<td class='x'>b</td></TR><tr><td>c</td><td>{'d' * 100_000}</td></tr></table>"
+    html = f"x <table><tr><th>h</th></tr><tr><td>1</td></tr></table>{long}{table}{long}"
+    frame = spark.createDataFrame([(html,), ("plain & <3",), (None,), ("<H2>t</H2><ul><li>i</ul>",)], "html string")
+    got = [r[0] for r in frame.select(documents.to_markdown("html")).collect()]
+    assert got[0].startswith("x\n\n| h |\n| --- |\n| 1 |\n\nsome words") and "d" * 100_000 + " |" in got[0]
+    assert got[1:] == ["plain & <3", None, "## t\n\n* i"]
