@@ -17,7 +17,9 @@ plain hash aggregates that combine before anything moves.
 
 ``edited`` puts documents into buckets of consecutive ids, shuffles each text
 once, and adds the first document of the next bucket to each as an extra row,
-so a text meets its neighbour without a second shuffle.
+so a text meets its neighbour without a second shuffle. All that follows keeps
+that one shuffle's buckets: hashes and lengths go along with the words, and a
+row without a word stays a row, so no join has to bring them back.
 
 Buckets are cut by id and, where one id (or none) fills several of them, by the
 hash of the text as well, so no id is one task.
@@ -75,18 +77,20 @@ def words(text: Column) -> Column:
 
 
 def fingerprints(texts: DataFrame, keys: list[str], text: str, samples: int = SAMPLES) -> DataFrame:
-    """``keys`` and ``samples`` (a long each) of each row that has a word; ``keys`` name a row."""
+    """``keys`` and ``samples`` (a long each) of every row, null where it has no word; ``keys`` name a row."""
     spark = texts.sparkSession
-    exploded = texts.select(*keys, F.explode(words(F.col(text))).alias("word")).where("word <> ''")
-    counted = exploded.groupBy(*keys, F.xxhash64("word").alias("word")).agg(F.count("*").alias("n"))
-    part = lambda from_bit: F.shiftrightunsigned("word", from_bit).bitwiseAND(F.lit(TERMS - 1)).cast("int")
+    # A split text has one part at least, maybe an empty one, so every row stays.
+    exploded = texts.select(*keys, F.explode(words(F.coalesce(F.col(text), F.lit("")))).alias("word"))
+    hashed = F.when(F.col("word") != "", F.xxhash64("word"))
+    counted = exploded.groupBy(*keys, hashed.alias("word")).agg(F.count("*").alias("n"))
+    part = lambda from_bit: F.coalesce(F.shiftrightunsigned("word", from_bit).bitwiseAND(F.lit(TERMS - 1)).cast("int"), F.lit(0))
     named = counted.select(
         *keys, F.log("n").alias("lw"), F.col("word").bitwiseAND(F.lit((1 << WORD_BITS) - 1)).alias("low"), part(64 - TERM_BITS).alias("term"), part(64 - 2 * TERM_BITS).alias("other")
     )
     table = draws(spark, samples=samples)
     drawn = named.join(F.broadcast(table.select("term", "r")), "term").join(F.broadcast(table.select(F.col("term").alias("other"), "lc", "b")), "other")
     least = drawn.groupBy(*keys).agg(*[F.min(sample(k)).alias(f"s{k}") for k in range(samples)])
-    return least.select(*keys, F.array(*[f"s{k}" for k in range(samples)]).alias("samples"))
+    return least.select(*keys, F.when(F.col("s0").isNotNull(), F.array(*[f"s{k}" for k in range(samples)])).alias("samples"))
 
 
 def shown(samples: Column) -> Column:
@@ -180,16 +184,17 @@ def edited(docs: DataFrame, space, key: str = "doc_id", text: str = "text", part
     changed = F.concat(
         F.substring(F.col("body"), F.lit(1), F.length("body") - half), F.substring(F.coalesce("next", F.lit("")), F.lit(1), half)
     )
-    placed = placed.withColumn("changed", changed)
-    meta = placed.select("bucket", "pos", "id", "edge", F.length("body").cast("long").alias("n_chars"), F.sha2(F.col("changed").cast("binary"), 256).alias("sha"))
-    both = F.array(F.struct(F.lit(0).alias("which"), F.col("body").alias("t")), F.struct(F.lit(1).alias("which"), F.col("changed").alias("t")))
-    texts = placed.select("bucket", "pos", F.inline(both))
-    made = fingerprints(texts, ["bucket", "pos", "which"], "t")
-    pairs = made.groupBy("bucket", "pos").agg(
-        F.max(F.when(F.col("which") == 0, F.col("samples"))).alias("own"), F.max(F.when(F.col("which") == 1, F.col("samples"))).alias("other")
+    # All that a row gives goes along with its words, so nothing is joined to it afterwards.
+    known = ["bucket", "pos", "id", "edge", "n_chars", "sha"]
+    placed = placed.withColumn("changed", changed).withColumns(
+        {"n_chars": F.length("body").cast("long"), "sha": F.sha2(F.col("changed").cast("binary"), 256)}
     )
-    along = Window.partitionBy("bucket").orderBy("pos")
-    out = meta.join(pairs, ["bucket", "pos"], "left").withColumn("following", F.lead("own").over(along)).where("edge = 0")
+    both = F.array(F.struct(F.lit(0).alias("which"), F.col("body").alias("t")), F.struct(F.lit(1).alias("which"), F.col("changed").alias("t")))
+    made = fingerprints(placed.select(*known, F.inline(both)), [*known, "which"], "t")
+    # In a bucket the lines are: a text, its edited text, the next text.
+    along = Window.partitionBy("bucket").orderBy("pos", "which")
+    lines = made.withColumns({"own": F.col("samples"), "other": F.lead("samples", 1).over(along), "following": F.lead("samples", 2).over(along)})
+    out = lines.where("edge = 0 AND which = 0")
     return out.select(
         F.col("id").alias(key),
         "n_chars",

@@ -274,3 +274,39 @@ def test_many_buckets_are_a_short_plan(spark):
     for i, bucket in got.items():
         low, many = sum(c < i for c in cuts), max(1, cuts.count(i))
         assert 1 + low <= bucket < 1 + low + many
+
+
+def test_texts_are_shuffled_once(spark, space):
+    """Nothing is joined to the fingerprints, so nothing hangs on whether Spark sees that two shuffles are the same."""
+    docs = spark.createDataFrame([(i, prose(i, 30)) for i in range(50)], "doc_id long, text string")
+    plan = fingerprints.edited(docs, space, parts=7)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Exchange hashpartitioning(bucket") == 1
+    assert "SortMergeJoin" not in plan
+
+
+@pytest.mark.parametrize("parts", [1, 4, 32])
+def test_rows_without_words_keep_their_places(spark, space, parts):
+    """Likeness to the edited and the next text, where either may have no word, from each text's own samples."""
+    texts = ["", None, " \n", prose(1, 20), "  " + prose(2, 25) + " ", prose(3, 8), "\t", "x", prose(1, 20)]
+    named = [(i, texts[i % len(texts)]) for i in range(45)] + [(7, "x")] * 3 + [(None, ""), (None, prose(4, 12))]
+    hashes = dict(spark.createDataFrame([(t or "",) for _, t in named], "t string").select("t", F.xxhash64("t")).collect())
+    order = sorted(named, key=lambda r: (r[0] is None, -(r[0] or 0), hashes[r[1] or ""]))
+    want = []
+    for at, (i, t) in enumerate(order):
+        t, after = t or "", order[(at + 1) % len(order)][1] or ""
+        want.append((i, t, t[: len(t) - len(t) // 2] + after[: len(t) // 2], after))
+    every = sorted({t for r in want for t in r[1:]})
+    made = fingerprints.fingerprints(spark.createDataFrame(list(enumerate(every)), "i long, t string"), ["i"], "t").collect()
+    assert len(made) == len(every)
+    own = {every[r.i]: r.samples for r in made}
+    assert {t for t in every if own[t] is None} == {t for t in every if not t.split()}
+
+    def like(a, b):
+        if own[a] is None or own[b] is None:
+            return float(own[a] is own[b])
+        return sum(x == y for x, y in zip(own[a], own[b], strict=True)) / len(own[a])
+
+    got = fingerprints.edited(spark.createDataFrame(named, "doc_id long, text string").repartition(3), space, parts=parts).collect()
+    seen = [(r.doc_id, r.n_chars, r.edited_sha256, r.fingerprint == "", r.edited_fingerprint == "", r.near_edited, r.near_next) for r in got]
+    digest = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    assert sorted(map(repr, seen)) == sorted(repr((i, len(t), digest(e), own[t] is None, own[e] is None, like(t, e), like(t, after))) for i, t, e, after in want)
