@@ -184,17 +184,17 @@ def edited(docs: DataFrame, space, key: str = "doc_id", text: str = "text", part
     changed = F.concat(
         F.substring(F.col("body"), F.lit(1), F.length("body") - half), F.substring(F.coalesce("next", F.lit("")), F.lit(1), half)
     )
-    # All that a row gives goes along with its words, so nothing is joined to it afterwards.
-    known = ["bucket", "pos", "id", "edge", "n_chars", "sha"]
-    placed = placed.withColumn("changed", changed).withColumns(
-        {"n_chars": F.length("body").cast("long"), "sha": F.sha2(F.col("changed").cast("binary"), 256)}
-    )
-    both = F.array(F.struct(F.lit(0).alias("which"), F.col("body").alias("t")), F.struct(F.lit(1).alias("which"), F.col("changed").alias("t")))
-    made = fingerprints(placed.select(*known, F.inline(both)), [*known, "which"], "t")
-    # In a bucket the lines are: a text, its edited text, the next text.
-    along = Window.partitionBy("bucket").orderBy("pos", "which")
-    lines = made.withColumns({"own": F.col("samples"), "other": F.lead("samples", 1).over(along), "following": F.lead("samples", 2).over(along)})
-    out = lines.where("edge = 0 AND which = 0")
+    placed = placed.withColumn("changed", changed)
+    # Three lines a row: its text, its edited text, and what else is known of it, which is null on the
+    # lines with words and so costs them nothing. Nothing is joined to a row afterwards.
+    known = F.struct("id", "edge", F.length("body").cast("long").alias("n_chars"), F.sha2(F.col("changed").cast("binary"), 256).alias("sha"))
+    line = lambda at, text, note: F.struct((F.col("pos") * 3 + at).alias("line"), text.alias("t"), note.alias("known"))
+    three = F.array(line(0, F.col("body"), F.lit(None)), line(1, F.col("changed"), F.lit(None)), line(2, F.lit(""), known))
+    made = fingerprints(placed.select("bucket", F.inline(three)), ["bucket", "line", "known"], "t")
+    along = Window.partitionBy("bucket").orderBy("line")
+    beside = {"own": F.lag("samples", 2), "other": F.lag("samples", 1), "following": F.lead("samples", 1)}
+    lines = made.withColumns({name: column.over(along) for name, column in beside.items()})
+    out = lines.where("known.edge = 0").select("known.*", *beside)
     return out.select(
         F.col("id").alias(key),
         "n_chars",
