@@ -60,11 +60,11 @@ class Workspace:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
-        """``df`` as a written table: computed once, and safe when executors are lost."""
+    def keep(self, df: DataFrame, name: str, **options) -> DataFrame:
+        """``df`` as a written table: computed once, and safe when executors are lost; ``options`` are the writer's."""
         self._kept += 1
         path = self.path(f"{name}-{self._kept}")
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
         self._paths.setdefault(name, []).append(path)
         return self.spark.read.parquet(path)
 

@@ -233,3 +233,20 @@ def test_matrix_is_the_counts_of_words(spark):
     # One code per word across shards: documents share as many codes as words.
     for a, b in itertools.combinations(got, 2):
         assert sum((got[a] & got[b]).values()) == sum((words[a] & words[b]).values())
+
+
+def test_a_shard_moves_in_rows_of_bounded_size(spark):
+    """Two megabytes of text in one shard: no row holds more than a block of them or a slice of the dictionary."""
+    texts = [(i, prose(i, 6000), "en") for i in range(60)] + [(60 + i, "", "en") for i in range(6000)]
+    table = spark.createDataFrame(texts, "doc_id long, text string, lang string").coalesce(1)
+    sizes = {i: len(t) for i, t, _ in texts}
+    parts = audit.shards(table).collect()
+    assert {r.shard for r in parts} == {0} and sum(len(r.doc_ids or ()) for r in parts) == len(texts)
+    assert max(sum(len(c) for c in (r.columns, r.counts, r.words) if c) for r in parts) < 200_000
+    blocks = audit.matrix(table, Workspace(spark)).collect()
+    assert {r.shard for r in blocks} == {0} and len(blocks) >= 4
+    for r in blocks:
+        assert sum(sizes[i] for i in r.doc_ids) <= 500_000 and len(r.doc_ids) <= 5000
+        assert len(r.codes) == len(set(r.codes)) == len(set(r.columns))
+    got = {r.doc_id: (r.n_words, r.n_distinct) for r in audit.document_rows(audit.matrix(table, Workspace(spark))).collect()}
+    assert got == {i: (len(t.split()), len(set(t.split()))) for i, t, _ in texts}
